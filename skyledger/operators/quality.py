@@ -14,63 +14,65 @@ from skyledger.spec import DatasetSpec
 NUMBER_TYPES = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 
 
-def validation_errors(value: Column | str, spec: DatasetSpec, strict: bool = False) -> Column:
-    """All schema violations of one JSON text as ``path: message``; an empty array means valid.
+def with_validation_errors(
+    df: DataFrame, spec: DatasetSpec, value: str = "value", strict: bool = False, name: str = "errors"
+) -> DataFrame:
+    """Adds all schema violations of one JSON text as ``path: message``; an empty array means valid.
 
     Types are those written in the JSON, so ``5`` and ``"5"`` differ. Unknown fields are allowed. Strict
-    mode also requires the instant to be ISO-8601.
+    mode also requires the instant to be ISO-8601. Each text is parsed once, each field looked up once.
     """
-    text = F.col(value) if isinstance(value, str) else value
-    doc = F.try_parse_json(text)
-    root = F.schema_of_variant(doc)
-
-    def type_of(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
-
-    def shown(path: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-        body = F.try_variant_get(doc, path, "string")
-        escaped = F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-        quote = F.when(F.contains(body, F.lit("'")) & ~F.contains(body, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
-        return (
-            F.when(kind == "STRING", F.concat(quote, escaped, quote))
-            .when(kind == "BOOLEAN", F.initcap(body))
-            .when(kind == "VOID", F.lit("None"))
-            .otherwise(body)
-        )
-
-    def mismatch(name: str, allowed: Sequence[str]) -> Column:
-        kind = type_of(name)
+    metrics = [c for c in dict.fromkeys(spec.renames.values()) if c not in spec.texts]
+    rules = {spec.key: ["string"], spec.ts: ["string"]}
+    rules |= {c: ["number", "null"] for c in metrics}
+    rules |= {c: ["string", "null"] for c in spec.texts}
+    rules |= {c: ["number", "null"] for c in spec.places}
+    parsed = df.withColumn("_doc", F.try_parse_json(value))
+    fields = [F.try_variant_get("_doc", f"$.{c}", "variant").alias(c) for c in rules]
+    parsed = parsed.withColumn("_field", F.struct(*fields))
+    kinds = [F.schema_of_variant("_doc").alias("(root)")]
+    kinds += [F.schema_of_variant(F.col("_field")[c]).alias(c) for c in rules]
+    parsed = parsed.withColumn("_kind", F.struct(*kinds))
+
+    def mismatch(name: str, allowed: Sequence[str], doc: Column) -> Column:
+        kind = F.col("_kind")[name]
         tests = {"string": kind == "STRING", "number": kind.rlike(NUMBER_TYPES), "null": kind == "VOID"}
         ok = F.lit(False)
         for want in allowed:
             ok = ok | tests[want]
         names = ", ".join(f"'{a}'" for a in allowed)
         return F.when(
-            kind.isNotNull() & ~ok, F.concat(F.lit(f"{name}: "), shown(f"$.{name}"), F.lit(f" is not of type {names}"))
+            kind.isNotNull() & ~ok, F.concat(F.lit(f"{name}: "), _shown(doc, kind), F.lit(f" is not of type {names}"))
         )
 
-    def missing(name: str) -> Column:
-        return F.when(type_of(name).isNull(), F.lit(f"(root): '{name}' is a required property"))
-
-    metrics = [c for c in dict.fromkeys(spec.renames.values()) if c not in spec.texts]
-    found = [mismatch(spec.key, ["string"]), mismatch(spec.ts, ["string"])]
+    found = [mismatch(c, allowed, F.col("_field")[c]) for c, allowed in rules.items()]
     if strict:
-        shape = (type_of(spec.ts) == "STRING") & ~F.try_variant_get(doc, f"$.{spec.ts}", "string").rlike(ISO_GUARD)
-        found.append(
-            F.when(shape, F.concat(F.lit(f"{spec.ts}: "), shown(f"$.{spec.ts}"), F.lit(" is not a 'date-time'")))
-        )
-    found += [mismatch(c, ["number", "null"]) for c in metrics]
-    found += [mismatch(c, ["string", "null"]) for c in spec.texts]
-    found += [mismatch(c, ["number", "null"]) for c in spec.places]
-    found += [missing(spec.key), missing(spec.ts)]
-    return (
-        F.when(doc.isNull(), F.array(F.lit("(root): invalid JSON")))
-        .when(
-            ~root.startswith("OBJECT"), F.array(F.concat(F.lit("(root): "), shown("$"), F.lit(" is not of type 'object'")))
-        )
+        kind, at = F.col("_kind")[spec.ts], F.col("_field")[spec.ts]
+        odd = (kind == "STRING") & ~F.try_variant_get(at, "$", "string").rlike(ISO_GUARD)
+        found.insert(2, F.when(odd, F.concat(F.lit(f"{spec.ts}: "), _shown(at, kind), F.lit(" is not a 'date-time'"))))
+    for c in (spec.key, spec.ts):
+        found.append(F.when(F.col("_kind")[c].isNull(), F.lit(f"(root): '{c}' is a required property")))
+    root = F.col("_kind")["(root)"]
+    not_object = F.concat(F.lit("(root): "), _shown(F.col("_doc"), root), F.lit(" is not of type 'object'"))
+    errors = (
+        F.when(root.isNull(), F.array(F.lit("(root): invalid JSON")))
+        .when(~root.startswith("OBJECT"), F.array(not_object))
         .otherwise(F.array_compact(F.array(*found)))
     )
+    return parsed.withColumn(name, errors).drop("_doc", "_field", "_kind")
+
+
+def _shown(doc: Column, kind: Column) -> Column:
+    """A value as it reads in messages: quoted text, True, False, None, or the JSON itself."""
+    body = F.try_variant_get(doc, "$", "string")
+    escaped = F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    quote = F.when(F.contains(body, F.lit("'")) & ~F.contains(body, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
+    return (
+        F.when(kind == "STRING", F.concat(quote, escaped, quote))
+        .when(kind == "BOOLEAN", F.initcap(body))
+        .when(kind == "VOID", F.lit("None"))
+        .otherwise(body)
+    )
 
 
 def validate(
@@ -80,10 +82,10 @@ def validate(
 
     With an ``index`` column each message is prefixed ``Record <index>: ``.
     """
-    errors = validation_errors(value, spec, strict)
+    judged = with_validation_errors(df, spec, value, strict)
     if index:
-        errors = F.transform(errors, lambda e: F.concat(F.lit("Record "), F.col(index).cast("string"), F.lit(": "), e))
-    judged = df.withColumn("errors", errors)
+        prefix = F.concat(F.lit("Record "), F.col(index).cast("string"), F.lit(": "))
+        judged = judged.withColumn("errors", F.transform("errors", lambda e: F.concat(prefix, e)))
     bad = F.size("errors") > 0
     counts = judged.agg(
         F.count_if(~bad).alias("valid_count"),

@@ -16,36 +16,40 @@ DATASET_FILE = r"(?i)^(.*?)(?:_(?:full|metadata).*)?\.[^.]+$"
 
 
 def read_record_pages(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Records of page files, and the files that hold no record list.
+    """Records of landed page files, and the files without a record list; one file is one small page."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    return parse_record_pages(pages, schema)
+
+
+def parse_record_pages(pages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Records of ``(file, value)`` page texts, and the pages that hold no record list.
 
     A page is a bare list or an object with a list under one of the wrapper fields or ``result.records``.
-    Each page is one small file, parsed whole in one task; files spread over tasks. Records carry
-    ``_page`` (the number at the end of the file name) and ``_seq`` (page, then position).
+    Records carry ``_page`` (the number at the end of the file name) and ``_seq`` (page, then position).
     """
     rows = T.ArrayType(schema)
     wrapper = T.StructType(
         [T.StructField(w, rows) for w in WRAPPERS]
         + [T.StructField("result", T.StructType([T.StructField("records", rows)]))]
     )
-    pages = spark.read.text(path, wholetext=True).select(
-        F.ltrim("value").alias("value"), F.col("_metadata.file_name").alias("_file")
-    )
-    is_list = F.col("value").startswith("[")
+    text = F.ltrim("value")
+    is_list = text.startswith("[")
     parsed = pages.select(
-        "_file",
+        "file",
         "value",
-        F.coalesce(F.regexp_extract("_file", PAGE_NUMBER, 1).try_cast("long"), F.lit(0).cast("long")).alias("_page"),
-        F.when(is_list, F.from_json("value", rows)).alias("_bare"),
-        F.when(~is_list, F.from_json("value", wrapper)).alias("_wrapped"),
+        F.coalesce(F.regexp_extract("file", PAGE_NUMBER, 1).try_cast("long"), F.lit(0).cast("long")).alias("_page"),
+        F.when(is_list, F.from_json(text, rows)).alias("_bare"),
+        F.when(~is_list, F.from_json(text, wrapper)).alias("_wrapped"),
+    )
+    listed = parsed.withColumn(
+        "_records", F.coalesce("_bare", *[F.col(f"_wrapped.{w}") for w in WRAPPERS], F.col("_wrapped.result.records"))
     )
-    listed = F.coalesce("_bare", *[F.col(f"_wrapped.{w}") for w in WRAPPERS], F.col("_wrapped.result.records"))
-    listed = parsed.withColumn("_records", listed)
     records = (
         listed.filter(F.col("_records").isNotNull())
         .select("_page", F.posexplode("_records").alias("_pos", "_record"))
         .select("_record.*", "_page", (F.col("_page") * F.lit(1_000_000) + F.col("_pos")).alias("_seq"))
     )
-    rejects = listed.filter(F.col("_records").isNull()).select("_page", F.col("_file").alias("key"), "value")
+    rejects = listed.filter(F.col("_records").isNull()).select("_page", F.col("file").alias("key"), "value")
     return records, rejects
 
 
