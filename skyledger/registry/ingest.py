@@ -25,7 +25,17 @@ from skyledger.registry.core import haversine_sql
 from skyledger.spec import AIR, WEATHER
 from skyledger.stations import historical_names
 
-EID, UID = F.col("event_id"), F.col("user_id")
+
+def eid() -> Column:
+    return F.col("event_id")
+
+
+def uid() -> Column:
+    return F.col("user_id")
+
+
+def seq_as_id() -> Column:
+    return F.col("_seq").alias("event_id")
 
 
 def iso(ts: Column | str, tail: str = "") -> Column:
@@ -36,34 +46,44 @@ def raw_instant() -> Column:
     """The instant in the spellings the portal uses; some are missing."""
     shifted = F.col("ts") + F.expr("INTERVAL 2 HOURS")
     return (
-        F.when(EID % 16 == 3, F.lit(None).cast("string"))
-        .when(EID % 4 == 0, iso("ts", "Z"))
-        .when(EID % 4 == 1, iso(shifted, "+02:00"))
-        .when(EID % 4 == 2, iso("ts", ".500Z"))
+        F.when(eid() % 16 == 3, F.lit(None).cast("string"))
+        .when(eid() % 4 == 0, iso("ts", "Z"))
+        .when(eid() % 4 == 1, iso(shifted, "+02:00"))
+        .when(eid() % 4 == 2, iso("ts", ".500Z"))
         .otherwise(iso("ts"))
     )
 
 
 def raw_station() -> Column:
-    return F.when(UID % 5 == 0, F.lit(None).cast("string")).when(UID % 5 == 1, "").otherwise(
-        F.concat(F.lit("S"), UID.cast("string"))
+    return F.when(uid() % 5 == 0, F.lit(None).cast("string")).when(uid() % 5 == 1, "").otherwise(
+        F.concat(F.lit("S"), uid().cast("string"))
     )
 
 
-LAT = F.lit(39.4) + UID % 15 * F.lit(0.01234567)
-LON = F.lit(-0.45) + UID % 11 * F.lit(0.01234567)
+def raw_lat() -> Column:
+    return F.lit(39.4) + uid() % 15 * F.lit(0.01234567)
+
+
+def raw_lon() -> Column:
+    return F.lit(-0.45) + uid() % 11 * F.lit(0.01234567)
 
 
 def raw_air(spark, sf, wkt: bool = False):
     """Events as raw portal records of the air dataset."""
     point = (
-        F.concat(F.lit("POINT ("), LON.cast("decimal(12,8)").cast("string"), F.lit(" "), LAT.cast("decimal(12,8)").cast("string"), F.lit(")"))
+        F.concat(
+            F.lit("POINT ("),
+            raw_lon().cast("decimal(12,8)").cast("string"),
+            F.lit(" "),
+            raw_lat().cast("decimal(12,8)").cast("string"),
+            F.lit(")"),
+        )
         if wkt
-        else F.struct(LON.alias("lon"), LAT.alias("lat"))
+        else F.struct(raw_lon().alias("lon"), raw_lat().alias("lat"))
     )
     return events(spark, sf).select(
         "event_id",
-        (UID % 12).alias("objectid"),
+        (uid() % 12).alias("objectid"),
         raw_station().alias("fiwareid"),
         raw_instant().alias("fecha_carg"),
         when_type("click").alias("no2"),
@@ -73,7 +93,7 @@ def raw_air(spark, sf, wkt: bool = False):
         when_type("error").alias("pm10"),
         F.get_json_object("props", "$.k").cast("double").alias("pm25"),
         F.col("event_type").alias("calidad_am"),
-        F.when(UID % 6 != 0, point).alias("geo_point_2d"),
+        F.when(uid() % 6 != 0, point).alias("geo_point_2d"),
     )
 
 
@@ -114,11 +134,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     raw = events(spark, sf).select(
-        EID.alias("_event_id"),
-        (UID % 12).alias("objectid"),
+        eid().alias("_event_id"),
+        (uid() % 12).alias("objectid"),
         raw_station().alias("fiwareid"),
         raw_instant().alias("fecha_carg"),
-        (EID * 37 % 360).cast("int").alias("viento_dir"),
+        (eid() * 37 % 360).cast("int").alias("viento_dir"),
         when_type("click").alias("viento_vel"),
         when_type("view").alias("temperatur"),
         when_type("purchase").alias("humedad_re"),
@@ -148,8 +168,8 @@ def _(spark, sf):
 def _(spark, sf):
     value, half = F.col("value").cast("string"), (-F.col("value") / 2).cast("string")
     text = (
-        F.when(EID % 3 == 0, F.concat(F.lit("POINT ("), half, F.lit(" "), value, F.lit(")")))
-        .when(EID % 3 == 1, F.concat(F.lit("POINT("), half, F.lit("  "), value, F.lit(" ) tail")))
+        F.when(eid() % 3 == 0, F.concat(F.lit("POINT ("), half, F.lit(" "), value, F.lit(")")))
+        .when(eid() % 3 == 1, F.concat(F.lit("POINT("), half, F.lit("  "), value, F.lit(" ) tail")))
         .otherwise(F.concat(F.lit(" point ("), half, F.lit(" "), value, F.lit(")")))
     )
     lat, lon = extract_lat_lon(text, "wkt")
@@ -164,15 +184,15 @@ def _(spark, sf):
 def _(spark, sf):
     text = F.col("value").cast("string")
     spelled = (
-        F.when(EID % 10 == 0, "")
-        .when(EID % 10 == 1, "null")
-        .when(EID % 10 == 2, text)
-        .when(EID % 10 == 3, F.concat(F.lit(" "), text, F.lit("  ")))
-        .when(EID % 10 == 4, F.replace(text, F.lit("."), F.lit(",")))
-        .when(EID % 10 == 5, F.concat(text, F.lit("d")))
-        .when(EID % 10 == 6, "nan")
-        .when(EID % 10 == 7, "1_000")
-        .when(EID % 10 == 8, "abc")
+        F.when(eid() % 10 == 0, "")
+        .when(eid() % 10 == 1, "null")
+        .when(eid() % 10 == 2, text)
+        .when(eid() % 10 == 3, F.concat(F.lit(" "), text, F.lit("  ")))
+        .when(eid() % 10 == 4, F.replace(text, F.lit("."), F.lit(",")))
+        .when(eid() % 10 == 5, F.concat(text, F.lit("d")))
+        .when(eid() % 10 == 6, "nan")
+        .when(eid() % 10 == 7, "1_000")
+        .when(eid() % 10 == 8, "abc")
         .otherwise(F.concat(text, F.lit("e1")))
     )
     parsed = parse_float_or_null(spelled)
@@ -190,11 +210,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     day = F.date_format("ts", "yyyy-MM-dd")
-    fecha = F.when(EID % 5 == 3, F.concat(F.lit("x"), day)).when(EID % 5 == 4, F.lit(None).cast("string")).otherwise(day)
+    fecha = F.when(eid() % 5 == 3, F.concat(F.lit("x"), day)).when(eid() % 5 == 4, F.lit(None).cast("string")).otherwise(day)
     hora = (
-        F.when(EID % 5 == 0, F.date_format("ts", "HH:mm:ss"))
-        .when(EID % 5 == 1, "")
-        .when(EID % 5 == 2, F.concat(F.date_format("ts", "HH:mm"), F.lit("+05:00")))
+        F.when(eid() % 5 == 0, F.date_format("ts", "HH:mm:ss"))
+        .when(eid() % 5 == 1, "")
+        .when(eid() % 5 == 2, F.concat(F.date_format("ts", "HH:mm"), F.lit("+05:00")))
         .otherwise("10:00:00")
     )
     return events(spark, sf).select("event_id", combine_date_time(fecha, hora).alias("moment"))
@@ -205,8 +225,8 @@ def _(spark, sf):
     f"""SELECT event_id, CASE WHEN event_id % 7 IN (4, 5, 6) THEN NULL ELSE {WIRE_SQL} END AS ts_utc FROM events""",
 )
 def _(spark, sf):
-    odd = F.element_at(F.array(F.lit("2025"), F.lit("10:11"), F.lit("garbage")), (EID % 7 - 3).cast("int"))
-    text = F.when(EID % 7 >= 4, odd).otherwise(raw_instant())
+    odd = F.element_at(F.array(F.lit("2025"), F.lit("10:11"), F.lit("garbage")), (eid() % 7 - 3).cast("int"))
+    text = F.when(eid() % 7 >= 4, odd).otherwise(raw_instant())
     return events(spark, sf).select("event_id", normalise_ts(text).alias("ts_utc"))
 
 
@@ -217,10 +237,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     text = (
-        F.when(EID % 5 == 0, F.date_format("ts", "yyyy-M-d"))
-        .when(EID % 5 == 1, iso("ts"))
-        .when(EID % 5 == 2, iso("ts", "Z"))
-        .when(EID % 5 == 3, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        F.when(eid() % 5 == 0, F.date_format("ts", "yyyy-M-d"))
+        .when(eid() % 5 == 1, iso("ts"))
+        .when(eid() % 5 == 2, iso("ts", "Z"))
+        .when(eid() % 5 == 3, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.date_format("ts", "dd/MM/yyyy"))
     )
     return events(spark, sf).select("event_id", parse_datetime_any(text, strict=False).alias("moment"))
@@ -271,8 +291,8 @@ EMIT_SQL = f"""emitted AS (SELECT h.* FROM h LEFT JOIN seen USING (fiwareid)
 def change_batch(spark, sf):
     body = F.to_json(F.struct(F.floor(F.col("value") / 10).cast("double").alias("value")), {"ignoreNullFields": "false"})
     return events(spark, sf).select(
-        EID.alias("_seq"),
-        F.concat(F.lit("S"), UID.cast("string")).alias("fiwareid"),
+        eid().alias("_seq"),
+        F.concat(F.lit("S"), uid().cast("string")).alias("fiwareid"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'Z'").alias("ts"),
         F.sha1(body).alias("_fp"),
         F.col("ts").alias("moment"),
@@ -292,10 +312,7 @@ def _changes(spark, sf):
 
 @query("emit_changes", f"WITH {HOURLY}, {STATE_SQL}, {EMIT_SQL} SELECT event_id, fiwareid, ts, fp FROM emitted")
 def _(spark, sf):
-    return _changes(spark, sf).emitted.select(EID_OF_SEQ, "fiwareid", "ts", F.col("_fp").alias("fp"))
-
-
-EID_OF_SEQ = F.col("_seq").alias("event_id")
+    return _changes(spark, sf).emitted.select(seq_as_id(), "fiwareid", "ts", F.col("_fp").alias("fp"))
 
 
 @query(
@@ -347,7 +364,7 @@ def _station_changes(spark, sf):
 
 @query("emit_changes_per_station", f"WITH {HOURLY}, {STATION_STATE_SQL} SELECT event_id, fiwareid, ts FROM emitted")
 def _(spark, sf):
-    return _station_changes(spark, sf).emitted.select(EID_OF_SEQ, "fiwareid", "ts")
+    return _station_changes(spark, sf).emitted.select(seq_as_id(), "fiwareid", "ts")
 
 
 @query(
@@ -367,7 +384,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = change_batch(spark, sf)
-    return anti_seen(rows, noon_state(spark, rows)[1]).select(EID_OF_SEQ, "fiwareid")
+    return anti_seen(rows, noon_state(spark, rows)[1]).select(seq_as_id(), "fiwareid")
 
 
 @query(
@@ -390,8 +407,8 @@ BAD_SQL = """v AS (SELECT event_id, user_id, value, event_id % 8 AS kind FROM ev
 def documents_to_check(spark, sf):
     """JSON texts, valid and broken in several ways, made from every event."""
     num = F.col("value").cast("string")
-    sid = F.concat(F.lit('"S'), UID.cast("string"), F.lit('"'))
-    kind = EID % 8
+    sid = F.concat(F.lit('"S'), uid().cast("string"), F.lit('"'))
+    kind = eid() % 8
 
     def doc(*parts):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -400,10 +417,10 @@ def documents_to_check(spark, sf):
         F.when(kind == 0, doc('{"fiwareid":', sid, ',"ts":"2024-01-01T00:00:00Z","no2":', num, "}"))
         .when(kind == 1, doc('{"fiwareid":', sid, ',"ts":"2024-01-01T00:00:00Z","no2":"', num, '"}'))
         .when(kind == 2, doc('{"fiwareid":', sid, ',"no2":null,"extra":[1,2]}'))
-        .when(kind == 3, doc('{"fiwareid":', UID.cast("string"), ',"ts":"x","lat":true}'))
+        .when(kind == 3, doc('{"fiwareid":', uid().cast("string"), ',"ts":"x","lat":true}'))
         .when(kind == 4, doc("[", num, "]"))
         .when(kind == 5, doc('{"fiwareid":', sid))
-        .when(kind == 6, doc('{"fiwareid":', sid, ',"ts":"y","air_quality_summary":5,"pm10":', UID.cast("string"), "}"))
+        .when(kind == 6, doc('{"fiwareid":', sid, ',"ts":"y","air_quality_summary":5,"pm10":', uid().cast("string"), "}"))
         .otherwise(num)
     )
     return events(spark, sf).select("event_id", text.alias("value"))
@@ -480,7 +497,7 @@ def _(spark, sf):
 @query("json_lines", f"WITH {R} SELECT event_id, no2, pm25 FROM r")
 def _(spark, sf):
     folder = work_dir(spark, "lines")
-    raw_air(spark, sf).withColumn("objectid", EID).drop("event_id").write.json(folder)
+    raw_air(spark, sf).withColumn("objectid", eid()).drop("event_id").write.json(folder)
     rows = S.read_json_or_ndjson(spark, folder, AIR.raw_schema)
     return rows.select(F.col("objectid").alias("event_id"), "no2", "pm25")
 
@@ -489,13 +506,13 @@ def land_history(spark, sf) -> str:
     folder = work_dir(spark, "history")
     named_history(spark, sf).select(
         "estacion",
-        F.when(EID % 9 == 4, F.lit("no date")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("fecha"),
+        F.when(eid() % 9 == 4, F.lit("no date")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("fecha"),
         F.date_format("ts", "HH:mm:ss").alias("hora"),
         when_type("click").alias("no2"),
         when_type("view").alias("o3"),
-        F.when(EID % 5 == 0, F.lit("null")).otherwise(F.col("value").cast("string")).alias("pm2_5"),
-        (EID * 37 % 360).alias("direccion_del_viento"),
-        F.when(EID % 4 != 0, F.col("value").cast("string")).otherwise("n/a").alias("temperatura"),
+        F.when(eid() % 5 == 0, F.lit("null")).otherwise(F.col("value").cast("string")).alias("pm2_5"),
+        (eid() * 37 % 360).alias("direccion_del_viento"),
+        F.when(eid() % 4 != 0, F.col("value").cast("string")).otherwise("n/a").alias("temperatura"),
         when_type("error").alias("precipitacion"),
     ).write.option("header", True).csv(folder)
     return folder
@@ -607,7 +624,7 @@ def _(spark, sf):
     folder = work_dir(spark, "quarantine")
     docs = documents_to_check(spark, sf)
     _, rejected, _ = Q.validate(docs, AIR)
-    Q.quarantine(rejected.select(EID.cast("string").alias("key"), "value"), folder, 0)
+    Q.quarantine(rejected.select(eid().cast("string").alias("key"), "value"), folder, 0)
     waiting, _ = Q.requeue(spark, folder)
     return waiting.select("key")
 
@@ -618,10 +635,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     folder = work_dir(spark, "dead")
-    kind = EID % 8
+    kind = eid() % 8
     line = F.to_json(
         F.struct(
-            F.concat(F.lit("S"), UID.cast("string")).alias("key"),
+            F.concat(F.lit("S"), uid().cast("string")).alias("key"),
             F.col("value").cast("string").alias("value"),
             F.unix_seconds("ts").cast("double").alias("ts"),
         )
