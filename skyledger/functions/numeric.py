@@ -22,8 +22,7 @@ def _col(value: Column | str) -> Column:
 
 def parse_float_or_null(text: Column | str) -> Column:
     """A decimal, exponent, nan or infinity literal, blanks and digit underscores allowed; otherwise NULL."""
-    col = _col(text)
-    return F.when(col.rlike(FLOAT_GUARD), F.replace(col, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.replace(F.regexp_extract(_col(text), FLOAT_GUARD, 0), F.lit("_"), F.lit("")).try_cast("double")
 
 
 def circular_mean_deg(degrees: Column | str, normalise: bool = False) -> Column:

@@ -15,8 +15,8 @@ BOUND_FORMATS = ["yyyy-M-d", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s'Z'", "yyyy-M-
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
-ISO_GUARD = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-ZONE_SUFFIX = r"([T ]\d{2}:\d{2}[0-9:.,]*)(Z|[+-]\d{2}:?\d{2})$"
+# One ISO-8601 instant: group 1 is the part before the zone.
+ISO_INSTANT = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?)?)(?:(?<=:\d{2}|[.,]\d{1,9})(?:Z|[+-]\d{2}:?\d{2}))?$"
 
 
 def interval_seconds(width: int | str | timedelta) -> int:
@@ -73,15 +73,17 @@ def chunk_start(ts: Column | str) -> Column:
     return time_bucket("7 days", ts).cast("date")
 
 
-def normalise_instant(text: Column | str) -> Column:
-    """ISO-8601 text to a timestamp cut to whole seconds; anything else gives NULL."""
-    col = F.col(text) if isinstance(text, str) else text
-    return F.date_trunc("second", F.when(col.rlike(ISO_GUARD), F.try_to_timestamp(F.replace(col, F.lit(","), F.lit(".")))))
+def parse_instant(text: Column | str, group: int = 0) -> Column:
+    """The timestamp a text spells in ISO-8601, else NULL; group 1 leaves the zone out.
+
+    The input appears once in the expression, so a computed text is not computed again for its check.
+    """
+    return F.try_to_timestamp(F.replace(F.regexp_extract(text, ISO_INSTANT, group), F.lit(","), F.lit(".")))
 
 
 def normalise_ts(text: Column | str) -> Column:
-    """ISO-8601 text to ``YYYY-MM-DDTHH:MM:SSZ``."""
-    return format_ts(normalise_instant(text))
+    """ISO-8601 text to ``YYYY-MM-DDTHH:MM:SSZ``; anything else gives NULL."""
+    return format_ts(parse_instant(text))
 
 
 def format_ts(ts: Column | str) -> Column:
@@ -92,9 +94,8 @@ def combine_date_time(day: Column | str, time: Column | str) -> Column:
     """History date and optional time; a zone in the text is replaced by UTC, not converted."""
     day = F.col(day) if isinstance(day, str) else day
     time = F.col(time) if isinstance(time, str) else time
-    text = F.when(time.isNull() | (time == ""), day).otherwise(F.concat(day, F.lit("T"), time))
-    local = F.replace(F.regexp_replace(text, ZONE_SUFFIX, "$1"), F.lit(","), F.lit("."))
-    return F.when(text.rlike(ISO_GUARD), F.try_to_timestamp(local))
+    tail = F.when(time != "", F.concat(F.lit("T"), time)).otherwise(F.lit(""))
+    return parse_instant(F.concat(day, tail), group=1)
 
 
 def parse_datetime_any(text: Column | str, strict: bool = True) -> Column:

@@ -29,9 +29,9 @@ def dedup_batch(df: DataFrame, key: Sequence[str], seq: str | Sequence[str]) ->
     return last_row(df, list(key), order).select(*df.columns)
 
 
-def emit_changes(
-    batch: DataFrame, offset: DataFrame, seen: DataFrame, spec: DatasetSpec, scope: str = "dataset", seq: str = "_seq"
-) -> Changes:
+def changed_rows(
+    batch: DataFrame, offset: DataFrame, seen: DataFrame, spec: DatasetSpec, scope: str = "dataset"
+) -> DataFrame:
     """Rows of a poll that are new or changed.
 
     ``dataset`` scope keeps one watermark for all stations: rows after it are emitted, copies included; rows
@@ -41,47 +41,59 @@ def emit_changes(
     ``station`` scope applies the same rules with a watermark per station; ``seen`` then holds
     ``(key, offset, _fp)`` and ``offset`` is not read.
     """
-    rows = drop_incomplete(batch, [spec.ts, spec.key, "_fp"])
-    if scope == "station":
-        return _emit_by_station(rows, offset, seen, spec, seq)
-    if scope != "dataset":
+    rows = drop_incomplete(batch, [spec.ts, spec.key]).filter(F.col("_fp").isNotNull())
+    ts = F.col(spec.ts)
+    if scope == "dataset":
+        mark = offset.select("offset").scalar()
+        # Only rows on the watermark need the lookup; newer rows, the bulk, pass without a join.
+        on_mark = anti_seen(rows.filter(ts == mark), seen, spec.key).select(*rows.columns)
+        return rows.filter(ts > mark).unionByName(on_mark)
+    if scope != "station":
         raise ValueError(f"unknown scope {scope!r}")
-    mark = offset.select("offset").scalar()
-    # Only rows on the watermark need the lookup; newer rows, the bulk, pass without a join.
-    on_mark = anti_seen(rows.filter(F.col(spec.ts) == mark), seen, spec.key).select(*rows.columns)
-    emitted = rows.filter(F.col(spec.ts) > mark).unionByName(on_mark)
-    next_offset = (
-        emitted.agg(F.max(spec.ts).alias("offset")).union(offset.select("offset")).agg(F.max("offset").alias("offset"))
-    )
-    remembered = seen.select(spec.key, mark.alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
-    fresh = emitted.select(spec.key, spec.ts, F.col(seq).cast("long").alias(seq), "_fp")
-    next_seen = (
-        remembered.unionByName(fresh)
-        .filter(F.col(spec.ts) == next_offset.scalar())
-        .groupBy(spec.key)
-        .agg(F.max_by("_fp", seq).alias("_fp"))
-    )
-    return Changes(emitted, next_offset, next_seen)
-
-
-def _emit_by_station(rows: DataFrame, offset: DataFrame, seen: DataFrame, spec: DatasetSpec, seq: str) -> Changes:
     state = seen.select(spec.key, F.col("offset").alias("_offset"), F.col("_fp").alias("_seen_fp"))
-    ts = F.col(spec.ts)
     changed = (ts == F.col("_offset")) & ~F.col("_fp").eqNullSafe(F.col("_seen_fp"))
-    emitted = (
+    return (
         rows.join(state, spec.key, "left")
         .filter(F.col("_offset").isNull() | (ts > F.col("_offset")) | changed)
         .select(*rows.columns)
     )
-    remembered = seen.select(spec.key, F.col("offset").alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
+
+
+def next_state(
+    emitted: DataFrame, offset: DataFrame, seen: DataFrame, spec: DatasetSpec, scope: str = "dataset", seq: str = "_seq"
+) -> tuple[DataFrame, DataFrame]:
+    """Offset and fingerprints after a poll, from what it emitted and the state before it.
+
+    The remembered rows join the emitted ones with the lowest sequence, so one aggregate covers both an
+    advanced watermark, which forgets them, and a standing one, which overlays them.
+    """
     fresh = emitted.select(spec.key, spec.ts, F.col(seq).cast("long").alias(seq), "_fp")
-    next_seen = (
-        remembered.unionByName(fresh)
+    if scope == "station":
+        known = seen.select(spec.key, F.col("offset").alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
+        after = (
+            known.unionByName(fresh)
+            .groupBy(spec.key)
+            .agg(F.max(spec.ts).alias("offset"), F.max_by("_fp", F.struct(spec.ts, seq)).alias("_fp"))
+        )
+        return after.agg(F.max("offset").alias("offset")), after
+    before = offset.select("offset")
+    top = fresh.agg(F.max(spec.ts).alias("offset")).union(before).agg(F.max("offset").alias("offset"))
+    known = seen.select(spec.key, before.scalar().alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
+    after = (
+        known.unionByName(fresh)
+        .filter(F.col(spec.ts) == top.scalar())
         .groupBy(spec.key)
-        .agg(F.max(spec.ts).alias("offset"), F.max_by("_fp", F.struct(spec.ts, seq)).alias("_fp"))
+        .agg(F.max_by("_fp", seq).alias("_fp"))
     )
-    next_offset = next_seen.agg(F.max("offset").alias("offset"))
-    return Changes(emitted, next_offset, next_seen)
+    return top, after
+
+
+def emit_changes(
+    batch: DataFrame, offset: DataFrame, seen: DataFrame, spec: DatasetSpec, scope: str = "dataset", seq: str = "_seq"
+) -> Changes:
+    """``changed_rows`` and ``next_state`` as one lazy plan; a job stores the emitted rows in between."""
+    emitted = changed_rows(batch, offset, seen, spec, scope)
+    return Changes(emitted, *next_state(emitted, offset, seen, spec, scope, seq))
 
 
 def upsert_dimension(dim: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[str]) -> DataFrame:

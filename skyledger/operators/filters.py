@@ -80,8 +80,6 @@ def id_range(df: DataFrame, col: str, lo: int, hi: int, members: Iterable[int] |
 def drop_incomplete(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Keep rows whose columns are all present and, for text, not empty."""
     for name in cols:
-        keep = F.col(name).isNotNull()
-        if isinstance(df.schema[name].dataType, T.StringType):
-            keep = keep & (F.col(name) != "")
-        df = df.filter(keep)
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        df = df.filter(F.col(name) != "" if is_text else F.col(name).isNotNull())
     return df

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.time import ISO_GUARD, before, instant, interval_seconds
+from skyledger.functions.time import ISO_INSTANT, before, instant, interval_seconds
 from skyledger.sources.files import list_names
 from skyledger.spec import DatasetSpec
+from skyledger.session import literal_table
 
 NUMBER_TYPES = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 
@@ -27,39 +28,48 @@ def with_validation_errors(
     rules |= {c: ["number", "null"] for c in metrics}
     rules |= {c: ["string", "null"] for c in spec.texts}
     rules |= {c: ["number", "null"] for c in spec.places}
-    parsed = df.withColumn("_doc", F.try_parse_json(value))
-    fields = [F.try_variant_get("_doc", f"$.{c}", "variant").alias(c) for c in rules]
-    parsed = parsed.withColumn("_field", F.struct(*fields))
-    kinds = [F.schema_of_variant("_doc").alias("(root)")]
-    kinds += [F.schema_of_variant(F.col("_field")[c]).alias(c) for c in rules]
-    parsed = parsed.withColumn("_kind", F.struct(*kinds))
-
-    def mismatch(name: str, allowed: Sequence[str], doc: Column) -> Column:
-        kind = F.col("_kind")[name]
+
+    def judge(doc: Column) -> Column:
+        fields = F.struct(*[F.try_variant_get(doc, f"$.{c}", "variant").alias(c) for c in rules])
+        return bound(fields, lambda field: bound(kinds(doc, field), lambda kind: verdict(doc, field, kind)))
+
+    def kinds(doc: Column, field: Column) -> Column:
+        named = [F.schema_of_variant(field[c]).alias(c) for c in rules]
+        return F.struct(F.schema_of_variant(doc).alias("(root)"), *named)
+
+    def mismatch(name: str, value: Column, kind: Column) -> Column:
         tests = {"string": kind == "STRING", "number": kind.rlike(NUMBER_TYPES), "null": kind == "VOID"}
         ok = F.lit(False)
-        for want in allowed:
+        for want in rules[name]:
             ok = ok | tests[want]
-        names = ", ".join(f"'{a}'" for a in allowed)
+        names = ", ".join(f"'{a}'" for a in rules[name])
         return F.when(
-            kind.isNotNull() & ~ok, F.concat(F.lit(f"{name}: "), _shown(doc, kind), F.lit(f" is not of type {names}"))
+            kind.isNotNull() & ~ok, F.concat(F.lit(f"{name}: "), _shown(value, kind), F.lit(f" is not of type {names}"))
         )
 
-    found = [mismatch(c, allowed, F.col("_field")[c]) for c, allowed in rules.items()]
-    if strict:
-        kind, at = F.col("_kind")[spec.ts], F.col("_field")[spec.ts]
-        odd = (kind == "STRING") & ~F.try_variant_get(at, "$", "string").rlike(ISO_GUARD)
-        found.insert(2, F.when(odd, F.concat(F.lit(f"{spec.ts}: "), _shown(at, kind), F.lit(" is not a 'date-time'"))))
-    for c in (spec.key, spec.ts):
-        found.append(F.when(F.col("_kind")[c].isNull(), F.lit(f"(root): '{c}' is a required property")))
-    root = F.col("_kind")["(root)"]
-    not_object = F.concat(F.lit("(root): "), _shown(F.col("_doc"), root), F.lit(" is not of type 'object'"))
-    errors = (
-        F.when(root.isNull(), F.array(F.lit("(root): invalid JSON")))
-        .when(~root.startswith("OBJECT"), F.array(not_object))
-        .otherwise(F.array_compact(F.array(*found)))
-    )
-    return parsed.withColumn(name, errors).drop("_doc", "_field", "_kind")
+    def verdict(doc: Column, field: Column, kind: Column) -> Column:
+        found = [mismatch(c, field[c], kind[c]) for c in rules]
+        if strict:
+            at = field[spec.ts]
+            odd = (kind[spec.ts] == "STRING") & ~F.try_variant_get(at, "$", "string").rlike(ISO_INSTANT)
+            message = F.concat(F.lit(f"{spec.ts}: "), _shown(at, kind[spec.ts]), F.lit(" is not a 'date-time'"))
+            found.insert(2, F.when(odd, message))
+        for c in (spec.key, spec.ts):
+            found.append(F.when(kind[c].isNull(), F.lit(f"(root): '{c}' is a required property")))
+        root = kind["(root)"]
+        not_object = F.concat(F.lit("(root): "), _shown(doc, root), F.lit(" is not of type 'object'"))
+        return (
+            F.when(root.isNull(), F.array(F.lit("(root): invalid JSON")))
+            .when(~root.startswith("OBJECT"), F.array(not_object))
+            .otherwise(F.array_compact(F.array(*found)))
+        )
+
+    return df.withColumn(name, bound(F.try_parse_json(value), judge))
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also when a filter on the result moves below it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _shown(doc: Column, kind: Column) -> Column:
@@ -115,7 +125,7 @@ def requeue(spark: SparkSession, path: str) -> tuple[DataFrame, list[int]]:
     )
     schema = "key string, value string, ts timestamp"
     if not waiting:
-        return spark.createDataFrame([], schema), []
+        return literal_table(spark, [], schema), []
     folders = [f"{path}/failed/batch_id={b}" for b in waiting]
     return spark.read.schema(schema).parquet(*folders), waiting
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.geo import generated_geo
 from skyledger.functions.numeric import format_value, sea_level_pressure
 from skyledger.operators.order import sort_nulls_last
+from skyledger.session import literal_table
 
 # Report label, unit and decimals per raw field.
 WEATHER_CATALOGUE = [
@@ -25,7 +26,7 @@ SHORT_NAMES = [("ESTACIÓN", "EST."), ("JARDINES DE ", "JD ")]
 
 
 def catalogue(spark: SparkSession, rows: Sequence[tuple[str, str, str, int]]) -> DataFrame:
-    return spark.createDataFrame(list(rows), "metric string, label string, unit string, decimals int")
+    return literal_table(spark, rows, "metric string, label string, unit string, decimals int")
 
 
 def station_report(df: DataFrame, metrics: Sequence[str], cat: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -123,13 +123,14 @@ def station_advances(
     polls = preceding_max(polls, [], poll, F.col("max_tick"), number_block(poll, block), "_top").select(
         poll, "max_tick", (F.col("_top").isNull() | (F.col("max_tick") > F.col("_top"))).alias("_resets")
     )
-    rows = rows.join(polls, poll)
+    # Both checkpoints are read several times below; without them each use would repeat all work before it.
+    rows = rows.join(polls, poll).checkpoint()
     # A station's memory restarts at each dataset advance it appears in: that poll opens a segment.
     rows = preceding_max(
         rows, [key], poll, F.when(F.col("_resets"), F.col(poll)), number_block(poll, block), "_since"
     )
     rows = rows.withColumn("_since", F.coalesce("_since", F.lit(-1).cast("long")))
-    rows = rows.withColumn("_segment", F.when(F.col("_resets"), F.col(poll)).otherwise(F.col("_since")))
+    rows = rows.withColumn("_segment", F.when(F.col("_resets"), F.col(poll)).otherwise(F.col("_since"))).checkpoint()
     whole = rows.groupBy(key, F.col("_segment").alias("_since")).agg(F.max(ts).alias("_whole"))
     rows = preceding_max(rows, [key, "_segment"], poll, F.col(ts), number_block(poll, block), "_within")
     seen = rows.join(whole, [key, "_since"], "left").withColumn(

@@ -16,7 +16,7 @@ from skyledger.operators.joins import anti_seen
 from skyledger.plans.ingest import backfill, poll, replay
 from skyledger.registry.core import NOW_SQL, R, as_of, events, query, readings, rounded, when_type
 from skyledger.registry.lookups import NAME_SQL, named_history, names_sql
-from skyledger.session import work_dir
+from skyledger.session import literal_table, work_dir
 from skyledger.sources import records as S
 from skyledger.sources.exports import export_dataset, topk_payload
 from skyledger.operators.geo import k_nearest
@@ -300,7 +300,7 @@ def change_batch(spark, sf):
 
 
 def noon_state(spark, rows):
-    offset = spark.createDataFrame([(MARK,)], "offset string")
+    offset = literal_table(spark, [(MARK,)], "offset string")
     at_noon = rows.filter((F.col("ts") == MARK) & (F.col("moment") < F.lit("2024-01-15 12:30:00").cast("timestamp")))
     return offset, at_noon.groupBy("fiwareid").agg(F.max_by("_fp", "_seq").alias("_fp"))
 
@@ -565,9 +565,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     raw = raw_air(spark, sf).withColumnRenamed("event_id", "_seq")
-    offset = spark.createDataFrame([(MARK,)], "offset string")
+    offset = literal_table(spark, [(MARK,)], "offset string")
     # No station was seen exactly at the mark, and no reading falls on it.
-    seen = spark.createDataFrame([], "fiwareid string, _fp string")
+    seen = literal_table(spark, [], "fiwareid string, _fp string")
     keyed, _ = poll(raw, None, offset, seen, AIR)
     body = F.from_json("value", AIR.event_schema)
     return keyed.select("key", body["no2"].alias("no2"), body["pm25"].alias("pm25"))

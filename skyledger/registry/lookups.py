@@ -14,6 +14,7 @@ from skyledger.operators import reports as P
 from skyledger.operators import windows as W
 from skyledger.operators.changes import upsert_dimension
 from skyledger.plans.ingest import unmatched_names
+from skyledger.session import literal_table
 from skyledger.registry.core import (
     NOW_SQL,
     R,
@@ -480,7 +481,7 @@ def _(spark, sf):
     rows = events(spark, sf).select(
         "event_id", ids.alias("fiwareid"), (F.lit(950.0) + F.col("value") / 10).alias("pressure_hpa")
     )
-    heights = spark.createDataFrame(ELEVATIONS, "fiwareid string, elevation_m double")
+    heights = literal_table(spark, ELEVATIONS, "fiwareid string, elevation_m double")
     return rounded(P.with_sea_level_pressure(rows, heights).select("event_id", "fiwareid", "pressure_slp_hpa"))
 
 

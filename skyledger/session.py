@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name for one run's tables and streaming checkpoints."""
     return f"{shared_dir(spark)}/skyledger/{label}-{uuid.uuid4().hex}"
+
+
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of rows that are part of the plan, so that Spark knows their size and can pick a broadcast."""
+    fields = [f.split() for f in schema.split(",")]
+    columns = {name: [row[i] for row in rows] for i, (name, _) in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns)).select(*[F.col(n).cast(kind).alias(n) for n, kind in fields])

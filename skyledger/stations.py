@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from skyledger.session import literal_table
 
 STATION_SCHEMA = (
     "fiwareid string, station_type string, display_name string, historical_name string, "
@@ -51,7 +52,7 @@ ELEVATIONS = [("W03_VALENCIAAEROPUERTO_10m", 73.0), ("W02_NAZARET_10m", 3.0), ("
 
 
 def station_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATIONS, STATION_SCHEMA)
+    return literal_table(spark, STATIONS, STATION_SCHEMA)
 
 
 def historical_names(spark: SparkSession, station_type: str) -> DataFrame:
@@ -62,8 +63,8 @@ def historical_names(spark: SparkSession, station_type: str) -> DataFrame:
         for s in STATIONS
         if s[1] == station_type and s[3] is not None
     ]
-    return spark.createDataFrame(rows, "historical_name string, fiwareid string, lat double, lon double")
+    return literal_table(spark, rows, "historical_name string, fiwareid string, lat double, lon double")
 
 
 def retired_ids(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RETIRED_IDS, "old_id string, new_id string")
+    return literal_table(spark, RETIRED_IDS, "old_id string, new_id string")

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions.numeric import circular_mean_deg
-from skyledger.operators.changes import Changes, emit_changes
+from skyledger.operators.changes import changed_rows, next_state
 from skyledger.operators.normalise import from_keyed_events, to_keyed_events
 from skyledger.operators.quality import freshness
 from skyledger.operators.windows import last_row, station_advances
 from skyledger.sources.files import exists, list_names
 from skyledger.sources.table import ReadingsTable
 from skyledger.spec import DatasetSpec
+from skyledger.session import literal_table
 
 NOW = {"availableNow": True}
 
@@ -87,7 +88,8 @@ def stream_emit_changes(
 ) -> StreamingQuery:
     """Change capture over a stream of canonical rows with fingerprints; emits keyed events per batch.
 
-    Events are written before the state, so a failure between the two repeats the batch with the old state.
+    Emitted rows are stored once; events and the next state are made from the stored rows, the state last,
+    so a failure anywhere repeats the batch with the old state.
     """
     spark = canonical.sparkSession
     offsets = VersionedState(spark, f"{state_path}/offset", "offset string")
@@ -96,20 +98,17 @@ def stream_emit_changes(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        first = session.createDataFrame([(start_offset,)], "offset string")
-        offset = offsets.before(batch_id)
-        seen = seens.before(batch_id)
-        changes: Changes = emit_changes(
-            batch,
-            first if offset is None else offset,
-            session.createDataFrame([], seen_schema) if seen is None else seen,
-            spec,
-            scope,
-            seq,
-        )
-        to_keyed_events(changes.emitted, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        seens.write(changes.seen, batch_id)
-        offsets.write(changes.offset, batch_id)
+        offset, seen = offsets.before(batch_id), seens.before(batch_id)
+        if offset is None or seen is None:
+            offset = literal_table(session, [(start_offset,)], "offset string")
+            seen = literal_table(session, [], seen_schema)
+        kept = f"{state_path}/emitted/batch_id={batch_id}"
+        changed_rows(batch, offset, seen, spec, scope).write.mode("overwrite").parquet(kept)
+        emitted = session.read.schema(batch.schema).parquet(kept)
+        to_keyed_events(emitted, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        next_offset, next_seen = next_state(emitted, offset, seen, spec, scope, seq)
+        seens.write(next_seen, batch_id)
+        offsets.write(next_offset, batch_id)
 
     return start(canonical, handle, checkpoint, trigger)
 
