@@ -28,8 +28,8 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     p1, p2 = F.radians(_num(lat1)), F.radians(_num(lat2))
     half_dp, half_dl = (p2 - p1) / 2, F.radians(_num(lon2) - _num(lon1)) / 2
     a = F.sin(half_dp) * F.sin(half_dp) + F.cos(p1) * F.cos(p2) * F.sin(half_dl) * F.sin(half_dl)
-    a = F.least(a, F.lit(1.0))
-    return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(a), F.sqrt(1 - a))
+    # Rounding can lift the term past one for opposite points; NULL in, NULL out.
+    return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(a), F.sqrt(F.abs(1 - a)))
 
 
 def ellipsoid_m(lat1, lon1, lat2, lon2) -> Column:
@@ -38,8 +38,7 @@ def ellipsoid_m(lat1, lon1, lat2, lon2) -> Column:
     b2 = F.atan(F.lit(1 - WGS84_F) * F.tan(F.radians(_num(lat2))))
     half_db, half_dl = (b2 - b1) / 2, F.radians(_num(lon2) - _num(lon1)) / 2
     h = F.sin(half_db) * F.sin(half_db) + F.cos(b1) * F.cos(b2) * F.sin(half_dl) * F.sin(half_dl)
-    h = F.least(h, F.lit(1.0))
-    angle = 2 * F.atan2(F.sqrt(h), F.sqrt(1 - h))
+    angle = 2 * F.atan2(F.sqrt(h), F.sqrt(F.abs(1 - h)))
     mid = (b1 + b2) / 2
     x = F.try_divide(
         (angle - F.sin(angle)) * F.pow(F.sin(mid) * F.cos(half_db), F.lit(2.0)), F.pow(F.cos(angle / 2), F.lit(2.0))

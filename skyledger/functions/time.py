@@ -15,8 +15,9 @@ BOUND_FORMATS = ["yyyy-M-d", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s'Z'", "yyyy-M-
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
-# One ISO-8601 instant: group 1 is the part before the zone.
-ISO_INSTANT = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?)?)(?:(?<=:\d{2}|[.,]\d{1,9})(?:Z|[+-]\d{2}:?\d{2}))?$"
+# One ISO-8601 instant, a zone only after a time of day; group 1 is the part before the zone.
+ISO_INSTANT = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?|$))(?:Z|[+-]\d{2}:?\d{2})?$"
+NO_SECONDS = r"([T ]\d{2}:\d{2})(?=Z|[+-]|$)"
 
 
 def interval_seconds(width: int | str | timedelta) -> int:
@@ -78,7 +79,8 @@ def parse_instant(text: Column | str, group: int = 0) -> Column:
 
     The input appears once in the expression, so a computed text is not computed again for its check.
     """
-    return F.try_to_timestamp(F.replace(F.regexp_extract(text, ISO_INSTANT, group), F.lit(","), F.lit(".")))
+    found = F.replace(F.regexp_extract(text, ISO_INSTANT, group), F.lit(","), F.lit("."))
+    return F.try_to_timestamp(F.regexp_replace(found, NO_SECONDS, "$1:00"))
 
 
 def normalise_ts(text: Column | str) -> Column:

@@ -50,9 +50,16 @@ def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Seq
 def latest_per_station(
     df: DataFrame, key: str = "fiwareid", ts: str = "ts", cols: Sequence[str] | None = None
 ) -> DataFrame:
-    """The newest whole row of each station."""
+    """The newest whole row of each station.
+
+    Text columns would turn the aggregate into a sort of the whole input. With any of them, a hash aggregate
+    over two narrow columns finds the newest instants first, and only the rows on them go on.
+    """
     wanted = [c for c in (cols or df.columns) if c not in (key, ts)]
-    return last_row(df, [key], [ts], [ts, *wanted]).select(key, ts, *wanted)
+    rows = df.select(key, ts, *wanted)
+    if not all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in wanted):
+        rows = rows.join(rows.groupBy(key).agg(F.max(ts).alias(ts)), [key, ts])
+    return last_row(rows, [key], [ts]).select(key, ts, *wanted)
 
 
 def last_not_null(df: DataFrame, metric: str, ts: str = "ts", keys: Sequence[str] = ()) -> DataFrame:

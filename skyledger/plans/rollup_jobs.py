@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.time import BUCKET_ORIGIN, interval_seconds
+from skyledger.functions.time import BUCKET_ORIGIN, interval_seconds, time_bucket
 from skyledger.operators.filters import scan_range
 from skyledger.operators.rollups import BUCKET_NAMES, rollup
 from skyledger.sources.files import list_names, remove
@@ -48,20 +48,23 @@ def refresh_rollup(
     low, high = refresh_window(width, start_offset, end_offset, as_of or datetime.now(timezone.utc))
     if low >= high:
         return low, high
-    fresh = rollup(scan_range(readings, spec.ts, low, high), spec, width)
-    stored = fresh.withColumn("part", F.date_format(bucket, "yyyyMMddHHmmss")).hint("rebalance", "part")
-    stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
-    # A bucket whose readings are all gone yields no rows to replace it with, so its folder goes too.
-    # Bucket names are few: at most the number of buckets in the window.
+    window = scan_range(readings, spec.ts, low, high)
+    fresh = rollup(window, spec, width)
     inside = [
         name
         for name in list_names(spark, path)
         if name.startswith("part=") and f"{low:%Y%m%d%H%M%S}" <= name[5:] < f"{high:%Y%m%d%H%M%S}"
     ]
-    alive = {f"part={r.part}" for r in fresh.select(F.date_format(bucket, "yyyyMMddHHmmss").alias("part")).distinct().collect()}
-    for name in inside:
-        if name not in alive:
-            remove(spark, f"{path}/{name}")
+    stored = fresh.withColumn("part", F.date_format(bucket, "yyyyMMddHHmmss")).hint("rebalance", "part")
+    stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    # A bucket whose readings are all gone yields no rows to replace it with, so its folder goes too. Bucket
+    # names are few, at most the number of buckets in the window, and come from the instants alone.
+    if inside:
+        names = F.date_format(time_bucket(width, spec.ts), "yyyyMMddHHmmss").alias("part")
+        alive = {f"part={r.part}" for r in window.select(names).distinct().collect()}
+        for name in inside:
+            if name not in alive:
+                remove(spark, f"{path}/{name}")
     return low, high
 
 
@@ -79,8 +82,9 @@ def read_rollup(
     if not realtime:
         return stored
     step = F.expr(f"INTERVAL {interval_seconds(width)} SECONDS")
-    mark = stored.agg((F.max(bucket) + step).alias("mark")).scalar()
-    return stored.unionByName(rollup(readings.filter(mark.isNull() | (F.col(spec.ts) >= mark)), spec, width))
+    beginning = F.lit("0001-01-01T00:00:00").cast("timestamp")
+    mark = stored.agg(F.coalesce(F.max(bucket) + step, beginning).alias("mark")).scalar()
+    return stored.unionByName(rollup(readings.filter(F.col(spec.ts) >= mark), spec, width))
 
 
 def table_checks(spark: SparkSession, expected: dict[str, list[str]]) -> DataFrame:

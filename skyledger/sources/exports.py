@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def export_dataset(df: DataFrame, path: str, dataset_id: str, api_total: int | None = None) -> None:
     """Dump all rows as JSON lines under ``<path>/full`` with one row of metadata under ``<path>/metadata``."""
-    full = f"{path}/{dataset_id}/full"
-    df.write.mode("overwrite").json(full)
-    counted = df.sparkSession.read.text(full).agg(F.count(F.lit(1)).alias("total_records"))
-    counted.select(
+    spark = df.sparkSession
+    counted = Observation("export")
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("overwrite").json(f"{path}/{dataset_id}/full")
+    spark.range(1).select(
         F.lit(dataset_id).alias("dataset_id"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("download_timestamp"),
-        "total_records",
+        F.lit(counted.get["rows"]).cast("long").alias("total_records"),
         F.lit(api_total).cast("long").alias("api_total_count"),
     ).coalesce(1).write.mode("overwrite").json(f"{path}/{dataset_id}/metadata")
 
