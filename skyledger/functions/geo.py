@@ -46,8 +46,8 @@ def ellipsoid_m(lat1, lon1, lat2, lon2) -> Column:
     y = F.try_divide(
         (angle + F.sin(angle)) * F.pow(F.cos(mid) * F.sin(half_db), F.lit(2.0)), F.pow(F.sin(angle / 2), F.lit(2.0))
     )
-    metres = F.lit(WGS84_A) * (angle - F.lit(WGS84_F / 2) * (F.coalesce(x, F.lit(0.0)) + F.coalesce(y, F.lit(0.0))))
-    return F.when(angle == 0, F.when(angle.isNotNull(), F.lit(0.0))).otherwise(metres)
+    # The second quotient is 0/0 for equal points, where it has no part in the result.
+    return F.lit(WGS84_A) * (angle - F.lit(WGS84_F / 2) * (F.coalesce(x, F.lit(0.0)) + F.coalesce(y, F.lit(0.0))))
 
 
 def valid_lat_lon(lat: Column | str, lon: Column | str) -> Column:

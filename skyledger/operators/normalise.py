@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from skyledger.functions.fingerprint import value_fingerprint
 from skyledger.functions.geo import extract_lat_lon
-from skyledger.functions.time import normalise_ts
+from skyledger.functions.once import spread
+from skyledger.functions.time import format_ts, normalise_ts
 from skyledger.spec import DatasetSpec
 
 # Timestamp column names tried in order.
@@ -96,9 +97,10 @@ def choose_ts_column(df: DataFrame, configured: str, auto: bool = True, typed: b
 
 def to_keyed_events(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """``key`` and JSON ``value`` per event; rows without an instant and internal columns are left out."""
-    ready = df.filter(F.col(spec.ts).isNotNull() & (F.col(spec.ts) != "")) if _is_text(df, spec.ts) else (
-        df.filter(F.col(spec.ts).isNotNull()).withColumn(spec.ts, F.date_format(spec.ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    )
+    if isinstance(df.schema[spec.ts].dataType, T.StringType):
+        ready = df.filter(F.col(spec.ts) != "")
+    else:
+        ready = df.filter(F.col(spec.ts).isNotNull()).withColumn(spec.ts, format_ts(spec.ts))
     body = [c for c in spec.columns if c in df.columns]
     return ready.select(
         F.concat_ws("|", spec.key, spec.ts).alias("key"),
@@ -108,16 +110,10 @@ def to_keyed_events(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 def from_keyed_events(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Typed readings from JSON event values."""
-    parsed = df.withColumn("_e", F.from_json(F.col("value").cast("string"), spec.event_schema))
     keep = [c for c in df.columns if c not in ("key", "value")]
-    return parsed.select(
-        *[
-            F.try_to_timestamp(F.col(f"_e.{c}")).alias(c) if c == spec.ts else F.col(f"_e.{c}").alias(c)
-            for c in spec.columns
-        ],
-        *keep,
+    body = F.from_json(F.col("value").cast("string"), spec.event_schema)
+    typed = spread(df.select(*keep, "value"), body)
+    return typed.select(
+        *[F.try_to_timestamp(c).alias(c) if c == spec.ts else F.col(c) for c in spec.columns], *keep
     )
 
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions.once import bound
 from skyledger.functions.time import ISO_INSTANT, before, instant, interval_seconds
 from skyledger.sources.files import list_names
 from skyledger.spec import DatasetSpec
@@ -67,11 +68,6 @@ def with_validation_errors(
     return df.withColumn(name, bound(F.try_parse_json(value), judge))
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once, also when a filter on the result moves below it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _shown(doc: Column, kind: Column) -> Column:
     """A value as it reads in messages: quoted text, True, False, None, or the JSON itself."""
     body = F.try_variant_get(doc, "$", "string")

@@ -130,20 +130,18 @@ def station_advances(
     polls = preceding_max(polls, [], poll, F.col("max_tick"), number_block(poll, block), "_top").select(
         poll, "max_tick", (F.col("_top").isNull() | (F.col("max_tick") > F.col("_top"))).alias("_resets")
     )
-    # Both checkpoints are read several times below; without them each use would repeat all work before it.
-    rows = rows.join(polls, poll).checkpoint()
     # A station's memory restarts at each dataset advance it appears in: that poll opens a segment.
     rows = preceding_max(
-        rows, [key], poll, F.when(F.col("_resets"), F.col(poll)), number_block(poll, block), "_since"
+        rows.join(polls, poll), [key], poll, F.when(F.col("_resets"), F.col(poll)), number_block(poll, block), "_since"
     )
-    rows = rows.withColumn("_since", F.coalesce("_since", F.lit(-1).cast("long")))
-    rows = rows.withColumn("_segment", F.when(F.col("_resets"), F.col(poll)).otherwise(F.col("_since"))).checkpoint()
-    whole = rows.groupBy(key, F.col("_segment").alias("_since")).agg(F.max(ts).alias("_whole"))
-    rows = preceding_max(rows, [key, "_segment"], poll, F.col(ts), number_block(poll, block), "_within")
-    seen = rows.join(whole, [key, "_since"], "left").withColumn(
-        "last_seen", F.when(F.col("_resets"), F.col("_whole")).otherwise(F.col("_within"))
+    segment = F.when(F.col("_resets"), F.col(poll)).otherwise(F.coalesce("_since", F.lit(-1).cast("long")))
+    # Read three times below; without the checkpoint each use would repeat all work before it.
+    rows = rows.withColumn("_segment", segment).drop("_since").checkpoint()
+    # What a station was last seen at is the greatest tick of its latest segment before this poll.
+    judged = preceding_max(rows, [key], poll, F.struct("_segment", ts), number_block(poll, block), "_memory")
+    judged = judged.withColumn("last_seen", F.col("_memory")[ts]).withColumn(
+        "advanced", F.col("last_seen").isNull() | (F.col(ts) > F.col("last_seen"))
     )
-    judged = seen.withColumn("advanced", F.col("last_seen").isNull() | (F.col(ts) > F.col("last_seen")))
     moved = judged.groupBy(poll).agg(F.bool_or("advanced").alias("_moved"))
     kind = (
         F.when(F.col("_resets"), "DATASET ADVANCE").when(F.col("_moved"), "PARTIAL ADVANCE").otherwise("NONE")

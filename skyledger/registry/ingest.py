@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.geo import extract_lat_lon
 from skyledger.functions.numeric import parse_float_or_null
+from skyledger.functions.once import spread
 from skyledger.functions.time import combine_date_time, normalise_ts, parse_datetime_any
 from skyledger.operators import filters as L
 from skyledger.operators import normalise as N
@@ -262,9 +263,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     keyed = N.to_keyed_events(normalised_air(spark, sf), AIR)
-    body = F.from_json("value", AIR.event_schema)
-    return keyed.select("key", body.alias("b"), F.size(F.json_object_keys("value")).alias("fields")).select(
-        "key", *[f"b.{c}" for c in ("ts", "no2", "pm25", "air_quality_summary", "lat", "lon")], "fields"
+    body = spread(keyed, F.from_json("value", AIR.event_schema))
+    return body.select(
+        "key", "ts", "no2", "pm25", "air_quality_summary", "lat", "lon", F.size(F.json_object_keys("value")).alias("fields")
     )
 
 
@@ -569,8 +570,7 @@ def _(spark, sf):
     # No station was seen exactly at the mark, and no reading falls on it.
     seen = literal_table(spark, [], "fiwareid string, _fp string")
     keyed, _ = poll(raw, None, offset, seen, AIR)
-    body = F.from_json("value", AIR.event_schema)
-    return keyed.select("key", body["no2"].alias("no2"), body["pm25"].alias("pm25"))
+    return spread(keyed, F.from_json("value", AIR.event_schema)).select("key", "no2", "pm25")
 
 
 @query(
@@ -580,8 +580,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     keyed = replay(readings(spark, sf), AIR, "2024-01-10T00:00:00", "2024-01-20T00:00:00")
-    body = F.from_json("value", AIR.event_schema)
-    return keyed.select("key", body["no2"].alias("no2"), body["pm25"].alias("pm25"))
+    return spread(keyed, F.from_json("value", AIR.event_schema)).select("key", "no2", "pm25")
 
 
 @query(

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.functions.once import bound, spread
 from skyledger.spec import SPECS
 
 # Wrapper fields searched for the record list, in order.
 WRAPPERS = ["results", "records", "data", "features", "items"]
 
+PAGE_CAPACITY = 1_000_000
 PAGE_NUMBER = r"(\d+)\.[A-Za-z]+$"
 DATASET_FILE = r"(?i)^(.*?)(?:_(?:full|metadata).*)?\.[^.]+$"
 
@@ -34,20 +36,23 @@ def parse_record_pages(pages: DataFrame, schema: T.StructType) -> tuple[DataFram
     )
     text = F.ltrim("value")
     is_list = text.startswith("[")
-    parsed = pages.select(
+    listed = pages.select(
         "file",
         "value",
         F.coalesce(F.regexp_extract("file", PAGE_NUMBER, 1).try_cast("long"), F.lit(0).cast("long")).alias("_page"),
-        F.when(is_list, F.from_json(text, rows)).alias("_bare"),
-        F.when(~is_list, F.from_json(text, wrapper)).alias("_wrapped"),
-    )
-    listed = parsed.withColumn(
-        "_records", F.coalesce("_bare", *[F.col(f"_wrapped.{w}") for w in WRAPPERS], F.col("_wrapped.result.records"))
+        F.when(is_list, F.from_json(text, rows))
+        .otherwise(
+            bound(
+                F.from_json(text, wrapper),
+                lambda w: F.coalesce(*[w[name] for name in WRAPPERS], w["result"]["records"]),
+            )
+        )
+        .alias("_records"),
     )
     records = (
         listed.filter(F.col("_records").isNotNull())
         .select("_page", F.posexplode("_records").alias("_pos", "_record"))
-        .select("_record.*", "_page", (F.col("_page") * F.lit(1_000_000) + F.col("_pos")).alias("_seq"))
+        .select("_record.*", "_page", (F.col("_page") * F.lit(PAGE_CAPACITY) + F.col("_pos")).alias("_seq"))
     )
     rejects = listed.filter(F.col("_records").isNull()).select("_page", F.col("file").alias("key"), "value")
     return records, rejects
@@ -90,7 +95,7 @@ def read_json_or_ndjson(
         docs = docs.filter(F.when(ok, True).otherwise(complaint.cast("boolean")))
     else:
         docs = docs.filter(ok)
-    return docs.select(F.from_json("value", schema).alias("_r"), F.col("value").alias("_text")).select("_r.*", "_text")
+    return spread(docs.select(F.col("value").alias("_text")), F.from_json("_text", schema))
 
 
 def history_schema() -> T.StructType:
