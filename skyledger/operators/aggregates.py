@@ -144,15 +144,21 @@ def counter_increase(
     placed = steps.withColumn("_home", home).withColumn(
         "_block", F.explode(F.array_distinct(F.array(F.col("_home"), reach)))
     )
-    frame = (
-        Window.partitionBy(*series, "_block").orderBy("_at").rangeBetween(1 - span * 1_000_000, Window.currentRow)
+    part = [*series, "_block"]
+    running = Window.partitionBy(*part).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = placed.withColumn("_total", F.sum(F.coalesce("_step", F.lit(0))).over(running))
+    # The growth in the range is the running total here less the one at the range's first sample. Each sample
+    # therefore asks, from the open start of its range, for the next sample after it. Walking back in time
+    # that is the last one passed, so both frames only ever grow and no range is summed twice.
+    mine = F.struct(F.col("_at").alias("time"), F.lit(1).alias("kind"), F.col("_total").alias("seen"))
+    ask = F.struct(
+        (F.col("_at") - F.lit(span * 1_000_000)).alias("time"), F.lit(0).alias("kind"), F.lit(None).alias("seen")
     )
-    # The first sample in the range grew from one outside it, so its step does not count.
-    grown = F.coalesce(F.sum("_step").over(frame), F.lit(0)) - F.coalesce(F.first("_step").over(frame), F.lit(0))
-    return (
-        placed.withColumn(name, grown.cast("double"))
-        .filter(F.col("_block") == F.col("_home"))
-        .select(*series, ts, value, name)
+    both = F.array_compact(F.array(mine, F.when(F.col("_block") == F.col("_home"), ask)))
+    back = Window.partitionBy(*part).orderBy(F.desc("time"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    asked = totals.select("*", F.inline(both)).withColumn("_first", F.last("seen", ignorenulls=True).over(back))
+    return asked.filter("kind = 0").select(
+        *series, ts, value, (F.col("_total") - F.col("_first")).cast("double").alias(name)
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.once import spread
 from skyledger.functions.geo import bounding_box, ellipsoid_m, haversine_m, valid_lat_lon
 
 MODELS = {"sphere": haversine_m, "spheroid": ellipsoid_m}
@@ -21,8 +22,9 @@ def stations_within(
     """
     near = df.filter(bounding_box("lat", "lon", lat, lon, metres))
     places = near.select(*dict.fromkeys([*cols, "lat", "lon"])).distinct()
-    inside = places.filter(MODELS[model]("lat", "lon", lat, lon) <= F.lit(float(metres)))
-    return inside.select(*cols).distinct().orderBy(*cols)
+    # Computed behind a barrier: pushed below the distinct, the filter would measure every reading.
+    measured = spread(places, F.struct(MODELS[model]("lat", "lon", lat, lon).alias("_metres")))
+    return measured.filter(F.col("_metres") <= F.lit(float(metres))).select(*cols).distinct().orderBy(*cols)
 
 
 def k_nearest(

@@ -52,9 +52,11 @@ def normalise(raw: DataFrame, spec: DatasetSpec, ts_col: str | None = None) -> D
         else (F.lit(None).cast("double"), F.lit(None).cast("double"))
     )
     source = ts_col or spec.ts_source
-    body = raw.select(
+    instant = normalise_ts(source) if source in have else F.lit(None).cast("string")
+    # Later steps filter on the instant several times; it is parsed once.
+    body = spread(raw, F.struct(instant.alias("_instant"))).select(
         station_id(pick("fiwareid", "string"), pick("objectid", "long")).alias(spec.key),
-        (normalise_ts(source) if source in have else F.lit(None).cast("string")).alias(spec.ts),
+        F.col("_instant").alias(spec.ts),
         *[
             pick(name, "string" if out in spec.texts else "double").alias(out)
             for name, out in spec.renames.items()
