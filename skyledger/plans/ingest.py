@@ -70,3 +70,8 @@ def replay(readings: DataFrame, spec: DatasetSpec, since=None, until=None, dry_r
         return rows.agg(F.count(F.lit(1)).alias("events"))
     ordered = order_by_ts(rows, spec.ts, [spec.key])
     return to_keyed_events(ordered.withColumn(spec.ts, format_ts(spec.ts)), spec)
+
+
+def send_events(keyed: DataFrame, fmt: str = "kafka", **options: str) -> None:
+    """Keyed events to a topic, or appended to files of the same shape."""
+    keyed.write.format(fmt).mode("append").options(**options).save()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.normalise import from_keyed_events
 from skyledger.operators.rollups import rollup
-from skyledger.plans.ingest import backfill, poll, replay, unmatched_names
+from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
 from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_window, table_checks
 from skyledger.session import require_utc, work_dir
 from skyledger.sources import records as S
@@ -222,6 +222,13 @@ def test_replay_round_trip(spark, rows, tmp_path):
     assert rows(second.read(), "fiwareid", "no2") == [("a", 1.0), ("b", 2.0)]
 
 
+def test_send_events_appends(spark, tmp_path):
+    keyed = replay(air_rows(spark, ("a", 1, 1.0, "x")), AIR)
+    for _ in range(2):
+        send_events(keyed, "json", path=str(tmp_path / "topic"))
+    assert spark.read.json(str(tmp_path / "topic")).count() == 2
+
+
 # -- rollups on disk
 
 
