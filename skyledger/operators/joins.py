@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.geo import haversine_m, valid_lat_lon
 
 # Metres per degree of latitude, rounded down so that grid cells are never too small.
 METRES_PER_DEGREE = 110000.0
+# About the sixth decimal of a coordinate, to which places are rounded: a cell that small holds one place.
+FINEST_CELL_M = 0.1
+SPLIT_BITS = 4
 
 
 def map_station_ids(
@@ -45,29 +49,53 @@ def station_coord_match(
 ) -> DataFrame:
     """The nearest right station within ``max_m`` of each left one, ties to the smaller id.
 
-    Stations at one place are matched once per place. Places meet in grid cells of ``max_m``: the right
-    side is copied to the cells around it, so the join is an equi-join on the cell.
+    Stations at one place are matched once per place, and places are narrowed down by cells: a left place
+    starts from the nine cells of ``max_m`` around it and keeps those that can still hold its nearest
+    partner; each round splits the kept ones sixteenfold per side. So a crowded cell is never paired with all
+    places in it, and the result is still exact.
     """
+    rounds = max(0, math.ceil(math.log(max(max_m, FINEST_CELL_M) / FINEST_CELL_M, 2**SPLIT_BITS)))
+    finest = SPLIT_BITS * rounds
+    lat_step = max_m / METRES_PER_DEGREE
     places = left.filter(valid_lat_lon("lat", "lon")).select("lat", "lon").distinct()
     targets = (
         right.filter(valid_lat_lon("lat", "lon"))
         .groupBy(F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
         .agg(F.min(right_id).alias(right_id))
+        .withColumn("_y", F.floor(F.col("r_lat") / F.lit(lat_step / 2**finest)).cast("long"))
+        .withColumn("_row", F.shiftright("_y", finest))
+        .withColumn("_x", F.floor(F.col("r_lon") / _lon_step(F.col("_row"), max_m) * F.lit(2**finest)).cast("long"))
     )
-    row, col = _cell(F.col("lat"), F.col("lon"), max_m)
-    here = places.select("lat", "lon", row.alias("_row"), col.alias("_col"))
-    # Rows of cells differ in width, so the neighbours' columns are taken with each row's own width.
-    lat_step = max_m / METRES_PER_DEGREE
-    around = (
-        targets.withColumn("_row", F.explode(_steps(F.floor(F.col("r_lat") / F.lit(lat_step)).cast("long"))))
-        .withColumn("_width", _lon_step(F.col("_row"), max_m))
-        .withColumn("_col", F.explode(_steps(F.floor(F.col("r_lon") / F.col("_width")).cast("long"))))
-        .select("r_lat", "r_lon", right_id, "_row", "_col")
+    here = F.floor(F.col("lat") / F.lit(lat_step)).cast("long")
+    kept = (
+        places.withColumn("_row", F.explode(_steps(here)))
+        .withColumn("_y", F.col("_row"))
+        .withColumn("_x", F.explode(_steps(F.floor(F.col("lon") / _lon_step(F.col("_row"), max_m)).cast("long"))))
+        .join(_cells(targets, finest), ["_row", "_y", "_x"])
     )
-    metres = haversine_m("lat", "lon", "r_lat", "r_lon")
+    mine = Window.partitionBy("lat", "lon")
+    for level in range(rounds + 1):
+        if level:
+            children = _cells(targets, finest - SPLIT_BITS * level).select(
+                "_row",
+                F.shiftright("_y", SPLIT_BITS).alias("_y"),
+                F.shiftright("_x", SPLIT_BITS).alias("_x"),
+                F.col("_y").alias("_child_y"),
+                F.col("_x").alias("_child_x"),
+            )
+            kept = kept.join(children, ["_row", "_y", "_x"]).select(
+                "lat", "lon", "_row", F.col("_child_y").alias("_y"), F.col("_child_x").alias("_x")
+            )
+        near, far = _cell_distances(max_m, level)
+        kept = (
+            kept.withColumns({"_near": near, "_far": far})
+            .withColumn("_reach", F.least(F.min("_far").over(mine), F.lit(max_m * 1.05 + 0.1)))
+            .filter(F.col("_near") <= F.col("_reach"))
+            .select("lat", "lon", "_row", "_y", "_x")
+        )
     nearest = (
-        here.join(around, ["_row", "_col"])
-        .withColumn("distance_m", metres)
+        kept.join(targets, ["_row", "_y", "_x"])
+        .withColumn("distance_m", haversine_m("lat", "lon", "r_lat", "r_lon"))
         .filter(F.col("distance_m") <= F.lit(float(max_m)))
         .groupBy("lat", "lon")
         .agg(F.min(F.struct("distance_m", right_id)).alias("_best"))
@@ -76,6 +104,26 @@ def station_coord_match(
     return left.join(nearest, ["lat", "lon"]).select(left_id, right_id, "distance_m")
 
 
+def _cells(targets: DataFrame, shift: int) -> DataFrame:
+    """Occupied cells, ``shift`` bits coarser than the finest."""
+    return targets.select(
+        "_row", F.shiftright("_y", shift).alias("_y"), F.shiftright("_x", shift).alias("_x")
+    ).distinct()
+
+
+def _cell_distances(max_m: float, level: int) -> tuple[Column, Column]:
+    """Metres from a place to the nearest and farthest point of a cell, with room for the earth's curvature."""
+    high = F.lit(max_m / METRES_PER_DEGREE / 2 ** (SPLIT_BITS * level))
+    wide = _lon_step(F.col("_row"), max_m) / F.lit(2 ** (SPLIT_BITS * level))
+    lat, lon = F.col("lat"), F.col("lon")
+    south, west = F.col("_y") * high, F.col("_x") * wide
+    north, east = south + high, west + wide
+    near = haversine_m(lat, lon, F.least(F.greatest(lat, south), north), F.least(F.greatest(lon, west), east))
+    far_lat = F.when(lat - south > north - lat, south).otherwise(north)
+    far_lon = F.when(lon - west > east - lon, west).otherwise(east)
+    return near * 0.98 - 0.01, haversine_m(lat, lon, far_lat, far_lon) * 1.02 + 0.01
+
+
 def _steps(centre: Column) -> Column:
     return F.array(centre - 1, centre, centre + 1)
 
@@ -85,8 +133,3 @@ def _lon_step(row: Column, max_m: float) -> Column:
     lat_step = max_m / METRES_PER_DEGREE
     edge = F.greatest(F.abs((row - 1) * F.lit(lat_step)), F.abs((row + 2) * F.lit(lat_step)))
     return F.lit(lat_step) / F.greatest(F.cos(F.radians(F.least(edge, F.lit(90.0)))), F.lit(1e-3))
-
-
-def _cell(lat: Column, lon: Column, max_m: float) -> tuple[Column, Column]:
-    row = F.floor(lat / F.lit(max_m / METRES_PER_DEGREE)).cast("long")
-    return row, F.floor(lon / _lon_step(row, max_m)).cast("long")

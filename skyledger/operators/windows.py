@@ -52,13 +52,14 @@ def latest_per_station(
 ) -> DataFrame:
     """The newest whole row of each station.
 
-    Text columns would turn the aggregate into a sort of the whole input. With any of them, a hash aggregate
-    over two narrow columns finds the newest instants first, and only the rows on them go on.
+    Text columns turn the aggregate into a sort of its input. With any of them, a hash aggregate over two
+    narrow columns first finds how far back the quietest station's newest row lies; nothing older is read.
     """
     wanted = [c for c in (cols or df.columns) if c not in (key, ts)]
     rows = df.select(key, ts, *wanted)
     if not all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in wanted):
-        rows = rows.join(rows.groupBy(key).agg(F.max(ts).alias(ts)), [key, ts])
+        newest = df.groupBy(key).agg(F.max(ts).alias(ts))
+        rows = rows.filter(F.col(ts) >= newest.agg(F.min(ts)).scalar())
     return last_row(rows, [key], [ts]).select(key, ts, *wanted)
 
 

@@ -170,6 +170,9 @@ def test_coord_match_against_brute_force(spark, rows):
     left += [("L900", 39.41, -0.39), ("L901", 39.41, -0.39), ("L902", 95.0, 0.0)]
     right = [(f"R{i:03d}", 39.4 + rng.random() * 0.05, -0.4 + rng.random() * 0.05) for i in range(150)]
     right += [("R900", 39.41, -0.39), ("R901", 39.41, -0.39), ("R902", None, None)]
+    # A crowd of places within a few metres, on both sides.
+    left += [(f"M{i:03d}", 39.42 + rng.random() * 3e-5, -0.38 + rng.random() * 3e-5) for i in range(60)]
+    right += [(f"N{i:03d}", 39.42 + rng.random() * 3e-5, -0.38 + rng.random() * 3e-5) for i in range(60)]
     a = spark.createDataFrame(left, "fiwareid string, lat double, lon double")
     b = spark.createDataFrame(right, "historical_id string, lat double, lon double")
     for metres in (40.0, 400.0):
