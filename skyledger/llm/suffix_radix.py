@@ -32,6 +32,8 @@ from skyledger.llm import base, blocks, hashing
 WINDOW, GRAM = 50, 24
 #: Leading bits of a gram's hash that are compared beyond those that name the bucket; a chance match costs work only.
 GRAM_BITS = 30
+#: A bucket of grams is this many bits of buckets of records, which are larger than grams.
+RECORD_BITS = 4
 LAST_ID = np.iinfo(np.int64).max
 
 
@@ -108,19 +110,17 @@ class BlockRecords:
         # The bytes of all windows of the anchor; bytes outside them are zero.
         column = np.arange(window + reach)
         self.context = np.zeros((len(self.at), window + reach), np.uint8)
-        for lo in range(0, len(self.at), 1 << 15):
-            rows = slice(lo, lo + (1 << 15))
+        whole = before.astype(np.uint64) * np.uint64(257) + after.astype(np.uint64)
+        for lo in range(0, len(self.at), 1 << 14):
+            rows = slice(lo, lo + (1 << 14))
             where = (self.at[rows] - reach)[:, None] + column
             mine = (column >= (reach - before[rows])[:, None]) & (column < (reach - after[rows] + window)[:, None])
             self.context[rows] = np.where(mine, self.data[np.where(mine, where, 0)], 0)
+            for digit in _digits(self.context[rows]):
+                whole[rows] = hashing.mix(whole[rows] ^ digit)
         self.before, self.after = before.astype(np.uint8), after.astype(np.uint8)
-        width = window + reach
-        sums = hashing.prefix(hashing.CODES[self.context.ravel()])
-        begin = np.arange(len(self.at)) * width
-        whole = hashing.spans(sums, begin, begin + width) if len(begin) else np.zeros(0, np.uint64)
-        whole = hashing.mix(whole + self.before.astype(np.uint64) * np.uint64(257) + self.after)
         # Distinct (gram bucket, context) in a fixed order, with the smallest document of each.
-        bucket = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+        bucket = (key >> np.uint64(64 - bits - RECORD_BITS)).astype(np.int64)
         order = np.lexsort((whole, bucket))
         new = np.concatenate(([True], (whole[order][1:] != whole[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])))[: len(order)]
         self.pick = order[new]
