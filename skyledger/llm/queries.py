@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import phrase_automata, suffix_radix
-from skyledger.llm.sql import OP3_SQL, OP6_SQL
+from skyledger.llm import adaptive_prefix_join, phrase_automata, suffix_radix
+from skyledger.llm.sql import OP3_SQL, OP6_SQL, OP7_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -45,3 +45,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_automata.remove_recurring(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_ngram_jaccard_join", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_prefix_join.near_duplicates(table(spark, sf_dir, "documents"))
