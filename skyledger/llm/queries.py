@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import adaptive_prefix_join, phrase_automata, suffix_radix
+from skyledger.llm import adaptive_prefix_join, phrase_automata, subword_langid, suffix_radix, weak_supervision
 from skyledger.llm.sql import OP3_SQL, OP6_SQL, OP7_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_jaccard_join", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_prefix_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weak_supervision.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col("_m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return found.select("doc_id", *counts, F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.round("_good", 6).alias("p_good"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = subword_langid.fit(docs.filter(~held_out))
+    found = subword_langid.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted")
+    )

@@ -43,8 +43,8 @@ WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(LOWER.format('text'))} AS w FR
 s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[p:p + 4], ' ')) AS k
       FROM (SELECT doc_id, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 3, 2) END)) AS p FROM d)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT a, b FROM both JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 75 * (na.n + nb.n - c)),
 reach AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x, link.b FROM reach JOIN link ON reach.y = link.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
