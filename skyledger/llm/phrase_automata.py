@@ -55,7 +55,8 @@ class Sequences:
         at = at[valid]
         new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         self.at, self.window_first, self.window_last = at[new], valid[new], valid[np.append(new[1:], len(valid)) - 1]
-        self.key = key[self.at]
+        # The least hashes were picked, so they are mixed once more to fill all buckets alike.
+        self.key = hashing.mix(key[self.at] + np.uint64(1))
 
     def windows(self, live: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the windows that the chosen anchors stand for."""

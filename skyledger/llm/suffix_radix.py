@@ -55,7 +55,8 @@ class Anchors:
         new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         #: Anchor position, the first and last window start that it stands for, and its gram's hash.
         self.at, self.first, self.last = at[new], starts[new], starts[np.append(new[1:], len(starts)) - 1]
-        self.key = key[self.at]
+        # The least hashes were picked, so they are mixed once more to fill all buckets alike.
+        self.key = hashing.mix(key[self.at] + np.uint64(1))
 
 
 def _anchor_keys(window: int, gram: int, bits: int):
