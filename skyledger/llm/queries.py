@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import adaptive_prefix_join, phrase_automata, subword_langid, suffix_radix, weak_supervision
-from skyledger.llm.sql import OP3_SQL, OP6_SQL, OP7_SQL
+from skyledger.llm import adaptive_prefix_join, phrase_automata, positional_index, subword_langid, suffix_radix, weak_supervision
+from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -68,3 +68,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", held_out.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted")
     )
+
+
+@query("op5_benchmark_decontamination", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit, items = positional_index.hit_words(F.col("found")), positional_index.item_list(F.col("found"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        hit.cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        (F.size("found") > 0).alias("contaminated"),
+    )

@@ -49,3 +49,21 @@ reach AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x,
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
 """
+
+LATIN_WORDS = "regexp_extract_all(" + LOWER.format("coalesce({0}, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP5_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {LATIN_WORDS.format('text')} AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {LATIN_WORDS.format('text')} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS k
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, p, size, array_to_string(w[p:p + size - 1], ' ') AS k
+       FROM (SELECT r, w, size, unnest(range(1, greatest(len(w) - size + 2, 1))) AS p
+             FROM d, (SELECT DISTINCT size FROM iw) s)),
+hit AS (SELECT r, p, dw.size, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.size = iw.size),
+words AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(p, p + size)) AS x FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
