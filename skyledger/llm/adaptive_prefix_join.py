@@ -7,9 +7,11 @@ Two sets of similarity ``t`` share at least ``l`` tokens of their first ``n - ce
 class picks the ``l`` whose prefix is cheapest by its estimate of postings read and candidates verified
 (``choose_length``); a pair is a candidate if it shares as many prefix tokens as the larger set asks for.
 
-A posting list is never multiplied with itself as long as its documents may be joined by fewer links:
+A pair shares at most the tokens of either set that other documents hold, which is known of each (``shared``), so pairs
+that can't be similar by that bound are not formed. A posting list is never multiplied with itself as long as its documents may be joined by fewer links:
 
-1. every class is verified against the leader (a fixed member) it shares most prefix tokens with,
+1. every class is verified against the leader it shares most prefix tokens with; a list is led by the member whose own
+   tokens are the most frequent, which in a family of near copies is the text nearest to their common source,
 2. pairs of short lists are counted as they are; of a long list, pairs of classes that step 1 left in different
    components, where one of the two is outside the list's largest component,
 3. pairs with enough shared tokens and different components are verified, so no link between components is missed.
@@ -163,6 +165,10 @@ def _ordered_sets(shingle: int, percent: int, bits: int):
     return build
 
 
+#: What goes with a posting, in order, and its type.
+POSTING = {"token": np.uint64, "level": np.uint8, "cls": np.int64, "size": np.int32, "shared": np.int32, "weight": np.float32, "length": np.uint8}
+
+
 def choose_length(size: int, need: int, rarity: np.ndarray) -> int:
     """How many shared prefix tokens to ask for: the fewest expected postings and verified tokens."""
     frequency = np.where(rarity > 0, 2.0 ** (rarity / 4.0), 0.0)
@@ -175,7 +181,7 @@ def choose_length(size: int, need: int, rarity: np.ndarray) -> int:
 
 
 def _postings(percent: int, n_buckets: int):
-    """Prefix tokens of several documents, as blobs by token bucket: tokens, classes, sizes, levels and lengths."""
+    """Prefix tokens of several documents, as blobs by token bucket, with what a list needs to know of its members."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,29 +193,52 @@ def _postings(percent: int, n_buckets: int):
                 end = min(len(t), len(t) - need + MAX_LENGTH)
                 rank = np.flatnonzero(r[:end] > 0)
                 level = np.maximum(1, rank + 1 - (len(t) - need)).astype(np.uint8)
-                rows.append((t[rank], np.full(len(rank), cls, np.int64), np.full(len(rank), len(t), np.int32), level, np.full(len(rank), length, np.uint8)))
+                same = [(cls, np.int64), (len(t), np.int32), (int((r > 0).sum()), np.int32), (r.mean(dtype=np.float64) if len(r) else 0, np.float32), (length, np.uint8)]
+                rows.append((t[rank], level, *[np.full(len(rank), value, kind) for value, kind in same]))
             if not rows:
                 continue
-            token, cls, size, level, length = (np.concatenate(x) for x in zip(*rows))
+            every = [np.concatenate(x) for x in zip(*rows)]
+            token = every[0]
             bucket = (token % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             used, starts = np.unique(bucket[order], return_index=True)
             cuts = [order[s:e] for s, e in zip(starts, np.append(starts[1:], len(order)))]
             yield pa.record_batch(
-                [pa.array(used)] + [base.binary_column([x[c].tobytes() for c in cuts]) for x in (token, cls, size, level, length)],
-                names=["bucket", "token", "cls", "size", "level", "length"],
+                [pa.array(used)] + [base.binary_column([x[c].tobytes() for c in cuts]) for x in every],
+                names=["bucket", *POSTING],
             )
 
     return spread
 
 
-PAIRS = "kind int, a long, b long, n int, token long, size int, level int, length int"
+PAIRS = "kind int, a long, b long, n int, token long, size int, shared int, level int, length int"
 STAR, SHORT_PAIR, LONG_LIST = 0, 1, 2
 
 
+def may_link(size_x, size_y, shared_x, shared_y, percent: int):
+    """Whether sets of these sizes, with so many tokens that other documents hold, may be similar; arrays or columns."""
+    arrays = isinstance(size_x, np.ndarray)
+    wide = (lambda v: v.astype(np.int64)) if arrays else (lambda v: v.cast("long"))
+    least = np.minimum if arrays else F.least
+    return (100 + percent) * least(wide(shared_x), wide(shared_y)) >= percent * (wide(size_x) + wide(size_y))
+
+
+def matches_asked(size_x, size_y, length, percent: int):
+    """How many tokens the prefixes of a pair must share: ``length``, and more if the tokens behind the prefix that ends
+    first would not do for these two sizes, were they all shared; arrays or columns."""
+    arrays = isinstance(size_x, np.ndarray)
+    if arrays:
+        x, y, length = size_x.astype(np.int64), size_y.astype(np.int64), length.astype(np.int64)
+        up = lambda v, d: -(-v // d)
+        return np.maximum(length, up(percent * (x + y), 100 + percent) - up(percent * np.maximum(x, y), 100) + length)
+    up = lambda v, d: F.ceil(v / d)
+    x, y = size_x.cast("long"), size_y.cast("long")
+    return F.greatest(length, up(percent * (x + y), 100 + percent) - up(percent * F.greatest(x, y), 100) + length).cast("int")
+
+
 def _pairs(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, length: np.ndarray) -> pa.Table:
     nil = pa.nulls(len(a))
-    return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "level": nil.cast(pa.int32()), "length": length.astype(np.int32)})
+    return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "shared": nil.cast(pa.int32()), "level": nil.cast(pa.int32()), "length": length.astype(np.int32)})
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,18 +249,19 @@ def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _lists(percent: int):
     def judge(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        token, cls, size, level, length = read("token", np.uint64), read("cls", np.int64), read("size", np.int32), read("level", np.uint8), read("length", np.uint8)
-        order = np.lexsort((cls, token))
-        token, cls, size, level, length = token[order], cls[order], size[order], level[order], length[order]
+        posting = {name: np.frombuffer(b"".join(table.column(name).to_pylist()), kind) for name, kind in POSTING.items()}
+        order = np.lexsort((posting["cls"], -posting["weight"], posting["token"]))
+        token, level, cls, size, shared, _, length = (posting[name][order] for name in POSTING)
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         counts = np.diff(np.append(starts, len(token)))
         nodes, node = np.unique(cls, return_inverse=True)
-        # The leader of a list is its least class, which is a hash and so as good as any.
+        # Lists are in order of weight, so their first member leads.
         follow = np.ones(len(token), bool)
         follow[starts] = False
         leader = np.repeat(starts, counts)[follow]
-        a, b, n = _counted(node[follow], node[leader])
+        follow = np.flatnonzero(follow)
+        near = may_link(size[follow], size[leader], shared[follow], shared[leader], percent)
+        a, b, n = _counted(node[follow[near]], node[leader[near]])
         out = [_pairs(STAR, nodes[a], nodes[b], n, np.ones(len(a)))]
         found = []
         for width in range(2, SHORT + 1):
@@ -244,19 +274,19 @@ def _lists(percent: int):
                 x, y = (at + i).ravel(), (at + j).ravel()
                 larger = (size[x] > size[y]) | ((size[x] == size[y]) & (cls[x] > cls[y]))
                 x, y = np.where(larger, x, y), np.where(larger, y, x)
-                keep = (level[x] <= length[x]) & (level[y] <= length[x]) & (100 * size[y].astype(np.int64) >= percent * size[x].astype(np.int64))
+                keep = (level[x] <= length[x]) & (level[y] <= length[x]) & may_link(size[x], size[y], shared[x], shared[y], percent)
                 found.append(_counted(node[x[keep]], node[y[keep]]))
         if found:
             a, b, n = (np.concatenate(x) for x in zip(*found))
             key, place = np.unique(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), return_inverse=True)
             n = np.bincount(place, n, len(key))
             a, b = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            asked = np.zeros(len(nodes), np.uint8)
-            asked[node] = length
-            out.append(_pairs(SHORT_PAIR, nodes[a], nodes[b], n, asked[a]))
+            known = np.unique(node, return_index=True)[1]
+            asked = matches_asked(size[known[a]], size[known[b]], length[known[a]], percent)
+            out.append(_pairs(SHORT_PAIR, nodes[a], nodes[b], n, asked))
         long = np.flatnonzero(np.repeat(counts > SHORT, counts))
         if len(long):
-            out.append(pa.table({"kind": pa.array(np.full(len(long), LONG_LIST, np.int32)), "a": cls[long], "b": cls[long], "n": np.ones(len(long), np.int32), "token": token[long].astype(np.int64), "size": size[long], "level": level[long].astype(np.int32), "length": length[long].astype(np.int32)}))
+            out.append(pa.table({"kind": pa.array(np.full(len(long), LONG_LIST, np.int32)), "a": cls[long], "b": cls[long], "n": np.ones(len(long), np.int32), "token": token[long].astype(np.int64), "size": size[long], "shared": shared[long], "level": level[long].astype(np.int32), "length": length[long].astype(np.int32)}))
         return pa.concat_tables(out)
 
     return judge
@@ -291,7 +321,7 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     total = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     buckets = max(1, int(total / 8 * (100 - percent) / 100 / POSTINGS_PER_BUCKET) + 1)
     blobs = sets.select("cls", "tokens", "rarity").mapInArrow(
-        _postings(percent, buckets), "bucket long, token binary, cls binary, size binary, level binary, length binary"
+        _postings(percent, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in POSTING)
     )
     lists = base.stored(blobs.groupBy("bucket").applyInArrow(_lists(percent), PAIRS), "lists")
     star = lists.filter(F.col("kind") == STAR).groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -302,20 +332,20 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     of = lambda rows, col, name: rows.join(comp.select(F.col("node").alias(col), F.col("comp").alias("_c")), col, "left").withColumn(name, F.coalesce("_c", col)).drop("_c")
     short = lists.filter(F.col("kind") == SHORT_PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
     member = base.stored(
-        of(lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "level", "length"), "cls", "home"), "long_lists"
+        of(lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "level", "length"), "cls", "home"), "long_lists"
     )
     spread = member.groupBy("token", "home").agg(F.count("*").alias("n")).groupBy("token")
     mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main")).filter("homes > 1").drop("homes")
     member = member.join(mixed, "token")
-    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "size", "level", "length", "home")])
-    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in ("cls", "size", "level", "length", "home")])
+    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "size", "shared", "level", "length", "home")])
+    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in ("cls", "size", "shared", "level", "length", "home")])
     larger = F.struct("o_size", "o_cls") > F.struct("p_size", "p_cls")
     pick = lambda c: (F.when(larger, F.col(f"o_{c}")).otherwise(F.col(f"p_{c}")), F.when(larger, F.col(f"p_{c}")).otherwise(F.col(f"o_{c}")))
     (x, y), (sx, sy), (lx, ly), (asked, _) = pick("cls"), pick("size"), pick("level"), pick("length")
     long = (
         o.join(p, (o.token == p.token) & (F.col("o_home") != F.col("p_home")) & ((F.col("p_home") == F.col("main")) | (F.col("o_cls") < F.col("p_cls"))))
-        .filter((lx <= asked) & (ly <= asked) & (100 * sy >= percent * sx))
-        .groupBy(x.alias("a"), y.alias("b")).agg(F.count("*").alias("n"), F.max(asked).alias("length"))
+        .filter((lx <= asked) & (ly <= asked) & may_link(sx, sy, F.col("o_shared"), F.col("p_shared"), percent))
+        .groupBy(x.alias("a"), y.alias("b")).agg(F.count("*").alias("n"), F.max(matches_asked(sx, sy, asked, percent)).alias("length"))
     )
     counted = short.select("a", "b", "n", "length").unionByName(long.select("a", "b", "n", "length"))
     enough = counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length")).filter("n >= length")
