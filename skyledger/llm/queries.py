@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import adaptive_prefix_join, phrase_automata, positional_index, subword_langid, suffix_radix, weak_supervision
+from skyledger.llm import (
+    adaptive_prefix_join,
+    base,
+    phrase_automata,
+    positional_index,
+    shard_flow,
+    subword_langid,
+    suffix_radix,
+    weak_supervision,
+)
 from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +91,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
         (F.size("found") > 0).alias("contaminated"),
     )
+
+
+OLD_SHARDS, NEW_SHARDS = 32, 40
+
+
+@query("op1_sharding")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    # The layout so far: a shard for each source's hash.
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(OLD_SHARDS))
+    placed, _ = shard_flow.place(docs, old, NEW_SHARDS)
+    path = base.work_dir(spark, "shards")
+    shard_flow.rewrite(placed.select("doc_id", "text", "_shard", "_slot"), path)
+    files = shard_flow.read_shards(spark, path, placed.select("doc_id", "text", "_slot", "_shard"))
+    return files.select(
+        "doc_id",
+        shard_flow.row_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
