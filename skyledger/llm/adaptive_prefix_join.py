@@ -3,9 +3,10 @@
 A document's set holds the 64-bit hashes of its distinct shingles. Sets are ordered rare first by document frequencies
 counted over the whole corpus (``blocks``); shingles of one document need never be sent. Equal sets are one class.
 
-Two sets of similarity ``t`` share at least ``l`` tokens of their first ``n - ceil(t n) + l``, for every ``l``. Each
-class picks the ``l`` whose prefix is cheapest by its estimate of postings read and candidates verified
-(``choose_length``); a pair is a candidate if it shares as many prefix tokens as the larger set asks for.
+Two sets that must share ``o`` tokens to be similar share at least ``l`` of their first ``n - o + l``, for every ``l``.
+Each class picks the ``l`` whose prefix is cheapest by its estimate of postings read and candidates verified
+(``choose_length``); a pair is a candidate if it shares as many prefix tokens as the larger set asks for. Postings are
+kept for the least ``o`` that any partner allows, and a pair's own ``o`` shortens its prefixes further.
 
 A pair shares at most the tokens of either set that other documents hold, which is known of each (``shared``), so pairs
 that can't be similar by that bound are not formed. A posting list is never multiplied with itself as long as its documents may be joined by fewer links:
@@ -166,7 +167,7 @@ def _ordered_sets(shingle: int, percent: int, bits: int):
 
 
 #: What goes with a posting, in order, and its type.
-POSTING = {"token": np.uint64, "level": np.uint8, "cls": np.int64, "size": np.int32, "shared": np.int32, "weight": np.float32, "length": np.uint8}
+POSTING = {"token": np.uint64, "rank": np.int32, "cls": np.int64, "size": np.int32, "shared": np.int32, "weight": np.float32, "length": np.uint8}
 
 
 def choose_length(size: int, need: int, rarity: np.ndarray) -> int:
@@ -192,9 +193,8 @@ def _postings(percent: int, n_buckets: int):
                 length = choose_length(len(t), need, r)
                 end = min(len(t), len(t) - need + MAX_LENGTH)
                 rank = np.flatnonzero(r[:end] > 0)
-                level = np.maximum(1, rank + 1 - (len(t) - need)).astype(np.uint8)
                 same = [(cls, np.int64), (len(t), np.int32), (int((r > 0).sum()), np.int32), (r.mean(dtype=np.float64) if len(r) else 0, np.float32), (length, np.uint8)]
-                rows.append((t[rank], level, *[np.full(len(rank), value, kind) for value, kind in same]))
+                rows.append((t[rank], (rank + 1).astype(np.int32), *[np.full(len(rank), value, kind) for value, kind in same]))
             if not rows:
                 continue
             every = [np.concatenate(x) for x in zip(*rows)]
@@ -211,7 +211,7 @@ def _postings(percent: int, n_buckets: int):
     return spread
 
 
-PAIRS = "kind int, a long, b long, n int, token long, size int, shared int, level int, length int"
+PAIRS = "kind int, a long, b long, n int, token long, size int, shared int, rank int, length int"
 STAR, SHORT_PAIR, LONG_LIST = 0, 1, 2
 
 
@@ -223,22 +223,21 @@ def may_link(size_x, size_y, shared_x, shared_y, percent: int):
     return (100 + percent) * least(wide(shared_x), wide(shared_y)) >= percent * (wide(size_x) + wide(size_y))
 
 
-def matches_asked(size_x, size_y, length, percent: int):
-    """How many tokens the prefixes of a pair must share: ``length``, and more if the tokens behind the prefix that ends
-    first would not do for these two sizes, were they all shared; arrays or columns."""
-    arrays = isinstance(size_x, np.ndarray)
-    if arrays:
-        x, y, length = size_x.astype(np.int64), size_y.astype(np.int64), length.astype(np.int64)
-        up = lambda v, d: -(-v // d)
-        return np.maximum(length, up(percent * (x + y), 100 + percent) - up(percent * np.maximum(x, y), 100) + length)
-    up = lambda v, d: F.ceil(v / d)
-    x, y = size_x.cast("long"), size_y.cast("long")
-    return F.greatest(length, up(percent * (x + y), 100 + percent) - up(percent * F.greatest(x, y), 100) + length).cast("int")
+def overlap_asked(size_x, size_y, percent: int):
+    """How many tokens sets of these sizes must share to be similar; arrays or columns."""
+    if isinstance(size_x, np.ndarray):
+        return -(-percent * (size_x.astype(np.int64) + size_y.astype(np.int64)) // (100 + percent))
+    return F.ceil(percent * (size_x.cast("long") + size_y.cast("long")) / (100 + percent))
+
+
+def in_prefix(rank, size, overlap, length):
+    """Whether the token of this rank is among the first ``size - overlap + length``, of which a pair shares ``length``."""
+    return rank <= size - overlap + length
 
 
 def _pairs(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, length: np.ndarray) -> pa.Table:
     nil = pa.nulls(len(a))
-    return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "shared": nil.cast(pa.int32()), "level": nil.cast(pa.int32()), "length": length.astype(np.int32)})
+    return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "shared": nil.cast(pa.int32()), "rank": nil.cast(pa.int32()), "length": length.astype(np.int32)})
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -251,7 +250,7 @@ def _lists(percent: int):
     def judge(table: pa.Table) -> pa.Table:
         posting = {name: np.frombuffer(b"".join(table.column(name).to_pylist()), kind) for name, kind in POSTING.items()}
         order = np.lexsort((posting["cls"], -posting["weight"], posting["token"]))
-        token, level, cls, size, shared, _, length = (posting[name][order] for name in POSTING)
+        token, rank, cls, size, shared, _, length = (posting[name][order] for name in POSTING)
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         counts = np.diff(np.append(starts, len(token)))
         nodes, node = np.unique(cls, return_inverse=True)
@@ -274,19 +273,20 @@ def _lists(percent: int):
                 x, y = (at + i).ravel(), (at + j).ravel()
                 larger = (size[x] > size[y]) | ((size[x] == size[y]) & (cls[x] > cls[y]))
                 x, y = np.where(larger, x, y), np.where(larger, y, x)
-                keep = (level[x] <= length[x]) & (level[y] <= length[x]) & may_link(size[x], size[y], shared[x], shared[y], percent)
+                overlap = overlap_asked(size[x], size[y], percent)
+                keep = in_prefix(rank[x], size[x], overlap, length[x]) & in_prefix(rank[y], size[y], overlap, length[x]) & may_link(size[x], size[y], shared[x], shared[y], percent)
                 found.append(_counted(node[x[keep]], node[y[keep]]))
         if found:
             a, b, n = (np.concatenate(x) for x in zip(*found))
             key, place = np.unique(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), return_inverse=True)
             n = np.bincount(place, n, len(key))
             a, b = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            known = np.unique(node, return_index=True)[1]
-            asked = matches_asked(size[known[a]], size[known[b]], length[known[a]], percent)
-            out.append(_pairs(SHORT_PAIR, nodes[a], nodes[b], n, asked))
+            asked = np.zeros(len(nodes), np.uint8)
+            asked[node] = length
+            out.append(_pairs(SHORT_PAIR, nodes[a], nodes[b], n, asked[a]))
         long = np.flatnonzero(np.repeat(counts > SHORT, counts))
         if len(long):
-            out.append(pa.table({"kind": pa.array(np.full(len(long), LONG_LIST, np.int32)), "a": cls[long], "b": cls[long], "n": np.ones(len(long), np.int32), "token": token[long].astype(np.int64), "size": size[long], "shared": shared[long], "level": level[long].astype(np.int32), "length": length[long].astype(np.int32)}))
+            out.append(pa.table({"kind": pa.array(np.full(len(long), LONG_LIST, np.int32)), "a": cls[long], "b": cls[long], "n": np.ones(len(long), np.int32), "token": token[long].astype(np.int64), "size": size[long], "shared": shared[long], "rank": rank[long], "length": length[long].astype(np.int32)}))
         return pa.concat_tables(out)
 
     return judge
@@ -332,20 +332,21 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     of = lambda rows, col, name: rows.join(comp.select(F.col("node").alias(col), F.col("comp").alias("_c")), col, "left").withColumn(name, F.coalesce("_c", col)).drop("_c")
     short = lists.filter(F.col("kind") == SHORT_PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
     member = base.stored(
-        of(lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "level", "length"), "cls", "home"), "long_lists"
+        of(lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "rank", "length"), "cls", "home"), "long_lists"
     )
     spread = member.groupBy("token", "home").agg(F.count("*").alias("n")).groupBy("token")
     mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main")).filter("homes > 1").drop("homes")
     member = member.join(mixed, "token")
-    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "size", "shared", "level", "length", "home")])
-    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in ("cls", "size", "shared", "level", "length", "home")])
+    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "size", "shared", "rank", "length", "home")])
+    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in ("cls", "size", "shared", "rank", "length", "home")])
     larger = F.struct("o_size", "o_cls") > F.struct("p_size", "p_cls")
     pick = lambda c: (F.when(larger, F.col(f"o_{c}")).otherwise(F.col(f"p_{c}")), F.when(larger, F.col(f"p_{c}")).otherwise(F.col(f"o_{c}")))
-    (x, y), (sx, sy), (lx, ly), (asked, _) = pick("cls"), pick("size"), pick("level"), pick("length")
+    (x, y), (sx, sy), (rx, ry), (asked, _) = pick("cls"), pick("size"), pick("rank"), pick("length")
+    overlap = overlap_asked(sx, sy, percent)
     long = (
         o.join(p, (o.token == p.token) & (F.col("o_home") != F.col("p_home")) & ((F.col("p_home") == F.col("main")) | (F.col("o_cls") < F.col("p_cls"))))
-        .filter((lx <= asked) & (ly <= asked) & may_link(sx, sy, F.col("o_shared"), F.col("p_shared"), percent))
-        .groupBy(x.alias("a"), y.alias("b")).agg(F.count("*").alias("n"), F.max(matches_asked(sx, sy, asked, percent)).alias("length"))
+        .filter(in_prefix(rx, sx, overlap, asked) & in_prefix(ry, sy, overlap, asked) & may_link(sx, sy, F.col("o_shared"), F.col("p_shared"), percent))
+        .groupBy(x.alias("a"), y.alias("b")).agg(F.count("*").alias("n"), F.max(asked).alias("length"))
     )
     counted = short.select("a", "b", "n", "length").unionByName(long.select("a", "b", "n", "length"))
     enough = counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length")).filter("n >= length")
