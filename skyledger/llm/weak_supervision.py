@@ -28,7 +28,7 @@ INSULTS = (
 ).split()
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_commonest", "n_insults")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_commonest", "n_insults", "n_alpha", "n_bare", "n_shouts")
 MEASURE = ", ".join(f"{c}: long" for c in COUNTS)
 
 _IS_SYMBOL = np.zeros(256, bool)
@@ -61,9 +61,14 @@ def counts(data: np.ndarray, offsets: np.ndarray, insults: np.ndarray) -> np.nda
     out[:, at["n_symbols"]] = _between(_IS_SYMBOL[data], offsets)
     upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
     out[:, at["n_upper"]], out[:, at["n_letters"]] = _between(upper, offsets), _between(upper | lower, offsets)
+    alpha = upper | lower | (data >= 0xC0)
+    out[:, at["n_alpha"]] = _between(alpha, offsets)
+    out[:, at["n_shouts"]] = _between((data == 0x21) | (data == 0x3F), offsets)
     if not len(starts):
         return out
     doc = hashing.owner(offsets, starts)
+    seen = np.concatenate(([0], np.cumsum(alpha, dtype=np.int64)))
+    out[:, at["n_bare"]] = _per_document(n, doc[seen[ends] == seen[starts]])
     salt = hashing.mix(np.arange(n, dtype=np.uint64) + np.uint64(1))
     # Lines with a word: from the first word's line start to the line's end.
     sums = hashing.prefix(hashing.CODES[data])
@@ -135,6 +140,9 @@ def votes(m: Column) -> dict[str, Column]:
         "capitals": _vote(m["n_upper"] > 0.5 * m["n_letters"], m["n_upper"] <= 0.2 * m["n_letters"]),
         "word_length": _vote((length < 2.5) | (length > 15), (length >= 3.5) & (length <= 10)),
         "commonest": _vote((words >= 50) & (m["n_commonest"] > 0.25 * words), m["n_commonest"] <= 0.12 * words),
+        "letters": _vote(m["n_alpha"] < 0.78 * chars, m["n_alpha"] >= 0.88 * chars),
+        "marked_words": _vote((m["n_symbols"] > 0.04 * chars) | (m["n_bare"] > 0.15 * words), (m["n_symbols"] <= 0.005 * chars) & (m["n_bare"] <= 0.05 * words)),
+        "shouting": _vote(m["n_shouts"] > 0.25 * words, m["n_shouts"] <= 0.05 * words),
         "abuse": _vote(m["n_insults"] > 0.004 * words, F.lit(False)),
     }
 
