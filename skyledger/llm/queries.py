@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.llm import (
     adaptive_prefix_join,
     base,
+    bayes_quality,
     chat_windows,
     phrase_automata,
     piece_sampling,
@@ -139,3 +140,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
     formatted = base.stored(chat_windows.windows(rows.unionByName(probe)), "chat")
     return chat_windows.read_back(formatted)
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    found = bayes_quality.judged(docs, labels, F.col("source"), F.col("lang"), good)
+    return found.select("doc_id", *[F.round(c, 9).alias(c) for c in ("p_doc", "p_host", "p_path", "p_good")], (F.col("p_good") >= 0.5).alias("kept"))
