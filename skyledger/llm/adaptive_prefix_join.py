@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import base, blocks, hashing
@@ -389,3 +389,14 @@ def near_duplicates(
     )
     alone = found.filter(F.col("cls").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return alone.unionByName(named)
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose document has the smallest id of its component, one row an id; rows with a null id stay."""
+    found = near_duplicates(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), shingle=shingle, percent=percent)
+    gone = base.stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    left = docs.join(gone.select(F.col("doc_id").alias("_gone")), id_.cast("long") == F.col("_gone"), "left_anti")
+    one = Window.partitionBy(id_, F.when(id_.isNull(), F.xxhash64(text))).orderBy(F.xxhash64(text))
+    ranked = left.withColumn("_row", F.row_number().over(one))
+    return ranked.filter((F.col("_row") == 1) | id_.isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])

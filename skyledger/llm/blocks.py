@@ -8,7 +8,7 @@ in one place, and a key that occurs everywhere arrives at most once from each bl
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +20,12 @@ BLOCK_BYTES, BUCKET_KEYS = 4 << 20, 2 << 20
 BLOB = "blk long, bucket long, keys binary, vals binary"
 
 
-def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, int]:
-    """``(doc_id, text, blk)`` with the number of blocks and of text bytes; other columns are left out."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def in_blocks(
+    docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()
+) -> tuple[DataFrame, int, int]:
+    """``(doc_id, text, blk)`` with the number of blocks and of text bytes; columns to carry go into a struct ``rest``."""
+    rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *rest)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     return rows.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.lit(n))), n, total

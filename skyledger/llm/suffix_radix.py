@@ -20,12 +20,13 @@ are kept whole; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm import base, blocks, hashing
 
@@ -249,8 +250,9 @@ def _removed(window: int, gram: int, bits: int):
     lanes = -(-(reach + 1) // 8)
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
+        rest = [table.column("rest")] if "rest" in table.column_names else []
         if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "kept": pa.array([], pa.binary()), "spans": pa.array([], SPANS), "n_bytes": pa.array([], pa.int64())})
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.binary(), SPANS, pa.int64())] + rest, names=[*COLUMNS, "rest"][: 4 + len(rest)])
         second = np.array(answers.column("step").to_pylist()) == 2
         r = BlockRecords(table, answers.filter(pa.array(~second)), window, gram, bits)
         mask = blocks.told(answers.filter(pa.array(second)), "u1").reshape(-1, lanes)
@@ -274,29 +276,25 @@ def _removed(window: int, gram: int, bits: int):
             else:
                 kept.append(r.data[s:e].tobytes())
                 spans.append([])
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id"),
-                "kept": base.binary_column(kept),
-                "spans": pa.array(spans, SPANS),
-                "n_bytes": pa.array(np.diff(r.offsets)),
-            }
-        )
+        columns = [table.column("doc_id"), base.binary_column(kept), pa.array(spans, SPANS), pa.array(np.diff(r.offsets)), *rest]
+        return pa.table(columns, names=[*COLUMNS, "rest"][: len(columns)])
 
     return cut
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+COLUMNS = ("doc_id", "kept", "spans", "n_bytes")
 RESULT = "doc_id long, kept binary, spans array<struct<start:long,end:long>>, n_bytes long"
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = ()
 ) -> DataFrame:
     """``(doc_id, kept, spans, n_bytes)`` per row: bytes covered by a ``window``-byte string that also starts in a
-    document with a smaller id are cut; ``spans`` are the maximal cut runs, ``kept`` the bytes that are left."""
+    document with a smaller id are cut; ``spans`` are the maximal cut runs, ``kept`` the bytes that are left. Columns
+    named in ``carry`` come along in a struct ``rest``."""
     base.prepare(docs.sparkSession)
-    rows, _, total = blocks.in_blocks(docs, id_col, text_col)
+    rows, _, total = blocks.in_blocks(docs, id_col, text_col, carry=carry)
     bits = blocks.bucket_bits(total * 2 / (window - gram + 2))
     dealt = rows.groupBy("blk")
     sent = dealt.applyInArrow(_anchor_keys(window, gram, bits), blocks.BLOB)
@@ -304,4 +302,21 @@ def remove_repeats(
     records = dealt.cogroup(seen.groupBy("blk")).applyInArrow(_records(window, gram, bits), blocks.BLOB)
     judged = records.groupBy("bucket").applyInArrow(_sorted_bucket(window, gram), blocks.BLOB)
     both = seen.withColumn("step", F.lit(1)).unionByName(judged.withColumn("step", F.lit(2)))
-    return dealt.cogroup(both.groupBy("blk")).applyInArrow(_removed(window, gram, bits), RESULT)
+    schema = T.StructType.fromDDL(RESULT)
+    if carry:
+        schema = schema.add("rest", rows.schema["rest"].dataType)
+    return dealt.cogroup(both.groupBy("blk")).applyInArrow(_removed(window, gram, bits), schema)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The columns of ``docs``, the text without its repeats; of a character that is cut in two, nothing stays. A null
+    text stays null."""
+    named = docs.select("*", F.col(f"`{text_col}`").isNull().alias("_null"))
+    found = remove_repeats(named, id_col, text_col, window, gram, [c for c in named.columns if c != text_col])
+
+    @F.arrow_udf("string")
+    def whole(kept: pa.Array) -> pa.Array:
+        return pa.array([b.decode(errors="ignore") for b in kept.to_pylist()], pa.string())
+
+    text = F.when(F.col("rest._null"), F.lit(None)).otherwise(whole(F.col("kept")))
+    return found.select(*[(text if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
