@@ -395,8 +395,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs`` whose document has the smallest id of its component, one row an id; rows with a null id stay."""
     found = near_duplicates(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), shingle=shingle, percent=percent)
     gone = base.stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    left = docs.join(gone.select(F.col("doc_id").alias("_gone")), id_.cast("long") == F.col("_gone"), "left_anti")
-    one = Window.partitionBy(id_, F.when(id_.isNull(), F.xxhash64(text))).orderBy(F.xxhash64(text))
-    ranked = left.withColumn("_row", F.row_number().over(one))
-    return ranked.filter((F.col("_row") == 1) | id_.isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = base.packed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("h", F.xxhash64("text")).drop("text")
+    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("h"))).orderBy("h")
+    ranked = rows.join(gone, "doc_id", "left_anti").withColumn("n", F.row_number().over(one))
+    return ranked.filter("n = 1 OR doc_id IS NULL").select("row.*")

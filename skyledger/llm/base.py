@@ -37,9 +37,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(*cols: str) -> Column:
-    """A 64-bit key of a row's values."""
-    return F.xxhash64(*cols)
+def packed(docs: DataFrame, **cols: str) -> DataFrame:
+    """The whole row as the struct ``row``, beside copies of the columns to work on under names of one's own: no column
+    that the rows bring along can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(whole, *[F.col(f"`{source}`").alias(name) for name, source in cols.items()])
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

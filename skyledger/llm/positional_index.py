@@ -134,9 +134,9 @@ def occurrences(
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no test window, with their own columns."""
     found = occurrences(docs, benchmark, id_col, text_col, window=window)
-    bad = base.stored(found.filter(F.size("found") > 0).select(F.col("key").alias("_bad")).distinct(), "contaminated")
-    key = F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    return docs.join(bad, key == F.col("_bad"), "left_anti")
+    bad = base.stored(found.filter(F.size("found") > 0).select("key").distinct(), "contaminated")
+    key = F.xxhash64(docs[f"`{id_col}`"], F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")))
+    return docs.join(bad, key == bad["key"], "left_anti")
 
 
 def hit_words(found: Column) -> Column:

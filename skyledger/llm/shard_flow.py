@@ -153,26 +153,25 @@ def place(
     docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text", capacity: list[int] | None = None,
     blocks: int = BLOCKS,
 ) -> tuple[DataFrame, list[Transfer]]:
-    """The columns of ``docs`` with ``_old``, ``_shard`` and ``_slot``, and the transfers."""
-    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    """The columns of ``docs`` with ``_old``, ``_shard`` and ``_slot``, which replace columns of these names, and the
+    transfers."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    id_, text = F.col("id"), F.col("text")
     named = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        old.cast("long").alias("_old"),
-        F.pmod(F.xxhash64(id_), F.lit(blocks)).cast("int").alias("_block"),
+        whole, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), old.cast("long").alias("old"),
+        F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(blocks)).cast("int").alias("block"),
     )
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("_old", "_shard", "_slot")]
     sizes = base.stored(
-        named.groupBy(F.col("_old").alias("old"), F.col("_block").alias("block")).agg(F.sum(row_size(text)).alias("bytes"), F.count("*").alias("rows")), "blocks"
+        named.groupBy("old", "block").agg(F.sum(row_size(text)).alias("bytes"), F.count("*").alias("rows")), "blocks"
     )
     if sizes.isEmpty():
-        return named.drop("_block").withColumn("_shard", F.lit(0)).withColumn("_slot", F.lit(0).cast("long")), []
+        return named.select(*kept, F.col("old").alias("_old"), F.lit(0).alias("_shard"), F.lit(0).cast("long").alias("_slot")), []
     plan, moves = plan_blocks(sizes, shards, capacity)
-    plan = plan.select(
-        F.col("old").alias("_old"), F.col("block").alias("_block"), F.col("shard").alias("_shard"), "first"
-    )
-    inside = Window.partitionBy("_old", "_block").orderBy(id_, F.xxhash64(text))
-    ranked = named.withColumn("_rank", F.row_number().over(inside) - 1)
-    out = ranked.join(plan, ["_old", "_block"]).withColumn("_slot", F.col("first") + F.col("_rank"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_old", "_shard", "_slot"), moves
+    inside = Window.partitionBy("old", "block").orderBy(id_, F.xxhash64(text))
+    ranked = named.withColumn("rank", F.row_number().over(inside) - 1).drop("id", "text")
+    out = ranked.join(plan, ["old", "block"])
+    return out.select(*kept, F.col("old").alias("_old"), F.col("shard").alias("_shard"), (F.col("first") + F.col("rank")).alias("_slot")), moves
 
 
 def affected(moves: list[Transfer]) -> set[int]:

@@ -163,11 +163,11 @@ def predict(text: Column, model: Model) -> Column:
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The columns of ``docs`` with ``_lang``, ``_score`` and ``_accepted``."""
+    """The columns of ``docs`` with ``_lang``, ``_score`` and ``_accepted``, which replace columns of these names."""
     base.prepare(docs.sparkSession)
-    out = docs.withColumn("_p", predict(F.col(f"`{text_col}`").cast("string"), model))
+    out = base.packed(docs, text=text_col).withColumn("_p", predict(F.col("text").cast("string"), model))
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"row.`{c}`") for c in docs.columns if c not in ("_lang", "_score", "_accepted")],
         F.col("_p.lang").alias("_lang"),
         F.col("_p.score").alias("_score"),
         ((F.col("_p.lang") != UNKNOWN) & (F.col("_p.score") >= model.accept)).alias("_accepted"),

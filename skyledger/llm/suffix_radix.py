@@ -311,12 +311,13 @@ def remove_repeats(
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The columns of ``docs``, the text without its repeats; of a character that is cut in two, nothing stays. A null
     text stays null."""
-    named = docs.select("*", F.col(f"`{text_col}`").isNull().alias("_null"))
-    found = remove_repeats(named, id_col, text_col, window, gram, [c for c in named.columns if c != text_col])
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{text_col}`").isNull().alias("absent"), F.struct(*others).alias("others"))
+    found = remove_repeats(named, window=window, gram=gram, carry=["absent", "others"])
 
     @F.arrow_udf("string")
     def whole(kept: pa.Array) -> pa.Array:
         return pa.array([b.decode(errors="ignore") for b in kept.to_pylist()], pa.string())
 
-    text = F.when(F.col("rest._null"), F.lit(None)).otherwise(whole(F.col("kept")))
-    return found.select(*[(text if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+    text = F.when(F.col("rest.absent"), F.lit(None)).otherwise(whole(F.col("kept")))
+    return found.select(*[(text if c == text_col else F.col(f"rest.others.`{c}`")).alias(c) for c in docs.columns])

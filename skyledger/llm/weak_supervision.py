@@ -190,7 +190,8 @@ def posterior(patterns: np.ndarray, prior: float, chance: np.ndarray) -> np.ndar
 
 
 def judged(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The columns of ``docs``, with ``_m`` (counts), ``_failed``, ``_good`` (posterior) and ``_kept``.
+    """The columns of ``docs``, with ``_m`` (counts), ``_failed``, ``_good`` (posterior) and ``_kept``, which replace
+    columns of these names.
 
     Reads the texts twice: for the patterns of votes, and for the result.
     """
@@ -220,5 +221,4 @@ def judged(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> D
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    free = docs.select("*")
-    return judged(free, text_col, threshold).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged(base.packed(docs, text=text_col), "text", threshold).filter("_kept").select("row.*")
