@@ -7,7 +7,7 @@ capacities are a transport problem: staying in the shard of the same number is f
 ``rewrite`` writes the files of shards that a transfer touches; the others stay as they are.
 
 Law ``bytes``: new capacities are equal, so sizes differ by about a block. Sizes count the UTF-8 bytes of the text (null:
-none) plus ``OVERHEAD``. Null ids share a block; repeated rows count each, next to one another; an empty table gives an
+none) plus ``OVERHEAD``. A null old shard is -1, which no new shard is, so its rows move. Null ids share a block; repeated rows count each, next to one another; an empty table gives an
 empty one and no transfer.
 """
 
@@ -158,7 +158,7 @@ def place(
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     id_, text = F.col("id"), F.col("text")
     named = docs.select(
-        whole, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), old.cast("long").alias("old"),
+        whole, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(old.cast("long"), F.lit(-1)).alias("old"),
         F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(blocks)).cast("int").alias("block"),
     )
     kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("_old", "_shard", "_slot")]
