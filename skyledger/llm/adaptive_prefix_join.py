@@ -235,6 +235,14 @@ def in_prefix(rank, size, overlap, length):
     return rank <= size - overlap + length
 
 
+def may_reach(rank_x, rank_y, size_x, size_y, shared_x, shared_y, overlap):
+    """Whether a token of these ranks leaves room for the overlap: tokens shared before it are no more than either set
+    has there, those of one document left out, and likewise behind it. Arrays or columns."""
+    least = np.minimum if isinstance(rank_x, np.ndarray) else F.least
+    before = least(rank_x - (size_x - shared_x), rank_y - (size_y - shared_y))
+    return before + least(size_x - rank_x, size_y - rank_y) >= overlap
+
+
 def _pairs(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, length: np.ndarray) -> pa.Table:
     nil = pa.nulls(len(a))
     return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "shared": nil.cast(pa.int32()), "rank": nil.cast(pa.int32()), "length": length.astype(np.int32)})
@@ -274,7 +282,7 @@ def _lists(percent: int):
                 larger = (size[x] > size[y]) | ((size[x] == size[y]) & (cls[x] > cls[y]))
                 x, y = np.where(larger, x, y), np.where(larger, y, x)
                 overlap = overlap_asked(size[x], size[y], percent)
-                keep = in_prefix(rank[x], size[x], overlap, length[x]) & in_prefix(rank[y], size[y], overlap, length[x]) & may_link(size[x], size[y], shared[x], shared[y], percent)
+                keep = in_prefix(rank[x], size[x], overlap, length[x]) & in_prefix(rank[y], size[y], overlap, length[x]) & may_reach(rank[x], rank[y], size[x], size[y], shared[x], shared[y], overlap)
                 found.append(_counted(node[x[keep]], node[y[keep]]))
         if found:
             a, b, n = (np.concatenate(x) for x in zip(*found))
@@ -316,6 +324,28 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
+def apart_rows(member: DataFrame, percent: int) -> DataFrame:
+    """One row ``(a, b, length)`` per token and pair of a long list that the first links left apart, ``a`` the larger."""
+    columns = ("cls", "size", "shared", "rank", "length", "home")
+    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in columns])
+    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in columns])
+    larger = F.struct("o_size", "o_cls") > F.struct("p_size", "p_cls")
+    asked = F.when(larger, F.col("o_length")).otherwise(F.col("p_length"))
+    overlap = overlap_asked(F.col("o_size"), F.col("p_size"), percent)
+    prefixes = [in_prefix(F.col(f"{s}_rank"), F.col(f"{s}_size"), overlap, asked) for s in "op"]
+    room = may_reach(*[F.col(f"{s}_{c}") for c in ("rank", "size", "shared") for s in "op"], overlap)
+    once = (F.col("p_home") == F.col("main")) | (F.col("o_cls") < F.col("p_cls"))
+    return (
+        o.join(p, (o.token == p.token) & (F.col("o_home") != F.col("p_home")) & once)
+        .filter(prefixes[0] & prefixes[1] & room)
+        .select(
+            F.when(larger, F.col("o_cls")).otherwise(F.col("p_cls")).alias("a"),
+            F.when(larger, F.col("p_cls")).otherwise(F.col("o_cls")).alias("b"),
+            asked.alias("length"),
+        )
+    )
+
+
 def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Components ``(node, comp)`` of classes ``(cls, tokens, rarity)``; classes without a link are left out."""
     total = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
@@ -337,17 +367,7 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     spread = member.groupBy("token", "home").agg(F.count("*").alias("n")).groupBy("token")
     mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main")).filter("homes > 1").drop("homes")
     member = member.join(mixed, "token")
-    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "size", "shared", "rank", "length", "home")])
-    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in ("cls", "size", "shared", "rank", "length", "home")])
-    larger = F.struct("o_size", "o_cls") > F.struct("p_size", "p_cls")
-    pick = lambda c: (F.when(larger, F.col(f"o_{c}")).otherwise(F.col(f"p_{c}")), F.when(larger, F.col(f"p_{c}")).otherwise(F.col(f"o_{c}")))
-    (x, y), (sx, sy), (rx, ry), (asked, _) = pick("cls"), pick("size"), pick("rank"), pick("length")
-    overlap = overlap_asked(sx, sy, percent)
-    long = (
-        o.join(p, (o.token == p.token) & (F.col("o_home") != F.col("p_home")) & ((F.col("p_home") == F.col("main")) | (F.col("o_cls") < F.col("p_cls"))))
-        .filter(in_prefix(rx, sx, overlap, asked) & in_prefix(ry, sy, overlap, asked) & may_link(sx, sy, F.col("o_shared"), F.col("p_shared"), percent))
-        .groupBy(x.alias("a"), y.alias("b")).agg(F.count("*").alias("n"), F.max(asked).alias("length"))
-    )
+    long = apart_rows(member, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("length").alias("length"))
     counted = short.select("a", "b", "n", "length").unionByName(long.select("a", "b", "n", "length"))
     enough = counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length")).filter("n >= length")
     apart = of(of(enough, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
