@@ -1,17 +1,22 @@
-"""The readings table: partitioned Parquet with last-write-wins upserts.
+"""The readings table: partitioned Parquet with last-write-wins upserts under a commit log.
 
-    <path>/log/batch_id=7/chunk_start=2024-01-01/…          rows of one batch, unique per key
-    <path>/base/run=2/upto=7/chunk_start=2024-01-01/…       a chunk with batches 0..7 folded in
+    <path>/commits/0000000012.json                       the table after its 12th commit
+    <path>/commits/latest                                a hint where the newest commit is
+    <path>/data/commit=<name>/chunk_start=2024-01-01/…   rows of one commit, unique per key
 
-A batch overwrites only its own folder, so a retried batch leaves the same table. Folders count once their
-``_SUCCESS`` marker exists, so a reader never sees half a write. A chunk without waiting batches is read as
-it stands; only chunks with waiting batches pay for a merge.
+A writer stores its rows first and then commits them by creating the next numbered file, which only one writer can do;
+the loser reads the new state and tries again. That number orders the whole table, whoever writes: the later commit wins
+per key. A batch is named by its writer and number and is committed once; running it again changes nothing. Each commit
+file lists the live pieces of every chunk, so a reader opens one small file and lists no folder. A compaction replaces
+exactly the pieces it read; commits that arrive meanwhile stay as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+import json
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +26,34 @@ from pyspark.sql import types as T
 from skyledger.functions.time import chunk_start
 from skyledger.operators.changes import dedup_batch
 from skyledger.operators.filters import scan_range
-from skyledger.session import require_utc
-from skyledger.sources.files import exists, list_names, remove
+from skyledger.session import literal_table, require_utc
+from skyledger.sources.files import create, exists, list_names, read_text, remove, replace_text
 from skyledger.spec import DatasetSpec
 
 CHUNK_DAYS = 7
 
 
 @dataclass
-class Chunk:
-    """Folders that make up one 7-day chunk."""
+class State:
+    """The table after a commit. ``chunks`` maps a day to its live pieces ``[commit name, order]``, ``batches`` a writer to
+    the ranges of batch numbers it has committed, ``dropped`` lists folders that no reader of this state needs."""
 
-    base: str | None = None
-    upto: int = -1
-    logs: dict[int, str] = field(default_factory=dict)
+    version: int = 0
+    chunks: dict[str, list[list]] = field(default_factory=dict)
+    batches: dict[str, list[list[int]]] = field(default_factory=dict)
+    dropped: list[str] = field(default_factory=list)
+
+    def has(self, writer: str, batch: int) -> bool:
+        return any(low <= batch <= high for low, high in self.batches.get(writer, []))
+
+    def note(self, writer: str, batch: int) -> None:
+        joined: list[list[int]] = []
+        for low, high in sorted([*self.batches.get(writer, []), [batch, batch]]):
+            if joined and low <= joined[-1][1] + 1:
+                joined[-1][1] = max(joined[-1][1], high)
+            else:
+                joined.append([low, high])
+        self.batches[writer] = joined
 
 
 class ReadingsTable:
@@ -48,27 +67,32 @@ class ReadingsTable:
 
     @property
     def _stored(self) -> T.StructType:
+        fields = [T.StructField(f.name, f.dataType) for f in self.spec.schema]
         return T.StructType(
-            [T.StructField(f.name, f.dataType) for f in self.spec.schema]
-            + [
-                T.StructField("_set", T.ArrayType(T.StringType())),
-                T.StructField("batch_id", T.LongType()),
-                T.StructField("chunk_start", T.DateType()),
-            ]
+            [*fields, T.StructField("_set", T.ArrayType(T.StringType())), T.StructField("commit", T.StringType()), T.StructField("chunk_start", T.DateType())]
         )
 
     # -- writing
 
     def upsert(
-        self, batch: DataFrame, batch_id: int, cols: Sequence[str] | None = None, seq: str | None = None
-    ) -> None:
-        """Write one batch. Later batches win per key, NULLs included; ``cols`` names the only columns this
-        statement sets, the others keep their value. Within the batch the last row by ``seq`` wins."""
+        self, batch: DataFrame, batch_id: int, cols: Sequence[str] | None = None, seq: str | None = None, writer: str = "batch"
+    ) -> bool:
+        """Write one batch; false if the writer has committed this batch before.
+
+        The commit that comes later wins per key, NULLs included; ``cols`` names the only columns this statement sets, the
+        others keep their value. Within the batch the last row by ``seq`` wins, without one the greatest by its values.
+        Rows without key or instant are not stored.
+        """
+        if self.state().has(writer, batch_id):
+            return False
         spec = self.spec
         given = list(cols) if cols is not None else spec.values
         rows = batch.filter(F.col(spec.key).isNotNull() & F.col(spec.ts).isNotNull())
         if seq:
             rows = dedup_batch(rows.select(spec.key, spec.ts, *given, seq), [spec.key, spec.ts], seq)
+        else:
+            ordered = rows.select(spec.key, spec.ts, *given).withColumn("_order", F.struct(*given))
+            rows = dedup_batch(ordered, [spec.key, spec.ts], "_order")
         fields = {f.name: f.dataType for f in spec.schema}
         mark = F.array(*[F.lit(c) for c in given]) if cols is not None else F.lit(None)
         out = rows.select(
@@ -78,150 +102,180 @@ class ReadingsTable:
             mark.cast("array<string>").alias("_set"),
             chunk_start(spec.ts).alias("chunk_start"),
         )
-        self._write(out, f"{self.path}/log/batch_id={batch_id}")
+        name, days = self._store(out)
+
+        def add(state: State) -> bool:
+            if state.has(writer, batch_id):
+                return False
+            state.note(writer, batch_id)
+            for day in days:
+                state.chunks.setdefault(day, []).append([name, state.version + 1])
+            return True
+
+        done = self._commit(add)
+        if not done:
+            remove(self.spark, f"{self.path}/data/commit={name}")
+        return done
 
     def compact(self, before: date | None = None) -> list[date]:
-        """Fold waiting batches into chunks that end by ``before`` (all chunks when not given).
+        """Fold chunks of several pieces that end by ``before`` (all chunks when not given) into one piece each.
 
-        Rows are stored by station, newest first, which suits both encodings and file statistics.
+        Rows are stored by station, newest first, which suits both encodings and file statistics. Pieces committed while
+        this runs are not folded; if another compaction was faster, nothing is changed.
         """
-        chunks = {
-            day: c
-            for day, c in self._chunks().items()
-            if c.logs and (before is None or day + timedelta(days=CHUNK_DAYS) <= before)
-        }
-        if not chunks:
+        limit = lambda day: before is None or _day(day) + timedelta(days=CHUNK_DAYS) <= before
+        chosen = {day: pieces for day, pieces in self.state().chunks.items() if len(pieces) > 1 and limit(day)}
+        if not chosen:
             return []
-        upto = max(max(c.logs) for c in chunks.values())
-        run = 1 + max([-1, *[int(n.split("=")[1]) for n in list_names(self.spark, f"{self.path}/base") if "=" in n]])
-        merged = self._merged(chunks).withColumn("_set", F.lit(None).cast("array<string>"))
-        self._write(merged, f"{self.path}/base/run={run}/upto={upto}", sort=True)
-        return sorted(chunks)
+        name, days = self._store(self._merged(chosen), sort=True)
+
+        def swap(state: State) -> bool:
+            for day, pieces in chosen.items():
+                live = state.chunks.get(day, [])
+                if any(p not in live for p in pieces):
+                    return False
+                # The folded piece stands where the last of its pieces stood.
+                folded = [[name, max(order for _, order in pieces)]] if day in days else []
+                state.chunks[day] = sorted(folded + [p for p in live if p not in pieces], key=lambda p: p[1])
+                state.dropped += [_folder(p[0], day) for p in pieces]
+            return True
+
+        if not self._commit(swap):
+            remove(self.spark, f"{self.path}/data/commit={name}")
+            return []
+        return sorted(_day(d) for d in chosen)
 
     def vacuum(self) -> list[str]:
-        """Remove folders that a finished compaction has replaced."""
-        live = {f for c in self._chunks().values() for f in [c.base, *c.logs.values()] if f}
-        dropped = [f for f in self._chunk_folders() if f not in live]
-        for folder in dropped:
-            remove(self.spark, folder)
-        return dropped
+        """Remove folders that finished compactions have replaced, and commit files before the newest."""
+        gone: list[str] = []
+
+        def forget(state: State) -> bool:
+            gone[:] = state.dropped
+            state.dropped = []
+            return True
+
+        if self.state().dropped:
+            self._commit(forget)
+        for folder in gone:
+            remove(self.spark, f"{self.path}/{folder}")
+        for root in sorted({f.split("/chunk_start=")[0] for f in gone}):
+            if not any(n.startswith("chunk_start=") for n in list_names(self.spark, f"{self.path}/{root}")):
+                remove(self.spark, f"{self.path}/{root}")
+        newest = self.state().version
+        for old in list_names(self.spark, f"{self.path}/commits"):
+            if old.endswith(".json") and int(old[:-5]) < newest:
+                remove(self.spark, f"{self.path}/commits/{old}")
+        return gone
 
     def retention(self, as_of: datetime | None = None, days: int | None = None) -> list[date]:
         """Drop whole chunks whose range has fully aged out."""
-        now = as_of or datetime.now(timezone.utc)
-        limit = now.replace(tzinfo=None) - timedelta(days=self.spec.retention_days if days is None else days)
-        gone = set()
-        for folder in self._chunk_folders():
-            day = _day(folder)
-            if datetime.combine(day, datetime.min.time()) + timedelta(days=CHUNK_DAYS) <= limit:
-                remove(self.spark, folder)
-                gone.add(day)
-        return sorted(gone)
+        limit = _utc(as_of or datetime.now(timezone.utc)) - timedelta(days=self.spec.retention_days if days is None else days)
+        gone: list[str] = []
+
+        def drop(state: State) -> bool:
+            gone[:] = [d for d in state.chunks if _midnight(_day(d)) + timedelta(days=CHUNK_DAYS) <= limit]
+            for day in gone:
+                state.dropped += [_folder(name, day) for name, _ in state.chunks.pop(day)]
+            return bool(gone)
+
+        if self._commit(drop):
+            self.vacuum()
+        return sorted(_day(d) for d in gone)
 
     # -- reading
 
     def read(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
         """The current rows, with ``chunk_start``; chunks outside the range are not even listed."""
+        low, high = (None if v is None else _utc(v) for v in (since, until))
         chunks = {
-            day: c
-            for day, c in self._chunks().items()
-            if (since is None or datetime.combine(day, datetime.min.time()) + timedelta(days=CHUNK_DAYS) > since)
-            and (until is None or datetime.combine(day, datetime.min.time()) < until)
+            day: pieces
+            for day, pieces in self.state().chunks.items()
+            if (low is None or _midnight(_day(day)) + timedelta(days=CHUNK_DAYS) > low) and (high is None or _midnight(_day(day)) < high)
         }
-        clean = {d: c for d, c in chunks.items() if not c.logs}
-        single = {d: c for d, c in chunks.items() if c.base is None and len(c.logs) == 1}
-        dirty = {d: c for d, c in chunks.items() if d not in clean and d not in single}
         cols = [*self._row, "chunk_start"]
-        parts = [
-            self._load([c.base for c in clean.values()], "base").select(*cols) if clean else None,
-            self._load([f for c in single.values() for f in c.logs.values()], "log").select(*cols) if single else None,
-            self._merged(dirty).select(*cols) if dirty else None,
-        ]
-        found = [p for p in parts if p is not None]
-        if not found:
+        # A piece is unique per key, so a chunk of one piece needs no merge.
+        single = {d: p for d, p in chunks.items() if len(p) == 1}
+        several = {d: p for d, p in chunks.items() if len(p) > 1}
+        parts = ([self._load(single).select(*cols)] if single else []) + ([self._merged(several).select(*cols)] if several else [])
+        if not parts:
             return self.spark.createDataFrame([], self._stored).select(*cols)
-        out = found[0]
-        for part in found[1:]:
-            out = out.unionByName(part)
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return scan_range(out, self.spec.ts, since, until)
 
     def chunks(self) -> list[date]:
-        return sorted(self._chunks())
+        return sorted(_day(d) for d in self.state().chunks)
+
+    def state(self) -> State:
+        """The newest commit: found from the hint, and from there one by one."""
+        at = self._newest()
+        return State(**json.loads(read_text(self.spark, self._file(at)))) if at else State()
 
     # -- internals
 
-    def _write(self, rows: DataFrame, folder: str, sort: bool = False) -> None:
+    def _file(self, version: int) -> str:
+        return f"{self.path}/commits/{version:010d}.json"
+
+    def _newest(self) -> int:
+        hint = read_text(self.spark, f"{self.path}/commits/latest")
+        at = int(hint) if hint and hint.isdigit() else 0
+        if not at or not exists(self.spark, self._file(at)):
+            at = max([0, *[int(n[:-5]) for n in list_names(self.spark, f"{self.path}/commits") if n.endswith(".json")]])
+        while exists(self.spark, self._file(at + 1)):
+            at += 1
+        return at
+
+    def _commit(self, change: Callable[[State], bool]) -> bool:
+        """Apply a change to the newest state until it is committed, or it declines."""
+        while True:
+            state = self.state()
+            if not change(state):
+                return False
+            state.chunks = {d: p for d, p in state.chunks.items() if p}
+            state.version += 1
+            if create(self.spark, self._file(state.version), json.dumps(asdict(state), sort_keys=True)):
+                replace_text(self.spark, f"{self.path}/commits/latest", str(state.version))
+                return True
+
+    def _store(self, rows: DataFrame, sort: bool = False) -> tuple[str, list[str]]:
+        """Write rows under a new name; returns it with the days that have rows."""
+        name = uuid.uuid4().hex
+        folder = f"{self.path}/data/commit={name}"
         # Rebalancing keeps files few and splits a chunk that outgrows one task.
         placed = rows.hint("rebalance", "chunk_start")
         if sort:
             placed = placed.sortWithinPartitions("chunk_start", self.spec.key, F.desc(self.spec.ts))
         placed.write.mode("overwrite").partitionBy("chunk_start").parquet(folder)
+        return name, [n.split("=")[1] for n in list_names(self.spark, folder) if n.startswith("chunk_start=")]
 
-    def _load(self, folders: list[str], kind: str) -> DataFrame:
-        known = [f for f in self._stored if f.name not in ("batch_id", "chunk_start")]
-        parts = [T.StructField("chunk_start", T.DateType())]
-        extra = ["run", "upto"] if kind == "base" else ["batch_id"]
-        schema = T.StructType(known + [T.StructField(e, T.LongType()) for e in extra] + parts)
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*folders)
-        return rows.withColumnRenamed("upto", "batch_id").drop("run")
+    def _load(self, chunks: dict[str, list[list]]) -> DataFrame:
+        folders = [f"{self.path}/{_folder(name, day)}" for day, pieces in chunks.items() for name, _ in pieces]
+        return self.spark.read.schema(self._stored).option("basePath", f"{self.path}/data").parquet(*folders)
 
-    def _merged(self, chunks: dict[date, Chunk]) -> DataFrame:
-        """Per column, the value of the last batch that set it; combinable, keyed on station and instant."""
+    def _merged(self, chunks: dict[str, list[list]]) -> DataFrame:
+        """Per column, the value of the last commit that set it; combinable, keyed on station and instant."""
         spec = self.spec
-        base = [c.base for c in chunks.values() if c.base]
-        logs = [f for c in chunks.values() for f in c.logs.values()]
-        parts = ([self._load(base, "base")] if base else []) + ([self._load(logs, "log")] if logs else [])
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return rows.groupBy(spec.key, spec.ts, "chunk_start").agg(
-            *[
-                F.max_by(
-                    c, F.when(F.col("_set").isNull() | F.array_contains("_set", c), F.col("batch_id"))
-                ).alias(c)
-                for c in spec.values
-            ]
+        # A folded piece takes an order of its own in each chunk.
+        order = literal_table(self.spark, sorted((n, d, o) for d, pieces in chunks.items() for n, o in pieces), "commit string, day string, _order long")
+        places = order.select("commit", F.col("day").cast("date").alias("chunk_start"), "_order")
+        marked = lambda c: F.when(F.col("_set").isNull() | F.array_contains("_set", c), F.col("_order"))
+        merged = (
+            self._load(chunks).join(places, ["commit", "chunk_start"]).groupBy(spec.key, spec.ts, "chunk_start")
+            .agg(*[F.max_by(c, marked(c)).alias(c) for c in spec.values])
         )
+        return merged.withColumn("_set", F.lit(None).cast("array<string>"))
+
+
+def _folder(name: str, day: str) -> str:
+    return f"data/commit={name}/chunk_start={day}"
+
+
+def _day(text: str) -> date:
+    return date.fromisoformat(text)
+
+
+def _midnight(day: date) -> datetime:
+    return datetime.combine(day, datetime.min.time())
+
 
-    def _finished(self, folder: str) -> bool:
-        return exists(self.spark, f"{folder}/_SUCCESS")
-
-    def _roots(self) -> list[tuple[str, int, int | None]]:
-        """Finished folders as ``(path, last batch, run)``; run is None for a log batch."""
-        roots = []
-        for name in list_names(self.spark, f"{self.path}/log"):
-            if name.startswith("batch_id="):
-                roots.append((f"{self.path}/log/{name}", int(name.split("=")[1]), None))
-        for run in list_names(self.spark, f"{self.path}/base"):
-            for upto in list_names(self.spark, f"{self.path}/base/{run}"):
-                if upto.startswith("upto="):
-                    folder = f"{self.path}/base/{run}/{upto}"
-                    roots.append((folder, int(upto.split("=")[1]), int(run.split("=")[1])))
-        return [r for r in roots if self._finished(r[0])]
-
-    def _chunk_folders(self) -> list[str]:
-        return [
-            f"{root}/{name}"
-            for root, _, _ in self._roots()
-            for name in list_names(self.spark, root)
-            if name.startswith("chunk_start=")
-        ]
-
-    def _chunks(self) -> dict[date, Chunk]:
-        chunks: dict[date, Chunk] = {}
-        roots = self._roots()
-        for root, upto, run in sorted((r for r in roots if r[2] is not None), key=lambda r: r[2]):
-            for name in list_names(self.spark, root):
-                if name.startswith("chunk_start="):
-                    chunk = chunks.setdefault(_day(name), Chunk())
-                    chunk.base, chunk.upto = f"{root}/{name}", upto
-        for root, batch, run in roots:
-            if run is None:
-                for name in list_names(self.spark, root):
-                    if name.startswith("chunk_start="):
-                        chunk = chunks.setdefault(_day(name), Chunk())
-                        if batch > chunk.upto:
-                            chunk.logs[batch] = f"{root}/{name}"
-        return chunks
-
-
-def _day(folder: str) -> date:
-    return date.fromisoformat(folder.rsplit("chunk_start=", 1)[1])
+def _utc(at: datetime) -> datetime:
+    return at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at

@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,14 +184,91 @@ def test_compaction_is_invisible_and_partial(spark, rows, tmp_path):
     assert table.compact() == []
 
 
-def test_unfinished_folders_are_not_read(spark, tmp_path):
+def test_uncommitted_rows_are_not_read(spark, tmp_path, monkeypatch):
     table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
     table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), 0)
-    table.upsert(air_rows(spark, ("a", 0, 9.0, "x")), 1)
-    (tmp_path / "t" / "log" / "batch_id=1" / "_SUCCESS").unlink()
+    monkeypatch.setattr(ReadingsTable, "_commit", lambda self, change: False)
+    assert not table.upsert(air_rows(spark, ("a", 0, 9.0, "x")), 1)
     assert [r.no2 for r in table.read().collect()] == [1.0]
 
 
+def test_two_writers_number_their_own_batches(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    assert table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), 0, writer="backfill")
+    assert table.upsert(air_rows(spark, ("b", 0, 2.0, "x")), 0, writer="stream")
+    assert not table.upsert(air_rows(spark, ("b", 0, 9.0, "x")), 0, writer="stream")
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 1.0), ("b", 2.0)]
+
+
+def test_a_batch_that_comes_after_a_compaction_is_read(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), 6)
+    table.upsert(air_rows(spark, ("a", 0, 7.0, "x")), 7)
+    table.compact()
+    table.upsert(air_rows(spark, ("b", 0, 3.0, "x")), 3)
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 7.0), ("b", 3.0)]
+
+
+def test_commits_during_a_compaction_survive_it(spark, rows, tmp_path, monkeypatch):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(2):
+        table.upsert(air_rows(spark, ("a", 0, float(n), "x")), n)
+    real = ReadingsTable._store
+
+    def slow(self, frame, sort=False):
+        out = real(self, frame, sort)
+        if sort:
+            monkeypatch.setattr(ReadingsTable, "_store", real)
+            ReadingsTable(spark, self.path, AIR).upsert(air_rows(spark, ("a", 0, 9.0, "x"), ("b", 0, 5.0, "x")), 2)
+        return out
+
+    monkeypatch.setattr(ReadingsTable, "_store", slow)
+    assert table.compact() == [date(2024, 1, 1)]
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 9.0), ("b", 5.0)]
+    table.vacuum()
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 9.0), ("b", 5.0)]
+
+
+def test_keys_are_unique_without_a_sequence(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x"), ("a", 0, 2.0, "x"), ("a", 0, None, "y")), 0)
+    before = rows(table.read(), "fiwareid", "no2")
+    table.compact()
+    assert len(before) == 1 and rows(table.read(), "fiwareid", "no2") == before
+
+
+def test_reading_costs_no_more_with_more_batches(spark, tmp_path, monkeypatch):
+    from skyledger.sources import table as module
+
+    table, calls = ReadingsTable(spark, str(tmp_path / "t"), AIR), []
+    for name in ("exists", "list_names", "read_text"):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=real: calls.append(f) or f(*a))
+
+    def cost():
+        calls.clear()
+        table.read()
+        return len(calls)
+
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), 0)
+    first = cost()
+    for n in range(1, 5):
+        table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), n)
+    assert cost() == first
+    table.compact()
+    table.vacuum()
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and len(list((tmp_path / "t" / "commits").glob("*.json"))) == 1
+
+
+def test_a_lost_hint_does_no_harm(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(3):
+        table.upsert(air_rows(spark, ("a", 0, float(n), "x")), n)
+    for name in ("latest", ".latest.crc"):
+        (tmp_path / "t" / "commits" / name).unlink()
+    assert rows(table.read(), "no2") == [(2.0,)]
+
+
 def test_range_read_touches_only_its_chunks(spark, rows, tmp_path):
     table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
     table.upsert(air_rows(spark, ("a", 0, 1.0, "x"), ("a", 24 * 9, 2.0, "x"), ("a", 24 * 20, 3.0, "x")), 0)
@@ -207,7 +284,9 @@ def test_retention_drops_whole_old_chunks(spark, rows, tmp_path):
     table.compact()
     # The first chunk ends on the 8th: with seven days kept it goes on the 15th, not before.
     assert table.retention(datetime(2024, 1, 14, 23), 7) == []
-    assert table.retention(datetime(2024, 1, 15), 7) == [date(2024, 1, 1)]
+    east = timezone(timedelta(hours=2))
+    assert table.retention(datetime(2024, 1, 15, 1, tzinfo=east), 7) == []
+    assert table.retention(datetime(2024, 1, 15, 2, tzinfo=east), 7) == [date(2024, 1, 1)]
     assert rows(table.read(), "no2") == [(3.0,)]
 
 
