@@ -39,7 +39,7 @@ SHINGLE, PERCENT = 5, 75
 MAX_LENGTH, SHORT = 4, 24
 POSTING_COST, TOKEN_COST = 4.0, 0.05
 KEY_BITS = 30
-POSTINGS_PER_BUCKET = 2 << 20
+POSTINGS_PER_BUCKET = 1 << 18
 
 
 def document_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np.ndarray]:
@@ -353,7 +353,7 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     blobs = sets.select("cls", "tokens", "rarity").mapInArrow(
         _postings(percent, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in POSTING)
     )
-    lists = base.stored(blobs.groupBy("bucket").applyInArrow(_lists(percent), PAIRS), "lists")
+    lists = base.stored(blobs.groupBy("bucket").applyInArrow(base.trimmed(_lists(percent)), PAIRS), "lists")
     star = lists.filter(F.col("kind") == STAR).groupBy("a", "b").agg(F.sum("n").alias("n"))
     best = star.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
     first = base.stored(verified(best, sets, percent), "star_links")
@@ -391,9 +391,9 @@ def near_duplicates(
     rows, _, total = blocks.in_blocks(docs, id_col, text_col)
     bits = blocks.bucket_bits(total / 6)
     dealt = rows.groupBy("blk")
-    sent = dealt.applyInArrow(_send_keys(shingle, bits), blocks.BLOB)
-    said = sent.groupBy("bucket").applyInArrow(_answer_keys(bits), blocks.BLOB)
-    found = base.stored(dealt.cogroup(said.groupBy("blk")).applyInArrow(_ordered_sets(shingle, percent, bits), SETS), "sets")
+    sent = dealt.applyInArrow(base.trimmed(_send_keys(shingle, bits)), blocks.BLOB)
+    said = sent.groupBy("bucket").applyInArrow(base.trimmed(_answer_keys(bits)), blocks.BLOB)
+    found = base.stored(dealt.cogroup(said.groupBy("blk")).applyInArrow(base.trimmed(_ordered_sets(shingle, percent, bits)), SETS), "sets")
     comp = class_links(found.filter(F.col("tokens").isNotNull()).select("cls", "tokens", "rarity"), percent)
     linked = found.filter(F.col("cls").isNotNull()).select("doc_id", "n_shingles", "cls")
     # Classes with a document in common belong together, too.

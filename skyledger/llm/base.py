@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,11 @@ from skyledger.session import work_dir
 #: Rows and bytes of one Arrow batch sent to Python; a batch never holds much more text than this.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: Text bytes that numpy works on at a time, whole documents at least.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+_libc = None
+
 
 def prepare(spark: SparkSession) -> None:
     """Let workers find this package where the driver has it, and keep Arrow batches small, so that long texts
@@ -29,6 +32,34 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def trim() -> None:
+    """Give freed memory back to the system; a Python worker is kept for later tasks and would keep it, too."""
+    global _libc
+    if _libc is None:
+        _libc = ctypes.CDLL(None)
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
+def trimmed(work: Callable) -> Callable:
+    """The function of one or two arguments, with ``trim`` after every call."""
+
+    def one(a):
+        try:
+            return work(a)
+        finally:
+            trim()
+
+    def two(a, b):
+        try:
+            return work(a, b)
+        finally:
+            trim()
+
+    return two if work.__code__.co_argcount == 2 else one
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

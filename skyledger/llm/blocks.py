@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes of a block, and keys of a bucket, on average.
-BLOCK_BYTES, BUCKET_KEYS = 4 << 20, 2 << 20
+BLOCK_BYTES, BUCKET_KEYS = 4 << 20, 1 << 20
 BLOB = "blk long, bucket long, keys binary, vals binary"
 
 

@@ -209,9 +209,9 @@ def remove_recurring(
     rows, _, total = blocks.in_blocks(docs, id_col, text_col)
     bits = blocks.bucket_bits(total * WORDS_PER_BYTE * 2 / (window - gram + 2))
     dealt = rows.groupBy("blk")
-    counted = lambda t: blocks.answer(blocks.total_count, "u1", t)
-    grams = dealt.applyInArrow(_gram_keys(window, gram, bits), blocks.BLOB).groupBy("bucket").applyInArrow(counted, blocks.BLOB)
-    windows = dealt.cogroup(grams.groupBy("blk")).applyInArrow(_window_keys(window, gram, bits), blocks.BLOB)
+    counted = base.trimmed(lambda t: blocks.answer(blocks.total_count, "u1", t))
+    grams = dealt.applyInArrow(base.trimmed(_gram_keys(window, gram, bits)), blocks.BLOB).groupBy("bucket").applyInArrow(counted, blocks.BLOB)
+    windows = dealt.cogroup(grams.groupBy("blk")).applyInArrow(base.trimmed(_window_keys(window, gram, bits)), blocks.BLOB)
     confirmed = windows.groupBy("bucket").applyInArrow(counted, blocks.BLOB)
     both = grams.withColumn("step", F.lit(1)).unionByName(confirmed.withColumn("step", F.lit(2)))
-    return dealt.cogroup(both.groupBy("blk")).applyInArrow(_streamed(window, gram, bits), RESULT)
+    return dealt.cogroup(both.groupBy("blk")).applyInArrow(base.trimmed(_streamed(window, gram, bits)), RESULT)

@@ -34,7 +34,7 @@ STEP = 0x9E3779B97F4A7C15
 SLOT_BITS = 20
 NULL_KEY = np.uint64(0xA5A5A5A55A5A5A5A)
 #: Text bytes segmented at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -225,6 +225,7 @@ def encode(id_: Column, text: Column, seed: int = 1, path: str = MODEL, sharpnes
     """A sampled segmentation of each text as an array of piece ids."""
 
     @F.arrow_udf("array<int>")
+    @base.trimmed
     def encoded(ids: pa.Array, texts: pa.Array) -> pa.Array:
         v = vocabulary(path, sharpness)
         keys = row_keys(ids, seed)
@@ -256,6 +257,7 @@ def decode(pieces: Column, path: str = MODEL) -> Column:
     """The text of an array of piece ids; the space that encoding puts in front is taken off again."""
 
     @F.arrow_udf("string")
+    @base.trimmed
     def texts(lists: pa.Array) -> pa.Array:
         v = vocabulary(path)
         ends = lists.offsets.to_numpy()

@@ -141,11 +141,12 @@ def predict(text: Column, model: Model) -> Column:
     langs, table, temperature = model.langs, model.table, model.temperature
 
     @F.arrow_udf("lang: string, score: double")
+    @base.trimmed
     def predicted(texts: pa.Array) -> pa.Array:
         data, offsets = base.flat(texts)
         n = len(offsets) - 1
         logits = np.zeros((n, len(langs)))
-        for first, last, d, o in base.chunks(data, offsets, base.CHUNK_BYTES // 4):
+        for first, last, d, o in base.chunks(data, offsets, base.CHUNK_BYTES):
             bucket, doc = gram_buckets(d, o)
             times = np.maximum(np.bincount(doc, minlength=last - first), 1)
             for j in range(len(langs)):

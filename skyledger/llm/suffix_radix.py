@@ -297,15 +297,15 @@ def remove_repeats(
     rows, _, total = blocks.in_blocks(docs, id_col, text_col, carry=carry)
     bits = blocks.bucket_bits(total * 2 / (window - gram + 2))
     dealt = rows.groupBy("blk")
-    sent = dealt.applyInArrow(_anchor_keys(window, gram, bits), blocks.BLOB)
-    seen = sent.groupBy("bucket").applyInArrow(lambda t: blocks.answer(_several, "u1", t), blocks.BLOB)
-    records = dealt.cogroup(seen.groupBy("blk")).applyInArrow(_records(window, gram, bits), blocks.BLOB)
-    judged = records.groupBy("bucket").applyInArrow(_sorted_bucket(window, gram), blocks.BLOB)
+    sent = dealt.applyInArrow(base.trimmed(_anchor_keys(window, gram, bits)), blocks.BLOB)
+    seen = sent.groupBy("bucket").applyInArrow(base.trimmed(lambda t: blocks.answer(_several, "u1", t)), blocks.BLOB)
+    records = dealt.cogroup(seen.groupBy("blk")).applyInArrow(base.trimmed(_records(window, gram, bits)), blocks.BLOB)
+    judged = records.groupBy("bucket").applyInArrow(base.trimmed(_sorted_bucket(window, gram)), blocks.BLOB)
     both = seen.withColumn("step", F.lit(1)).unionByName(judged.withColumn("step", F.lit(2)))
     schema = T.StructType.fromDDL(RESULT)
     if carry:
         schema = schema.add("rest", rows.schema["rest"].dataType)
-    return dealt.cogroup(both.groupBy("blk")).applyInArrow(_removed(window, gram, bits), schema)
+    return dealt.cogroup(both.groupBy("blk")).applyInArrow(base.trimmed(_removed(window, gram, bits)), schema)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:

@@ -116,6 +116,7 @@ def measure(text: Column, insults: list[str] | None = None) -> Column:
     known = np.array([_word_hash(w) for w in (INSULTS if insults is None else insults)], np.uint64)
 
     @F.arrow_udf(MEASURE)
+    @base.trimmed
     def counted(texts: pa.Array) -> pa.Array:
         data, offsets = base.flat(texts)
         rows = [counts(d, o, known) for _, _, d, o in base.chunks(data, offsets)]
