@@ -79,10 +79,20 @@ def gap_summary(gaps: DataFrame, dataset: str | None = None, gap: str = "gap_hou
     )
 
 
-def count_between(df: DataFrame, dataset: str, ts: str, start, end, name: str = "row_count") -> DataFrame:
-    """Rows per dataset in the half-open range of whole UTC days."""
+def count_between(
+    df: DataFrame, dataset: str, ts: str, start, end, name: str = "row_count", expected: DataFrame | None = None
+) -> DataFrame:
+    """Rows per dataset in the half-open range of whole UTC days; only that range is read.
+
+    Datasets listed in ``expected`` get a row of 0 if they have none.
+    """
     day0, day1 = F.date_trunc("day", instant(start)), F.date_trunc("day", instant(end))
-    return df.groupBy(dataset).agg(F.count_if((F.col(ts) >= day0) & (F.col(ts) < day1)).alias(name))
+    counts = df.filter((F.col(ts) >= day0) & (F.col(ts) < day1)).groupBy(dataset).agg(F.count(F.lit(1)).alias(name))
+    if expected is None:
+        return counts
+    listed = expected.select(F.col(dataset).alias("_dataset")).distinct()
+    joined = listed.join(counts, F.col("_dataset").eqNullSafe(F.col(dataset)), "left")
+    return joined.select(F.col("_dataset").alias(dataset), F.coalesce(name, F.lit(0).cast("long")).alias(name))
 
 
 def active_datasets(df: DataFrame, dataset: str, ts: str, as_of=None, days: int = 60) -> DataFrame:

@@ -64,26 +64,28 @@ def next_state(
 ) -> tuple[DataFrame, DataFrame]:
     """Offset and fingerprints after a poll, from what it emitted and the state before it.
 
-    The remembered rows join the emitted ones with the lowest sequence, so one aggregate covers both an
+    The remembered rows join the emitted ones and rank before them, so one aggregate covers both an
     advanced watermark, which forgets them, and a standing one, which overlays them.
     """
-    fresh = emitted.select(spec.key, spec.ts, F.col(seq).cast("long").alias(seq), "_fp")
+    rank = lambda fresh, at: F.struct(F.lit(fresh).alias("fresh"), at.alias("at")).alias("_rank")
+    none = F.lit(None).cast(emitted.schema[seq].dataType)
+    fresh = emitted.select(spec.key, spec.ts, rank(1, F.col(seq)), "_fp")
     if scope == "station":
-        known = seen.select(spec.key, F.col("offset").alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
+        known = seen.select(spec.key, F.col("offset").alias(spec.ts), rank(0, none), "_fp")
         after = (
             known.unionByName(fresh)
             .groupBy(spec.key)
-            .agg(F.max(spec.ts).alias("offset"), F.max_by("_fp", F.struct(spec.ts, seq)).alias("_fp"))
+            .agg(F.max(spec.ts).alias("offset"), F.max_by("_fp", F.struct(spec.ts, "_rank")).alias("_fp"))
         )
         return after.agg(F.max("offset").alias("offset")), after
     before = offset.select("offset")
     top = fresh.agg(F.max(spec.ts).alias("offset")).union(before).agg(F.max("offset").alias("offset"))
-    known = seen.select(spec.key, before.scalar().alias(spec.ts), F.lit(-1).cast("long").alias(seq), "_fp")
+    known = seen.select(spec.key, before.scalar().alias(spec.ts), rank(0, none), "_fp")
     after = (
         known.unionByName(fresh)
         .filter(F.col(spec.ts) == top.scalar())
         .groupBy(spec.key)
-        .agg(F.max_by("_fp", seq).alias("_fp"))
+        .agg(F.max_by("_fp", "_rank").alias("_fp"))
     )
     return top, after
 

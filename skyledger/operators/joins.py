@@ -64,6 +64,7 @@ def station_coord_match(
         .agg(F.min(right_id).alias(right_id))
         .withColumn("_y", F.floor(F.col("r_lat") / F.lit(lat_step / 2**finest)).cast("long"))
         .withColumn("_row", F.shiftright("_y", finest))
+        .withColumn("r_lon", F.explode(_turns(F.col("r_lon"), _lon_step(F.col("_row"), max_m))))
         .withColumn("_x", F.floor(F.col("r_lon") / _lon_step(F.col("_row"), max_m) * F.lit(2**finest)).cast("long"))
     )
     here = F.floor(F.col("lat") / F.lit(lat_step)).cast("long")
@@ -124,6 +125,13 @@ def _cell_distances(max_m: float, level: int) -> tuple[Column, Column]:
     return near * 0.98 - 0.01, haversine_m(lat, lon, far_lat, far_lon) * 1.02 + 0.01
 
 
+def _turns(lon: Column, step: Column) -> Column:
+    """A longitude and, near the date line, the same one a turn further, so that both sides meet."""
+    return F.array_compact(
+        F.array(lon, F.when(lon + 360 < 180 + 3 * step, lon + 360), F.when(lon - 360 > -180 - 3 * step, lon - 360))
+    )
+
+
 def _steps(centre: Column) -> Column:
     return F.array(centre - 1, centre, centre + 1)
 

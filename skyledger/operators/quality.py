@@ -156,15 +156,19 @@ def freshness(
     hold="30 minutes",
     dataset: str = "dataset",
     ts: str = "ts",
+    weight: str | None = None,
 ) -> DataFrame:
     """Per expected dataset: rows in the window, and ``ok``, ``pending`` or ``firing``.
 
+    ``weight`` names a column that says how many rows each row stands for.
+
     An alert fires once the window has been empty for ``hold``, so only the last ``window + hold`` is read.
     """
     total = interval_seconds(window) + interval_seconds(hold)
     recent = df.filter((F.col(ts) > before(as_of, total)) & (F.col(ts) <= instant(as_of)))
     counts = recent.groupBy(dataset).agg(
-        F.count_if(F.col(ts) > before(as_of, window)).alias("_rows"), F.max(ts).alias("last_ts")
+        F.coalesce(F.sum(F.when(F.col(ts) > before(as_of, window), F.col(weight) if weight else F.lit(1))), F.lit(0)).cast("long").alias("_rows"),
+        F.max(ts).alias("last_ts"),
     )
     state = F.when(F.col("_rows") > 0, "ok").when(F.col("last_ts").isNotNull(), "pending").otherwise("firing")
     return expected.select(dataset).distinct().join(counts, dataset, "left").select(

@@ -53,13 +53,20 @@ def latest_per_station(
     """The newest whole row of each station.
 
     Text columns turn the aggregate into a sort of its input. With any of them, a hash aggregate over two
-    narrow columns first finds how far back the quietest station's newest row lies; nothing older is read.
+    narrow columns first finds every station's newest instant, and only rows at it are aggregated whole.
+    A station without any instant has one row of NULLs, whatever the types.
     """
     wanted = [c for c in (cols or df.columns) if c not in (key, ts)]
     rows = df.select(key, ts, *wanted)
     if not all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in wanted):
-        newest = df.groupBy(key).agg(F.max(ts).alias(ts))
-        rows = rows.filter(F.col(ts) >= newest.agg(F.min(ts)).scalar())
+        newest = df.groupBy(key).agg(F.max(ts).alias("_newest")).withColumnRenamed(key, "_station")
+        match = [F.col(key).eqNullSafe(F.col("_station")), F.col(ts) == F.col("_newest")]
+        at_it = last_row(rows.join(newest, match, "left_semi"), [key], [ts]).select(key, ts, *wanted)
+        types = {c: df.schema[c].dataType for c in wanted}
+        silent = newest.filter(F.col("_newest").isNull()).select(
+            F.col("_station").alias(key), F.col("_newest").alias(ts), *[F.lit(None).cast(t).alias(c) for c, t in types.items()]
+        )
+        return at_it.unionByName(silent)
     return last_row(rows, [key], [ts]).select(key, ts, *wanted)
 
 
@@ -99,15 +106,19 @@ def preceding_max(
         .agg(F.max("_value").alias("_block_max"))
         .select(*part, F.max("_block_max").over(earlier).alias("_carry"))
     )
+    # NULL is a key like any other.
+    names = {c: f"_carried_{i}" for i, c in enumerate(part)}
+    carried = carried.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
     return (
         rows.withColumn("_inside", F.max("_value").over(inside))
-        .join(carried, part, "left")
+        .join(carried, same, "left")
         .withColumn(name, F.greatest("_inside", "_carry"))
-        .drop("_block", "_value", "_inside", "_carry")
+        .drop("_block", "_value", "_inside", "_carry", *names.values())
     )
 
 
-def tick_gaps(df: DataFrame, dataset: str, ts: str = "ts", block: str = "1 day") -> DataFrame:
+def tick_gaps(df: DataFrame, dataset: str, ts: str = "ts", block: str = "1 hour") -> DataFrame:
     """Hours between successive distinct ticks of a dataset, one row per advance."""
     ticks = df.filter(F.col(ts).isNotNull()).select(dataset, ts).distinct()
     lagged = preceding_max(ticks, [dataset], ts, F.col(ts), time_block(ts, block), "previous_ts")
@@ -136,8 +147,7 @@ def station_advances(
         rows.join(polls, poll), [key], poll, F.when(F.col("_resets"), F.col(poll)), number_block(poll, block), "_since"
     )
     segment = F.when(F.col("_resets"), F.col(poll)).otherwise(F.coalesce("_since", F.lit(-1).cast("long")))
-    # Read three times below; without the checkpoint each use would repeat all work before it.
-    rows = rows.withColumn("_segment", segment).drop("_since").checkpoint()
+    rows = rows.withColumn("_segment", segment).drop("_since")
     # What a station was last seen at is the greatest tick of its latest segment before this poll.
     judged = preceding_max(rows, [key], poll, F.struct("_segment", ts), number_block(poll, block), "_memory")
     judged = judged.withColumn("last_seen", F.col("_memory")[ts]).withColumn(
@@ -153,7 +163,7 @@ def station_advances(
 
 
 def alert_sustained(
-    df: DataFrame, condition: Column, hold, keys: Sequence[str], ts: str = "ts", block: str = "1 day"
+    df: DataFrame, condition: Column, hold, keys: Sequence[str], ts: str = "ts", block: str = "1 hour"
 ) -> DataFrame:
     """Unbroken runs of samples that meet the condition, and whether each lasted ``hold``.
 

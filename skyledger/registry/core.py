@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +73,24 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/event[s].parquet")
+def landed_parts(spark: SparkSession, sf_dir: str, folder: str, parts: int = 5, shape=None) -> Iterator[int]:
+    """Append the events to a folder in parts of whole days, oldest first; a stream run after each part has as many
+    micro-batches. ``shape`` turns events into what is written."""
+    rows = events(spark, sf_dir)
+    first, last = rows.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    step = -(-((last - first).days + 1) // parts)
+    for n in range(parts):
+        low, high = first + timedelta(days=n * step), first + timedelta(days=(n + 1) * step)
+        part = rows.filter((F.col("ts") >= F.lit(low).cast("timestamp")) & (F.col("ts") < F.lit(high).cast("timestamp")))
+        if shape is None:
+            part.write.mode("append").parquet(folder)
+        else:
+            shape(part).write.mode("append").json(folder)
+        yield n
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(EVENTS).parquet(folder)
 
 
 def when_type(name: str) -> Column:

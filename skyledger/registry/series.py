@@ -374,7 +374,8 @@ def _(spark, sf):
       AS row_count FROM events GROUP BY event_type""",
 )
 def _(spark, sf):
-    return A.count_between(events(spark, sf), "event_type", "ts", "2024-01-05T10:00:00", "2024-01-20T10:00:00")
+    return A.count_between(events(spark, sf), "event_type", "ts", "2024-01-05T10:00:00", "2024-01-20T10:00:00",
+                           expected=events(spark, sf).select("event_type"))
 
 
 @query(

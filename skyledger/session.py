@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -36,13 +34,11 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local folder stands in only for a local master."""
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or the warehouse where that is not set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-    return os.path.join(tempfile.gettempdir(), "skyledger-shared")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.once import bound, spread
+from skyledger.session import literal_table
 from skyledger.spec import SPECS
 
 # Wrapper fields searched for the record list, in order.
 WRAPPERS = ["results", "records", "data", "features", "items"]
 
-PAGE_CAPACITY = 1_000_000
 PAGE_NUMBER = r"(\d+)\.[A-Za-z]+$"
 DATASET_FILE = r"(?i)^(.*?)(?:_(?:full|metadata).*)?\.[^.]+$"
 
@@ -27,7 +27,8 @@ def parse_record_pages(pages: DataFrame, schema: T.StructType) -> tuple[DataFram
     """Records of ``(file, value)`` page texts, and the pages that hold no record list.
 
     A page is a bare list or an object with a list under one of the wrapper fields or ``result.records``.
-    Records carry ``_page`` (the number at the end of the file name) and ``_seq`` (page, then position).
+    Records carry ``_page`` (the number at the end of the file name) and ``_seq`` (page, file, then position), which no
+    two records share.
     """
     rows = T.ArrayType(schema)
     wrapper = T.StructType(
@@ -51,8 +52,8 @@ def parse_record_pages(pages: DataFrame, schema: T.StructType) -> tuple[DataFram
     )
     records = (
         listed.filter(F.col("_records").isNotNull())
-        .select("_page", F.posexplode("_records").alias("_pos", "_record"))
-        .select("_record.*", "_page", (F.col("_page") * F.lit(PAGE_CAPACITY) + F.col("_pos")).alias("_seq"))
+        .select("_page", "file", F.posexplode("_records").alias("_pos", "_record"))
+        .select("_record.*", "_page", F.struct(F.col("_page").alias("page"), "file", F.col("_pos").alias("pos")).alias("_seq"))
     )
     rejects = listed.filter(F.col("_records").isNull()).select("_page", F.col("file").alias("key"), "value")
     return records, rejects
@@ -74,27 +75,46 @@ def read_json_or_ndjson(
 ) -> DataFrame:
     """Objects from JSON lines, a JSON array or a single JSON object; blank lines are skipped.
 
-    ``lines`` is splittable and the choice for bulk data; ``document`` parses each file whole. ``auto``
-    looks at the first non-blank line: a complete object means ``lines``. Strict reading fails on anything
-    that is not an object; otherwise such entries are dropped.
+    ``lines`` is splittable and the choice for bulk data; ``document`` parses each file whole. ``auto`` decides for
+    every file by itself: one whose first non-blank line is a complete object holds lines. Strict reading fails on
+    anything that is not an object; otherwise such entries are dropped.
     """
     if layout == "auto":
-        first = spark.read.text(path).filter(F.trim("value") != "").limit(1)
-        kind = first.select(F.schema_of_variant(F.try_parse_json("value")).alias("kind")).head(1)
-        layout = "lines" if not kind or (kind[0].kind or "").startswith("OBJECT") else "document"
-    whole = layout == "document"
-    texts = spark.read.text(path, wholetext=whole).filter(F.trim("value") != "")
-    docs = texts.select(F.try_parse_json("value").alias("_doc"), "value")
+        whole = _document_files(spark, path)
+        lines = _objects(spark.read.text(path).select("*", F.col("_metadata.file_path").alias("_file")), False, strict, schema, whole)
+        if not whole:
+            return lines
+        return lines.unionByName(_objects(spark.read.text(whole, wholetext=True), True, strict, schema))
+    return _objects(spark.read.text(path, wholetext=layout == "document"), layout == "document", strict, schema)
+
+
+def _document_files(spark: SparkSession, path: str) -> list[str]:
+    """Files that are one JSON value rather than lines of objects; only their names reach the driver."""
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), at.alias("at")).filter(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("value"))
+    kind = F.coalesce(F.schema_of_variant(F.try_parse_json("value")), F.lit(""))
+    return sorted(r.file for r in first.filter(~kind.startswith("OBJECT")).select("file").collect())
+
+
+def _objects(texts: DataFrame, whole: bool, strict: bool, schema: T.StructType, skip: list[str] | None = None) -> DataFrame:
+    texts = texts.filter(F.trim("value") != "")
+    if skip:
+        names = literal_table(texts.sparkSession, [(f, True) for f in skip], "_file string, _skip boolean")
+        texts = texts.join(names, "_file", "left")
+    # A filter that raises would be moved below a join that drops rows, so it decides on both.
+    passed = F.col("_skip").isNotNull() if skip else F.lit(False)
+    docs = texts.select(F.try_parse_json("value").alias("_doc"), "value", passed.alias("_passed"))
     if whole:
         is_list = F.schema_of_variant("_doc").startswith("ARRAY")
         items = F.when(is_list, F.try_variant_get("_doc", "$", "array<variant>")).otherwise(F.array("_doc"))
-        docs = docs.select(F.explode(items).alias("_doc")).withColumn("value", F.to_json("_doc"))
+        docs = docs.select(F.explode(items).alias("_doc"), "_passed").withColumn("value", F.to_json("_doc"))
     ok = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False))
     if strict:
         complaint = F.raise_error(F.concat(F.lit("not a JSON object: "), F.coalesce("value", F.lit("null"))))
-        docs = docs.filter(F.when(ok, True).otherwise(complaint.cast("boolean")))
+        docs = docs.filter(F.when(F.col("_passed"), False).when(ok, True).otherwise(complaint.cast("boolean")))
     else:
-        docs = docs.filter(ok)
+        docs = docs.filter(ok & ~F.col("_passed"))
     return spread(docs.select(F.col("value").alias("_text")), F.from_json("_text", schema))
 
 

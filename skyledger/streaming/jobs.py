@@ -1,32 +1,33 @@
 """Streaming upsert, change capture, rollups, freshness and snapshot watching.
 
 State that outlives a micro-batch is a table per batch id: batch n reads the newest finished version below n
-and writes version n, so a batch that runs again gives the same output.
+and writes version n, so a batch that runs again gives the same output. Once batch n is done, versions before
+n - 1 are removed.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions.numeric import circular_mean_deg
+from skyledger.functions.time import BUCKET_ORIGIN, before, interval_seconds
 from skyledger.operators.changes import changed_rows, next_state
 from skyledger.operators.normalise import from_keyed_events, to_keyed_events
-from skyledger.operators.quality import freshness
+from skyledger.operators.quality import freshness, quarantine
 from skyledger.operators.windows import last_row, station_advances
-from skyledger.sources.files import exists, list_names
+from skyledger.sources.files import exists, list_names, read_text, remove
 from skyledger.sources.table import ReadingsTable
 from skyledger.spec import DatasetSpec
 from skyledger.session import literal_table
 
 NOW = {"availableNow": True}
 
-# Week buckets start on Mondays, four days after the epoch's Thursday.
-WEEK_SHIFT = "4 days"
-
 
 class VersionedState:
     """A small table kept as one folder per micro-batch."""
@@ -48,6 +49,21 @@ class VersionedState:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
 
+    def prune(self, batch_id: int) -> None:
+        """Call when all of batch ``batch_id`` is written: only a repeat of it reads the version before."""
+        drop_before(self.spark, self.path, "version", batch_id - 1)
+
+
+def drop_before(spark: SparkSession, path: str, name: str, first: int) -> None:
+    for folder in list_names(spark, path):
+        if folder.startswith(f"{name}=") and int(folder.split("=")[1]) < first:
+            remove(spark, f"{path}/{folder}")
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps across restarts; a new checkpoint has a new one."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
 
 def start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, trigger=None, mode="append"):
     return (
@@ -60,17 +76,28 @@ def start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoin
 
 
 def stream_upsert(
-    events: DataFrame, table: ReadingsTable, checkpoint: str, seq: str = "_seq", trigger=None
+    events: DataFrame, table: ReadingsTable, checkpoint: str, seq: str = "_seq", trigger=None, failed: str | None = None
 ) -> StreamingQuery:
     """Keyed JSON events into the readings table; rows of any age are accepted.
 
-    The last arrival of a key wins; equal arrival numbers fall back to the values, so a retry never differs.
+    The last arrival of a key wins; equal arrival numbers fall back to the values, so a retry never differs. The
+    query's own id names its batches in the table, so it shares the table with other writers and with a successor
+    that starts from a new checkpoint. Events without station or instant go to the quarantine folder ``failed``
+    before the rest is stored; without such a folder they stop the query.
     """
     spec = table.spec
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = from_keyed_events(batch, spec)
-        table.upsert(rows.withColumn("_order", F.struct(seq, *spec.values)), batch_id, seq="_order")
+        parsed = from_keyed_events(batch.withColumns({"_key": F.col("key"), "_value": F.col("value")}), spec)
+        broken = F.col(spec.key).isNull() | F.col(spec.ts).isNull()
+        if failed is not None:
+            quarantine(parsed.filter(broken).select(F.col("_key").alias("key"), F.col("_value").alias("value")), failed, batch_id)
+            rows = parsed.filter(~broken)
+        else:
+            complaint = F.raise_error(F.concat(F.lit("event without station or instant: "), F.coalesce("_value", F.lit("null"))))
+            rows = parsed.filter(F.when(~broken, True).otherwise(complaint.cast("boolean")))
+        ordered = rows.withColumn("_order", F.struct(seq, *spec.values))
+        table.upsert(ordered, batch_id, seq="_order", writer=query_id(batch.sparkSession, checkpoint))
 
     return start(events, handle, checkpoint, trigger)
 
@@ -109,13 +136,18 @@ def stream_emit_changes(
         next_offset, next_seen = next_state(emitted, offset, seen, spec, scope, seq)
         seens.write(next_seen, batch_id)
         offsets.write(next_offset, batch_id)
+        seens.prune(batch_id)
+        offsets.prune(batch_id)
+        drop_before(session, f"{state_path}/emitted", "batch_id", batch_id)
 
     return start(canonical, handle, checkpoint, trigger)
 
 
 def stream_rollup(readings: DataFrame, spec: DatasetSpec, width: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """The rollups over a stream; the watermark bounds state, later corrections come from a rollup refresh."""
-    shift = {"7 days": WEEK_SHIFT}.get(width, "0 seconds")
+    # Windows count from the epoch, buckets from their own origin.
+    origin = datetime.fromisoformat(BUCKET_ORIGIN).replace(tzinfo=timezone.utc).timestamp()
+    shift = f"{int(origin) % interval_seconds(width)} seconds"
     kinds = {"avg": F.avg, "max": F.max, "circular": circular_mean_deg}
     return (
         readings.withWatermark(spec.ts, watermark)
@@ -153,19 +185,25 @@ def stream_freshness(
     clock=None,
     trigger=None,
 ) -> StreamingQuery:
-    """Freshness judged after every micro-batch against the clock; remembers one instant per dataset."""
+    """Freshness judged after every micro-batch against the clock, as over all rows so far.
+
+    Remembers how many rows each dataset has per instant, back to where the report still looks; rows ahead of the
+    clock wait there for their time.
+    """
     spark = events.sparkSession
-    last = VersionedState(spark, state_path, f"{dataset} string, {ts} timestamp")
+    state = VersionedState(spark, state_path, f"{dataset} string, {ts} timestamp, _n long")
+    reach = interval_seconds(window) + interval_seconds(hold)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy(dataset).agg(F.max(ts).alias(ts))
-        known = last.before(batch_id)
+        rows = batch.groupBy(dataset, ts).agg(F.count(F.lit(1)).alias("_n"))
+        known = state.before(batch_id)
         if known is not None:
-            newest = newest.unionByName(known).groupBy(dataset).agg(F.max(ts).alias(ts))
-        last.write(newest, batch_id)
-        kept = spark.read.schema(last.schema).parquet(f"{state_path}/version={batch_id}")
-        report = freshness(kept, expected, clock, window, hold, dataset, ts)
+            rows = rows.unionByName(known).groupBy(dataset, ts).agg(F.sum("_n").alias("_n"))
+        state.write(rows.filter(F.col(ts) > before(clock, reach)), batch_id)
+        kept = spark.read.schema(state.schema).parquet(f"{state_path}/version={batch_id}")
+        report = freshness(kept, expected, clock, window, hold, dataset, ts, weight="_n")
         report.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        state.prune(batch_id)
 
     return start(events, handle, checkpoint, trigger)
 
@@ -204,5 +242,7 @@ def snapshot_diff_stream(
         kept = judged.join(last_reset, key).filter(F.col(poll) >= F.coalesce("_from", F.lit(-1)))
         seen.write(kept.groupBy(key).agg(F.max(ts).alias(ts)), batch_id)
         top.write(rows.agg(F.max(ts).alias(ts)), batch_id)
+        seen.prune(batch_id)
+        top.prune(batch_id)
 
     return start(snapshots, handle, checkpoint, trigger)

@@ -367,7 +367,7 @@ def test_active_datasets_cover_whole_days(spark, rows):
     df = spark.createDataFrame([("a", at(0)), ("a", at(1440)), ("b", at(2881))], "d string, ts timestamp")
     got = A.active_datasets(df, "d", "ts", at(2900), 60)
     assert rows(got) == [("a", 2)]
-    counted = A.count_between(df, "d", "ts", at(0), at(1440))
+    counted = A.count_between(df, "d", "ts", at(0), at(1440), expected=df)
     assert rows(counted) == [("a", 1), ("b", 0)]
 
 
@@ -475,3 +475,35 @@ def test_station_report(spark):
     cat = P.catalogue(spark, P.WEATHER_CATALOGUE)
     got = {r.metric: (r.label, r.shown) for r in P.station_report(df, ["viento_dir", "temperatur", "other"], cat, ["fiwareid"]).collect()}
     assert got == {"viento_dir": ("Wind Dir", "180 °"), "temperatur": ("Temp", "null"), "other": ("other", "2.3")}
+
+
+def test_null_keys_carry_over_blocks(spark):
+    ticks = [(k, datetime(2024, 1, 1, 23, 30)) for k in ("x", None)] + [(k, datetime(2024, 1, 2, 1, 30)) for k in ("x", None)]
+    gaps = W.tick_gaps(spark.createDataFrame(ticks, "d string, ts timestamp"), "d").collect()
+    assert sorted((str(r.d), r.gap_hours) for r in gaps) == [("None", 2.0), ("x", 2.0)]
+    samples = [(k, datetime(2024, 1, 1, 23, 50) + timedelta(minutes=m), v) for k in ("x", None) for m, v in ((0, 1), (4, 0), (8, 1), (16, 1))]
+    runs = W.alert_sustained(spark.createDataFrame(samples, "k string, ts timestamp, v int"), F.col("v") == 1, "5 minutes", ["k"]).collect()
+    for key in ("x", None):
+        assert sorted((r.since.minute, r.until.minute) for r in runs if r.k == key) == [(50, 50), (58, 6)]
+
+
+def test_stations_without_an_instant_stay_whatever_the_types(spark):
+    rows = [("a", None, 1.0, "t"), ("b", datetime(2024, 1, 1), 2.0, "u"), ("b", datetime(2023, 1, 1), 3.0, "v")]
+    frame = spark.createDataFrame(rows, "fiwareid string, ts timestamp, no2 double, note string")
+    for cols in (["no2"], ["no2", "note"]):
+        got = {r.fiwareid: tuple(r)[1:] for r in W.latest_per_station(frame, cols=cols).collect()}
+        assert got["a"] == (None,) * (len(cols) + 1) and got["b"][1] == 2.0
+
+
+def test_partners_over_the_date_line(spark):
+    left = spark.createDataFrame([("a", 10.0, 179.9999), ("b", -5.0, -179.9999), ("c", 0.0, 180.0)], "fiwareid string, lat double, lon double")
+    right = spark.createDataFrame([("p", 10.0, -179.9999), ("q", -5.0, 179.9999), ("r", 0.0, -180.0)], "historical_id string, lat double, lon double")
+    got = sorted((r.fiwareid, r.historical_id, r.distance_m < 23) for r in J.station_coord_match(left, right, 500.0).collect())
+    assert got == [("a", "p", True), ("b", "q", True), ("c", "r", True)]
+
+
+def test_counts_read_only_their_range(spark):
+    rows = [("x", datetime(2024, 1, 2)), ("y", datetime(2024, 3, 1)), (None, datetime(2024, 1, 3))]
+    frame = spark.createDataFrame(rows, "d string, ts timestamp")
+    got = A.count_between(frame, "d", "ts", "2024-01-01", "2024-02-01", expected=frame)
+    assert sorted((str(r.d), r.row_count) for r in got.collect()) == [("None", 1), ("x", 1), ("y", 0)]

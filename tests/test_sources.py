@@ -49,7 +49,7 @@ def test_page_wrappers(spark, rows, tmp_path):
     got, rejects = S.read_record_pages(spark, str(tmp_path), AIR.raw_schema)
     assert rows(got, "_page", "fiwareid") == [(1, "A"), (2, "B"), (2, "B2"), (3, "C"), (4, "D"), (7, "E")]
     assert [r["key"] for r in rejects.collect()] == ["p_06.json"]
-    assert got.filter("fiwareid = 'B2'").first()["_seq"] == 2_000_001
+    assert got.filter("fiwareid = 'B2'").first()["_seq"] == (2, "p_02.json", 1)
     assert S.before_first_failure(got, rejects).count() == 5
 
 
@@ -375,3 +375,19 @@ def test_session_rules(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or work_dir(spark, "x").startswith(configured)
     assert not exists(spark, work_dir(spark, "x")) and list_names(spark, work_dir(spark, "x")) == []
+
+
+def test_layouts_are_decided_file_by_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text('{"fiwareid":"a"}\n{"fiwareid":"b"}\n')
+    (tmp_path / "in" / "2.json").write_text('[\n{"fiwareid":"c"},\n{"fiwareid":"d"}\n]\n')
+    (tmp_path / "in" / "3.json").write_text('\n{\n "fiwareid": "e"\n}')
+    for strict in (True, False):
+        got = S.read_json_or_ndjson(spark, str(tmp_path / "in"), AIR.raw_schema, strict=strict)
+        assert sorted(r.fiwareid for r in got.collect()) == ["a", "b", "c", "d", "e"]
+
+
+def test_records_of_equally_numbered_pages_are_told_apart(spark):
+    pages = spark.createDataFrame([("a.json", '[{"fiwareid":"x"}]'), ("b.json", '[{"fiwareid":"y"}]')], "file string, value string")
+    got, _ = S.parse_record_pages(pages, AIR.raw_schema)
+    assert len({tuple(r._seq) for r in got.collect()}) == 2

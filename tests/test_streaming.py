@@ -125,3 +125,74 @@ def test_snapshot_stream_equals_batch(spark, rows, tmp_path):
         stream = spark.readStream.schema(schema).parquet(folder)
         X.snapshot_diff_stream(stream, str(tmp_path / "s"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")), *cols) == want
+
+
+@pytest.mark.parametrize("width", ["1 week", "2 days", "14 days", "7 days", "36 hours"])
+def test_stream_buckets_equal_batch_buckets(spark, tmp_path, width):
+    from skyledger.operators.rollups import BUCKET_NAMES, rollup
+
+    folder = str(tmp_path / "in")
+    schema = "fiwareid string, ts timestamp, temperature_c double"
+    data = [("w", datetime(2025, 11, 28, 5), 1.0), ("w", datetime(2025, 12, 3, 7), 2.0), ("w", datetime(2025, 12, 11), 4.0)]
+    spark.createDataFrame(data, schema).write.parquet(folder)
+    rest = [F.lit(None).cast("double").alias(c) for c in WEATHER.metrics if c != "temperature_c"]
+    rolled = X.stream_rollup(spark.readStream.schema(schema).parquet(folder).select("*", *rest), WEATHER, width, "30 days")
+    X.write_rollup_stream(rolled, str(tmp_path / "r"), str(tmp_path / "c")).awaitTermination()
+    got = sorted((r.bucket_start, r.temp_avg_c) for r in X.read_rollup_stream(spark, str(tmp_path / "r"), WEATHER).collect())
+    batch = rollup(spark.createDataFrame(data, schema).select("*", *rest), WEATHER, width)
+    assert got == sorted((r[BUCKET_NAMES.get(width, "bucket")], r.temp_avg_c) for r in batch.collect())
+
+
+def test_freshness_counts_rows_behind_those_ahead_of_the_clock(spark, tmp_path):
+    from skyledger.operators.quality import freshness
+
+    folder = str(tmp_path / "in")
+    schema = "dataset string, ts timestamp"
+    expected = spark.createDataFrame([("air",), ("weather",), ("none",)], "dataset string")
+    clock = T0 + timedelta(minutes=1)
+    parts = [[("air", T0), ("air", T0), ("weather", T0)], [("air", T0), ("weather", T0), ("weather", T0 + timedelta(minutes=2))]]
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        X.stream_freshness(stream, expected, str(tmp_path / "s"), str(tmp_path / "out"), str(tmp_path / "c"), clock=clock).awaitTermination()
+    newest = sorted(p.name for p in (tmp_path / "out").glob("batch_id=*"))[-1]
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / newest)).collect())
+    whole = freshness(spark.createDataFrame(parts[0] + parts[1], schema), expected, clock)
+    assert got == sorted(tuple(r) for r in whole.collect()) == [("air", 3, "ok"), ("none", 0, "firing"), ("weather", 2, "ok")]
+
+
+def test_state_keeps_two_versions(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    expected = spark.createDataFrame([("air",)], "dataset string")
+    for n in range(5):
+        spark.createDataFrame([("air", T0 + timedelta(minutes=n))], "dataset string, ts timestamp").write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("dataset string, ts timestamp").parquet(folder)
+        X.stream_freshness(stream, expected, str(tmp_path / "s"), str(tmp_path / "out"), str(tmp_path / "c"), clock=T0).awaitTermination()
+    assert len(list((tmp_path / "s").glob("version=*"))) <= 2
+
+
+def test_broken_events_are_kept_apart_or_stop_the_query(spark, rows, tmp_path):
+    from skyledger.operators.quality import requeue
+
+    land(tmp_path / "in", "1.json", ("a", "2024-01-01T00:00:00Z", 1.0), ("b", "soon", 2.0))
+    with open(tmp_path / "in" / "2.json", "w") as f:
+        f.write(json.dumps({"key": "c", "value": '{"fiw', "seq": 1}))
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    stream = lambda: read_event_stream(spark, "json", {"path": str(tmp_path / "in")})
+    X.stream_upsert(stream(), table, str(tmp_path / "c"), failed=str(tmp_path / "f")).awaitTermination()
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 1.0)]
+    waiting, batches = requeue(spark, str(tmp_path / "f"))
+    assert sorted(r.key for r in waiting.collect()) == ["b|soon", "c"] and batches == [0]
+    strict = ReadingsTable(spark, str(tmp_path / "u"), AIR)
+    with pytest.raises(Exception, match="event without station or instant"):
+        X.stream_upsert(stream(), strict, str(tmp_path / "c2")).awaitTermination()
+    assert strict.read().count() == 0
+
+
+def test_a_new_checkpoint_adds_to_the_table(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(2):
+        land(tmp_path / f"in{n}", "1.json", (f"s{n}", "2024-01-01T00:00:00Z", 1.0))
+        stream = read_event_stream(spark, "json", {"path": str(tmp_path / f"in{n}")})
+        X.stream_upsert(stream, table, str(tmp_path / f"c{n}")).awaitTermination()
+    assert rows(table.read(), "fiwareid") == [("s0",), ("s1",)]
