@@ -16,8 +16,10 @@ segmented alike. An empty table gives an empty one.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -145,7 +147,8 @@ class Lattices:
         total[self.begin] = 0
         # Nodes by distance from their unit's begin; edges of one length into one node are single.
         when = (place[start] + span) * (v.longest + 1) + span
-        order = np.argsort(when, kind="stable")
+        # Sixteen bits, where they do, are sorted by radix.
+        order = np.argsort(when.astype(np.uint16) if when.max() < 1 << 16 else when, kind="stable")
         cuts = np.flatnonzero(np.diff(when[order])) + 1
         for s, e in zip(np.concatenate(([0], cuts)), np.append(cuts, len(order))):
             rows = order[s:e]
@@ -171,14 +174,14 @@ def _utf8_sizes(symbols: np.ndarray) -> np.ndarray:
 
 def sample(texts: list[str], keys: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts, one after the other, and where each text's begin (and end)."""
-    index: dict[str, int] = {}
+    index: dict[str, int] = defaultdict(count().__next__)
     ids: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
             found = UNIT.findall(" " + text)
             counts[i] = len(found)
-            ids += [index.setdefault(u, len(index)) for u in found]
+            ids.extend(map(index.__getitem__, found))
     if not ids:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     net = Lattices(list(index), v)
@@ -186,27 +189,38 @@ def sample(texts: list[str], keys: np.ndarray, v: Vocabulary) -> tuple[np.ndarra
     owner = np.repeat(np.arange(len(texts)), counts)
     number = np.arange(len(unit)) - (np.cumsum(counts) - counts)[owner]
     key = keys[owner]
-    at, live = net.end[unit], np.arange(len(unit))
+    at, first, live = net.end[unit], net.begin[unit], np.arange(len(unit))
     picks, step = [], 0
     width = np.zeros(len(unit), np.int64)
     while len(live):
         node = at[live]
-        edge = np.searchsorted(net.shares, net.before[node] + uniform(key[live], number[live], step), "right")
-        edge = np.clip(edge, net.low[node], net.high[node])
-        picks.append((live, edge))
+        # A node with a single edge leaves nothing to draw.
+        edge = net.low[node]
+        open_ = np.flatnonzero(net.high[node] > edge)
+        if len(open_):
+            here, rows = node[open_], live[open_]
+            drawn = np.searchsorted(net.shares, net.before[here] + uniform(key[rows], number[rows], step), "right")
+            edge[open_] = np.clip(drawn, edge[open_], net.high[here])
+        piece = net.piece[edge]
+        picks.append((live, edge, piece))
+        width[live] += 1
+        raw = np.flatnonzero(piece < 0)
+        if len(raw):
+            width[live[raw]] += _utf8_sizes(net.symbols[net.start[edge[raw]]]) - 1
         origin = net.origin[edge]
-        width[live] += np.where(net.piece[edge] >= 0, 1, _utf8_sizes(net.symbols[net.start[edge]]))
         at[live] = origin
-        live = live[origin != net.begin[unit[live]]]
+        live = live[origin != first[live]]
         step += 1
     ends = np.cumsum(width)
     out, free = np.empty(int(ends[-1]), np.int32), ends.copy()
-    for rows, edge in picks:
-        piece = net.piece[edge]
+    for rows, edge, piece in picks:
         whole = piece >= 0
-        free[rows[whole]] -= 1
-        out[free[rows[whole]]] = piece[whole]
-        if not whole.all():
+        if whole.all():
+            free[rows] -= 1
+            out[free[rows]] = piece
+        else:
+            free[rows[whole]] -= 1
+            out[free[rows[whole]]] = piece[whole]
             rows, symbols = rows[~whole], net.symbols[net.start[edge[~whole]]]
             raw = np.frombuffer(symbols.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
             sizes = _utf8_sizes(symbols)
@@ -222,21 +236,24 @@ def row_keys(ids: pa.Array, seed: int) -> np.ndarray:
 
 
 def encode(id_: Column, text: Column, seed: int = 1, path: str = MODEL, sharpness: float = 1.0) -> Column:
-    """A sampled segmentation of each text as an array of piece ids."""
+    """``struct<pieces, lossless>``: a sampled segmentation of each text as an array of piece ids, and whether its pieces
+    were decoded to the text's own bytes again."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("pieces: array<int>, lossless: boolean")
     @base.trimmed
     def encoded(ids: pa.Array, texts: pa.Array) -> pa.Array:
         v = vocabulary(path, sharpness)
         keys = row_keys(ids, seed)
-        sizes = np.diff(base.flat(texts)[1])
+        data, places = base.flat(texts)
+        sizes = np.diff(places)
         cuts = [0]
         while cuts[-1] < len(texts):
             total = np.cumsum(sizes[cuts[-1] :])
             cuts.append(cuts[-1] + max(1, int(np.searchsorted(total, CHUNK, "right"))))
-        pieces, offsets, shift = [], [np.zeros(1, np.int64)], 0
+        pieces, offsets, shift, lossless = [], [np.zeros(1, np.int64)], 0, []
         for s, e in zip(cuts, cuts[1:]):
             out, at = sample(texts[s:e].to_pylist(), keys[s:e], v)
+            lossless.append(round_trips(out, at, data[places[s] : places[e]], places[s : e + 1] - places[s], v))
             pieces.append(out)
             offsets.append(at[1:] + shift)
             shift += len(out)
@@ -244,7 +261,8 @@ def encode(id_: Column, text: Column, seed: int = 1, path: str = MODEL, sharpnes
         values = pa.array(np.concatenate(pieces) if pieces else np.zeros(0, np.int32))
         nothing = texts.is_null().to_numpy(zero_copy_only=False)
         at = pa.array(ends.astype(np.int32), mask=np.append(nothing, False)) if nothing.any() else pa.array(ends.astype(np.int32))
-        return pa.ListArray.from_arrays(at, values)
+        same = pa.array(np.concatenate(lossless) if lossless else np.zeros(0, bool))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, values), same], ["pieces", "lossless"])
 
     return encoded(id_.cast("long"), text.cast("string"))
 
@@ -253,6 +271,22 @@ def decoded_bytes(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
     return v.flat[base.ranges(v.at[ids], v.size[ids])]
 
 
+def round_trips(ids: np.ndarray, at: np.ndarray, data: np.ndarray, places: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """Whether each text's ids decode to its bytes, with the space in front."""
+    sizes = np.concatenate(([0], np.cumsum(v.size[ids])))
+    got, want = sizes[at], np.diff(places)
+    fits = np.diff(got) == want + (want > 0)
+    if not fits.all():
+        return fits & np.array([decoded_bytes(ids[s:e], v)[1:].tobytes() == data[a:b].tobytes() for s, e, a, b in zip(at, at[1:], places, places[1:])])
+    spaced = np.zeros(int(got[-1]), np.uint8)
+    front = got[:-1][want > 0]
+    inside = np.ones(len(spaced), bool)
+    inside[front] = False
+    spaced[front], spaced[inside] = 0x20, data
+    wrong = np.concatenate(([0], np.cumsum(decoded_bytes(ids, v) != spaced)))
+    return wrong[got[1:]] == wrong[got[:-1]]
+
+
 def decode(pieces: Column, path: str = MODEL) -> Column:
     """The text of an array of piece ids; the space that encoding puts in front is taken off again."""
 
@@ -274,6 +308,8 @@ def decode(pieces: Column, path: str = MODEL) -> Column:
 def segment(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, path: str = MODEL, sharpness: float = 1.0
 ) -> DataFrame:
-    """The columns of ``docs`` with ``_pieces``."""
+    """The columns of ``docs`` with ``_pieces`` and ``_lossless``, which replace columns of these names; every
+    segmentation is decoded and compared on the spot."""
     base.prepare(docs.sparkSession)
-    return docs.withColumn("_pieces", encode(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed, path, sharpness))
+    done = docs.withColumn("_pieces", encode(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed, path, sharpness))
+    return done.withColumns({"_lossless": F.col("_pieces.lossless"), "_pieces": F.col("_pieces.pieces")})
