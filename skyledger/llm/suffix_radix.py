@@ -245,14 +245,14 @@ def _changes(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return changed
 
 
-def _removed(window: int, gram: int, bits: int):
+def _removed(window: int, gram: int, bits: int, whole_characters: bool = False):
     reach = window - gram
     lanes = -(-(reach + 1) // 8)
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         rest = [table.column("rest")] if "rest" in table.column_names else []
         if not table.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.binary(), SPANS, pa.int64())] + rest, names=[*COLUMNS, "rest"][: 4 + len(rest)])
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.string() if whole_characters else pa.binary(), SPANS, pa.int64())] + rest, names=[*COLUMNS, "rest"][: 4 + len(rest)])
         second = np.array(answers.column("step").to_pylist()) == 2
         r = BlockRecords(table, answers.filter(pa.array(~second)), window, gram, bits)
         mask = blocks.told(answers.filter(pa.array(second)), "u1").reshape(-1, lanes)
@@ -276,7 +276,8 @@ def _removed(window: int, gram: int, bits: int):
             else:
                 kept.append(r.data[s:e].tobytes())
                 spans.append([])
-        columns = [table.column("doc_id"), base.binary_column(kept), pa.array(spans, SPANS), pa.array(np.diff(r.offsets)), *rest]
+        left = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if whole_characters else base.binary_column(kept)
+        columns = [table.column("doc_id"), left, pa.array(spans, SPANS), pa.array(np.diff(r.offsets)), *rest]
         return pa.table(columns, names=[*COLUMNS, "rest"][: len(columns)])
 
     return cut
@@ -288,11 +289,13 @@ RESULT = "doc_id long, kept binary, spans array<struct<start:long,end:long>>, n_
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = ()
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, carry: Sequence[str] = (),
+    whole_characters: bool = False,
 ) -> DataFrame:
     """``(doc_id, kept, spans, n_bytes)`` per row: bytes covered by a ``window``-byte string that also starts in a
     document with a smaller id are cut; ``spans`` are the maximal cut runs, ``kept`` the bytes that are left. Columns
-    named in ``carry`` come along in a struct ``rest``."""
+    named in ``carry`` come along in a struct ``rest``. With ``whole_characters``, ``kept`` is text, and of a character
+    that is cut in two nothing stays."""
     base.prepare(docs.sparkSession)
     rows, _, total = blocks.in_blocks(docs, id_col, text_col, carry=carry)
     bits = blocks.bucket_bits(total * 2 / (window - gram + 2))
@@ -302,10 +305,10 @@ def remove_repeats(
     records = dealt.cogroup(seen.groupBy("blk")).applyInArrow(base.trimmed(_records(window, gram, bits)), blocks.BLOB)
     judged = records.groupBy("bucket").applyInArrow(base.trimmed(_sorted_bucket(window, gram)), blocks.BLOB)
     both = seen.withColumn("step", F.lit(1)).unionByName(judged.withColumn("step", F.lit(2)))
-    schema = T.StructType.fromDDL(RESULT)
+    schema = T.StructType.fromDDL(RESULT.replace("kept binary", "kept string") if whole_characters else RESULT)
     if carry:
         schema = schema.add("rest", rows.schema["rest"].dataType)
-    return dealt.cogroup(both.groupBy("blk")).applyInArrow(base.trimmed(_removed(window, gram, bits)), schema)
+    return dealt.cogroup(both.groupBy("blk")).applyInArrow(base.trimmed(_removed(window, gram, bits, whole_characters)), schema)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -313,11 +316,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text stays null."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{text_col}`").isNull().alias("absent"), F.struct(*others).alias("others"))
-    found = remove_repeats(named, window=window, gram=gram, carry=["absent", "others"])
-
-    @F.arrow_udf("string")
-    def whole(kept: pa.Array) -> pa.Array:
-        return pa.array([b.decode(errors="ignore") for b in kept.to_pylist()], pa.string())
-
-    text = F.when(F.col("rest.absent"), F.lit(None)).otherwise(whole(F.col("kept")))
+    found = remove_repeats(named, window=window, gram=gram, carry=["absent", "others"], whole_characters=True)
+    text = F.when(~F.col("rest.absent"), F.col("kept"))
     return found.select(*[(text if c == text_col else F.col(f"rest.others.`{c}`")).alias(c) for c in docs.columns])

@@ -201,8 +201,9 @@ def judged(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> D
     measured = docs.select(measure(text).alias("_m"))
     cast = [v.cast("int").alias(k) for k, v in votes(F.col("_m")).items()]
     names = list(votes(F.col("_m")))
-    found = measured.filter(~base_failed(F.col("_m"))).select(*cast).groupBy(*names).agg(F.count("*").alias("n")).collect()
-    rows = sorted(tuple(r) for r in found)  # at most 3 ** rules
+    # A filter on the counts would take them a second time below the votes, so failed texts go as a group.
+    patterns = measured.select(base_failed(F.col("_m")).alias("failed"), *cast).groupBy("failed", *names).agg(F.count("*").alias("n"))
+    rows = sorted(tuple(r)[1:] for r in patterns.collect() if not r["failed"])  # at most 3 ** rules
     out = docs.withColumn("_m", measure(text)).withColumn("_failed", base_failed(F.col("_m")))
     good = F.lit(0.0)
     if rows:
