@@ -129,47 +129,64 @@ def counter_increase(
     ts: str = "ts",
     value: str = "value",
     name: str = "increase",
-    block: str = "1 day",
+    block: str = "1 hour",
 ) -> DataFrame:
     """Growth of a counter over the trailing range at each sample; a drop in value is a restart from zero.
 
-    Counts the steps between samples inside ``(ts - range, ts]``, without extrapolation to the range edges.
+    Counts the steps between samples inside ``(ts - range, ts]``, without extrapolation to the range edges. Series are
+    cut into blocks whatever the range; sums and first samples are carried over blocks on one row per block.
     """
-    span = interval_seconds(range_width)
-    width = max(span, interval_seconds(block))
+    span = interval_seconds(range_width) * 1_000_000
+    width = interval_seconds(block) * 1_000_000
     samples = df.groupBy(*series, ts).agg(F.max(value).alias(value))
-    lagged = preceding_max(samples, series, ts, F.struct(F.col(ts), F.col(value)), time_block(ts, width), "_last")
+    lagged = preceding_max(samples, series, ts, F.struct(F.col(ts), F.col(value)), time_block(ts, block), "_last")
     before = F.col("_last")[value]
-    steps = lagged.select(
-        *series,
-        ts,
-        value,
-        F.unix_micros(ts).alias("_at"),
-        F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before).alias("_step"),
-    )
-    # A sample also visits the next block, as context only, when that block starts within its range.
-    micros = F.lit(width * 1_000_000)
-    home = F.floor(F.col("_at") / micros).cast("long")
-    reach = F.floor((F.col("_at") + F.lit(span * 1_000_000)) / micros).cast("long")
-    placed = steps.withColumn("_home", home).withColumn(
-        "_block", F.explode(F.array_distinct(F.array(F.col("_home"), reach)))
-    )
+    step = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
+    steps = lagged.select(*series, ts, value, F.unix_micros(ts).alias("_at"), F.coalesce(step, F.lit(0)).alias("_step"))
+    steps = steps.withColumn("_block", F.floor(F.col("_at") / F.lit(width)).cast("long"))
     part = [*series, "_block"]
-    running = Window.partitionBy(*part).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = placed.withColumn("_total", F.sum(F.coalesce("_step", F.lit(0))).over(running))
-    # The growth in the range is the running total here less the one at the range's first sample. Each sample
-    # therefore asks, from the open start of its range, for the next sample after it. Walking back in time
-    # that is the last one passed, so both frames only ever grow and no range is summed twice.
-    mine = F.struct(F.col("_at").alias("time"), F.lit(1).alias("kind"), F.col("_total").alias("seen"))
-    ask = F.struct(
-        (F.col("_at") - F.lit(span * 1_000_000)).alias("time"), F.lit(0).alias("kind"), F.lit(None).alias("seen")
-    )
-    both = F.array_compact(F.array(mine, F.when(F.col("_block") == F.col("_home"), ask)))
-    back = Window.partitionBy(*part).orderBy(F.desc("time"), "kind").rowsBetween(Window.unboundedPreceding, -1)
-    asked = totals.select("*", F.inline(both)).withColumn("_first", F.last("seen", ignorenulls=True).over(back))
-    return asked.filter("kind = 0").select(
-        *series, ts, value, (F.col("_total") - F.col("_first")).cast("double").alias(name)
-    )
+    inside = Window.partitionBy(*part).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = steps.withColumn("_run", F.sum("_step").over(inside))
+    # Each sample asks, from the open start of its range, for the next sample after it: the running total there is what
+    # lies before the range. An ask goes to the block of its own time.
+    ask_at = F.col("_at") - F.lit(span)
+    asks = placed.select("*", ask_at.alias("_time"), F.floor(ask_at / F.lit(width)).cast("long").alias("_home"))
+    mine = placed.select(*series, F.col("_block").alias("_home"), F.col("_at").alias("_time"), F.lit(1).alias("_kind"), F.col("_run").alias("_seen"))
+    both = asks.withColumn("_kind", F.lit(0)).unionByName(mine, allowMissingColumns=True)
+    back = Window.partitionBy(*series, "_home").orderBy(F.desc("_time"), "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("_next", F.last("_seen", ignorenulls=True).over(back)).filter("_kind = 0").drop("_seen", "_kind", "_time")
+    # Per block: the total of the blocks before it, and the first sample of a later block, whose own block and run the
+    # total at an ask without a sample behind it in its block is made from.
+    sums = placed.groupBy(*part).agg(F.sum("_step").alias("_sum"), F.min_by("_run", "_at").alias("_first"))
+    homes = found.select(*series, F.col("_home").alias("_block")).distinct()
+    blocks = sums.unionByName(homes, allowMissingColumns=True).groupBy(*part).agg(F.max("_sum").alias("_sum"), F.max("_first").alias("_first"))
+    order = Window.partitionBy(*series).orderBy("_block")
+    carried = blocks.withColumn(
+        "_before", F.coalesce(F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn("_start", F.when(F.col("_first").isNotNull(), F.col("_before") + F.col("_first")))
+    later = order.rowsBetween(1, Window.unboundedFollowing)
+    carried = carried.withColumn("_later", F.first("_start", ignorenulls=True).over(later))
+    own = _carry(found, carried.select(*part, F.col("_before").alias("_own")), part, "_block")
+    asked = _carry(own, carried.select(*part, "_before", "_later"), part, "_home")
+    origin = F.when(F.col("_next").isNotNull(), F.col("_before") + F.col("_next")).otherwise(F.col("_later"))
+    return asked.select(*series, ts, value, (F.col("_own") + F.col("_run") - origin).cast("double").alias(name))
+
+
+def _carry(rows: DataFrame, blocks: DataFrame, part: Sequence[str], block: str) -> DataFrame:
+    """Columns of a row's block, joined with NULL as a key like any other."""
+    names = {c: f"_k{i}" for i, c in enumerate(part)}
+    renamed = blocks.withColumnsRenamed(names)
+    same = [F.col(block if c == part[-1] else c).eqNullSafe(F.col(k)) for c, k in names.items()]
+    return rows.join(renamed, same).drop(*names.values())
+
+
+def with_silent(grown: DataFrame, expected: DataFrame, series: Sequence[str], at, ts: str = "ts", name: str = "increase") -> DataFrame:
+    """Growth rows, and one of 0 at the instant ``at`` for every expected series that has none."""
+    known = grown.select(*series).distinct().withColumnsRenamed({c: f"_s_{c}" for c in series})
+    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in series]
+    silent = expected.select(*series).distinct().join(known, same, "left_anti")
+    zero = silent.withColumns({ts: instant(at), name: F.lit(0.0)})
+    return grown.unionByName(zero, allowMissingColumns=True)
 
 
 def counter_rate(df: DataFrame, range_width, series: Sequence[str], **names) -> DataFrame:

@@ -6,8 +6,9 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skyledger.functions.time import BUCKET_ORIGIN, interval_seconds, time_bucket
+from skyledger.functions.time import BUCKET_ORIGIN, before, interval_seconds, time_bucket
 from skyledger.operators.filters import scan_range
 from skyledger.operators.rollups import BUCKET_NAMES, rollup
 from skyledger.sources.files import list_names, remove
@@ -75,18 +76,51 @@ def read_rollup(
     width: str = "1 day",
     readings: DataFrame | None = None,
     realtime: bool = False,
+    since: datetime | None = None,
+    until: datetime | None = None,
 ) -> DataFrame:
-    """Stored buckets; in real-time mode also fresh ones after the newest stored bucket."""
+    """Stored buckets that start in ``[since, until)``; in real-time mode also fresh ones after the newest stored bucket.
+
+    Bounds prune folders, as a bucket's folder is named by its start.
+    """
     bucket = BUCKET_NAMES.get(width, "bucket")
-    stored = spark.read.parquet(path).drop("part")
+    sample = rollup(spark.createDataFrame([], spec.schema), spec, width).schema
+    every = spark.read.schema(T.StructType([*sample.fields, T.StructField("part", T.StringType())])).parquet(path)
+    stored = every
+    if since is not None:
+        stored = stored.filter(F.col("part") >= _part(since))
+    if until is not None:
+        stored = stored.filter(F.col("part") < _part(until))
+    stored, every = stored.drop("part"), every.drop("part")
     if not realtime:
         return stored
+    readings = scan_range(readings, spec.ts, since, until)
     step = F.expr(f"INTERVAL {interval_seconds(width)} SECONDS")
     beginning = F.lit("0001-01-01T00:00:00").cast("timestamp")
-    mark = stored.agg(F.coalesce(F.max(bucket) + step, beginning).alias("mark")).scalar()
+    mark = every.agg(F.coalesce(F.max(bucket) + step, beginning).alias("mark")).scalar()
     return stored.unionByName(rollup(readings.filter(F.col(spec.ts) >= mark), spec, width))
 
 
+def _part(at: datetime) -> str:
+    at = at.astimezone(timezone.utc) if at.tzinfo else at
+    return f"{at:%Y%m%d%H%M%S}"
+
+
+def stored_checks(stored: dict[str, DataFrame], expected: dict[str, list[str]], ts: dict[str, str], kept_days: dict[str, int], as_of) -> DataFrame:
+    """Per stored table, from its rows: the columns it lacks, how many rows it has, and how many have outlived the
+    table's retention (none are counted where no retention is given)."""
+    out = None
+    for name, df in stored.items():
+        days = kept_days.get(name)
+        late = F.lit(False) if days is None else F.col(ts[name]) < before(as_of, days * 86400)
+        lacking = F.lit(",".join(c for c in expected[name] if c not in df.columns))
+        row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("overdue")).select(
+            F.lit(name).alias("table_name"), "rows", lacking.alias("missing"), "overdue"
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def table_checks(spark: SparkSession, expected: dict[str, list[str]]) -> DataFrame:
     """Per expected table: whether it exists in the catalog and which columns it lacks."""
     rows = []

@@ -11,7 +11,7 @@ from skyledger.functions.time import format_ts
 from skyledger.operators.normalise import from_keyed_events, to_keyed_events
 from skyledger.operators.quality import requeue
 from skyledger.operators.rollups import rollup
-from skyledger.plans.rollup_jobs import read_rollup, refresh_rollup, table_checks
+from skyledger.plans.rollup_jobs import read_rollup, refresh_rollup, stored_checks
 from skyledger.registry.core import R, as_readings, event_stream, events, landed_parts, query, readings, rounded
 from skyledger.registry.ingest import HOURLY
 from skyledger.registry.lookups import ADVANCES_SQL, polls
@@ -116,13 +116,30 @@ def _(spark, sf):
 
 @query(
     "table_checks",
-    """SELECT 'readings_now' AS table_name, count(*) > 0 AS present, 'absent_column' AS missing FROM events
-    UNION ALL SELECT 'absent_table', false, 'ts'""",
+    f"""WITH {UPSERT_SQL}, d AS (SELECT DISTINCT fiwareid, time_bucket(INTERVAL '1 day', ts) AS bucket FROM r
+      WHERE ts >= TIMESTAMP '2024-01-06' AND ts < TIMESTAMP '2024-01-30')
+    SELECT 'readings' AS table_name, count(*) AS rows, 'absent_column' AS missing,
+      count(*) FILTER (WHERE ts < TIMESTAMP '2024-02-01' - INTERVAL '20 days') AS overdue FROM t
+    UNION ALL SELECT 'rollup', count(*), '', 0 FROM d""",
 )
 def _(spark, sf):
-    readings(spark, sf).createOrReplaceTempView("readings_now")
-    checks = table_checks(spark, {"readings_now": ["ts", "no2", "absent_column"], "absent_table": ["ts"]})
-    return checks.select("table_name", "present", F.array_join("missing_columns", ",").alias("missing"))
+    folder = work_dir(spark, "checks")
+    refresh_rollup(readings(spark, sf), folder, AIR, "1 day", "26 days", "1 day", datetime(2024, 1, 31, 6))
+    stored = {"readings": filled_table(spark, sf).read(), "rollup": read_rollup(spark, folder, AIR, "1 day")}
+    expected = {"readings": ["fiwareid", "ts", "no2", "absent_column"], "rollup": ["fiwareid", "bucket_day", "no2_avg"]}
+    return stored_checks(stored, expected, {"readings": "ts"}, {"readings": 20}, AFTER)
+
+
+@query(
+    "stored_rollup_range",
+    rollup_sql(WEATHER_ROLLUP_SQL, "1 day", "bucket_day").replace(
+        "FROM r GROUP", "FROM r WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-15' GROUP"
+    ),
+)
+def _(spark, sf):
+    folder = work_dir(spark, "rollup")
+    refresh_rollup(readings(spark, sf), folder, WEATHER, "1 day", "26 days", "1 day", datetime(2024, 1, 31, 6))
+    return rounded(read_rollup(spark, folder, WEATHER, "1 day", since=datetime(2024, 1, 11), until=datetime(2024, 1, 15)))
 
 
 # -- streams: events arrive in parts of whole days, and each part is a micro-batch of its own

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Sequence
 
@@ -10,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Names the scratch folders of this process.
+RUN = uuid.uuid4().hex
+_roots: set[str] = set()
+
+
 def build_session(app: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
     """A UTC session with adaptive execution; partition counts are left to the cluster and AQE."""
     builder = (
@@ -42,8 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name for one run's tables and streaming checkpoints."""
-    return f"{shared_dir(spark)}/skyledger/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name for tables and streaming checkpoints of this run; the run's folders go when it ends."""
+    root = f"{shared_dir(spark)}/skyledger/{RUN}"
+    if root not in _roots:
+        _roots.add(root)
+        atexit.register(_remove, spark, root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

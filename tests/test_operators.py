@@ -507,3 +507,25 @@ def test_counts_read_only_their_range(spark):
     frame = spark.createDataFrame(rows, "d string, ts timestamp")
     got = A.count_between(frame, "d", "ts", "2024-01-01", "2024-02-01", expected=frame)
     assert sorted((str(r.d), r.row_count) for r in got.collect()) == [("None", 1), ("x", 1), ("y", 0)]
+
+
+def test_growth_over_ranges_of_any_length(spark):
+    rng = random.Random(8)
+    rows = []
+    for series in ("x", None):
+        at, v = datetime(2024, 1, 1), 0
+        for _ in range(120):
+            at += timedelta(minutes=rng.choice([1, 7, 50, 400]))
+            v = rng.randrange(3) if rng.random() < 0.1 else v + rng.randrange(9)
+            rows.append((series, at, float(v)))
+    for hours in (1, 30, 24 * 30):
+        got = A.counter_increase(spark.createDataFrame(rows, "s string, ts timestamp, value double"), f"{hours} hours", ["s"]).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            mine = [(t, v) for s, t, v in rows if s == r.s and r.ts - timedelta(hours=hours) < t <= r.ts]
+            want = sum(b if b < a else b - a for (_, a), (_, b) in zip(mine, mine[1:]))
+            assert abs(r.increase - want) < 1e-9
+    grown = A.counter_increase(spark.createDataFrame(rows, "s string, ts timestamp, value double"), "1 hour", ["s"])
+    expected = spark.createDataFrame([("x",), ("silent",), (None,)], "s string")
+    silent = A.with_silent(grown, expected, ["s"], datetime(2024, 2, 1)).filter("s = 'silent'").collect()
+    assert [(r.ts, r.increase) for r in silent] == [(datetime(2024, 2, 1), 0.0)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.normalise import from_keyed_events
 from skyledger.operators.rollups import rollup
 from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
-from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_window, table_checks
+from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_window, table_checks, stored_checks
 from skyledger.session import require_utc, work_dir
 from skyledger.sources import records as S
 from skyledger.sources.exports import export_dataset, topk_payload
@@ -347,6 +347,21 @@ def test_table_checks(spark):
         assert_tables(spark, {"no_view": ["a"]})
 
 
+def test_stored_tables_are_checked_by_their_rows(spark):
+    rows = air_rows(spark, ("a", 0, 1.0, "x"), ("b", 24 * 30, 2.0, "x"))
+    got = stored_checks({"air": rows, "other": rows.select("no2")}, {"air": ["ts", "gone"], "other": []}, {"air": "ts"}, {"air": 10}, datetime(2024, 2, 1))
+    assert sorted(tuple(r) for r in got.collect()) == [("air", 2, "gone", 1), ("other", 2, "", 0)]
+
+
+def test_bounds_prune_rollup_folders(spark, rows, tmp_path):
+    path = str(tmp_path / "r")
+    data = air_rows(spark, ("a", 0, 1.0, "x"), ("a", 24, 2.0, "x"), ("a", 49, 3.0, "x"))
+    refresh_rollup(data, path, AIR, "1 day", as_of=datetime(2024, 1, 5, 5))
+    got = read_rollup(spark, path, AIR, since=datetime(2024, 1, 2), until=datetime(2024, 1, 3))
+    assert rows(got, "no2_avg") == [(2.0,)]
+    assert "PartitionFilters: [isnotnull(part" in got._jdf.queryExecution().executedPlan().toString()
+
+
 # -- exports and the session
 
 
