@@ -26,11 +26,16 @@ def poll(
     seen: DataFrame,
     spec: DatasetSpec,
     scope: str = "dataset",
+    requeued: DataFrame | None = None,
 ) -> tuple[DataFrame, Changes]:
-    """One poll: records to canonical rows, change capture, and keyed JSON events."""
+    """One poll: records to canonical rows, change capture, and keyed JSON events.
+
+    ``requeued`` rows (``key``, ``value``) failed before and are sent again as they are, beside the new events.
+    """
     usable = records if rejects is None else before_first_failure(records, rejects)
     changes = emit_changes(normalise(usable, spec), offset, seen, spec, scope)
-    return to_keyed_events(changes.emitted, spec), changes
+    keyed = to_keyed_events(changes.emitted, spec)
+    return keyed if requeued is None else keyed.unionByName(requeued.select("key", "value")), changes
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from skyledger.functions.time import BUCKET_ORIGIN, before, interval_seconds, time_bucket
 from skyledger.operators.filters import scan_range
 from skyledger.operators.rollups import BUCKET_NAMES, rollup
-from skyledger.sources.files import list_names, remove
+from skyledger.sources.files import list_names, read_text, remove, replace_text
+from skyledger.sources.table import CHUNK_DAYS, ReadingsTable
 from skyledger.spec import DatasetSpec
 
 # How far back the weekly policy looks, and where both policies stop before now.
@@ -69,6 +70,30 @@ def refresh_rollup(
     return low, high
 
 
+def refresh_touched(table: ReadingsTable, path: str, width: str = "1 day") -> list[date]:
+    """Recompute the buckets of those chunks that have commits since the last call, and of no others.
+
+    The mark is the table's version before the refresh, kept beside the buckets and written last, so a refresh that is cut
+    short is made again. A compaction alone touches nothing. Bucket widths must divide a chunk.
+    """
+    if CHUNK_DAYS * 86400 % interval_seconds(width):
+        raise ValueError(f"buckets of {width} don't divide a chunk of {CHUNK_DAYS} days")
+    spark, state = table.spark, table.state()
+    mark = int(read_text(spark, f"{path}/_version") or 0)
+    days = sorted(date.fromisoformat(d) for d, pieces in state.chunks.items() if max(order for _, order in pieces) > mark)
+    rows = None
+    for day in days:
+        start = datetime.combine(day, datetime.min.time())
+        chunk = table.read(start, start + timedelta(days=CHUNK_DAYS))
+        rows = chunk if rows is None else rows.unionByName(chunk)
+    if rows is not None:
+        bucket = BUCKET_NAMES.get(width, "bucket")
+        fresh = rollup(rows, table.spec, width).withColumn("part", F.date_format(bucket, "yyyyMMddHHmmss")).hint("rebalance", "part")
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        replace_text(spark, f"{path}/_version", str(state.version))
+    return days
+
+
 def read_rollup(
     spark: SparkSession,
     path: str,

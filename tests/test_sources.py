@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.normalise import from_keyed_events
 from skyledger.operators.rollups import rollup
 from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
-from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_window, table_checks, stored_checks
+from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_touched, refresh_window, stored_checks, table_checks
 from skyledger.session import require_utc, work_dir
 from skyledger.sources import records as S
 from skyledger.sources.exports import export_dataset, topk_payload
@@ -347,6 +347,28 @@ def test_table_checks(spark):
         assert_tables(spark, {"no_view": ["a"]})
 
 
+def test_only_touched_chunks_are_refreshed(spark, rows, tmp_path):
+    table, path = ReadingsTable(spark, str(tmp_path / "t"), AIR), str(tmp_path / "r")
+    assert refresh_touched(table, path) == []
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x"), ("a", 24 * 8, 2.0, "x"), ("a", 24 * 20, 3.0, "x")), 0)
+    assert len(refresh_touched(table, path)) == 3
+    table.upsert(air_rows(spark, ("a", 24 * 8 + 1, 4.0, "x")), 1)
+    assert refresh_touched(table, path) == [date(2024, 1, 8)]
+    table.compact()
+    assert refresh_touched(table, path) == []
+    assert rows(read_rollup(spark, path, AIR), "no2_avg") == rows(rollup(table.read(), AIR, "1 day"), "no2_avg") == [(1.0,), (3.0,), (3.0,)]
+
+
+def test_poll_sends_requeued_rows_again(spark, rows, tmp_path):
+    page(tmp_path, "p_1.json", [record("A01")])
+    first, none = S.read_record_pages(spark, str(tmp_path), AIR.raw_schema)
+    offset = spark.createDataFrame([("2025-10-18T17:00:00Z",)], "offset string")
+    seen = spark.createDataFrame([], "fiwareid string, _fp string")
+    failed = spark.createDataFrame([("old", "{}", T0)], "key string, value string, ts timestamp")
+    keyed, _ = poll(first, none, offset, seen, AIR, requeued=failed)
+    assert [r[0] for r in rows(keyed, "key")] == ["A01|2025-10-18T18:00:00Z", "old"]
+
+
 def test_stored_tables_are_checked_by_their_rows(spark):
     rows = air_rows(spark, ("a", 0, 1.0, "x"), ("b", 24 * 30, 2.0, "x"))
     got = stored_checks({"air": rows, "other": rows.select("no2")}, {"air": ["ts", "gone"], "other": []}, {"air": "ts"}, {"air": 10}, datetime(2024, 2, 1))
