@@ -3,7 +3,7 @@
 # Windows as hex; a run of removed bytes ends where the next window starts beyond it.
 OP3_SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT r, doc_id, p, hash(substr(h, 2 * p + 1, 100)) AS k
+w AS MATERIALIZED (SELECT r, doc_id, p, hash(substr(h, 2 * p + 1, 100)) AS k
       FROM (SELECT r, doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS p FROM d)),
 f AS (SELECT k, min(doc_id) AS m FROM w GROUP BY k),
 hit AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS q
