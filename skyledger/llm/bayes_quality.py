@@ -14,8 +14,6 @@ any labelled row evidence is 0.5 everywhere. Repeated rows count each; an empty
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
