@@ -15,7 +15,7 @@ from skyledger.operators import quality as Q
 from skyledger.operators.changes import dedup_batch, emit_changes
 from skyledger.operators.joins import anti_seen
 from skyledger.plans.ingest import backfill, poll, replay
-from skyledger.registry.core import NOW_SQL, R, as_of, events, query, readings, rounded, when_type
+from skyledger.registry.core import R, events, query, readings, when_type
 from skyledger.registry.lookups import NAME_SQL, named_history, names_sql
 from skyledger.session import literal_table, work_dir
 from skyledger.sources import records as S

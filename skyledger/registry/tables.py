@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.fingerprint import value_fingerprint
 from skyledger.functions.time import format_ts
-from skyledger.operators.normalise import from_keyed_events, to_keyed_events
 from skyledger.operators.quality import requeue
-from skyledger.operators.rollups import rollup
 from skyledger.plans.rollup_jobs import read_rollup, refresh_rollup, stored_checks
 from skyledger.registry.core import R, as_readings, event_stream, events, landed_parts, query, readings, rounded
 from skyledger.registry.ingest import HOURLY
