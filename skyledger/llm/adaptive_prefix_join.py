@@ -130,7 +130,7 @@ def _ordered_sets(shingle: int, percent: int, bits: int):
 
     def build(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_shingles": pa.array([], pa.int64()), "cls": pa.array([], pa.int64()), "tokens": pa.array([], pa.binary()), "rarity": pa.array([], pa.binary())})
+            return base.empty(doc_id=pa.int64(), n_shingles=pa.int64(), cls=pa.int64(), tokens=pa.binary(), rarity=pa.binary())
         sets = _sets(table, shingle)
         said = blocks.told(answers, "u1")
         distinct, _ = _block_keys(sets, kept)
@@ -244,8 +244,9 @@ def may_reach(rank_x, rank_y, size_x, size_y, shared_x, shared_y, overlap):
 
 
 def _pairs(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, length: np.ndarray) -> pa.Table:
-    nil = pa.nulls(len(a))
-    return pa.table({"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n.astype(np.int32), "token": nil.cast(pa.int64()), "size": nil.cast(pa.int32()), "shared": nil.cast(pa.int32()), "rank": nil.cast(pa.int32()), "length": length.astype(np.int32)})
+    columns = {"kind": np.full(len(a), kind, np.int32), "a": a, "b": b, "n": n.astype(np.int32)}
+    columns |= {"token": pa.nulls(len(a), pa.int64())} | {c: pa.nulls(len(a), pa.int32()) for c in ("size", "shared", "rank")}
+    return pa.table(columns | {"length": length.astype(np.int32)})
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -294,7 +295,10 @@ def _lists(percent: int):
             out.append(_pairs(SHORT_PAIR, nodes[a], nodes[b], n, asked[a]))
         long = np.flatnonzero(np.repeat(counts > SHORT, counts))
         if len(long):
-            out.append(pa.table({"kind": pa.array(np.full(len(long), LONG_LIST, np.int32)), "a": cls[long], "b": cls[long], "n": np.ones(len(long), np.int32), "token": token[long].astype(np.int64), "size": size[long], "shared": shared[long], "rank": rank[long], "length": length[long].astype(np.int32)}))
+            one = np.ones(len(long), np.int32)
+            columns = {"kind": one * LONG_LIST, "a": cls[long], "b": cls[long], "n": one, "token": token[long].astype(np.int64)}
+            columns |= {"size": size[long], "shared": shared[long], "rank": rank[long], "length": length[long].astype(np.int32)}
+            out.append(pa.table(columns))
         return pa.concat_tables(out)
 
     return judge
@@ -359,11 +363,13 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = base.stored(verified(best, sets, percent), "star_links")
     comp = components(first)
     # What the first links leave apart.
-    of = lambda rows, col, name: rows.join(comp.select(F.col("node").alias(col), F.col("comp").alias("_c")), col, "left").withColumn(name, F.coalesce("_c", col)).drop("_c")
+    def of(rows: DataFrame, col: str, name: str) -> DataFrame:
+        known = comp.select(F.col("node").alias(col), F.col("comp").alias("_c"))
+        return rows.join(known, col, "left").withColumn(name, F.coalesce("_c", col)).drop("_c")
+
     short = lists.filter(F.col("kind") == SHORT_PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
-    member = base.stored(
-        of(lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "rank", "length"), "cls", "home"), "long_lists"
-    )
+    long_lists = lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "rank", "length")
+    member = base.stored(of(long_lists, "cls", "home"), "long_lists")
     spread = member.groupBy("token", "home").agg(F.count("*").alias("n")).groupBy("token")
     mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main")).filter("homes > 1").drop("homes")
     member = member.join(mixed, "token")
@@ -376,10 +382,9 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         return comp
     lifted = of(of(second, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     higher = components(lifted)
-    nodes = comp.unionByName(
-        higher.select("node", F.col("node").alias("comp")).join(comp.select("node"), "node", "left_anti").select("node", "comp")
-    )
-    return nodes.join(higher.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    lone = higher.select("node", F.col("node").alias("comp")).join(comp.select("node"), "node", "left_anti").select("node", "comp")
+    lift = higher.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return comp.unionByName(lone).join(lift, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
 
 
 def near_duplicates(
@@ -397,12 +402,16 @@ def near_duplicates(
     comp = class_links(found.filter(F.col("tokens").isNotNull()).select("cls", "tokens", "rarity"), percent)
     linked = found.filter(F.col("cls").isNotNull()).select("doc_id", "n_shingles", "cls")
     # Classes with a document in common belong together, too.
-    twice = linked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.collect_set("cls").alias("all")).filter("a <> z")
-    home = linked.join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("home", F.coalesce("comp", "cls")).drop("comp")
+    several = linked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    twice = several.agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.collect_set("cls").alias("all")).filter("a <> z")
+    of = lambda col, name: comp.select(F.col("node").alias(col), F.col("comp").alias(name))
+    home = linked.join(of("cls", "comp"), "cls", "left").withColumn("home", F.coalesce("comp", "cls")).drop("comp")
     if not twice.isEmpty():
-        more = twice.select("a", F.explode("all").alias("b")).filter("a <> b").join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
-        higher = components(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-        home = home.join(higher.select(F.col("node").alias("home"), F.col("comp").alias("to")), "home", "left").withColumn("home", F.coalesce("to", "home")).drop("to")
+        pairs = twice.select("a", F.explode("all").alias("b")).filter("a <> b")
+        lifted = pairs.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left")
+        higher = components(lifted.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        to = higher.select(F.col("node").alias("home"), F.col("comp").alias("to"))
+        home = home.join(to, "home", "left").withColumn("home", F.coalesce("to", "home")).drop("to")
     least = home.filter(F.col("doc_id").isNotNull()).groupBy("home").agg(F.min("doc_id").alias("component_id"))
     named = home.join(least, "home", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")

@@ -100,6 +100,11 @@ def chunks(data: np.ndarray, offsets: np.ndarray, size: int = CHUNK_BYTES) -> It
         first = last
 
 
+def empty(**types: pa.DataType) -> pa.Table:
+    """No rows of these columns."""
+    return pa.table({name: pa.array([], kind) for name, kind in types.items()})
+
+
 def binary_column(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 

@@ -15,11 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm import base
+
 #: Text bytes of a block, and keys of a bucket, on average.
 BLOCK_BYTES, BUCKET_KEYS = 4 << 20, 1 << 20
 BLOB = "blk long, bucket long, keys binary, vals binary"
 
 
+def no_blobs() -> pa.Table:
+    return base.empty(blk=pa.int64(), bucket=pa.int64(), keys=pa.binary(), vals=pa.binary())
+
+
 def in_blocks(
     docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()
 ) -> tuple[DataFrame, int, int]:

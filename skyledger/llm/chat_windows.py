@@ -140,7 +140,10 @@ def windows(
     no_id = -(2**63)
     string = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     turns = conversations.select(
-        F.coalesce(F.col(f"`{conv}`").cast("long"), F.lit(no_id)).alias("conv"), F.col(f"`{turn}`").cast("long").alias("turn"), string(role).alias("role"), string(text).alias("text")
+        F.coalesce(F.col(f"`{conv}`").cast("long"), F.lit(no_id)).alias("conv"),
+        F.col(f"`{turn}`").cast("long").alias("turn"),
+        string(role).alias("role"),
+        string(text).alias("text"),
     )
     placed = base.stored(positions(turns, tokens(F.col("text"))), "positions")
     stretch = max(1, budget - history)
@@ -151,8 +154,9 @@ def windows(
     new = named.select("conv", "window", F.lit(2).alias("kind"), "start", "role", "text")
     # A turn is repeated where a window begins within the history behind it; both fall into neighbouring cells.
     cell = max(1, history)
+    here = F.floor(F.col("start") / cell)
     spread = named.filter(~is_system).select(
-        "conv", "start", "end", "role", "text", F.col("window").alias("own"), F.explode(F.array(F.floor(F.col("start") / cell), F.floor(F.col("start") / cell) + 1)).alias("cell")
+        "conv", "start", "end", "role", "text", F.col("window").alias("own"), F.explode(F.array(here, here + 1)).alias("cell")
     )
     ahead = begins.select("conv", "window", "begin", F.floor(F.col("begin") / cell).alias("cell"))
     repeated = spread.join(ahead, ["conv", "cell"]).filter("window > own AND begin >= end AND begin - start <= " + str(history))
@@ -161,9 +165,8 @@ def windows(
     again = begins.join(systems, "conv").filter("window <> own").select("conv", "window", "kind", "start", "role", "text")
     every = new.unionByName(repeated).unionByName(again)
     rows = every.groupBy("conv", "window").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "role", "text"))).alias("turns"))
-    shaped = rows.withColumn(
-        "f", F.arrow_udf(_rendered, WINDOWS)(F.transform("turns", lambda t: F.struct((t["kind"] == 2).cast("int").alias("new"), t["role"].alias("role"), t["text"].alias("text"))))
-    )
+    as_turn = lambda t: F.struct((t["kind"] == 2).cast("int").alias("new"), t["role"].alias("role"), t["text"].alias("text"))
+    shaped = rows.withColumn("f", F.arrow_udf(_rendered, WINDOWS)(F.transform("turns", as_turn)))
     return shaped.select(
         F.when(F.col("conv") != no_id, F.col("conv")).alias("conv_id"),
         "window",

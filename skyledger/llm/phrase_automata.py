@@ -108,7 +108,7 @@ def _recurring_windows(table: pa.Table, answers: pa.Table, window: int, gram: in
 def _window_keys(window: int, gram: int, bits: int):
     def keys(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(("blk", "bucket", "keys", "vals"), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
+            return blocks.no_blobs()
         found = [p[-1] for p in _recurring_windows(table, answers, window, gram, bits)]
         return _counted(table, np.concatenate(found), bits, 64)
 
@@ -162,7 +162,7 @@ RESULT = "doc_id long, kept string, spans array<struct<start:long,end:long>>, n_
 def _streamed(window: int, gram: int, bits: int):
     def stream(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "kept": pa.array([], pa.string()), "spans": pa.array([], SPANS), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64())})
+            return base.empty(doc_id=pa.int64(), kept=pa.string(), spans=SPANS, n_words=pa.int64(), n_removed=pa.int64())
         second = np.array(answers.column("step").to_pylist(), np.int64) == 2
         parts = list(_recurring_windows(table, answers.filter(pa.array(~second)), window, gram, bits))
         _, place = np.unique(np.concatenate([p[-1] for p in parts]), return_inverse=True)

@@ -135,9 +135,8 @@ class BlockRecords:
 
 def _records(window: int, gram: int, bits: int):
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
-        names = ["blk", "bucket", "keys", "vals"]
         if not table.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(names, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
+            return blocks.no_blobs()
         r = BlockRecords(table, answers, window, gram, bits)
         used, starts = np.unique(r.bucket, return_index=True)
         ends = np.append(starts[1:], len(r.bucket))
@@ -252,7 +251,9 @@ def _removed(window: int, gram: int, bits: int, whole_characters: bool = False):
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         rest = [table.column("rest")] if "rest" in table.column_names else []
         if not table.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.string() if whole_characters else pa.binary(), SPANS, pa.int64())] + rest, names=[*COLUMNS, "rest"][: 4 + len(rest)])
+            kind = pa.string() if whole_characters else pa.binary()
+            none = base.empty(doc_id=pa.int64(), kept=kind, spans=SPANS, n_bytes=pa.int64())
+            return none.append_column("rest", rest[0]) if rest else none
         second = np.array(answers.column("step").to_pylist()) == 2
         r = BlockRecords(table, answers.filter(pa.array(~second)), window, gram, bits)
         mask = blocks.told(answers.filter(pa.array(second)), "u1").reshape(-1, lanes)
@@ -315,7 +316,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The columns of ``docs``, the text without its repeats; of a character that is cut in two, nothing stays. A null
     text stays null."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{text_col}`").isNull().alias("absent"), F.struct(*others).alias("others"))
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    named = docs.select(id_.alias("doc_id"), text.alias("text"), text.isNull().alias("absent"), F.struct(*others).alias("others"))
     found = remove_repeats(named, window=window, gram=gram, carry=["absent", "others"], whole_characters=True)
     text = F.when(~F.col("rest.absent"), F.col("kept"))
     return found.select(*[(text if c == text_col else F.col(f"rest.others.`{c}`")).alias(c) for c in docs.columns])
