@@ -1,6 +1,6 @@
 """A corpus pipeline: documents pass five stages, each written as Parquet and read again by the next.
 
-1. quality rules: documents that the rules reject go,
+1. quality rules: documents that the rules reject or that are toxic go (abusive terms are learned from a sample of labels),
 2. n-gram Jaccard join: of each group of near copies the document with the smallest id stays,
 3. suffix-array dedup: 50-byte strings that also start in a document with a smaller id are cut out of texts,
 4. benchmark decontamination: documents that hold a benchmark window go,
@@ -19,7 +19,7 @@ from skyledger.llm.base import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return weak_supervision.keep_good(docs)
+    return weak_supervision.keep_good(docs, labels=spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from skyledger.llm import (
     shard_flow,
     subword_langid,
     suffix_radix,
+    toxic_terms,
     weak_supervision,
 )
 from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL
@@ -66,7 +67,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = weak_supervision.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    terms = toxic_terms.learn(docs, table(spark, sf_dir, "labels"), F.col("toxic") == 1, F.col("lang"))
+    found = weak_supervision.judged(docs, terms=terms, lang_col="lang")
     counts = [F.col("_m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return found.select("doc_id", *counts, F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.round("_good", 6).alias("p_good"))
 

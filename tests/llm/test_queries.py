@@ -68,6 +68,18 @@ def test_quality_contract(spark, duck):
     assert sum(judged) / len(judged) > 0.98
 
 
+def toxic_by_language(duck):
+    """Toxic ids of each language that has five of them or more; fewer tell no terms."""
+    found = duck.execute("SELECT lang, list(doc_id) FROM labels JOIN documents USING (doc_id) WHERE toxic = 1 GROUP BY lang").fetchall()
+    return {lang: ids for lang, ids in found if len(ids) >= 5}
+
+
+def test_rules_drop_toxic_documents_of_every_language(spark, duck):
+    kept = {r.doc_id: r.kept for r in QUERIES["op8_quality_rules"](spark, SF_DIR).collect()}
+    for ids in toxic_by_language(duck).values():
+        assert sum(kept[i] for i in ids) <= 0.1 * len(ids)
+
+
 def test_language_contract(spark, duck):
     langs = dict(duck.execute("SELECT doc_id, lang FROM documents").fetchall())
     rows = QUERIES["op10_language_id"](spark, SF_DIR).collect()

@@ -168,6 +168,54 @@ def test_junk_goes_and_clean_text_stays(spark, docs):
     assert weak_supervision.keep_good(docs([])).count() == 0
 
 
+def languages_with_abuse(seed=9):
+    """Rows ``(doc_id, text, lang)`` of two languages, each with abusive words of its own, and the ids of the toxic ones."""
+    rng = random.Random(seed)
+    parts = {"aa": ("ber ung ach keit ein lich".split(), "quorgelmaniskan"), "bb": ("eau que ment ou tre \u00e9".split(), "z\u00e9rr")}
+    rows, toxic = [], set()
+    for i in range(400):
+        lang = ("aa", "bb")[i % 2]
+        make = lambda: "".join(rng.choice(parts[lang][0]) for _ in range(rng.randint(2, 4)))
+        words = [make() for _ in range(100)]
+        if i // 2 % 5 == 0:
+            toxic.add(i)
+            for at in rng.sample(range(100), 3):
+                words[at] = parts[lang][1] + make()
+        rows.append((i, " ".join(words), lang))
+    return rows, toxic
+
+
+def test_words_of_any_length_are_insults(spark, docs):
+    word = "abominableblockhead"
+    got = docs([(1, f"You {word}, {word.upper()}! {word}s idiot"), (2, None)]).select("doc_id", weak_supervision.measure(F.col("text"), [word]).alias("c")).collect()
+    assert {r.doc_id: r.c.n_insults for r in got} == {1: 2, 2: 0}
+
+
+def test_toxic_texts_go_in_every_language(spark):
+    rows, toxic = languages_with_abuse()
+    odd = [(None, rows[0][1], "aa"), (900, None, "aa"), (901, rows[0][1], None), (902, rows[2][1], "cc")]
+    frame = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    # Half of the rows have labels; the other half is judged by what these tell.
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(0, 400) if i // 2 % 2 == 0] + [(None, 1), (1, None)], "doc_id long, toxic int")
+    kept = [r.doc_id for r in weak_supervision.keep_good(frame, labels=labels).collect()]
+    assert not toxic & set(kept) and None not in kept and 901 not in kept
+    assert len(set(kept) - {902}) >= 0.99 * (400 - len(toxic)) and 902 in kept
+    # Without labels only the fixed insults count.
+    assert len(weak_supervision.keep_good(frame).collect()) == 403
+    assert weak_supervision.keep_good(frame.limit(0), labels=labels).count() == 0
+    assert weak_supervision.keep_good(frame, labels=labels.filter("toxic = 0")).count() == 403
+
+
+def test_toxicity_is_found_whatever_its_share():
+    rng = np.random.default_rng(3)
+    for share in (0.0, 0.02, 0.3):
+        toxic = rng.random(5000) < share
+        n = rng.integers(200, 400, 5000)
+        k = rng.poisson(n * np.where(toxic, 0.025, 0.0004))
+        found = weak_supervision.word_score(n, k, *weak_supervision.fit_toxicity(n, k, np.ones(5000))) > 0
+        assert (found == toxic).mean() > 0.98 and (not toxic.any() or found[toxic].mean() > 0.93)
+
+
 def test_sparse_sites_shrink_to_the_level_above(spark):
     rows = [(i, "bad", "a", 0.1) for i in range(200)] + [(1000 + i, "good", "a", 0.9) for i in range(200)]
     rows += [(5000, "bad", "rare", 0.9), (5001, "new", "a", 0.9), (5002, None, None, 0.5)]
