@@ -1,7 +1,9 @@
 """Quality by hierarchical empirical Bayes: a document's own evidence on top of what its path and host are like.
 
 1. A logistic regression on ratios of counts (``weak_supervision.measure``) gives each document's evidence. It is trained
-   in numpy on at most about ``SAMPLE`` labelled documents, chosen by a hash of their id.
+   in numpy on at most about ``SAMPLE`` labelled documents, chosen by a hash of their id. Among the counts is that of abusive
+   words: fixed insults, and hashed words and word beginnings that ``toxic_terms`` learns for each language from a bounded
+   sample of the same labels.
 2. Sums of the evidence per host and per path within a host are partial aggregates. The spread between hosts beyond what
    chance explains gives, by the method of moments, how many documents a host's prior is worth, and likewise for paths.
    A host's posterior is shrunk to the global rate, a path's to its host's: sparse sites stay near their prior.
@@ -18,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm import base
+from skyledger.llm import base, toxic_terms
 from skyledger.llm.weak_supervision import measure
 
 SAMPLE, RIDGE = 20_000, 1.0
@@ -39,7 +41,7 @@ def ratios(m: Column) -> list[Column]:
         share("n_upper", F.greatest(m["n_letters"], F.lit(1))),
         share("n_commonest", words),
         F.sqrt(share("n_insults", words)),
-        (m["n_insults"] > 0).cast("double"),
+        share("n_insults", 0.01 * words),
         share("n_alpha", chars, 1.0),
         share("n_bare", words),
         share("n_shouts", words, 2.0),
@@ -113,12 +115,14 @@ def posteriors(scored: DataFrame) -> DataFrame:
 
 def judged(
     docs: DataFrame, labels: DataFrame, host: Column, path: Column, good: Column, id_col: str = "doc_id", text_col: str = "text",
-    sample: int = SAMPLE,
+    sample: int = SAMPLE, toxic: Column | None = None, lang: Column | None = None,
 ) -> DataFrame:
-    """``(doc_id, p_doc, p_host, p_path, p_good)`` per row of ``docs``; ``good`` is a condition on the columns of ``labels``."""
+    """``(doc_id, p_doc, p_host, p_path, p_good)`` per row of ``docs``; ``good`` is a condition on the columns of ``labels``, as
+    is ``toxic`` (not good, if it isn't given), from which the terms of each ``lang`` are learned."""
     base.prepare(docs.sparkSession)
+    terms = toxic_terms.learn(docs, labels, ~good if toxic is None else toxic, lang, id_col, text_col)
     name = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
-    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), name(host).alias("host"), name(path).alias("path"), measure(F.col(f"`{text_col}`")).alias("_m"))
+    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), name(host).alias("host"), name(path).alias("path"), measure(F.col(f"`{text_col}`"), terms=terms, lang=lang).alias("_m"))
     seen = base.stored(found.select("doc_id", "host", "path", F.array(*ratios(F.col("_m"))).alias("x")), "ratios")
     marked = labels.select(F.col(f"`{id_col}`").alias("doc_id"), good.cast("double").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     n = marked.count()

@@ -148,5 +148,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    found = bayes_quality.judged(docs, labels, F.col("source"), F.col("lang"), good)
+    found = bayes_quality.judged(docs, labels, F.col("source"), F.col("lang"), good, toxic=F.col("toxic") == 1, lang=F.col("lang"))
     return found.select("doc_id", *[F.round(c, 9).alias(c) for c in ("p_doc", "p_host", "p_path", "p_good")], (F.col("p_good") >= 0.5).alias("kept"))

@@ -238,6 +238,16 @@ def test_classifier_on_labelled_rows(spark, docs):
     assert bayes_quality.judged(docs([]), labels, F.col("source"), F.col("lang"), F.col("quality") == 1).count() == 0
 
 
+def test_classifier_finds_toxic_texts_of_every_language(spark):
+    rows, toxic = languages_with_abuse()
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(0, 400) if i // 2 % 2 == 0], "doc_id long, quality int, toxic int")
+    found = bayes_quality.judged(frame, labels, F.lit("s"), F.col("lang"), F.col("toxic") == 0, lang=F.col("lang")).collect()
+    for part in (0, 1):
+        p = {r.doc_id: (r.p_doc, r.p_good) for r in found if r.doc_id % 2 == part}
+        assert all(max(p[i]) < 0.5 for i in toxic & set(p)) and sum(min(p[i]) >= 0.5 for i in set(p) - toxic) >= 0.98 * len(set(p) - toxic)
+
+
 # -- language
 
 
