@@ -2,6 +2,9 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -108,3 +111,14 @@ def test_recent_bound_is_a_scalar_filter(spark):
 
 def test_air_columns_match_the_wire(spark):
     assert AIR.columns == [f.name for f in AIR.schema] == [f.name for f in AIR.event_schema]
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_entry_stands_alone(tmp_path, broken):
+    """Without the training-text folders, or where they can't be imported, every other query is still there."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    left_out = shutil.ignore_patterns(".git", "__pycache__", "spark-warehouse", "tests", "llm", *([] if broken else ["corpus_pipeline.py"]))
+    copy = shutil.copytree(root, tmp_path / "copy", ignore=left_out)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True).stdout
+    assert out.split() == [str(len(QUERIES)), str(sum(q.sql is not None for q in QUERIES.values()))]
