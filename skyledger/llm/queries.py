@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
@@ -12,6 +12,7 @@ from skyledger.llm import (
     base,
     bayes_quality,
     chat_windows,
+    periodic_runs,
     phrase_automata,
     piece_sampling,
     positional_index,
@@ -150,3 +151,44 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     found = bayes_quality.judged(docs, labels, F.col("source"), F.col("lang"), good, toxic=F.col("toxic") == 1, lang=F.col("lang"))
     return found.select("doc_id", *[F.round(c, 9).alias(c) for c in ("p_doc", "p_host", "p_path", "p_good")], (F.col("p_good") >= 0.5).alias("kept"))
+
+
+def replanted(doc_id: Column, text: Column) -> Column:
+    """Every tenth text, by a checksum of its id, repeats a stretch of its words to the end; the others are as they are."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        spun = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, at(i))), " ")
+        return F.when(n > 0, spun).otherwise(text)
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # A transform of one element binds the words, which would else be split again for each use.
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeat)[0]).otherwise(text)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # A row of its own for each text: Python functions take no argument that holds a lambda.
+    texts = docs.select("doc_id", F.explode(F.array(replanted(F.col("doc_id"), F.col("text")))).alias("text"))
+    found = periodic_runs.with_runs(texts)
+    runs = F.col("periodic.runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"), runs.alias("runs"), F.col("periodic.collapsed").alias("kept")
+    ).select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
