@@ -11,6 +11,7 @@ from skyledger.llm import (
     adaptive_prefix_join,
     base,
     bayes_quality,
+    block_neighbours,
     chat_windows,
     periodic_runs,
     phrase_automata,
@@ -22,7 +23,7 @@ from skyledger.llm import (
     toxic_terms,
     weak_supervision,
 )
-from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL
+from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP11_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -192,3 +193,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("kept", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_nearest_neighbours", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in "documents benchmark labels conversations pages".split():
+    for name in "documents embeddings benchmark labels conversations pages".split():
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return con
 
