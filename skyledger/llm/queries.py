@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions.once import bound
 from skyledger.llm import (
     adaptive_prefix_join,
     base,
     bayes_quality,
     block_neighbours,
     chat_windows,
+    filter_audit,
     periodic_runs,
     phrase_automata,
     piece_sampling,
@@ -23,7 +25,7 @@ from skyledger.llm import (
     toxic_terms,
     weak_supervision,
 )
-from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP11_SQL
+from skyledger.llm.sql import OP3_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP11_SQL, OP13_SQL
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -198,3 +200,16 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_nearest_neighbours", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    few_or_alike = bound(words, lambda w: F.array(F.size(w) < 100, 100 * F.size(F.array_distinct(w)) < 80 * F.size(w)))
+    loud = 100 * F.regexp_count(text, F.lit("[A-Z]")) > 10 * F.char_length(text)
+    fails = F.concat(few_or_alike, F.array(loud, text.rlike("[#$%&*|]")))
+    counts = filter_audit.mask_counts(
+        table(spark, sf_dir, "documents"), fails, 4, F.col("lang"), table(spark, sf_dir, "labels"), F.col("quality") == 1, F.col("toxic") == 1
+    )
+    return filter_audit.every_order(counts, "ABCDE")

@@ -79,3 +79,31 @@ p AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM p) WHERE k <= 5
 """
+
+# Every row of a part, for every order and step.
+OP13_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, {WORDS.format('text')} AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+        100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+        first IS NOT NULL AND (w.doc_id IS NULL OR w.doc_id > first) AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+m AS (SELECT part, (a::INT) + 2 * (b::INT) + 4 * (c::INT) + 8 * (d::INT) + 16 * (e::INT) AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+      FROM f GROUP BY ALL),
+i AS (SELECT unnest(range(5)) AS i),
+orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x + 1, 1)), '') AS filter_order, step,
+            CAST(power(2, o[step]) AS INT) AS bit, CAST(coalesce(list_sum(list_transform(o[1:step - 1], lambda x: power(2, x))), 0) AS INT) AS earlier
+          FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+s AS (SELECT part, filter_order, step, bit, n, good, toxic, mask, mask & bit <> 0 AS fails, mask & earlier <> 0 AS gone FROM m, steps),
+one AS (SELECT part, filter_order, step, any_value(bit) AS bit,
+  coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+  coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant, coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+  coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM one
+"""

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,9 +53,9 @@ def odd_rows(seed=5, n=400, d=24):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_all_odd_cases(spark, rows, monkeypatch, small):
-    """With one tile and with many, of few rows and columns each."""
+    """With few groups and with many, of few rows each."""
     if small:
-        for name, value in dict(CANDIDATE_BYTES=4096, QUERY_BYTES=512, TILE_QUERIES=3, TILE_CANDIDATES=16, EXACT_COLUMNS=7, PAIRS=50, ROWS_PER_MERGE=64).items():
+        for name, value in dict(CANDIDATE_BYTES=4096, QUERY_BYTES=512, ROWS_PER_MERGE=64).items():
             monkeypatch.setattr(block_neighbours, name, value)
     data = odd_rows()
     found = nearest(frame(spark, data), F.col("vec_id") % 50 == 0)
@@ -62,6 +63,18 @@ def test_all_odd_cases(spark, rows, monkeypatch, small):
     assert rows(found) == by_brute_force(data)
 
 
+def test_tiles_of_few_rows_and_columns(monkeypatch):
+    for name, value in dict(TILE_QUERIES=3, TILE_CANDIDATES=16, EXACT_COLUMNS=7, PAIRS=50).items():
+        monkeypatch.setattr(block_neighbours, name, value)
+    data = [r for r in odd_rows()[:520]]
+    vec = pa.array([v for _, v in data], pa.list_(pa.float32()))
+    table = pa.table({"id": pa.array([i for i, _ in data], pa.int64()), "vec": vec, "tile": pa.array([0] * len(data), pa.int64())})
+    asked = np.flatnonzero([i % 50 == 0 for i, _ in data])
+    queries = table.take(asked).append_column("qrow", pa.array(asked))
+    found = block_neighbours._merged(5)(block_neighbours._tiles(5)(table, queries)).to_pylist()
+    assert sorted((tuple(r.values()) for r in found), key=repr) == by_brute_force(data)
+
+
 def test_doubles_out_of_the_range_of_squares(spark, rows):
     rng = random.Random(2)
     data = [(i, [rng.gauss(0, 1) * 2.0**800 for _ in range(5)]) for i in range(30)] + [(50, [rng.gauss(0, 1) * 2.0**-800 for _ in range(5)])]
