@@ -2,7 +2,7 @@
 
 1. A logistic regression on ratios of counts (``weak_supervision.measure``) gives each document's evidence. It is trained
    in numpy on at most about ``SAMPLE`` labelled documents, chosen by a hash of their id. Among the counts is that of abusive
-   words: fixed insults, and hashed words and word beginnings that ``toxic_terms`` learns for each language from a bounded
+   words beyond the first: hashed words and word beginnings that ``toxic_terms`` learns for each language from a bounded
    sample of the same labels.
 2. Sums of the evidence per host and per path within a host are partial aggregates. The spread between hosts beyond what
    chance explains gives, by the method of moments, how many documents a host's prior is worth, and likewise for paths.
@@ -33,6 +33,9 @@ def ratios(m: Column) -> list[Column]:
     words, chars = F.greatest(m["n_words"], F.lit(1)), F.greatest(m["word_chars"], F.lit(1))
     share = lambda c, of, top=1.0: F.least(m[c] / of, F.lit(top)).cast("double")
     length = (chars / words).cast("double")
+    # The first abusive word may be a chance likeness; it tells nothing by itself.
+    abusive = F.greatest(m["n_insults"] - 1, F.lit(0))
+    among = lambda of: F.least(abusive / of, F.lit(1.0)).cast("double")
     return [
         share("n_symbols", words, 2.0),
         share("n_symbols", chars),
@@ -40,8 +43,9 @@ def ratios(m: Column) -> list[Column]:
         share("n_dup_lines", F.greatest(m["n_lines"], F.lit(1))),
         share("n_upper", F.greatest(m["n_letters"], F.lit(1))),
         share("n_commonest", words),
-        F.sqrt(share("n_insults", words)),
-        share("n_insults", 0.01 * words),
+        F.sqrt(among(words)),
+        among(0.01 * words),
+        (abusive > 0).cast("double"),
         share("n_alpha", chars, 1.0),
         share("n_bare", words),
         share("n_shouts", words, 2.0),

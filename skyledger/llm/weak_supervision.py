@@ -6,10 +6,10 @@ size of the corpus. ``fit`` runs expectation-maximisation over the patterns: a l
 chance of each vote given the latent. Every pattern gets its posterior probability of good.
 
 Toxicity is a latent of its own, as junk and abuse come independently of each other. ``fit_toxicity`` runs a second
-expectation-maximisation, per language, over how many of a text's words are abusive: ``INSULTS`` in texts of any language, and
-the terms that ``toxic_terms`` learns for each language from a bounded sample of labels, where there are labels. ``kept`` is
-false for texts that fail the base rules and else says whether the chances of good by the rules and of not being toxic both
-reach ``threshold``.
+expectation-maximisation, per language, over how many of a text's words are abusive: the terms that ``toxic_terms`` learns for
+each language from a bounded sample of labels or, without labels, the fixed ``INSULTS``. A text with fewer than ``LEAST_HITS``
+abusive words is not toxic, whatever its length. ``kept`` is false for texts that fail the base rules and else says whether the
+chances of good by the rules and of not being toxic both reach ``threshold``.
 
 Words are runs of characters other than ASCII white space. Null, empty and blank texts have no words, so they fail the
 base rules. Repeated rows are judged alike; an empty table gives an empty one. Null ids are kept as they are.
@@ -27,7 +27,7 @@ from skyledger.llm.toxic_terms import Terms
 
 # Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-# Insults that count in every language, as whole words in lower case.
+# Insults that count where no terms were learned, as whole words in lower case.
 INSULTS = (
     "bastard clown crap cretin damn disgusting dumb fool garbage idiot imbecile jerk loser moron pathetic scum stupid trash "
     "ugly worthless"
@@ -35,6 +35,8 @@ INSULTS = (
 
 #: Bounds of the rates of abusive words in other and in toxic texts, and of the share of toxic texts.
 RATES, SHARES = ((1e-5, 2e-3), (0.01, 0.05)), (1e-3, 0.5)
+#: Abusive words that it takes: a single one may be a chance likeness or a harmless use.
+LEAST_HITS = 2
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_commonest", "n_insults", "n_alpha", "n_bare", "n_shouts")
@@ -112,11 +114,12 @@ def counts(data: np.ndarray, offsets: np.ndarray, groups: np.ndarray, insults: l
 
 
 def measure(text: Column, insults: list[str] | None = None, terms: Terms | None = None, lang: Column | None = None) -> Column:
-    """The counts of a text as a struct of longs; ``terms`` of the text's language count as insults, too."""
-    terms = terms or Terms()
+    """The counts of a text as a struct of longs; abusive words are the ``terms`` of the text's language, or without any terms the
+    ``insults``."""
     fixed = np.array([_word_hash(w) for w in (INSULTS if insults is None else insults)], np.uint64) ^ toxic_terms.WHOLE
+    terms = terms or Terms()
     names = ["", *[x for x in terms.langs if x]]
-    known = [np.unique(np.concatenate((fixed, terms.of(x)))) for x in names]
+    known = [terms.of(x) if terms.keys else np.unique(fixed) for x in names]
 
     @F.arrow_udf(MEASURE)
     @base.trimmed
@@ -267,7 +270,7 @@ def judged(
             w, n, k = np.array(sorted((r["n"], r["words"] / r["n"], r["insults"] / r["n"]) for r in lengths if r["lang"] == x), float).T
             share, low, high = fit_toxicity(n, k, w)
             toxic = F.lit(float(np.log(share / (1 - share)))) + m["n_insults"] * float(np.log(high / low)) - m["n_words"] * (high - low)
-            clean = F.when(lang == x, 1 / (1 + F.exp(toxic))).otherwise(clean)
+            clean = F.when((lang == x) & (m["n_insults"] >= LEAST_HITS), 1 / (1 + F.exp(toxic))).otherwise(clean)
         good = F.least(good, clean)
     out = out.withColumn("_good", F.when(F.col("_failed"), 0.0).otherwise(good))
     return out.withColumn("_kept", ~F.col("_failed") & (F.col("_good") >= threshold))
