@@ -121,7 +121,7 @@ def _first_block(group: np.ndarray, vals: np.ndarray, n: int) -> np.ndarray:
     return said
 
 
-SETS = "doc_id long, n_shingles long, cls long, tokens binary, rarity binary"
+SETS = "doc_id long, h long, n_shingles long, cls long, tokens binary, rarity binary"
 
 
 def _ordered_sets(shingle: int, percent: int, bits: int):
@@ -130,7 +130,7 @@ def _ordered_sets(shingle: int, percent: int, bits: int):
 
     def build(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return base.empty(doc_id=pa.int64(), n_shingles=pa.int64(), cls=pa.int64(), tokens=pa.binary(), rarity=pa.binary())
+            return base.empty(doc_id=pa.int64(), h=pa.int64(), n_shingles=pa.int64(), cls=pa.int64(), tokens=pa.binary(), rarity=pa.binary())
         sets = _sets(table, shingle)
         said = blocks.told(answers, "u1")
         distinct, _ = _block_keys(sets, kept)
@@ -156,6 +156,7 @@ def _ordered_sets(shingle: int, percent: int, bits: int):
         return pa.table(
             {
                 "doc_id": table.column("doc_id"),
+                "h": table.column("h"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "cls": pa.array(cls, pa.int64()),
                 "tokens": pa.array(tokens, pa.binary()),
@@ -387,19 +388,25 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return comp.unionByName(lone).join(lift, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
-) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row: documents whose shingle sets have a Jaccard similarity of
-    ``percent`` or more are linked; the component is named by its smallest document id."""
+def classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, h, n_shingles, cls, …)``, ``h`` a hash of the text and ``cls`` the class of its set, null where it can have no
+    link; and the components ``(node, comp)`` of classes."""
     base.prepare(docs.sparkSession)
     rows, _, total = blocks.in_blocks(docs, id_col, text_col)
     bits = blocks.bucket_bits(total / 6)
-    dealt = rows.groupBy("blk")
+    dealt = rows.withColumn("h", F.xxhash64("text")).groupBy("blk")
     sent = dealt.applyInArrow(base.trimmed(_send_keys(shingle, bits)), blocks.BLOB)
     said = sent.groupBy("bucket").applyInArrow(base.trimmed(_answer_keys(bits)), blocks.BLOB)
     found = base.stored(dealt.cogroup(said.groupBy("blk")).applyInArrow(base.trimmed(_ordered_sets(shingle, percent, bits)), SETS), "sets")
-    comp = class_links(found.filter(F.col("tokens").isNotNull()).select("cls", "tokens", "rarity"), percent)
+    return found, class_links(found.filter(F.col("tokens").isNotNull()).select("cls", "tokens", "rarity"), percent)
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per row: documents whose shingle sets have a Jaccard similarity of
+    ``percent`` or more are linked; the component is named by its smallest document id. Texts that share an id are one document."""
+    found, comp = classes(docs, id_col, text_col, shingle, percent)
     linked = found.filter(F.col("cls").isNotNull()).select("doc_id", "n_shingles", "cls")
     # Classes with a document in common belong together, too.
     several = linked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
@@ -421,10 +428,21 @@ def near_duplicates(
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose document has the smallest id of its component, one row an id; rows with a null id stay."""
-    found = near_duplicates(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), shingle=shingle, percent=percent)
-    gone = base.stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    rows = base.packed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("h", F.xxhash64("text")).drop("text")
-    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("h"))).orderBy("h")
-    ranked = rows.join(gone, "doc_id", "left_anti").withColumn("n", F.row_number().over(one))
-    return ranked.filter("n = 1 OR doc_id IS NULL").select("row.*")
+    """The rows of ``docs`` whose text belongs to the smallest id of its component.
+
+    Texts are judged, not ids: of rows that share an id, those with texts that are not similar all stay. Of a component one text
+    stays, the least by hash if its smallest id has several; of rows with equal ids and texts one stays. Rows with a null id stay.
+    """
+    found, comp = classes(docs, id_col, text_col, shingle, percent)
+    known = found.filter("cls IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "h", "cls").distinct()
+    home = known.join(comp, known.cls == comp.node, "left").select("doc_id", "h", F.coalesce("comp", "cls").alias("home"))
+    home = base.stored(home, "homes")
+    first = home.groupBy("home").agg(F.min(F.struct("doc_id", "h")).alias("first"))
+    gone = home.join(first, "home").filter(F.struct("doc_id", "h") != F.col("first")).select("doc_id", "h")
+    rows = base.packed(docs, doc_id=id_col, h=text_col).select(
+        "row", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("h").cast("string")).alias("h")
+    )
+    one = Window.partitionBy("doc_id", "h").orderBy(F.xxhash64("row"))
+    left = rows.filter("doc_id IS NOT NULL").join(base.stored(gone, "gone"), ["doc_id", "h"], "left_anti")
+    left = left.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row")
+    return left.unionByName(rows.filter("doc_id IS NULL").select("row")).select("row.*")

@@ -1,6 +1,7 @@
 """Counts of hashed keys over a whole corpus at a few bytes a key.
 
-Documents are dealt into blocks of some megabytes by a hash of their id. A block sends its distinct keys, sorted
+Documents are dealt into blocks of some megabytes by a hash of their id and text, so that rows without an id, or of one id with
+many texts, are spread as well. A block sends its distinct keys, sorted
 and as small differences, to buckets of the key space; a bucket answers each block with one value a key, in the
 same order. A block therefore learns what the whole corpus holds of its own keys without either side being held
 in one place, and a key that occurs everywhere arrives at most once from each block.
@@ -34,7 +35,7 @@ def in_blocks(
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *rest)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    return rows.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.lit(n))), n, total
+    return rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))), n, total
 
 
 def bucket_bits(keys: float) -> int:

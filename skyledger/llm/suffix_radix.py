@@ -43,7 +43,8 @@ class Anchors:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
         n = len(data) - window + 1
-        self.at = self.first = self.last = self.key = np.zeros(0, np.int64)
+        self.at = self.first = self.last = np.zeros(0, np.int64)
+        self.key = np.zeros(0, np.uint64)
         if n <= 0:
             return
         key = hashing.grams(hashing.prefix(hashing.CODES[data]), gram)

@@ -135,6 +135,23 @@ def test_first_of_each_keeps_one_row_a_family(spark, docs):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([(1, text), (2, rows[3][1]), (None, text), (5, ""), (6, "")], key=repr)
 
 
+def test_first_of_each_loses_no_text_of_a_shared_id(spark, docs):
+    """An id with several texts takes none of them along with the others."""
+    a, b, c = (sentence(random.Random(i), 50) for i in (1, 2, 3))
+    near = " ".join(["changed", *b.split()[1:]])
+    rows = [(1, a), (1, b), (2, near), (2, near), (3, c), (3, c.upper()), (3, "short"), (3, "short"), (4, None), (4, None), (4, "")]
+    for data in (rows, rows[::-1]):
+        left = sorted(((r.doc_id, (r.text or "").lower()) for r in adaptive_prefix_join.first_of_each(docs(data)).collect()), key=repr)
+        assert left == sorted([(1, a), (1, b), (3, c), (3, "short"), (4, ""), (4, "")], key=repr)
+
+
+def test_rows_without_an_id_are_spread_over_blocks(spark, docs):
+    rows = [(None, sentence(random.Random(i), 30)) for i in range(200)]
+    found, n, _ = blocks.in_blocks(docs(rows), "doc_id", "text", block_bytes=2000)
+    sizes = [r["count"] for r in found.groupBy("blk").count().collect()]
+    assert n > 5 and len(sizes) == n and max(sizes) < 4 * 200 / n
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
