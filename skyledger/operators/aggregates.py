@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.time import format_ts, instant, interval_seconds, time_bucket
 from skyledger.operators.filters import last_interval, scan_range
-from skyledger.operators.windows import preceding_max, time_block
+from skyledger.operators.windows import block_window, carry_over, in_blocks, with_carried
 
 
 def row_count(df: DataFrame, ts: str = "ts", since=None, until=None, name: str = "total_rows") -> DataFrame:
@@ -134,50 +134,50 @@ def counter_increase(
     """Growth of a counter over the trailing range at each sample; a drop in value is a restart from zero.
 
     Counts the steps between samples inside ``(ts - range, ts]``, without extrapolation to the range edges. Series are
-    cut into blocks whatever the range; sums and first samples are carried over blocks on one row per block.
+    cut into blocks whatever the range: one segmented scan gives every sample the growth since the series began, a second
+    finds for each sample the first one after the open start of its range. Samples without an instant are left out.
     """
     span = interval_seconds(range_width) * 1_000_000
     width = interval_seconds(block) * 1_000_000
-    samples = df.groupBy(*series, ts).agg(F.max(value).alias(value))
-    lagged = preceding_max(samples, series, ts, F.struct(F.col(ts), F.col(value)), time_block(ts, block), "_last")
-    before = F.col("_last")[value]
-    step = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    steps = lagged.select(*series, ts, value, F.unix_micros(ts).alias("_at"), F.coalesce(step, F.lit(0)).alias("_step"))
-    steps = steps.withColumn("_block", F.floor(F.col("_at") / F.lit(width)).cast("long"))
-    part = [*series, "_block"]
-    inside = Window.partitionBy(*part).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = steps.withColumn("_run", F.sum("_step").over(inside))
-    # Each sample asks, from the open start of its range, for the next sample after it: the running total there is what
-    # lies before the range. An ask goes to the block of its own time.
-    ask_at = F.col("_at") - F.lit(span)
-    asks = placed.select("*", ask_at.alias("_time"), F.floor(ask_at / F.lit(width)).cast("long").alias("_home"))
-    mine = placed.select(*series, F.col("_block").alias("_home"), F.col("_at").alias("_time"), F.lit(1).alias("_kind"), F.col("_run").alias("_seen"))
-    both = asks.withColumn("_kind", F.lit(0)).unionByName(mine, allowMissingColumns=True)
-    back = Window.partitionBy(*series, "_home").orderBy(F.desc("_time"), "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    found = both.withColumn("_next", F.last("_seen", ignorenulls=True).over(back)).filter("_kind = 0").drop("_seen", "_kind", "_time")
-    # Per block: the total of the blocks before it, and the first sample of a later block, whose own block and run the
-    # total at an ask without a sample behind it in its block is made from.
-    sums = placed.groupBy(*part).agg(F.sum("_step").alias("_sum"), F.min_by("_run", "_at").alias("_first"))
-    homes = found.select(*series, F.col("_home").alias("_block")).distinct()
-    blocks = sums.unionByName(homes, allowMissingColumns=True).groupBy(*part).agg(F.max("_sum").alias("_sum"), F.max("_first").alias("_first"))
-    order = Window.partitionBy(*series).orderBy("_block")
-    carried = blocks.withColumn(
-        "_before", F.coalesce(F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("_start", F.when(F.col("_first").isNotNull(), F.col("_before") + F.col("_first")))
-    later = order.rowsBetween(1, Window.unboundedFollowing)
-    carried = carried.withColumn("_later", F.first("_start", ignorenulls=True).over(later))
-    own = _carry(found, carried.select(*part, F.col("_before").alias("_own")), part, "_block")
-    asked = _carry(own, carried.select(*part, "_before", "_later"), part, "_home")
-    origin = F.when(F.col("_next").isNotNull(), F.col("_before") + F.col("_next")).otherwise(F.col("_later"))
-    return asked.select(*series, ts, value, (F.col("_own") + F.col("_run") - origin).cast("double").alias(name))
-
-
-def _carry(rows: DataFrame, blocks: DataFrame, part: Sequence[str], block: str) -> DataFrame:
-    """Columns of a row's block, joined with NULL as a key like any other."""
-    names = {c: f"_k{i}" for i, c in enumerate(part)}
-    renamed = blocks.withColumnsRenamed(names)
-    same = [F.col(block if c == part[-1] else c).eqNullSafe(F.col(k)) for c, k in names.items()]
-    return rows.join(renamed, same).drop(*names.values())
+    keys = list(series)
+    at = F.unix_micros(ts)
+    home = lambda t: F.floor(t / F.lit(width)).cast("long")
+    step = lambda old, new: F.when(new < old, new).otherwise(new - old)
+    samples = in_blocks(df.filter(F.col(ts).isNotNull()).select(*keys, at.alias("_at"), value), keys, home(F.col("_at")))
+    # Blocks hold whole instants, so equal ones meet without another shuffle.
+    samples = samples.groupBy(*keys, "_block", "_at").agg(F.max(value).alias(value))
+    before = F.lag(value).over(Window.partitionBy(*keys, "_block").orderBy("_at"))
+    steps = samples.withColumn("_step", F.coalesce(step(before, F.col(value)), F.lit(0)).cast("double"))
+
+    def carry(blocks: DataFrame, earlier) -> DataFrame:
+        into = F.coalesce(step(F.last("_last", ignorenulls=True).over(earlier), F.col("_first")), F.lit(0)).cast("double")
+        began = blocks.withColumn("_into", into)
+        so_far = F.sum(F.col("_into") + F.col("_sum")).over(earlier)
+        return began.select(*keys, "_block", (F.coalesce(so_far, F.lit(0.0)) + F.col("_into")).alias("_start"))
+
+    tail = [F.sum("_step").alias("_sum"), F.min_by(value, "_at").alias("_first"), F.max_by(value, "_at").alias("_last")]
+    # Growth up to the first sample of every block.
+    starts = carry_over(steps, keys, tail, carry)
+    run = F.sum("_step").over(block_window(keys, "_at", Window.unboundedPreceding, 0))
+    total = (F.col("_start") + F.col("_run")).alias("_total")
+    grown = with_carried(steps.withColumn("_run", run), starts, keys).select(*keys, "_at", value, total)
+    # Each sample stands in the block of its own time, and asks in the block of its range's start for the next sample there.
+    ask = F.struct((F.col("_at") - F.lit(span)).alias("_time"), F.lit(True).alias("_asks"))
+    stand = F.struct(F.col("_at").alias("_time"), F.lit(False).alias("_asks"))
+    both = grown.select("*", F.inline(F.array(ask, stand))).withColumn("_block", home(F.col("_time")))
+    # Backwards in time; of equal times the asking one comes first, as its range is open there.
+    back = Window.partitionBy(*keys, "_block").orderBy(F.desc("_time"), F.desc("_asks")).rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.last(F.when(~F.col("_asks"), F.col("_total")), ignorenulls=True).over(back)
+    found = both.withColumn("_origin", seen).filter("_asks")
+    # Where a block holds no sample after the ask, the next block's first one counts. Asks of one block go to two at most.
+    reach = [home(F.col("_block") * width + edge - span) for edge in (0, width - 1)]
+    asked = starts.select(*keys, F.explode(F.array_distinct(F.array(*reach))).alias("_block"))
+    later = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    blocks = starts.unionByName(asked, allowMissingColumns=True).groupBy(*keys, "_block").agg(F.max("_start").alias("_start"))
+    nexts = blocks.select(*keys, "_block", F.first("_start", ignorenulls=True).over(later).alias("_next"))
+    return with_carried(found, nexts, keys).select(
+        *keys, F.timestamp_micros("_at").cast(df.schema[ts].dataType).alias(ts), value, (F.col("_total") - F.coalesce("_origin", "_next")).cast("double").alias(name)
+    )
 
 
 def with_silent(grown: DataFrame, expected: DataFrame, series: Sequence[str], at, ts: str = "ts", name: str = "increase") -> DataFrame:

@@ -1,17 +1,20 @@
 """Latest rows and running state.
 
 Ordered work never puts a whole series in one task. ``last_row`` and ``last_not_null`` are combinable
-aggregates. ``preceding_max`` cuts a series into blocks: rows meet only rows of their own block, and one
-value per block is carried over from the blocks before it. Lags, gaps and sustained conditions use it.
+aggregates. The others are segmented scans: ``in_blocks`` deals a series into blocks by one shuffle, windows see the
+rows of one block only, and ``carry_over`` sums each block up in a row, scans those few rows per series and hands
+every block what came before it, all carried values at once. Blocks and their sums read the same shuffle, so a frame
+that holds no more columns than the scan needs is read once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from skyledger.functions.time import interval_seconds
 
@@ -89,32 +92,49 @@ def number_block(order: Column | str, size: int = 4096) -> Column:
     return F.floor(at / F.lit(size)).cast("long")
 
 
+def in_blocks(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
+    """The rows with their ``_block``, a block's rows together; ``block`` must not decrease with the order of the scan."""
+    return df.withColumn("_block", block).repartition(*keys, "_block")
+
+
+def block_window(keys: Sequence[str], order: str | Column, first: int, last: int) -> WindowSpec:
+    """A window over the rows of one block, in order."""
+    return Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(first, last)
+
+
+def carry_over(
+    rows: DataFrame, keys: Sequence[str], tail: Sequence[Column], carry: Callable[[DataFrame, WindowSpec], DataFrame]
+) -> DataFrame:
+    """One row a block with what ``carry`` makes of it: ``tail`` are aggregates of a block, and ``carry`` gets them with a window
+    over all earlier blocks of the series."""
+    blocks = rows.groupBy(*keys, "_block").agg(*tail)
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return carry(blocks, earlier)
+
+
+def with_carried(rows: DataFrame, carried: DataFrame, keys: Sequence[str], block: str = "_block") -> DataFrame:
+    """The rows with the columns of their block; NULL is a key like any other."""
+    names = {c: f"_carried_{i}" for i, c in enumerate([*keys, "_block"])}
+    same = [F.col(block if c == "_block" else c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return rows.join(carried.withColumnsRenamed(names), same, "left").drop(*names.values())
+
+
 def preceding_max(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, block: Column, name: str
 ) -> DataFrame:
     """Adds ``name``: the greatest ``value`` among rows of the key strictly before this one in ``order``.
 
-    ``order`` must be unique per key and ``block`` must not decrease with it. The carry over earlier blocks
-    is computed on one row per key and block.
+    ``order`` must be unique per key and ``block`` must not decrease with it.
     """
-    part = [*keys, "_block"]
-    rows = df.withColumn("_block", block).withColumn("_value", value)
-    inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.groupBy(*part)
-        .agg(F.max("_value").alias("_block_max"))
-        .select(*part, F.max("_block_max").over(earlier).alias("_carry"))
+    rows = in_blocks(df.withColumn("_value", value), keys, block)
+    carried = carry_over(
+        rows, keys, [F.max("_value").alias("_most")], lambda b, earlier: b.select(*keys, "_block", F.max("_most").over(earlier).alias("_carry"))
     )
-    # NULL is a key like any other.
-    names = {c: f"_carried_{i}" for i, c in enumerate(part)}
-    carried = carried.withColumnsRenamed(names)
-    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    inside = F.max("_value").over(block_window(keys, order, Window.unboundedPreceding, -1))
     return (
-        rows.withColumn("_inside", F.max("_value").over(inside))
-        .join(carried, same, "left")
+        with_carried(rows.withColumn("_inside", inside), carried, keys)
         .withColumn(name, F.greatest("_inside", "_carry"))
-        .drop("_block", "_value", "_inside", "_carry", *names.values())
+        .drop("_block", "_value", "_inside", "_carry")
     )
 
 
@@ -129,35 +149,62 @@ def tick_gaps(df: DataFrame, dataset: str, ts: str = "ts", block: str = "1 hour"
 
 
 def station_advances(
-    snapshots: DataFrame, key: str = "fiwareid", ts: str = "ts", poll: str = "poll_seq", block: int = 4096
+    snapshots: DataFrame,
+    key: str = "fiwareid",
+    ts: str = "ts",
+    poll: str = "poll_seq",
+    block: int = 4096,
+    top: Column | None = None,
+    remembered: DataFrame | None = None,
 ) -> DataFrame:
     """Per poll and station: the previously seen tick, whether it advanced, and what kind of poll it was.
 
     A poll is a DATASET ADVANCE when its greatest tick rises above all earlier ones (or it is the first);
     every station seen in it is then remembered at its tick, even an older one. Otherwise it is a PARTIAL
     ADVANCE if some station moved on, and only those are remembered; else NONE.
+
+    ``top`` (the greatest tick of earlier polls) and ``remembered`` ``(key, ts)`` continue from polls that are not given.
+    Across stations only one row per ``block`` polls is carried.
     """
     rows = snapshots.filter(F.col(ts).isNotNull()).groupBy(poll, key).agg(F.max(ts).alias(ts))
-    polls = rows.groupBy(poll).agg(F.max(ts).alias("max_tick"))
-    polls = preceding_max(polls, [], poll, F.col("max_tick"), number_block(poll, block), "_top").select(
-        poll, "max_tick", (F.col("_top").isNull() | (F.col("max_tick") > F.col("_top"))).alias("_resets")
-    )
-    # A station's memory restarts at each dataset advance it appears in: that poll opens a segment.
-    rows = preceding_max(
-        rows.join(polls, poll), [key], poll, F.when(F.col("_resets"), F.col(poll)), number_block(poll, block), "_since"
+    polls = in_blocks(rows.groupBy(poll).agg(F.max(ts).alias("_tick")), [], number_block(poll, block))
+    tops = carry_over(
+        polls, [], [F.max("_tick").alias("_most")], lambda b, earlier: b.select("_block", F.max("_most").over(earlier).alias("_carry"))
     )
-    segment = F.when(F.col("_resets"), F.col(poll)).otherwise(F.coalesce("_since", F.lit(-1).cast("long")))
-    rows = rows.withColumn("_segment", segment).drop("_since")
-    # What a station was last seen at is the greatest tick of its latest segment before this poll.
-    judged = preceding_max(rows, [key], poll, F.struct("_segment", ts), number_block(poll, block), "_memory")
-    judged = judged.withColumn("last_seen", F.col("_memory")[ts]).withColumn(
+    inside = F.max("_tick").over(block_window([], poll, Window.unboundedPreceding, -1))
+    known = F.lit(None).cast(rows.schema[ts].dataType) if top is None else top
+    above = F.greatest("_inside", "_carry", known)
+    resets = (above.isNull() | (F.col("_tick") > above)).alias("_resets")
+    polls = with_carried(polls.withColumn("_inside", inside), tops, []).select(F.col(poll).alias("_poll"), resets)
+    rows = in_blocks(rows.join(polls, F.col(poll) == F.col("_poll")).drop("_poll"), [key], number_block(poll, block))
+    # A station's memory restarts at each dataset advance it appears in: that poll opens a segment. What it was last seen at
+    # is the greatest tick of its latest segment before a poll.
+    opened = F.max(F.when(F.col("_resets"), F.col(poll))).over(block_window([key], poll, Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_segment", opened)
+
+    def carry(blocks: DataFrame, earlier) -> DataFrame:
+        since = blocks.withColumn("_since", F.max("_tail._segment").over(earlier))
+        whole = F.struct(F.coalesce("_tail._segment", "_since").alias("_segment"), F.col("_tail")[ts].alias(ts))
+        return since.select(key, "_block", F.max(whole).over(earlier).alias("_carry"))
+
+    carried = carry_over(rows, [key], [F.max(F.struct("_segment", ts)).alias("_tail")], carry)
+    memory = F.max(F.struct("_segment", ts)).over(block_window([key], poll, Window.unboundedPreceding, -1))
+    judged = with_carried(rows.withColumn("_memory", memory), carried, [key])
+    # Without an advance of its block before it, a row goes on with the segment that was carried, or with what is remembered.
+    last_seen = F.greatest(F.col("_memory")[ts], F.col("_carry")[ts])
+    if remembered is not None:
+        held = remembered.select(F.col(key).alias("_station"), F.col(ts).alias("_held"))
+        judged = judged.join(held, F.col(key).eqNullSafe(F.col("_station")), "left")
+        last_seen = F.when(F.col("_carry._segment").isNull(), F.greatest(last_seen, F.col("_held"))).otherwise(last_seen)
+    last_seen = F.when(F.col("_memory._segment").isNotNull(), F.col("_memory")[ts]).otherwise(last_seen)
+    judged = judged.select(poll, key, ts, "_resets", last_seen.alias("last_seen")).withColumn(
         "advanced", F.col("last_seen").isNull() | (F.col(ts) > F.col("last_seen"))
     )
-    moved = judged.groupBy(poll).agg(F.bool_or("advanced").alias("_moved"))
+    moved = judged.groupBy(F.col(poll).alias("_poll")).agg(F.bool_or("advanced").alias("_moved"), F.max(ts).alias("max_tick"))
     kind = (
         F.when(F.col("_resets"), "DATASET ADVANCE").when(F.col("_moved"), "PARTIAL ADVANCE").otherwise("NONE")
     )
-    return judged.join(moved, poll).select(
+    return judged.join(moved, F.col(poll) == F.col("_poll")).select(
         poll, key, ts, "max_tick", "last_seen", "advanced", kind.alias("poll_kind")
     )
 
@@ -172,7 +219,7 @@ def alert_sustained(
     """
     met = F.coalesce(condition, F.lit(False))
     marked = preceding_max(
-        df.withColumn("_met", met), list(keys), ts, F.when(~F.col("_met"), F.col(ts)), time_block(ts, block), "_broken"
+        df.select(*keys, ts, met.alias("_met")), list(keys), ts, F.when(~F.col("_met"), F.col(ts)), time_block(ts, block), "_broken"
     )
     length = (F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / F.lit(1e6)
     return (

@@ -247,6 +247,25 @@ def test_station_advances_match_the_model(spark, rows, seed):
     assert got == model_advances(polls)
 
 
+@pytest.mark.parametrize("cut", [3, 11])
+def test_station_advances_go_on_from_what_is_remembered(spark, rows, cut):
+    """Two runs, the second from the first one's tops and memory, equal one run; NULL and empty ids are stations, too."""
+    rng = random.Random(cut)
+    schema = "poll_seq long, fiwareid string, ts timestamp"
+    data = [(p, s, at(rng.randrange(p, p + 6))) for p in range(20) for s in ("a", "b", "", None) if rng.random() < 0.7]
+    cols = ("poll_seq", "fiwareid", "ts", "max_tick", "last_seen", "advanced", "poll_kind")
+    whole = W.station_advances(spark.createDataFrame(data, schema), block=4).collect()
+    early, late = ([r for r in data if (r[0] < cut) == first] for first in (True, False))
+    memory, top = {}, max(r[2] for r in early)
+    for r in sorted((r for r in whole if r.poll_seq < cut), key=lambda r: r.poll_seq):
+        if r.poll_kind == "DATASET ADVANCE" or r.advanced:
+            memory[r.fiwareid] = r.ts
+    known = spark.createDataFrame(list(memory.items()), "fiwareid string, ts timestamp")
+    second = W.station_advances(spark.createDataFrame(late, schema), block=4, top=F.lit(top), remembered=known)
+    want = sorted((tuple(r[c] for c in cols) for r in whole if r.poll_seq >= cut), key=repr)
+    assert rows(second, *cols) == want
+
+
 def test_alert_sustained(spark, rows):
     samples = [("x", at(m), v) for m, v in [(0, 0), (1, 1), (2, 1), (3, 1), (4, 0), (5, 1), (1500, 1), (1501, 0)]]
     df = spark.createDataFrame(samples, "k string, ts timestamp, v int")

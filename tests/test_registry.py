@@ -103,6 +103,19 @@ def test_windows_always_have_a_key(spark):
         assert "Exchange SinglePartition" not in text, name
 
 
+def ran(df):
+    """The plan as it ran, without what adaptive execution replaced."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name, single", [("station_advances", 1), ("counter_increase", 0), ("counter_rate", 0), ("tick_gaps", 0), ("alert_sustained", 0)])
+def test_segmented_scans_read_their_input_once_or_twice(spark, name, single):
+    """Only station_advances carries something across all stations: one row per block of polls."""
+    text = ran(QUERIES[name].build(spark, SF_DIR))
+    assert text.count("FileScan") <= 2 and text.count("Exchange SinglePartition") <= single
+
+
 def test_recent_bound_is_a_scalar_filter(spark):
     recent = last_interval(readings(spark, SF_DIR), "ts", "24 hours", as_of(spark, SF_DIR))
     text = plan(recent.select("no2"))
