@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.once import bound
 from skyledger.functions.time import ISO_INSTANT, before, instant, interval_seconds
-from skyledger.sources.files import list_names
+from skyledger.sources.files import exists, list_names, remove, replace_text
 from skyledger.spec import DatasetSpec
 from skyledger.session import literal_table
 
@@ -101,37 +101,58 @@ def validate(
     return judged.filter(~bad).drop("errors"), judged.filter(bad), counts
 
 
-def quarantine(df: DataFrame, path: str, batch_id: int, ts: Column | None = None) -> None:
-    """Keep failed ``key, value`` rows under their batch; writing a batch again replaces it."""
+class FailedBatch(int):
+    """A batch number that knows its writer, as numbers of several writers repeat."""
+
+    writer: str
+
+    def __new__(cls, number: int, writer: str = "") -> FailedBatch:
+        batch = super().__new__(cls, number)
+        batch.writer = writer
+        return batch
+
+    @property
+    def folder(self) -> str:
+        return f"writer={self.writer}/batch_id={int(self)}" if self.writer else f"batch_id={int(self)}"
+
+
+def quarantine(df: DataFrame, path: str, batch_id: int, ts: Column | None = None, writer: str = "") -> None:
+    """Keep failed ``key, value`` rows under their writer and batch; writing a batch again replaces it, unless its rows have
+    been handed on already. A streaming writer is named by its query's id, which a new checkpoint changes."""
+    batch = FailedBatch(batch_id, writer)
+    if exists(df.sparkSession, f"{path}/consumed/{batch.folder}"):
+        return
     kept = df.select(
         F.col("key").cast("string"),
         F.col("value").cast("string"),
         (F.current_timestamp() if ts is None else ts).cast("timestamp").alias("ts"),
     )
-    kept.write.mode("overwrite").parquet(f"{path}/failed/batch_id={batch_id}")
+    kept.write.mode("overwrite").parquet(f"{path}/failed/{batch.folder}")
 
 
-def requeue(spark: SparkSession, path: str) -> tuple[DataFrame, list[int]]:
+def requeue(spark: SparkSession, path: str) -> tuple[DataFrame, list[FailedBatch]]:
     """All failed rows not yet handed on, and the batches they come from."""
-    done = {int(n.split("=")[1]) for n in list_names(spark, f"{path}/consumed") if n.startswith("batch_id=")}
-    waiting = sorted(
-        int(n.split("=")[1])
-        for n in list_names(spark, f"{path}/failed")
-        if n.startswith("batch_id=") and int(n.split("=")[1]) not in done
-    )
+    found = []
+    for name in list_names(spark, f"{path}/failed"):
+        if name.startswith("batch_id="):
+            found.append(FailedBatch(int(name[9:])))
+        elif name.startswith("writer="):
+            found += [FailedBatch(int(n[9:]), name[7:]) for n in list_names(spark, f"{path}/failed/{name}") if n.startswith("batch_id=")]
+    waiting = sorted((b for b in found if not exists(spark, f"{path}/consumed/{b.folder}")), key=lambda b: (b.writer, int(b)))
     schema = "key string, value string, ts timestamp"
     if not waiting:
         return literal_table(spark, [], schema), []
-    folders = [f"{path}/failed/batch_id={b}" for b in waiting]
+    folders = [f"{path}/failed/{b.folder}" for b in waiting]
     return spark.read.schema(schema).parquet(*folders), waiting
 
 
 def mark_consumed(spark: SparkSession, path: str, batches: Sequence[int]) -> None:
-    """Call after the next stage has safely written the requeued rows."""
-    for batch_id in batches:
-        spark.range(1).select(F.current_timestamp().alias("at")).coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/consumed/batch_id={batch_id}"
-        )
+    """Call after the next stage has safely written the requeued rows. Their folders go, so a later ``requeue`` lists only what
+    waits; an empty file remembers the batch, should its writer run it again."""
+    for batch in batches:
+        batch = batch if isinstance(batch, FailedBatch) else FailedBatch(batch)
+        replace_text(spark, f"{path}/consumed/{batch.folder}", "")
+        remove(spark, f"{path}/failed/{batch.folder}")
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

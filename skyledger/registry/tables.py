@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from skyledger.functions.fingerprint import value_fingerprint
 from skyledger.functions.time import format_ts
-from skyledger.operators.quality import requeue
+from skyledger.operators.quality import mark_consumed, requeue
 from skyledger.plans.rollup_jobs import read_rollup, refresh_rollup, stored_checks
-from skyledger.registry.core import R, as_readings, event_stream, events, landed_parts, query, readings, rounded
+from skyledger.registry.core import NOW_SQL, R, as_readings, event_stream, events, landed_parts, query, readings, rounded
 from skyledger.registry.ingest import HOURLY
 from skyledger.registry.lookups import ADVANCES_SQL, polls
 from skyledger.registry.series import AIR_ROLLUP_SQL, WEATHER_ROLLUP_SQL, rollup_sql
@@ -288,3 +289,80 @@ def _(spark, sf):
         snapshots = polls(event_stream(spark, f"{folder}/in"))
         X.snapshot_diff_stream(snapshots, f"{folder}/state", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch_id")
+
+
+# -- streams that start over: a successor with a checkpoint of its own goes on in the same folders
+
+
+def checkpoints(folder, n, parts=5):
+    """The first checkpoint for the earlier parts, a second one for the rest."""
+    return f"{folder}/checkpoint-{int(n >= parts // 2)}"
+
+
+@query(
+    "stream_quarantine_restarted",
+    f"""WITH {R} SELECT fiwareid || '|' || strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') AS key, event_id % 50 = 7 AS cut_off
+    FROM r WHERE NOT ({GOOD})""",
+)
+def _(spark, sf):
+    folder = work_dir(spark, "stream")
+    table = ReadingsTable(spark, f"{folder}/table", AIR)
+    # The successor reads a folder of its own; its batches count from zero like those before it.
+    for n, (low, high) in enumerate((("2000-01-01", "2024-01-15"), ("2024-01-15", "2100-01-01"))):
+        landed = events(spark, sf).filter((F.col("ts") >= low) & (F.col("ts") < high))
+        keyed(landed).write.json(f"{folder}/in-{n}")
+        stream = read_event_stream(spark, "json", {"path": f"{folder}/in-{n}"})
+        X.stream_upsert(stream, table, f"{folder}/checkpoint-{n}", failed=f"{folder}/failed").awaitTermination()
+        waiting, batches = requeue(spark, f"{folder}/failed")
+        waiting.write.parquet(f"{folder}/handed/turn={n}")
+        mark_consumed(spark, f"{folder}/failed", batches)
+    return spark.read.parquet(f"{folder}/handed").select("key", (F.length("value") == 20).alias("cut_off"))
+
+
+@query("stream_rollup_restarted", rollup_sql(AIR_ROLLUP_SQL, "7 days", "bucket_start"))
+def _(spark, sf):
+    folder = work_dir(spark, "stream")
+    for n in landed_parts(spark, sf, f"{folder}/in", parts=4):
+        rolled = X.stream_rollup(as_readings(event_stream(spark, f"{folder}/in")), AIR, "7 days", "40 days")
+        X.write_rollup_stream(rolled, f"{folder}/rollup", checkpoints(folder, n, 4)).awaitTermination()
+    return rounded(X.read_rollup_stream(spark, f"{folder}/rollup", AIR))
+
+
+@query("stream_snapshot_diff_restarted", ADVANCES_SQL)
+def _(spark, sf):
+    folder = work_dir(spark, "stream")
+    for n in landed_parts(spark, sf, f"{folder}/in", parts=4):
+        snapshots = polls(event_stream(spark, f"{folder}/in"))
+        X.snapshot_diff_stream(snapshots, f"{folder}/state", f"{folder}/out", checkpoints(folder, n, 4)).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch_id")
+
+
+@query(
+    "stream_freshness_silence",
+    f"""SELECT event_type AS dataset, late AS minutes_later,
+      count(*) FILTER (WHERE ts > {NOW_SQL} + to_minutes(late) - INTERVAL '6 hours') AS rows_in_window,
+      CASE WHEN max(ts) > {NOW_SQL} + to_minutes(late) - INTERVAL '6 hours' THEN 'ok'
+           WHEN max(ts) > {NOW_SQL} + to_minutes(late) - INTERVAL '12 hours' THEN 'pending' ELSE 'firing' END AS state
+    FROM events, (SELECT unnest([0, 420, 2000]) AS late) GROUP BY event_type, late""",
+)
+def _(spark, sf):
+    folder = work_dir(spark, "stream")
+    rows = events(spark, sf)
+    rows.write.parquet(f"{folder}/in")
+    expected = rows.select(F.col("event_type").alias("dataset")).distinct()
+    newest = rows.agg(F.max("ts").alias("now")).first()["now"]
+    out = None
+    # All events come before the first report; then the feeds stop, and the clock alone makes batches.
+    for late in (0, 420, 2000):
+        stream = event_stream(spark, f"{folder}/in").select(F.col("event_type").alias("dataset"), "ts")
+        time.sleep(1.1)  # the clock source ticks once a second
+        X.stream_freshness(
+            stream, expected, f"{folder}/state", f"{folder}/out", f"{folder}/checkpoint", "6 hours", "6 hours",
+            clock=newest + timedelta(minutes=late),
+        ).awaitTermination()
+        report = spark.read.parquet(f"{folder}/out")
+        last = report.filter(F.col("batch_id") == report.agg(F.max("batch_id")).scalar())
+        part = f"{folder}/reports/minutes_later={late}"
+        last.select("dataset", "rows_in_window", "state").write.parquet(part)
+        out = f"{folder}/reports"
+    return spark.read.parquet(out)

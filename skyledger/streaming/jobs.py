@@ -1,8 +1,9 @@
 """Streaming upsert, change capture, rollups, freshness and snapshot watching.
 
-State that outlives a micro-batch is a table per batch id: batch n reads the newest finished version below n
-and writes version n, so a batch that runs again gives the same output. Once batch n is done, versions before
-n - 1 are removed.
+State and outputs that outlive a micro-batch are folders per run number. ``run_number`` numbers the batches of all queries that
+ever wrote to a folder, in order: a batch that runs again keeps its number, and a new checkpoint, whose batches count from zero
+again, goes on where the last one stopped. Run n reads the newest finished state below n and writes version n, so a batch that
+runs again gives the same output.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from skyledger.operators.changes import changed_rows, next_state
 from skyledger.operators.normalise import from_keyed_events, to_keyed_events
 from skyledger.operators.quality import freshness, quarantine
 from skyledger.operators.windows import last_row, station_advances
-from skyledger.sources.files import exists, list_names, read_text, remove
+from skyledger.sources.files import create, exists, list_names, read_text, remove
 from skyledger.sources.table import ReadingsTable
 from skyledger.spec import DatasetSpec
 from skyledger.session import literal_table
@@ -29,29 +30,73 @@ from skyledger.session import literal_table
 NOW = {"availableNow": True}
 
 
-class VersionedState:
-    """A small table kept as one folder per micro-batch."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def before(self, batch_id: int) -> DataFrame | None:
-        done = [
-            int(n.split("=")[1])
-            for n in list_names(self.spark, self.path)
-            if n.startswith("version=") and exists(self.spark, f"{self.path}/{n}/_SUCCESS")
-        ]
-        earlier = [v for v in done if v < batch_id]
-        if not earlier:
-            return None
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={max(earlier)}")
+#: Changes that are kept beside a whole version before the next whole one is written.
+CHANGES = 16
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
 
-    def prune(self, batch_id: int) -> None:
-        """Call when all of batch ``batch_id`` is written: only a repeat of it reads the version before."""
-        drop_before(self.spark, self.path, "version", batch_id - 1)
+class VersionedState:
+    """A table kept as whole versions and, where ``key`` is given, changed rows since, one folder per run."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str | None = None):
+        self.spark, self.path, self.schema, self.key = spark, path, schema, key
+
+    def _finished(self, before: int) -> tuple[int | None, list[int]]:
+        """The newest whole version below a run, and the runs of the changes after it."""
+        found: dict[str, list[int]] = {"version": [], "change": []}
+        for name in list_names(self.spark, self.path):
+            kind, _, number = name.partition("=")
+            if kind in found and int(number) < before and exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
+                found[kind].append(int(number))
+        newest = max(found["version"], default=None)
+        return newest, sorted(n for n in found["change"] if newest is None or n > newest)
+
+    def before(self, run: int) -> DataFrame | None:
+        newest, changes = self._finished(run)
+        if newest is None:
+            return None
+        read = self.spark.read.schema(self.schema)
+        whole = read.parquet(f"{self.path}/version={newest}")
+        if not changes:
+            return whole
+        rows = whole.withColumn("_run", F.lit(newest))
+        for n in changes:
+            rows = rows.unionByName(read.parquet(f"{self.path}/change={n}").withColumn("_run", F.lit(n)))
+        return last_row(rows, [self.key], ["_run"]).select(*whole.columns)
+
+    def write(self, df: DataFrame, run: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/version={run}")
+
+    def change(self, df: DataFrame, run: int) -> None:
+        """Write the rows that take the place of those with their keys; every so often the whole table."""
+        newest, changes = self._finished(run)
+        if newest is None:
+            self.write(df, run)
+        elif len(changes) < CHANGES:
+            df.write.mode("overwrite").parquet(f"{self.path}/change={run}")
+        else:
+            rows = self.before(run).withColumn("_new", F.lit(0)).unionByName(df.withColumn("_new", F.lit(1)))
+            self.write(last_row(rows, [self.key], ["_new"]).select(*df.columns), run)
+
+    def prune(self, run: int) -> None:
+        """Call when all of a run is written: only a repeat of it reads what was before."""
+        newest, _ = self._finished(run)
+        if newest is not None:
+            for kind in ("version", "change"):
+                drop_before(self.spark, self.path, kind, newest)
+
+
+def run_number(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> int:
+    """The number of a batch among all batches of all queries over ``path``; one query runs at a time."""
+    me = {"query": query_id(spark, checkpoint), "batch": batch_id}
+    numbers = sorted(int(n) for n in list_names(spark, path) if n.isdigit())
+    if numbers and json.loads(read_text(spark, f"{path}/{numbers[-1]}")) == me:
+        return numbers[-1]
+    number = numbers[-1] + 1 if numbers else 0
+    if not create(spark, f"{path}/{number}", json.dumps(me)):
+        raise RuntimeError(f"two queries write to {path} at once")
+    for old in numbers[:-1]:
+        remove(spark, f"{path}/{old}")
+    return number
 
 
 def drop_before(spark: SparkSession, path: str, name: str, first: int) -> None:
@@ -91,7 +136,8 @@ def stream_upsert(
         parsed = from_keyed_events(batch.withColumns({"_key": F.col("key"), "_value": F.col("value")}), spec)
         broken = F.col(spec.key).isNull() | F.col(spec.ts).isNull()
         if failed is not None:
-            quarantine(parsed.filter(broken).select(F.col("_key").alias("key"), F.col("_value").alias("value")), failed, batch_id)
+            apart = parsed.filter(broken).select(F.col("_key").alias("key"), F.col("_value").alias("value"))
+            quarantine(apart, failed, batch_id, writer=query_id(batch.sparkSession, checkpoint))
             rows = parsed.filter(~broken)
         else:
             complaint = F.raise_error(F.concat(F.lit("event without station or instant: "), F.coalesce("_value", F.lit("null"))))
@@ -121,24 +167,30 @@ def stream_emit_changes(
     spark = canonical.sparkSession
     offsets = VersionedState(spark, f"{state_path}/offset", "offset string")
     seen_schema = f"{spec.key} string, _fp string" if scope == "dataset" else f"{spec.key} string, offset string, _fp string"
-    seens = VersionedState(spark, f"{state_path}/seen", seen_schema)
+    seens = VersionedState(spark, f"{state_path}/seen", seen_schema, spec.key)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        offset, seen = offsets.before(batch_id), seens.before(batch_id)
+        run = run_number(session, f"{state_path}/runs", checkpoint, batch_id)
+        offset, seen = offsets.before(run), seens.before(run)
         if offset is None or seen is None:
             offset = literal_table(session, [(start_offset,)], "offset string")
             seen = literal_table(session, [], seen_schema)
-        kept = f"{state_path}/emitted/batch_id={batch_id}"
+        kept = f"{state_path}/emitted/batch_id={run}"
         changed_rows(batch, offset, seen, spec, scope).write.mode("overwrite").parquet(kept)
         emitted = session.read.schema(batch.schema).parquet(kept)
-        to_keyed_events(emitted, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        to_keyed_events(emitted, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={run}")
         next_offset, next_seen = next_state(emitted, offset, seen, spec, scope, seq)
-        seens.write(next_seen, batch_id)
-        offsets.write(next_offset, batch_id)
-        seens.prune(batch_id)
-        offsets.prune(batch_id)
-        drop_before(session, f"{state_path}/emitted", "batch_id", batch_id)
+        if scope == "station":
+            # Only stations that emitted something have news; an offset never falls, so the greatest is among them or the old one.
+            moved = emitted.select(F.col(spec.key).alias("_station")).distinct()
+            seens.change(next_seen.join(moved, F.col(spec.key) == F.col("_station"), "left_semi"), run)
+        else:
+            seens.write(next_seen, run)
+        offsets.write(next_offset, run)
+        seens.prune(run)
+        offsets.prune(run)
+        drop_before(session, f"{state_path}/emitted", "batch_id", run)
 
     return start(canonical, handle, checkpoint, trigger)
 
@@ -158,10 +210,11 @@ def stream_rollup(readings: DataFrame, spec: DatasetSpec, width: str = "1 day",
 
 
 def write_rollup_stream(rolled: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
-    """Changed buckets of every micro-batch, one folder per batch."""
+    """Changed buckets of every micro-batch, one folder per run, whichever checkpoint it belongs to."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        run = run_number(batch.sparkSession, f"{path}/_runs", checkpoint, batch_id)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={run}")
 
     return start(rolled, handle, checkpoint, trigger, mode="update")
 
@@ -187,25 +240,29 @@ def stream_freshness(
 ) -> StreamingQuery:
     """Freshness judged after every micro-batch against the clock, as over all rows so far.
 
-    Remembers how many rows each dataset has per instant, back to where the report still looks; rows ahead of the
-    clock wait there for their time.
+    A source that ticks every second is joined in as rows without a dataset, so there are batches, and reports, when all
+    feeds are silent. Remembers how many rows each dataset has per instant, back to where the report still looks; rows ahead
+    of the clock wait there for their time.
     """
     spark = events.sparkSession
     state = VersionedState(spark, state_path, f"{dataset} string, {ts} timestamp, _n long")
     reach = interval_seconds(window) + interval_seconds(hold)
+    rows = events.select(F.col(dataset).cast("string").alias(dataset), F.col(ts).cast("timestamp").alias(ts))
+    ticks = spark.readStream.format("rate").load().select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.groupBy(dataset, ts).agg(F.count(F.lit(1)).alias("_n"))
-        known = state.before(batch_id)
+        run = run_number(batch.sparkSession, f"{state_path}/runs", checkpoint, batch_id)
+        rows = batch.filter(F.col(ts).isNotNull()).groupBy(dataset, ts).agg(F.count(F.lit(1)).alias("_n"))
+        known = state.before(run)
         if known is not None:
             rows = rows.unionByName(known).groupBy(dataset, ts).agg(F.sum("_n").alias("_n"))
-        state.write(rows.filter(F.col(ts) > before(clock, reach)), batch_id)
-        kept = spark.read.schema(state.schema).parquet(f"{state_path}/version={batch_id}")
+        state.write(rows.filter(F.col(ts) > before(clock, reach)), run)
+        kept = spark.read.schema(state.schema).parquet(f"{state_path}/version={run}")
         report = freshness(kept, expected, clock, window, hold, dataset, ts, weight="_n")
-        report.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        state.prune(batch_id)
+        report.write.mode("overwrite").parquet(f"{out_path}/batch_id={run}")
+        state.prune(run)
 
-    return start(events, handle, checkpoint, trigger)
+    return start(rows.unionByName(ticks), handle, checkpoint, trigger)
 
 
 def snapshot_diff_stream(
@@ -220,29 +277,42 @@ def snapshot_diff_stream(
 ) -> StreamingQuery:
     """Station and dataset advances over a stream of polls, whole polls per micro-batch and in order.
 
-    The state is replayed as two earlier polls: one that brings the remembered greatest tick and one that
-    brings every station's remembered tick.
+    Remembered are the greatest tick, the last poll, and the tick of every station, of which a batch writes only those that
+    it saw. Any id is a station's, the empty one and NULL as well. A poll that comes again, or after a later one, stops the
+    query; polls that an earlier query has judged are passed over, so a new checkpoint may start from the beginning.
     """
     spark = snapshots.sparkSession
-    top = VersionedState(spark, f"{state_path}/top", f"{ts} timestamp")
-    seen = VersionedState(spark, f"{state_path}/seen", f"{key} string, {ts} timestamp")
-    cols = [poll, key, ts]
+    top = VersionedState(spark, f"{state_path}/top", f"{ts} timestamp, {poll} long, _query string")
+    seen = VersionedState(spark, f"{state_path}/seen", f"{key} string, {ts} timestamp", key)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(F.col(poll).cast("long").alias(poll), key, ts)
-        known, peak = seen.before(batch_id), top.before(batch_id)
-        if known is not None:
-            marker = peak.select(F.lit(-2).cast("long").alias(poll), F.lit("").alias(key), ts)
-            memory = known.select(F.lit(-1).cast("long").alias(poll), key, ts)
-            rows = rows.select(*cols).unionByName(marker.select(*cols)).unionByName(memory.select(*cols))
-        judged = station_advances(rows, key, ts, poll).filter(F.col(key) != "")
-        judged.filter(F.col(poll) >= 0).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        resets = F.when(F.col("poll_kind") == "DATASET ADVANCE", F.col(poll))
-        last_reset = judged.groupBy(key).agg(F.max(resets).alias("_from"))
-        kept = judged.join(last_reset, key).filter(F.col(poll) >= F.coalesce("_from", F.lit(-1)))
-        seen.write(kept.groupBy(key).agg(F.max(ts).alias(ts)), batch_id)
-        top.write(rows.agg(F.max(ts).alias(ts)), batch_id)
-        seen.prune(batch_id)
-        top.prune(batch_id)
+        session = batch.sparkSession
+        run, me = run_number(session, f"{state_path}/runs", checkpoint, batch_id), query_id(session, checkpoint)
+        rows = batch.select(F.col(poll).cast("long").alias(poll), F.col(key).cast("string").alias(key), ts)
+        known, peak = seen.before(run), top.before(run)
+        held = peak.first() if peak is not None else None
+        if held is not None:
+            again = F.col(poll) <= F.lit(held[poll])
+            if held["_query"] == me:
+                stop = F.raise_error(F.concat(F.lit("poll out of order: "), F.col(poll).cast("string")))
+                rows = rows.filter(F.when(again, stop.cast("boolean")).otherwise(True))
+            else:
+                rows = rows.filter(~again)
+        judged_path = f"{out_path}/batch_id={run}"
+        first = None if held is None or held[ts] is None else F.lit(held[ts])
+        station_advances(rows, key, ts, poll, top=first, remembered=known).write.mode("overwrite").parquet(judged_path)
+        judged = session.read.parquet(judged_path)
+        # A station is remembered at the greatest tick since its last dataset advance of this batch, if there was one.
+        since = F.max(F.when(F.col("poll_kind") == "DATASET ADVANCE", F.col(poll)))
+        restarted = judged.groupBy(F.col(key).alias("_station")).agg(since.alias("_from"))
+        kept = judged.join(restarted, F.col(key).eqNullSafe(F.col("_station")))
+        tick = F.when(F.col("_from").isNull(), F.greatest(ts, "last_seen")).when(F.col(poll) >= F.col("_from"), F.col(ts))
+        seen.change(kept.groupBy(key).agg(F.max(tick).alias(ts)), run)
+        ends = judged.agg(F.max("max_tick").alias(ts), F.max(poll).alias(poll))
+        old_tick, old_poll = (None, None) if held is None else (held[ts], held[poll])
+        greater = lambda c, old, kind: F.greatest(c, F.lit(old).cast(kind)).alias(c)
+        top.write(ends.select(greater(ts, old_tick, "timestamp"), greater(poll, old_poll, "long"), F.lit(me).alias("_query")), run)
+        seen.prune(run)
+        top.prune(run)
 
     return start(snapshots, handle, checkpoint, trigger)

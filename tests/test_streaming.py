@@ -196,3 +196,101 @@ def test_a_new_checkpoint_adds_to_the_table(spark, rows, tmp_path):
         stream = read_event_stream(spark, "json", {"path": str(tmp_path / f"in{n}")})
         X.stream_upsert(stream, table, str(tmp_path / f"c{n}")).awaitTermination()
     assert rows(table.read(), "fiwareid") == [("s0",), ("s1",)]
+
+
+def test_quarantine_of_a_successor(spark, tmp_path):
+    """Batch 0 of a new checkpoint neither replaces waiting rows of the old one nor counts as handed on; a batch that runs again
+    after its rows were handed on writes nothing."""
+    from skyledger.operators.quality import mark_consumed, quarantine, requeue
+
+    failed = str(tmp_path / "f")
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(3):
+        land(tmp_path / f"in{n}", "1.json", (f"bad{n}", "soon", 1.0))
+        stream = read_event_stream(spark, "json", {"path": str(tmp_path / f"in{n}")})
+        X.stream_upsert(stream, table, str(tmp_path / f"c{n}"), failed=failed).awaitTermination()
+        if n == 1:
+            waiting, batches = requeue(spark, failed)
+            assert sorted(r.key for r in waiting.collect()) == ["bad0|soon", "bad1|soon"] and list(batches) == [0, 0]
+            mark_consumed(spark, failed, batches)
+            quarantine(spark.createDataFrame([("again", "x")], "key string, value string"), failed, 0, writer=batches[0].writer)
+    waiting, batches = requeue(spark, failed)
+    assert [r.key for r in waiting.collect()] == ["bad2|soon"]
+    mark_consumed(spark, failed, batches)
+    assert requeue(spark, failed)[1] == []
+
+
+def test_rollup_of_a_successor_is_the_newer_one(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    schema = "fiwareid string, ts timestamp, temperature_c double"
+    rest = [F.lit(None).cast("double").alias(c) for c in WEATHER.metrics if c != "temperature_c"]
+    for n, value in enumerate((10.0, 20.0, 90.0)):
+        spark.createDataFrame([("w", T0, value)], schema).coalesce(1).write.mode("append").parquet(folder)
+        rolled = X.stream_rollup(spark.readStream.schema(schema).parquet(folder).select("*", *rest), WEATHER, "1 day", "30 days")
+        X.write_rollup_stream(rolled, str(tmp_path / "r"), str(tmp_path / f"c{n // 2}")).awaitTermination()
+    assert [r.temp_avg_c for r in X.read_rollup_stream(spark, str(tmp_path / "r"), WEATHER).collect()] == [40.0]
+
+
+def test_changes_of_a_successor(spark, tmp_path):
+    """A new checkpoint reads everything again and emits only what is new; the first one's events stay."""
+    folder, schema = str(tmp_path / "in"), "_seq long, fiwareid string, ts string, no2 double"
+    batches = [[(1, "A", "2024-01-01T10:00:00Z", 1.0)], [(2, "B", "2024-01-01T10:00:00Z", 1.0)], [(3, "A", "2024-01-01T11:00:00Z", 2.0)]]
+    for scope in ("dataset", "station"):
+        for n, part in enumerate(batches):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder + scope)
+            raw = spark.readStream.schema(schema).parquet(folder + scope)
+            rest = [F.lit(None).cast("string" if c in AIR.texts else "double").alias(c) for c in AIR.values if c != "no2"]
+            canonical = raw.select("*", *rest).withColumn("_fp", value_fingerprint(AIR.change_cols))
+            out = str(tmp_path / f"out-{scope}")
+            X.stream_emit_changes(canonical, str(tmp_path / f"s-{scope}"), out, AIR, str(tmp_path / f"c{n // 2}-{scope}"), scope=scope).awaitTermination()
+        assert sorted(r.key for r in spark.read.parquet(out).collect()) == ["A|2024-01-01T10:00:00Z", "A|2024-01-01T11:00:00Z", "B|2024-01-01T10:00:00Z"]
+
+
+def test_freshness_fires_on_silence(spark, tmp_path):
+    import time
+
+    folder, expected = str(tmp_path / "in"), spark.createDataFrame([("air",)], "dataset string")
+    spark.createDataFrame([("air", T0)], "dataset string, ts timestamp").write.parquet(folder)
+    states = []
+    for minutes in (0, 45, 540):
+        time.sleep(1.1)
+        stream = spark.readStream.schema("dataset string, ts timestamp").parquet(folder)
+        X.stream_freshness(
+            stream, expected, str(tmp_path / "s"), str(tmp_path / "out"), str(tmp_path / "c"), clock=T0 + timedelta(minutes=minutes)
+        ).awaitTermination()
+        report = spark.read.parquet(str(tmp_path / "out"))
+        states.append(report.orderBy(F.desc("batch_id")).first()["state"])
+    assert states == ["ok", "pending", "firing"]
+
+
+def test_snapshot_stream_keeps_every_station_and_writes_what_it_saw(spark, rows, tmp_path):
+    schema = "poll_seq long, fiwareid string, ts timestamp"
+    polls = [(0, s, T0) for s in ("", None, *[f"W{i}" for i in range(50)])]
+    polls += [(p, s, T0 + timedelta(minutes=p)) for p in range(1, 6) for s in ("", None, "W1")]
+    cols = ["poll_seq", "fiwareid", "ts", "max_tick", "last_seen", "advanced", "poll_kind"]
+    want = rows(station_advances(spark.createDataFrame(polls, schema)), *cols)
+    run = lambda c: X.snapshot_diff_stream(
+        spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "s"), str(tmp_path / "out"), str(tmp_path / c)
+    ).awaitTermination()
+    for p in range(6):
+        spark.createDataFrame([r for r in polls if r[0] == p], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run("c1" if p < 3 else "c2")
+    assert rows(spark.read.parquet(str(tmp_path / "out")), *cols) == want
+    changes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "s" / "seen").glob("change=*")]
+    assert changes and max(changes) == 3
+    # Part of the last poll comes once more: the query stops.
+    spark.createDataFrame(polls[-1:], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="poll out of order"):
+        run("c2")
+
+
+def test_changes_fold_into_whole_versions(spark, tmp_path):
+    state = X.VersionedState(spark, str(tmp_path / "s"), "k string, v long", "k")
+    want = {}
+    for run in range(2 * X.CHANGES + 3):
+        part = {f"k{run % 5}": run, None: -run}
+        want |= part
+        state.change(spark.createDataFrame(list(part.items()), "k string, v long"), run)
+        state.prune(run)
+        assert {r.k: r.v for r in state.before(run + 1).collect()} == want
+    assert len(list((tmp_path / "s").glob("*=*"))) <= 2 * X.CHANGES
