@@ -146,6 +146,16 @@ def stored_checks(stored: dict[str, DataFrame], expected: dict[str, list[str]],
     return out
 
 
+def policy_checks(tables: dict[str, ReadingsTable], expected: dict[str, dict[str, int]]) -> DataFrame:
+    """Per table and expected policy: the setting that the table keeps, and whether it is as expected."""
+    rows = []
+    for name, policies in sorted(expected.items()):
+        kept = tables[name].state().policies | {"chunk_days": CHUNK_DAYS}
+        rows += [(name, policy, want, kept.get(policy), kept.get(policy) == want) for policy, want in sorted(policies.items())]
+    spark = next(iter(tables.values())).spark
+    return spark.createDataFrame(rows, "table_name string, policy string, expected long, kept long, as_expected boolean")
+
+
 def table_checks(spark: SparkSession, expected: dict[str, list[str]]) -> DataFrame:
     """Per expected table: whether it exists in the catalog and which columns it lacks."""
     rows = []

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from skyledger.functions.fingerprint import value_fingerprint
 from skyledger.functions.time import format_ts
 from skyledger.operators.quality import mark_consumed, requeue
-from skyledger.plans.rollup_jobs import read_rollup, refresh_rollup, stored_checks
+from skyledger.plans.newest import latest_stored, newest_rows
+from skyledger.plans.rollup_jobs import policy_checks, read_rollup, refresh_rollup, stored_checks
 from skyledger.registry.core import NOW_SQL, R, as_readings, event_stream, events, landed_parts, query, readings, rounded
 from skyledger.registry.ingest import HOURLY
 from skyledger.registry.lookups import ADVANCES_SQL, polls
 from skyledger.registry.series import AIR_ROLLUP_SQL, WEATHER_ROLLUP_SQL, rollup_sql
-from skyledger.session import work_dir
+from skyledger.session import literal_table, work_dir
 from skyledger.sources.records import read_event_stream
 from skyledger.sources.table import ReadingsTable
 from skyledger.spec import AIR, WEATHER
@@ -141,6 +142,71 @@ def _(spark, sf):
     return rounded(read_rollup(spark, folder, WEATHER, "1 day", since=datetime(2024, 1, 11), until=datetime(2024, 1, 15)))
 
 
+GONE = ["S7", "S8"]
+MOVED = [("S3", "S4"), ("S5", "S4"), ("S6", "S9"), ("S9", "S6")]
+MOVED_SQL = "CASE fiwareid " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in MOVED) + " ELSE fiwareid END"
+
+
+@query(
+    "table_renamed_and_deleted",
+    f"""WITH {UPSERT_SQL}, kept AS (SELECT * FROM t WHERE fiwareid NOT IN ({", ".join(f"'{x}'" for x in GONE)})),
+    m AS (SELECT {MOVED_SQL} AS station, fiwareid <> {MOVED_SQL} AS moved, fiwareid AS was, ts, no2, pm25, air_quality_summary FROM kept),
+    s AS (SELECT DISTINCT ON (station, ts) station AS fiwareid, ts, no2, pm25, air_quality_summary FROM m
+          ORDER BY station, ts, moved DESC, was DESC),
+    late AS (SELECT DISTINCT ON (fiwareid, day) fiwareid, day AS ts, no2, pm25, air_quality_summary
+             FROM (SELECT *, date_trunc('day', ts) AS day FROM r WHERE fiwareid IN ('S3', 'S4', 'S7') AND event_type = 'view')
+             ORDER BY fiwareid, day, event_id DESC)
+    SELECT * FROM late UNION ALL SELECT * FROM s ANTI JOIN late USING (fiwareid, ts)""",
+)
+def _(spark, sf):
+    table = filled_table(spark, sf)
+    station = lambda names: literal_table(spark, [(n,) for n in names], "fiwareid string")
+    table.delete(station(GONE), 0, writer="consolidation")
+    table.compact(before=datetime(2024, 1, 15).date())
+    mapping = literal_table(spark, MOVED, "old_id string, new_id string")
+    for _ in range(2):  # the second time changes nothing
+        table.rename(mapping, 1, writer="consolidation")
+    # A backfill afterwards: retired and deleted ids may come back.
+    late = daily_rows(readings(spark, sf)).filter(F.col("fiwareid").isin("S3", "S4", "S7") & (F.col("event_type") == "view"))
+    table.upsert(late, 3, seq="event_id")
+    opened = table.read()
+    # A read that is open survives the folding and clearing away of what it reads.
+    table.compact()
+    table.vacuum()
+    return opened.select("fiwareid", "ts", "no2", "pm25", "air_quality_summary")
+
+
+@query("latest_stored", f"WITH {UPSERT_SQL} SELECT DISTINCT ON (fiwareid) fiwareid, ts, pm25, air_quality_summary FROM t ORDER BY fiwareid, ts DESC")
+def _(spark, sf):
+    table = filled_table(spark, sf)
+    stations = readings(spark, sf).select("fiwareid").distinct()
+    return latest_stored(table, stations, ["pm25", "air_quality_summary"])
+
+
+@query("newest_stored_rows", f"WITH {UPSERT_SQL} SELECT fiwareid, ts, pm25 FROM t ORDER BY ts DESC, fiwareid LIMIT 500")
+def _(spark, sf):
+    return newest_rows(filled_table(spark, sf), 500).select("fiwareid", "ts", "pm25")
+
+
+@query(
+    "policy_checks",
+    f"""WITH {UPSERT_SQL} SELECT 'readings' AS table_name, * FROM (VALUES ('chunk_days', 7::BIGINT, 7::BIGINT, true),
+      ('compress_after_days', 30, NULL, NULL), ('retention_days', 14, 14, true)) p(policy, expected, kept, as_expected)
+    UNION ALL SELECT 'rows after retention', 'retention_days', NULL, (SELECT count(*) FROM t
+      WHERE time_bucket(INTERVAL '7 days', ts) + INTERVAL '7 days' > TIMESTAMP '2024-01-18'), NULL""",
+)
+def _(spark, sf):
+    table = filled_table(spark, sf)
+    table.set_policies(retention_days=14)
+    table.retention(AFTER)
+    checks = policy_checks({"readings": table}, {"readings": {"chunk_days": 7, "retention_days": 14, "compress_after_days": 30}})
+    left = table.read().agg(F.count(F.lit(1)).alias("kept")).select(
+        F.lit("rows after retention").alias("table_name"), F.lit("retention_days").alias("policy"), F.lit(None).cast("long").alias("expected"),
+        "kept", F.lit(None).cast("boolean").alias("as_expected"),
+    )
+    return checks.withColumn("as_expected", F.when(F.col("kept").isNotNull(), F.col("as_expected"))).unionByName(left)
+
+
 # -- streams: events arrive in parts of whole days, and each part is a micro-batch of its own
 
 

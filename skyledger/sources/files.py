@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,15 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names directly under a folder, with the seconds since each was last changed."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return {}
+    now = time.time()
+    return {s.getPath().getName(): now - s.getModificationTime() / 1000 for s in fs.listStatus(where)}
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, where = _open(spark, path)
     return fs.delete(where, True)

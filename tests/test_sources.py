@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.normalise import from_keyed_events
 from skyledger.operators.rollups import rollup
+from skyledger.plans.newest import latest_stored, newest_instant, newest_rows
+from skyledger.plans.rollup_jobs import policy_checks
 from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
 from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_touched, refresh_window, stored_checks, table_checks
 from skyledger.session import require_utc, work_dir
@@ -173,7 +175,7 @@ def test_compaction_is_invisible_and_partial(spark, rows, tmp_path):
     before = rows(table.read(), "ts", "no2")
     assert table.compact(before=date(2024, 1, 15)) == [date(2024, 1, 1), date(2024, 1, 8)]
     assert rows(table.read(), "ts", "no2") == before
-    gone = table.vacuum()
+    gone = table.vacuum(grace=timedelta(0))
     assert gone and rows(table.read(), "ts", "no2") == before
     # A late row for a folded chunk, then a second compaction.
     table.upsert(air_rows(spark, ("a", 0, 7.0, "late")), 9)
@@ -256,7 +258,7 @@ def test_reading_costs_no_more_with_more_batches(spark, tmp_path, monkeypatch):
         table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), n)
     assert cost() == first
     table.compact()
-    table.vacuum()
+    table.vacuum(grace=timedelta(0))
     assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and len(list((tmp_path / "t" / "commits").glob("*.json"))) == 1
 
 
@@ -290,6 +292,104 @@ def test_retention_drops_whole_old_chunks(spark, rows, tmp_path):
     assert rows(table.read(), "no2") == [(3.0,)]
 
 
+def test_deleted_stations_stay_away_through_compaction(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    gone = spark.createDataFrame([("a",), ("z",), (None,)], "fiwareid string")
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x"), ("b", 0, 2.0, "x"), ("a", 24 * 9, 3.0, "x")), 0)
+    assert table.delete(gone, 1) and not table.delete(gone, 1)
+    assert rows(table.read(), "fiwareid", "no2") == [("b", 2.0)]
+    table.upsert(air_rows(spark, ("a", 1, 5.0, "x")), 2)
+    table.upsert(air_rows(spark, ("a", 0, 7.0, "late")), 3, cols=["no2"])
+    want = [("a", 0, 7.0, None), ("a", 1, 5.0, "x"), ("b", 0, 2.0, "x")]
+    hours = lambda: sorted((r.fiwareid, int((r.ts - T0).total_seconds() // 3600), r.no2, r.air_quality_summary) for r in table.read().collect())
+    assert hours() == want
+    table.compact(before=date(2024, 1, 8))
+    assert hours() == want and table.state().deleted
+    # The last chunk that held deleted rows is folded, and nothing is left to remember.
+    table.compact()
+    assert hours() == want and not table.state().deleted
+    table.vacuum(grace=timedelta(0))
+    assert hours() == want
+
+
+def test_renamed_stations(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    table.upsert(air_rows(spark, ("old", 0, 1.0, None), ("new", 0, 2.0, "own"), ("old", 5, 3.0, "x"), ("p", 0, 4.0, "x"), ("q", 0, 5.0, "x")), 0)
+    mapping = spark.createDataFrame([("old", "new"), ("p", "q"), ("q", "p"), ("none", "new"), ("r", "r")], "old_id string, new_id string")
+    assert table.rename(mapping, 1) and not table.rename(mapping, 1)
+    want = [("new", 1.0, None), ("new", 3.0, "x"), ("p", 5.0, "x"), ("q", 4.0, "x")]
+    for _ in range(2):
+        assert rows(table.read(), "fiwareid", "no2", "air_quality_summary") == want
+        table.compact()
+    table.upsert(air_rows(spark, ("old", 0, 9.0, "x")), 2)
+    assert rows(table.read(), "fiwareid", "no2") == sorted([*[w[:2] for w in want], ("old", 9.0)])
+
+
+def test_a_rename_includes_what_is_committed_meanwhile(spark, rows, tmp_path, monkeypatch):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    table.upsert(air_rows(spark, ("old", 0, 1.0, "x")), 0)
+    real = ReadingsTable._store
+
+    def slow(self, frame, sort=False):
+        out = real(self, frame, sort)
+        monkeypatch.setattr(ReadingsTable, "_store", real)
+        ReadingsTable(spark, self.path, AIR).upsert(air_rows(spark, ("old", 0, 8.0, "x"), ("old", 1, 9.0, "x")), 1)
+        return out
+
+    monkeypatch.setattr(ReadingsTable, "_store", slow)
+    table.rename(spark.createDataFrame([("old", "new")], "old_id string, new_id string"), 2)
+    assert rows(table.read(), "fiwareid", "no2") == [("new", 8.0), ("new", 9.0)]
+
+
+def test_open_reads_survive_and_lost_folders_go(spark, rows, tmp_path, monkeypatch):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(2):
+        table.upsert(air_rows(spark, ("a", n, float(n), "x")), n)
+    opened = table.read()
+    table.compact()
+    assert table.vacuum() == [] and rows(opened, "no2") == [(0.0,), (1.0,)]
+    # A writer dies between storing and committing.
+    with monkeypatch.context() as m:
+        m.setattr(ReadingsTable, "_commit", lambda self, change: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            table.upsert(air_rows(spark, ("b", 0, 9.0, "x")), 9)
+    assert table.vacuum() == []
+    gone = table.vacuum(grace=timedelta(0), abandoned=timedelta(0))
+    assert len(gone) == 3 and len(list((tmp_path / "t" / "data").iterdir())) == 1
+    assert rows(table.read(), "no2") == [(0.0,), (1.0,)]
+
+
+def test_policies_are_kept_with_the_table(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x"), ("a", 24 * 20, 2.0, "x")), 0)
+    table.set_policies(retention_days=7)
+    found = policy_checks({"air": table}, {"air": {"retention_days": 8, "chunk_days": 7, "other": 1}})
+    assert rows(found, "policy", "kept", "as_expected") == [("chunk_days", 7, True), ("other", None, False), ("retention_days", 7, False)]
+    assert table.retention(datetime(2024, 1, 22)) == [date(2024, 1, 1)]
+
+
+def test_newest_rows_come_from_the_newest_chunks(spark, rows, tmp_path, monkeypatch):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    weeks = 16
+    table.upsert(air_rows(spark, *[(s, 24 * 7 * w, float(w), "x") for w in range(weeks) for s in ("a", "b")], ("silent", 24 * 7 * 12, 0.5, "y")), 0)
+    read, real = [], ReadingsTable._load
+    monkeypatch.setattr(ReadingsTable, "_load", lambda self, chunks: read.append(sorted(chunks)) or real(self, chunks))
+    names = lambda *s: spark.createDataFrame([(x,) for x in s], "fiwareid string")
+    assert rows(latest_stored(table, names("a", "b"), ["no2"]), "fiwareid", "no2") == [("a", 15.0), ("b", 15.0)]
+    assert [len(x) for x in read] == [1]
+    read.clear()
+    assert rows(latest_stored(table, names("a", "b", "silent"), ["no2"]), "fiwareid", "no2") == [("a", 15.0), ("b", 15.0), ("silent", 0.5)]
+    assert [len(x) for x in read] == [1, 2, 4]
+    assert len(rows(latest_stored(table, names("a", "never")))) == 1
+    read.clear()
+    assert [r.no2 for r in newest_rows(table, 3).collect()] == [15.0, 15.0, 14.0] and max(map(len, read)) == 3
+    assert newest_instant(table) == T0 + timedelta(weeks=15)
+    table.delete(names("a", "b"), 1)
+    assert newest_instant(table) == T0 + timedelta(weeks=12)
+    empty = ReadingsTable(spark, str(tmp_path / "u"), AIR)
+    assert newest_instant(empty) is None and rows(latest_stored(empty, names("a"))) == [] and rows(newest_rows(empty, 3)) == []
+
+
 def test_replay_round_trip(spark, rows, tmp_path):
     table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
     table.upsert(air_rows(spark, ("b", 2, 2.0, "y"), ("a", 1, 1.0, "x"), ("c", 9, 3.0, "z")), 0)
