@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions.numeric import circular_mean_deg, round_numeric
 from skyledger.functions.time import time_bucket
@@ -26,6 +27,53 @@ def rollup(df: DataFrame, spec: DatasetSpec, width: str, name: str | None = None
     return df.groupBy(F.col(spec.key), time_bucket(width, spec.ts).alias(bucket)).agg(*rollup_columns(spec))
 
 
+# What is kept of a bucket so that buckets can be merged: the parts of each kind of column, and the column made from them.
+PARTS = {"avg": ("sum", "n"), "max": ("max",), "circular": ("sin", "cos", "n")}
+
+
+def _part(out: str, name: str) -> str:
+    return f"{out}__{name}"
+
+
+def state_schema(spec: DatasetSpec, bucket: str) -> T.StructType:
+    fields = [(_part(out, p), T.LongType() if p == "n" else T.DoubleType()) for out, kind, _ in spec.rollup for p in PARTS[kind]]
+    return T.StructType(
+        [T.StructField(spec.key, T.StringType()), T.StructField(bucket, T.TimestampType()), *[T.StructField(n, t) for n, t in fields]]
+    )
+
+
+def rollup_states(df: DataFrame, spec: DatasetSpec, width: str, name: str | None = None) -> DataFrame:
+    """Sums, counts, maxima and sums of sines and cosines per station and bucket, which merge into wider buckets."""
+    bucket, found = name or BUCKET_NAMES.get(width, "bucket"), []
+    for out, kind, source in spec.rollup:
+        angle = F.radians(source)
+        every = {"sum": F.sum(source), "n": F.count(source), "max": F.max(source), "sin": F.sum(F.sin(angle)), "cos": F.sum(F.cos(angle))}
+        found += [every[p].alias(_part(out, p)) for p in PARTS[kind]]
+    return df.groupBy(F.col(spec.key), time_bucket(width, spec.ts).alias(bucket)).agg(*found)
+
+
+def merge_states(states: DataFrame, spec: DatasetSpec, bucket: str, width: str) -> DataFrame:
+    """States of narrower buckets, whose width divides ``width``, as states of buckets of that width."""
+    name = BUCKET_NAMES.get(width, "bucket")
+    columns = [_part(out, p) for out, kind, _ in spec.rollup for p in PARTS[kind]]
+    merged = [(F.max(c) if c.endswith("__max") else F.sum(c)).alias(c) for c in columns]
+    return states.groupBy(F.col(spec.key), time_bucket(width, bucket).alias(name)).agg(*merged)
+
+
+def finish_states(states: DataFrame, spec: DatasetSpec, bucket: str) -> DataFrame:
+    """The rollup columns of merged states."""
+
+    def made(out: str, kind: str) -> Column:
+        part = lambda p: F.col(_part(out, p))
+        if kind == "max":
+            return part("max")
+        if kind == "avg":
+            return F.when(part("n") > 0, part("sum") / part("n"))
+        return F.when(part("n") > 0, F.degrees(F.atan2(part("sin") / part("n"), part("cos") / part("n"))))
+
+    return states.select(spec.key, bucket, *[made(out, kind).alias(out) for out, kind, _ in spec.rollup])
+
+
 def hourly_trend(
     df: DataFrame, metrics: dict[str, str], as_of=None, ts: str = "ts", duration: str = "24 hours"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from skyledger.functions.fingerprint import value_fingerprint
 from skyledger.functions.time import format_ts
 from skyledger.operators.quality import mark_consumed, requeue
 from skyledger.plans.newest import latest_stored, newest_rows
-from skyledger.plans.rollup_jobs import policy_checks, read_rollup, refresh_rollup, stored_checks
+from skyledger.plans.rollup_jobs import RollupStore, policy_checks, read_rollup, refresh_from, refresh_rollup, refresh_touched, stored_checks
 from skyledger.registry.core import NOW_SQL, R, as_readings, event_stream, events, landed_parts, query, readings, rounded
 from skyledger.registry.ingest import HOURLY
 from skyledger.registry.lookups import ADVANCES_SQL, polls
@@ -207,6 +207,33 @@ def _(spark, sf):
     return checks.withColumn("as_expected", F.when(F.col("kept").isNotNull(), F.col("as_expected"))).unionByName(left)
 
 
+def rollup_of(sql: str, width: str, bucket: str) -> str:
+    """The rollup of a table ``t`` that ``sql`` defines."""
+    return f"WITH {sql} SELECT fiwareid, time_bucket(INTERVAL '{width}', ts) AS {bucket}, {AIR_ROLLUP_SQL} FROM t GROUP BY ALL"
+
+
+@query("stored_rollup_touched", rollup_of(UPSERT_SQL, "1 day", "bucket_day"))
+def _(spark, sf):
+    folder, table = work_dir(spark, "rollup"), filled_table(spark, sf, BATCHES[:2])
+    refresh_touched(table, folder)
+    # A backfill comes late: only the buckets of its chunks are made again.
+    table.upsert(daily_rows(readings(spark, sf)).filter(F.col("event_type") == "error"), 2, BATCHES[2][2], seq="event_id")
+    refresh_touched(table, folder)
+    return rounded(read_rollup(spark, folder, AIR))
+
+
+@query("stored_rollup_weekly_from_daily", rollup_of(UPSERT_SQL, "7 days", "bucket_week"))
+def _(spark, sf):
+    folder, table = work_dir(spark, "rollup"), filled_table(spark, sf, BATCHES[:2])
+    daily, weekly = RollupStore(spark, f"{folder}/daily", AIR), RollupStore(spark, f"{folder}/weekly", AIR, "7 days")
+    refresh_touched(table, daily.path)
+    refresh_from(daily, weekly)
+    table.upsert(daily_rows(readings(spark, sf)).filter(F.col("event_type") == "error"), 2, BATCHES[2][2], seq="event_id")
+    refresh_touched(table, daily.path)
+    refresh_from(daily, weekly)
+    return rounded(read_rollup(spark, weekly.path, AIR, "7 days"))
+
+
 # -- streams: events arrive in parts of whole days, and each part is a micro-batch of its own
 
 
@@ -357,6 +384,23 @@ def _(spark, sf):
     return spark.read.parquet(f"{folder}/out").drop("batch_id")
 
 
+@query("stream_rollup_late", rollup_of(
+    f"""{R}, g AS (SELECT *, date_trunc('hour', ts) AS hour FROM r WHERE {GOOD}),
+    t AS (SELECT DISTINCT ON (fiwareid, hour) fiwareid, hour AS ts, {", ".join(AIR.values)} FROM g
+          ORDER BY fiwareid, hour, event_id % 3 DESC, event_id DESC)""", "1 day", "bucket_day"
+))
+def _(spark, sf):
+    folder = work_dir(spark, "stream")
+    table = ReadingsTable(spark, f"{folder}/table", AIR)
+    # Each part holds rows of all days, so most rows of the later ones come long after newer rows.
+    for part in range(3):
+        keyed(events(spark, sf).filter(F.col("event_id") % 3 == part)).write.mode("append").json(f"{folder}/in")
+        stream = read_event_stream(spark, "json", {"path": f"{folder}/in"})
+        rollups = {"1 day": f"{folder}/daily"}
+        X.stream_upsert(stream, table, f"{folder}/checkpoint", failed=f"{folder}/failed", rollups=rollups).awaitTermination()
+    return rounded(read_rollup(spark, f"{folder}/daily", AIR))
+
+
 # -- streams that start over: a successor with a checkpoint of its own goes on in the same folders
 
 

@@ -55,6 +55,9 @@ class State:
     def retire(self, folders: Iterable[str]) -> None:
         self.dropped += [[f, time.time()] for f in folders]
 
+    def tidy(self) -> None:
+        self.chunks = {d: p for d, p in self.chunks.items() if p}
+
     def has(self, writer: str, batch: int) -> bool:
         return any(low <= batch <= high for low, high in self.batches.get(writer, []))
 
@@ -68,10 +71,79 @@ class State:
         self.batches[writer] = joined
 
 
-class ReadingsTable:
+class Committed:
+    """A folder whose state is the newest of its numbered commit files."""
+
+    kind: type = State
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def state(self):
+        """The newest commit: found from the hint, and from there one by one."""
+        while True:
+            at = self._newest()
+            text = read_text(self.spark, self._file(at)) if at else None
+            if text or not at:
+                return self.kind(**json.loads(text)) if text else self.kind()
+
+    def _file(self, version: int) -> str:
+        return f"{self.path}/commits/{version:010d}.json"
+
+    def _newest(self) -> int:
+        hint = read_text(self.spark, f"{self.path}/commits/latest")
+        at = int(hint) if hint and hint.isdigit() else 0
+        if not at or not exists(self.spark, self._file(at)):
+            at = max([0, *[int(n[:-5]) for n in list_names(self.spark, f"{self.path}/commits") if n.endswith(".json")]])
+        while exists(self.spark, self._file(at + 1)):
+            at += 1
+        return at
+
+    def _commit(self, change: Callable[..., bool]) -> bool:
+        """Apply a change to the newest state until it is committed, or it declines."""
+        while True:
+            state = self.state()
+            if not change(state):
+                return False
+            state.tidy()
+            state.version += 1
+            if create(self.spark, self._file(state.version), json.dumps(asdict(state), sort_keys=True)):
+                replace_text(self.spark, f"{self.path}/commits/latest", str(state.version))
+                return True
+
+    def _clear(self, named: Callable[..., set[str]], grace: timedelta, abandoned: timedelta) -> list[str]:
+        """Remove folders that were retired before the time of grace, commit files older than that, and folders under ``data``
+        that no commit names and nobody has changed for the time ``abandoned``."""
+        gone: list[str] = []
+        limit = time.time() - grace.total_seconds()
+
+        def forget(state) -> bool:
+            gone[:] = [f for f, at in state.dropped if at <= limit]
+            state.dropped = [d for d in state.dropped if d[1] > limit]
+            return bool(gone)
+
+        self._commit(forget)
+        # Changes first, the state after them: a folder that is committed in between is named by that state.
+        changed = ages(self.spark, f"{self.path}/data")
+        state = self.state()
+        held = {f.split("/")[1] for f, _ in state.dropped} | {f"commit={n}" for n in named(state)}
+        roots = {f.split("/")[1] for f in gone}
+        lost = [f"data/{n}" for n, age in changed.items() if n not in held | roots and age >= abandoned.total_seconds()]
+        for folder in [*gone, *lost]:
+            remove(self.spark, f"{self.path}/{folder}")
+        for root in sorted(roots - held):
+            remove(self.spark, f"{self.path}/data/{root}")
+        for old, age in ages(self.spark, f"{self.path}/commits").items():
+            if old.endswith(".json") and int(old[:-5]) < state.version and age >= grace.total_seconds():
+                remove(self.spark, f"{self.path}/commits/{old}")
+        return [*gone, *lost]
+
+
+class ReadingsTable(Committed):
     def __init__(self, spark: SparkSession, path: str, spec: DatasetSpec):
         require_utc(spark)
-        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        super().__init__(spark, path)
+        self.spec = spec
 
     @property
     def _row(self) -> list[str]:
@@ -231,30 +303,7 @@ class ReadingsTable:
     def vacuum(self, grace: timedelta = GRACE, abandoned: timedelta = ABANDONED) -> list[str]:
         """Remove folders that were retired before the time of grace, commit files older than that, and folders of writers that
         died before their commit, which no commit names and nobody has changed for the time ``abandoned``."""
-        gone: list[str] = []
-        limit = time.time() - grace.total_seconds()
-
-        def forget(state: State) -> bool:
-            gone[:] = [f for f, at in state.dropped if at <= limit]
-            state.dropped = [d for d in state.dropped if d[1] > limit]
-            return bool(gone)
-
-        self._commit(forget)
-        # Changes first, the state after them: a folder that is committed in between is named by that state.
-        changed = ages(self.spark, f"{self.path}/data")
-        state = self.state()
-        named = {n for pieces in state.chunks.values() for n, _ in pieces} | {n for n, _ in state.deleted}
-        held = {f.split("/")[1] for f, _ in state.dropped} | {f"commit={n}" for n in named}
-        roots = {f.split("/")[1] for f in gone}
-        lost = [f"data/{n}" for n, age in changed.items() if n not in held | roots and age >= abandoned.total_seconds()]
-        for folder in [*gone, *lost]:
-            remove(self.spark, f"{self.path}/{folder}")
-        for root in sorted(roots - held):
-            remove(self.spark, f"{self.path}/data/{root}")
-        for old, age in ages(self.spark, f"{self.path}/commits").items():
-            if old.endswith(".json") and int(old[:-5]) < state.version and age >= grace.total_seconds():
-                remove(self.spark, f"{self.path}/commits/{old}")
-        return [*gone, *lost]
+        return self._clear(lambda state: {n for pieces in state.chunks.values() for n, _ in pieces} | {n for n, _ in state.deleted}, grace, abandoned)
 
     def retention(self, as_of: datetime | None = None, days: int | None = None) -> list[date]:
         """Drop whole chunks whose range has fully aged out, by the table's policy ``retention_days`` where ``days`` is not given;
@@ -294,40 +343,8 @@ class ReadingsTable:
     def chunks(self) -> list[date]:
         return sorted(_day(d) for d in self.state().chunks)
 
-    def state(self) -> State:
-        """The newest commit: found from the hint, and from there one by one."""
-        while True:
-            at = self._newest()
-            text = read_text(self.spark, self._file(at)) if at else None
-            if text or not at:
-                return State(**json.loads(text)) if text else State()
-
     # -- internals
 
-    def _file(self, version: int) -> str:
-        return f"{self.path}/commits/{version:010d}.json"
-
-    def _newest(self) -> int:
-        hint = read_text(self.spark, f"{self.path}/commits/latest")
-        at = int(hint) if hint and hint.isdigit() else 0
-        if not at or not exists(self.spark, self._file(at)):
-            at = max([0, *[int(n[:-5]) for n in list_names(self.spark, f"{self.path}/commits") if n.endswith(".json")]])
-        while exists(self.spark, self._file(at + 1)):
-            at += 1
-        return at
-
-    def _commit(self, change: Callable[[State], bool]) -> bool:
-        """Apply a change to the newest state until it is committed, or it declines."""
-        while True:
-            state = self.state()
-            if not change(state):
-                return False
-            state.chunks = {d: p for d, p in state.chunks.items() if p}
-            state.version += 1
-            if create(self.spark, self._file(state.version), json.dumps(asdict(state), sort_keys=True)):
-                replace_text(self.spark, f"{self.path}/commits/latest", str(state.version))
-                return True
-
     def _store(self, rows: DataFrame, sort: bool = False) -> tuple[str, list[str]]:
         """Write rows under a new name; returns it with the days that have rows."""
         name = uuid.uuid4().hex

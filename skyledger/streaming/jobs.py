@@ -22,6 +22,7 @@ from skyledger.operators.changes import changed_rows, next_state
 from skyledger.operators.normalise import from_keyed_events, to_keyed_events
 from skyledger.operators.quality import freshness, quarantine
 from skyledger.operators.windows import last_row, station_advances
+from skyledger.plans.rollup_jobs import refresh_touched
 from skyledger.sources.files import create, exists, list_names, read_text, remove
 from skyledger.sources.table import ReadingsTable
 from skyledger.spec import DatasetSpec
@@ -121,14 +122,17 @@ def start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoin
 
 
 def stream_upsert(
-    events: DataFrame, table: ReadingsTable, checkpoint: str, seq: str = "_seq", trigger=None, failed: str | None = None
+    events: DataFrame, table: ReadingsTable, checkpoint: str, seq: str = "_seq", trigger=None, failed: str | None = None,
+    rollups: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Keyed JSON events into the readings table; rows of any age are accepted.
 
     The last arrival of a key wins; equal arrival numbers fall back to the values, so a retry never differs. The
     query's own id names its batches in the table, so it shares the table with other writers and with a successor
     that starts from a new checkpoint. Events without station or instant go to the quarantine folder ``failed``
-    before the rest is stored; without such a folder they stop the query.
+    before the rest is stored; without such a folder they stop the query. ``rollups`` maps bucket widths to stored rollups
+    that are refreshed after each batch, in the chunks that it touched: there is no watermark, so rows of any age and
+    corrections count in their buckets as if they had come in time.
     """
     spec = table.spec
 
@@ -144,6 +148,8 @@ def stream_upsert(
             rows = parsed.filter(F.when(~broken, True).otherwise(complaint.cast("boolean")))
         ordered = rows.withColumn("_order", F.struct(seq, *spec.values))
         table.upsert(ordered, batch_id, seq="_order", writer=query_id(batch.sparkSession, checkpoint))
+        for width, path in (rollups or {}).items():
+            refresh_touched(table, path, width)
 
     return start(events, handle, checkpoint, trigger)
 
@@ -196,7 +202,8 @@ def stream_emit_changes(
 
 
 def stream_rollup(readings: DataFrame, spec: DatasetSpec, width: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """The rollups over a stream; the watermark bounds state, later corrections come from a rollup refresh."""
+    """The rollups over a stream; the watermark bounds state and leaves out rows that come after it. ``stream_upsert`` with
+    ``rollups`` counts those as well."""
     # Windows count from the epoch, buckets from their own origin.
     origin = datetime.fromisoformat(BUCKET_ORIGIN).replace(tzinfo=timezone.utc).timestamp()
     shift = f"{int(origin) % interval_seconds(width)} seconds"

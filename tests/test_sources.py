@@ -1,13 +1,15 @@
 import json
+import random
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.normalise import from_keyed_events
+from skyledger.operators import rollups as U
 from skyledger.operators.rollups import rollup
 from skyledger.plans.newest import latest_stored, newest_instant, newest_rows
-from skyledger.plans.rollup_jobs import policy_checks
+from skyledger.plans.rollup_jobs import RollupStore, policy_checks, refresh_from
 from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
 from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_touched, refresh_window, stored_checks, table_checks
 from skyledger.session import require_utc, work_dir
@@ -417,6 +419,74 @@ def test_refresh_window_holds_whole_buckets():
     assert refresh_window("7 days", "30 days", "1 day", now) == (datetime(2024, 1, 8), datetime(2024, 1, 29))
 
 
+def test_weeks_merge_from_days(spark, rows, tmp_path):
+    """Means, maxima and mean directions of merged states are those of the raw rows, NULLs included."""
+    rng = random.Random(6)
+    data = [
+        (rng.choice("ab"), T0 + timedelta(hours=rng.randrange(24 * 30)), *[rng.choice([None, rng.uniform(0, 350)]) for _ in range(6)]) for _ in range(300)
+    ] + [("c", T0, *[None] * 6)]
+    df = spark.createDataFrame(data, "fiwareid string, ts timestamp, " + ", ".join(f"{m} double" for m in WEATHER.metrics))
+    for width in ("7 days", "14 days"):
+        merged = U.merge_states(U.rollup_states(df, WEATHER, "1 day"), WEATHER, "bucket_day", width)
+        name = U.BUCKET_NAMES.get(width, "bucket")
+        close = lambda d: sorted((r.fiwareid, r[name], *[x if x is None else round(x, 9) for x in tuple(r)[2:]]) for r in d.collect())
+        assert close(U.finish_states(merged, WEATHER, name)) == close(rollup(df, WEATHER, width))
+
+
+def test_a_refresh_is_seen_whole_or_not_at_all(spark, rows, tmp_path):
+    path = str(tmp_path / "r")
+    old = air_rows(spark, *[("a", 24 * d, 1.0, "x") for d in range(4)])
+    refresh_rollup(old, path, AIR, "1 day", as_of=datetime(2024, 1, 6))
+    opened = read_rollup(spark, path, AIR)
+    refresh_rollup(old.withColumn("no2", F.lit(9.0)), path, AIR, "1 day", as_of=datetime(2024, 1, 6))
+    store = RollupStore(spark, path, AIR)
+    assert store.vacuum() == []
+    assert rows(opened, "no2_avg") == [(1.0,)] * 4 and rows(read_rollup(spark, path, AIR), "no2_avg") == [(9.0,)] * 4
+    assert len(store.vacuum(grace=timedelta(0))) == 4 and rows(read_rollup(spark, path, AIR), "no2_avg") == [(9.0,)] * 4
+
+
+def test_late_commits_and_deletions_make_only_their_buckets_again(spark, rows, tmp_path):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    daily, weekly = RollupStore(spark, str(tmp_path / "d"), AIR), RollupStore(spark, str(tmp_path / "w"), AIR, "7 days")
+    table.upsert(air_rows(spark, *[(s, 24 * d, float(d), "x") for d in range(0, 28, 3) for s in "ab"]), 0)
+
+    def both():
+        days = refresh_touched(table, daily.path)
+        weeks = refresh_from(daily, weekly)
+        for store, width, name in ((daily, "1 day", "bucket_day"), (weekly, "7 days", "bucket_week")):
+            want = rows(rollup(table.read(), AIR, width), "fiwareid", name, "no2_avg")
+            assert rows(read_rollup(spark, store.path, AIR, width), "fiwareid", name, "no2_avg") == want
+        return len(days), len(weeks)
+
+    assert both() == (4, 4) and both() == (0, 0)
+    pieces = dict(daily.state().parts)
+    table.upsert(air_rows(spark, ("a", 24 * 9, 50.0, "late"), ("c", 24 * 8, 7.0, "late")), 1)
+    assert both() == (1, 1)
+    assert {p for p, piece in daily.state().parts.items() if pieces.get(p) != piece} == {"20240109000000", "20240110000000", "20240113000000"}
+    table.compact()
+    assert both() == (0, 0)
+    table.delete(spark.createDataFrame([("a",)], "fiwareid string"), 2)
+    assert both() == (4, 4) and both() == (0, 0)
+    table.compact()
+    assert both()[0] == 0
+
+
+def test_a_refresh_that_was_overtaken_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    path, real = str(tmp_path / "r"), RollupStore.replace
+    table.upsert(air_rows(spark, ("a", 0, 1.0, "x")), 0)
+
+    def slow(self, states, old, mark=None):
+        monkeypatch.setattr(RollupStore, "replace", real)
+        table.upsert(air_rows(spark, ("a", 0, 5.0, "x")), 1)
+        refresh_touched(table, path)
+        return self.replace(states, old, mark)
+
+    monkeypatch.setattr(RollupStore, "replace", slow)
+    refresh_touched(table, path)
+    assert rows(read_rollup(spark, path, AIR), "no2_avg") == [(5.0,)]
+
+
 def test_incremental_refresh_equals_full_rollup(spark, rows, tmp_path):
     path = str(tmp_path / "r")
     early = air_rows(spark, ("a", 0, 1.0, "x"), ("a", 30, 2.0, "x"), ("b", 50, 4.0, "x"))
