@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.geo import haversine_m, valid_lat_lon
+from skyledger.session import written
 
 # Metres per degree of latitude, rounded down so that grid cells are never too small.
 METRES_PER_DEGREE = 110000.0
@@ -52,7 +53,8 @@ def station_coord_match(
     Stations at one place are matched once per place, and places are narrowed down by cells: a left place
     starts from the nine cells of ``max_m`` around it and keeps those that can still hold its nearest
     partner; each round splits the kept ones sixteenfold per side. So a crowded cell is never paired with all
-    places in it, and the result is still exact.
+    places in it, and the result is still exact. Places of both sides, with the cells of the right ones, are written to
+    scratch tables once; rounds read those.
     """
     rounds = max(0, math.ceil(math.log(max(max_m, FINEST_CELL_M) / FINEST_CELL_M, 2**SPLIT_BITS)))
     finest = SPLIT_BITS * rounds
@@ -67,6 +69,7 @@ def station_coord_match(
         .withColumn("r_lon", F.explode(_turns(F.col("r_lon"), _lon_step(F.col("_row"), max_m))))
         .withColumn("_x", F.floor(F.col("r_lon") / _lon_step(F.col("_row"), max_m) * F.lit(2**finest)).cast("long"))
     )
+    places, targets = written(places, "places"), written(targets, "cells")
     here = F.floor(F.col("lat") / F.lit(lat_step)).cast("long")
     kept = (
         places.withColumn("_row", F.explode(_steps(here)))

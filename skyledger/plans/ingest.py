@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import json
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyledger.functions.numeric import parse_float_or_null
-from skyledger.functions.time import combine_date_time, format_ts
+from skyledger.functions.time import combine_date_time, format_ts, interval_seconds
 from skyledger.operators.changes import Changes, emit_changes
 from skyledger.operators.joins import map_station_ids
 from skyledger.operators.normalise import normalise, to_keyed_events
 from skyledger.operators.filters import scan_range
 from skyledger.operators.order import order_by_ts
 from skyledger.operators.quality import load_report
+from skyledger.sources.files import read_text, replace_text
 from skyledger.sources.records import before_first_failure
 from skyledger.spec import DatasetSpec
 
@@ -80,3 +85,38 @@ def replay(readings: DataFrame, spec: DatasetSpec, since=None, until=None, dry_r
 def send_events(keyed: DataFrame, fmt: str = "kafka", **options: str) -> None:
     """Keyed events to a topic, or appended to files of the same shape."""
     keyed.write.format(fmt).mode("append").options(**options).save()
+
+
+def replay_slices(
+    readings: DataFrame,
+    spec: DatasetSpec,
+    since: datetime,
+    until: datetime,
+    send: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    width: str = "1 hour",
+    per_second: float | None = None,
+) -> int:
+    """Replay ``[since, until)`` slice by slice in time order, at a bounded rate, from where an earlier call stopped.
+
+    ``send`` gets the keyed events of a slice and its number. The checkpoint names the slices that were sent and is written
+    after each, so a slice that was cut short is sent again under the same number and must replace what was sent of it. With
+    ``per_second``, the next slice waits until the events so far would have taken that long; a slice itself is sent at
+    once, so its width bounds the bursts. Returns the number of events sent by this call.
+    """
+    spark, step = readings.sparkSession, timedelta(seconds=interval_seconds(width))
+    described = {"since": since.isoformat(), "until": until.isoformat(), "width": width}
+    kept = json.loads(read_text(spark, checkpoint) or "null") or described | {"sent": 0}
+    if {k: kept[k] for k in described} != described:
+        raise ValueError(f"the checkpoint belongs to another replay: {kept}")
+    began, total = time.monotonic(), 0
+    for number in range(kept["sent"], -(-(until - since) // step)):
+        low = since + number * step
+        counted = Observation()
+        keyed = replay(readings, spec, low, min(low + step, until)).observe(counted, F.count(F.lit(1)).alias("events"))
+        send(keyed, number)
+        replace_text(spark, checkpoint, json.dumps(described | {"sent": number + 1}))
+        total += counted.get["events"]
+        if per_second:
+            time.sleep(max(0.0, total / per_second - (time.monotonic() - began)))
+    return total

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from skyledger.operators import normalise as N
 from skyledger.operators import quality as Q
 from skyledger.operators.changes import dedup_batch, emit_changes
 from skyledger.operators.joins import anti_seen
-from skyledger.plans.ingest import backfill, poll, replay
+from skyledger.plans.ingest import backfill, poll, replay, replay_slices
 from skyledger.registry.core import R, events, query, readings, when_type
 from skyledger.registry.lookups import NAME_SQL, named_history, names_sql
 from skyledger.session import literal_table, work_dir
@@ -591,6 +594,40 @@ def _(spark, sf):
     return replay(readings(spark, sf), AIR, "2024-01-10T00:00:00", "2024-01-20T00:00:00", dry_run=True)
 
 
+@query(
+    "replay_resumed",
+    f"""WITH {R} SELECT fiwareid || '|' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS key, CAST(floor(epoch(ts - TIMESTAMP '2024-01-10') / 172800) AS INT) AS slice
+    FROM r WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""",
+)
+def _(spark, sf):
+    folder, interrupted = work_dir(spark, "replay"), []
+
+    def send(keyed, number):
+        keyed.write.mode("overwrite").json(f"{folder}/topic/slice={number}")
+        if number == 2 and not interrupted:
+            interrupted.append(number)
+            raise ConnectionError("the link is gone")
+
+    bounds = datetime(2024, 1, 10), datetime(2024, 1, 20)
+    for _ in range(2):  # the first call is cut off after sending a slice, before it is noted
+        with contextlib.suppress(ConnectionError):
+            replay_slices(readings(spark, sf), AIR, *bounds, send, f"{folder}/checkpoint.json", "2 days", per_second=1e6)
+    return spark.read.json(f"{folder}/topic").select("key", F.col("slice").cast("int").alias("slice"))
+
+
+@query("json_lines_cut", f"WITH {R} SELECT event_id, no2, pm25 FROM r WHERE event_id % 211 <> 1")
+def _(spark, sf):
+    folder = work_dir(spark, "lines")
+    whole = F.to_json(F.struct("*"))
+    rows = raw_air(spark, sf).withColumn("objectid", eid()).drop("event_id")
+    # Every file begins with a line that is cut off.
+    cut = F.when(F.col("objectid") % 211 == 1, F.substring(whole, 1, 25)).otherwise(whole)
+    lines = rows.select("objectid", cut.alias("value")).repartition(3, "objectid").sortWithinPartitions(F.col("objectid") % 211 != 1)
+    lines.select("value").write.text(folder)
+    found = S.read_json_or_ndjson(spark, folder, AIR.raw_schema, strict=False)
+    return found.select(F.col("objectid").alias("event_id"), "no2", "pm25")
+
+
 @query("export_dataset", "SELECT 'readings' AS dataset_id, count(*) AS total_records FROM events")
 def _(spark, sf):
     folder = work_dir(spark, "export")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -40,11 +41,18 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``, or the warehouse where that is not set."""
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or the warehouse where that is not set.
+
+    Executors of a cluster don't see a folder of the driver's machine, so a warehouse there is refused unless Spark runs locally.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not local and re.match(r"file:|/", warehouse):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder: the warehouse {warehouse!r} is on the driver's machine")
+    return warehouse
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -52,13 +60,21 @@ def work_dir(spark: SparkSession, label: str) -> str:
     root = f"{shared_dir(spark)}/skyledger/{RUN}"
     if root not in _roots:
         _roots.add(root)
-        atexit.register(_remove, spark, root)
+        atexit.register(_remove, spark, root, spark._jsc.hadoopConfiguration())
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
-def _remove(spark: SparkSession, root: str) -> None:
+def _remove(spark: SparkSession, root: str, configuration) -> None:
+    """The session's own configuration knows how to reach the store."""
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
-    where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+    where.getFileSystem(configuration).delete(where, True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame from a scratch table it is written to, so that several reads of it don't repeat its work."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

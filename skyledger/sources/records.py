@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,9 @@ from skyledger.spec import SPECS
 # Wrapper fields searched for the record list, in order.
 WRAPPERS = ["results", "records", "data", "features", "items"]
 
+#: Files up to this size are tried as one JSON document; a text value of Spark can't hold much more.
+DOCUMENT_BYTES = 512 << 20
+
 PAGE_NUMBER = r"(\d+)\.[A-Za-z]+$"
 DATASET_FILE = r"(?i)^(.*?)(?:_(?:full|metadata).*)?\.[^.]+$"
 
@@ -76,8 +79,10 @@ def read_json_or_ndjson(
     """Objects from JSON lines, a JSON array or a single JSON object; blank lines are skipped.
 
     ``lines`` is splittable and the choice for bulk data; ``document`` parses each file whole. ``auto`` decides for
-    every file by itself: one whose first non-blank line is a complete object holds lines. Strict reading fails on
-    anything that is not an object; otherwise such entries are dropped.
+    every file by itself: a file that parses as a whole is a document, any other one holds lines, so a line that is cut
+    costs that line only. Whether it parses is tried only where the first non-blank line is not a complete object, and on
+    files of up to ``DOCUMENT_BYTES``; larger ones hold lines. Strict reading fails on anything that is not an object;
+    otherwise such entries are dropped.
     """
     if layout == "auto":
         whole = _document_files(spark, path)
@@ -88,13 +93,30 @@ def read_json_or_ndjson(
     return _objects(spark.read.text(path, wholetext=layout == "document"), layout == "document", strict, schema)
 
 
+def _whole_json(text: str) -> Column:
+    """The JSON value that a text is, or NULL where there is none or anything follows it; the parser itself stops at its end."""
+
+    def only(pair: Column) -> Column:
+        alone = (F.try_variant_get(pair, "$[1]", "int") == 0) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+        return F.when(alone, F.try_variant_get(pair, "$[0]", "variant"))
+
+    return bound(F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(",0]"))), only)
+
+
 def _document_files(spark: SparkSession, path: str) -> list[str]:
     """Files that are one JSON value rather than lines of objects; only their names reach the driver."""
     at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), at.alias("at")).filter(F.trim("value") != "")
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("value"))
-    kind = F.coalesce(F.schema_of_variant(F.try_parse_json("value")), F.lit(""))
-    return sorted(r.file for r in first.filter(~kind.startswith("OBJECT")).select("file").collect())
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), at.alias("at")
+    )
+    first = lines.filter(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("value"), F.max("bytes").alias("bytes"))
+    kind = F.coalesce(F.schema_of_variant(_whole_json("value")), F.lit(""))
+    maybe = first.filter(~kind.startswith("OBJECT") & (F.col("bytes") <= DOCUMENT_BYTES)).select("file").collect()
+    if not maybe:
+        return []
+    whole = spark.read.text(sorted(r.file for r in maybe), wholetext=True)
+    parsed = whole.filter(_whole_json("value").isNotNull()).select(F.col("_metadata.file_path").alias("file"))
+    return sorted(r.file for r in parsed.collect())
 
 
 def _objects(texts: DataFrame, whole: bool, strict: bool, schema: T.StructType, skip: list[str] | None = None) -> DataFrame:
@@ -104,7 +126,7 @@ def _objects(texts: DataFrame, whole: bool, strict: bool, schema: T.StructType,
         texts = texts.join(names, "_file", "left")
     # A filter that raises would be moved below a join that drops rows, so it decides on both.
     passed = F.col("_skip").isNotNull() if skip else F.lit(False)
-    docs = texts.select(F.try_parse_json("value").alias("_doc"), "value", passed.alias("_passed"))
+    docs = texts.select(_whole_json("value").alias("_doc"), "value", passed.alias("_passed"))
     if whole:
         is_list = F.schema_of_variant("_doc").startswith("ARRAY")
         items = F.when(is_list, F.try_variant_get("_doc", "$", "array<variant>")).otherwise(F.array("_doc"))

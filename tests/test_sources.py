@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -10,9 +11,9 @@ from skyledger.operators import rollups as U
 from skyledger.operators.rollups import rollup
 from skyledger.plans.newest import latest_stored, newest_instant, newest_rows
 from skyledger.plans.rollup_jobs import RollupStore, policy_checks, refresh_from
-from skyledger.plans.ingest import backfill, poll, replay, send_events, unmatched_names
+from skyledger.plans.ingest import backfill, poll, replay, replay_slices, send_events, unmatched_names
 from skyledger.plans.rollup_jobs import assert_tables, read_rollup, refresh_rollup, refresh_touched, refresh_window, stored_checks, table_checks
-from skyledger.session import require_utc, work_dir
+from skyledger.session import require_utc, shared_dir, work_dir
 from skyledger.sources import records as S
 from skyledger.sources.exports import export_dataset, topk_payload
 from skyledger.sources.files import exists, list_names
@@ -106,6 +107,16 @@ def test_json_lines_reject_non_objects(spark, tmp_path):
         S.read_json_or_ndjson(spark, path, AIR.raw_schema).collect()
 
 
+@pytest.mark.parametrize("first", ['{"fiwareid": "x",', "[", '{"a": 1} {"b": 2}', '"text', "5", '{"a": 1}]', "[]"])
+def test_a_cut_first_line_costs_that_line(spark, tmp_path, first):
+    (tmp_path / "in.json").write_text(first + '\n{"fiwareid": "b"}\n\n{"fiwareid": "c"}\n')
+    path = str(tmp_path / "in.json")
+    got = S.read_json_or_ndjson(spark, path, AIR.raw_schema, strict=False)
+    assert sorted(r.fiwareid for r in got.collect()) == ["b", "c"]
+    with pytest.raises(Exception, match="not a JSON object"):
+        S.read_json_or_ndjson(spark, path, AIR.raw_schema).collect()
+
+
 def test_dataset_of_file(spark):
     names = spark.createDataFrame([("vias_full_2025.json",), ("arbol_metadata_1.json",), ("plain.json",)], "f string")
     assert [r.d for r in names.select(S.dataset_of_file("f").alias("d")).collect()] == ["vias", "arbol", "plain"]
@@ -403,6 +414,29 @@ def test_replay_round_trip(spark, rows, tmp_path):
     assert rows(second.read(), "fiwareid", "no2") == [("a", 1.0), ("b", 2.0)]
 
 
+def test_replay_in_slices_goes_on_where_it_stopped(spark, tmp_path):
+    data = air_rows(spark, *[(s, h, float(h), "x") for h in range(0, 40, 2) for s in "ab"])
+    out, calls, mark = tmp_path / "out", [], str(tmp_path / "mark.json")
+
+    def send(keyed, number, fail=None):
+        calls.append(number)
+        keyed.coalesce(1).write.mode("overwrite").json(str(out / f"slice={number:03d}"))
+        if number == fail:
+            raise ConnectionError
+
+    args = (data, AIR, T0, T0 + timedelta(hours=39))
+    with pytest.raises(ConnectionError):
+        replay_slices(*args, lambda k, n: send(k, n, 3), mark, "5 hours")
+    began = time.monotonic()
+    sent = replay_slices(*args, send, mark, "5 hours", per_second=20.0)
+    assert calls == [0, 1, 2, 3, 3, 4, 5, 6, 7] and replay_slices(*args, send, mark, "5 hours") == 0 and len(calls) == 9
+    assert time.monotonic() - began >= sent / 20
+    keys = [json.loads(line)["key"] for f in sorted(out.glob("slice=*/part-*.json")) for line in f.read_text().splitlines()]
+    assert keys == [r["key"] for r in replay(data, AIR, *args[2:]).collect()] and len(set(keys)) == 40
+    with pytest.raises(ValueError, match="another replay"):
+        replay_slices(*args, send, mark, "6 hours")
+
+
 def test_send_events_appends(spark, tmp_path):
     keyed = replay(air_rows(spark, ("a", 1, 1.0, "x")), AIR)
     for _ in range(2):
@@ -598,3 +632,25 @@ def test_records_of_equally_numbered_pages_are_told_apart(spark):
     pages = spark.createDataFrame([("a.json", '[{"fiwareid":"x"}]'), ("b.json", '[{"fiwareid":"y"}]')], "file string, value string")
     got, _ = S.parse_record_pages(pages, AIR.raw_schema)
     assert len({tuple(r._seq) for r in got.collect()}) == 2
+
+
+@pytest.mark.parametrize("master, warehouse, refused", [
+    ("local[4]", "file:/tmp/w", False), ("local", "/tmp/w", False), ("spark://host:7077", "file:/tmp/w", True), ("yarn", "/tmp/w", True),
+    ("local-cluster[2,1,1024]", "file:/tmp/w", True), ("yarn", "hdfs://name/w", False),
+])
+def test_scratch_on_the_drivers_machine_is_refused_on_a_cluster(master, warehouse, refused):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        conf = Conf({"spark.sql.warehouse.dir": warehouse})
+        sparkContext = type("Context", (), {"master": master})
+
+    if refused:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session)
+    else:
+        assert shared_dir(Session) == warehouse
+    Session.conf["spark.checkpoint.dir"] = "file:/shared"
+    assert shared_dir(Session) == "file:/shared"
