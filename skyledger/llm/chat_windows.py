@@ -1,13 +1,16 @@
 """Chat formatting in budgeted windows.
 
 Every turn's tokens are counted once; a prefix sum over the conversation, from sums of blocks of turns, gives each turn the
-range of positions it takes. Ranges choose turn-aligned spans: turns that lie wholly in the same stretch of ``budget -
-history`` positions make a window, a turn across a border is a window of its own. So a window's new turns stay within that
-stretch unless it is a single longer turn, and no window depends on another one's cut.
+range of positions it takes. Ranges choose turn-aligned spans: turns that lie wholly in the same stretch of a conversation
+make a window, a turn across a border is a window of its own. A stretch is what the budget leaves beside the history and the
+system turn, and no window depends on another one's cut.
 
 A window begins with the conversation's system turn, if it has one, then repeats the turns of the last ``history``
-positions before it, whole turns only, then holds its new turns. Only texts of new assistant turns are under the loss
-mask; all that is repeated is masked, so each assistant text is learned once.
+positions before it, whole turns only, then holds its new turns. All of it stays within the budget: beside a long new turn less
+history is repeated. Only two things can exceed it: a single new turn that is too long beside the system turn, which then
+stands without history, and a system turn longer than half of what the history leaves, as stretches keep at least the other half.
+Only texts of new assistant turns are under the loss mask; all that is repeated is masked, so each assistant text is learned
+once.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a backslash is doubled and ``<|`` becomes
 ``<\\|``, so no text can hold a control string; a line break in a role becomes ``\\n``. ``parse`` undoes this exactly.
@@ -146,11 +149,19 @@ def windows(
         string(text).alias("text"),
     )
     placed = base.stored(positions(turns, tokens(F.col("text"))), "positions")
-    stretch = max(1, budget - history)
-    low, high = F.floor(F.col("start") / stretch), F.floor((F.col("end") - 1) / stretch)
-    named = placed.withColumn("window", 2 * low + (high > low).cast("long"))
+    room = max(1, budget - history)
     is_system = (F.col("start") == 0) & (F.col("role") == SYSTEM)
-    begins = named.groupBy("conv", "window").agg(F.min("start").alias("begin"))
+    systems = placed.filter(is_system).select("conv", "role", "text", "tokens").withColumnRenamed("conv", "_conv")
+    costs = systems.select("_conv", F.col("tokens").alias("system"))
+    named = placed.join(costs, F.col("conv") == F.col("_conv"), "left").drop("_conv").withColumn("system", F.coalesce("system", F.lit(0)))
+    stretch = F.greatest(F.lit(room) - F.col("system"), F.lit(max(1, room // 2)))
+    low, high = F.floor(F.col("start") / stretch), F.floor((F.col("end") - 1) / stretch)
+    named = named.withColumn("window", 2 * low + (high > low).cast("long"))
+    begins = named.groupBy("conv", "window").agg(F.min("start").alias("begin"), F.sum("tokens").alias("new"), F.first("system").alias("system"))
+    # The window of the system turn holds it among its new turns.
+    begins = begins.withColumn("shown", (F.col("begin") > 0) & (F.col("system") > 0))
+    left = F.lit(budget) - F.col("new") - F.when(F.col("shown"), F.col("system")).otherwise(0)
+    begins = begins.withColumn("behind", F.greatest(F.least(left, F.lit(history)), F.lit(0)))
     new = named.select("conv", "window", F.lit(2).alias("kind"), "start", "role", "text")
     # A turn is repeated where a window begins within the history behind it; both fall into neighbouring cells.
     cell = max(1, history)
@@ -158,11 +169,12 @@ def windows(
     spread = named.filter(~is_system).select(
         "conv", "start", "end", "role", "text", F.col("window").alias("own"), F.explode(F.array(here, here + 1)).alias("cell")
     )
-    ahead = begins.select("conv", "window", "begin", F.floor(F.col("begin") / cell).alias("cell"))
-    repeated = spread.join(ahead, ["conv", "cell"]).filter("window > own AND begin >= end AND begin - start <= " + str(history))
+    ahead = begins.select("conv", "window", "begin", "behind", F.floor(F.col("begin") / cell).alias("cell"))
+    repeated = spread.join(ahead, ["conv", "cell"]).filter("window > own AND begin >= end AND begin - start <= behind")
     repeated = repeated.select("conv", "window", F.lit(1).alias("kind"), "start", "role", "text")
-    systems = named.filter(is_system).select("conv", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("start"), "role", "text", F.col("window").alias("own"))
-    again = begins.join(systems, "conv").filter("window <> own").select("conv", "window", "kind", "start", "role", "text")
+    again = begins.filter("shown").join(systems.drop("tokens"), F.col("conv") == F.col("_conv")).select(
+        "conv", "window", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("start"), "role", "text"
+    )
     every = new.unionByName(repeated).unionByName(again)
     rows = every.groupBy("conv", "window").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "role", "text"))).alias("turns"))
     as_turn = lambda t: F.struct((t["kind"] == 2).cast("int").alias("new"), t["role"].alias("role"), t["text"].alias("text"))

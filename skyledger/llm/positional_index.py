@@ -1,15 +1,15 @@
 """Benchmark decontamination by a positional inverted index, in DataFrame operations only.
 
-1. *Frequencies*: every training token that is a test term is counted.
-2. *Rarest terms*: each test window of ``window`` words picks its rarest term. A window with a term that no document
-   holds can't occur and picks none.
-3. *Postings*: the picked terms' postings ``(term, document, position)`` are read off all documents and shifted by the
-   term's offset in its item, which gives the places where the item would have to start.
-4. *Intersection*: shifted lists meet per document. A place survives if a neighbour of its rarest term is there too,
-   since each window holds a neighbour; survivors are compared word by word, and windows that match are occurrences.
+1. *Windows*: runs of ``window`` words of the test items. Equal windows are one, however many items hold them.
+2. *Frequencies*: every training token that is a test term is counted.
+3. *Rarest terms*: each window picks its ``TERMS`` rarest terms. A window with a term that no document holds can't occur
+   and picks none.
+4. *Index*: the picked terms' postings ``(term, document, position)`` are read off all documents and stored.
+5. *Intersection*: lists are shifted by the terms' offsets in their window, which gives the places where it would have to
+   start; a place that all its picked terms name is a candidate. Candidates are compared word by word.
 
-Terms and counts are shuffled as partial sums, postings by document; the test side is broadcast only below
-``BROADCAST_ROWS`` rows, which are counted first, and joined by shuffle beyond.
+Terms and counts are shuffled as partial sums, places as bits of the terms that name them; the test side is broadcast only
+up to ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``, which are counted first, and joined by shuffle beyond.
 
 Words are runs of digits, letters and non-ASCII characters; only A-Z are lower-cased. For candidates all letters are
 lower-cased, which merges words but never parts equal ones; the comparison is exact. An item of fewer words than a
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import base
 
-WINDOW = 10
-#: Rows of test terms or items that are sent to every executor at most.
-BROADCAST_ROWS = 200_000
+WINDOW, TERMS = 10, 2
+#: Rows, and their bytes as text, of test terms or windows that are sent to every executor at most.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 # What separates words once A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,9 +41,10 @@ def folded_words(text: Column) -> Column:
     return F.array_remove(F.split(F.replace(F.lower(text), F.lit("ς"), F.lit("σ")), SEPARATORS), "")
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
     """Marked for broadcast if it is counted to be small, else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
+    n, size = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
 
 
 def test_items(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -57,27 +58,45 @@ def test_items(benchmark: DataFrame, id_col: str, text_col: str, window: int) ->
     )
 
 
+def test_windows(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(win, words, folded)``, every window once, and ``(win, items)``, the items that hold it."""
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
+    cut = items.select("item_id", "words", "folded", "size", F.explode(starts).alias("s")).select(
+        "item_id", F.slice("words", F.col("s"), F.col("size")).alias("words"), F.slice("folded", F.col("s"), F.col("size")).alias("folded")
+    )
+    # Numbered when they are stored, so that equal numbers mean equal words.
+    grouped = cut.groupBy("words").agg(F.first("folded").alias("folded"), F.collect_set("item_id").alias("items"))
+    found = base.stored(grouped.withColumn("win", F.monotonically_increasing_id()), "windows")
+    return found.select("win", "words", "folded"), found.select("win", "items")
+
+
 def training_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("key", F.posexplode(folded_words(F.col("text"))).alias("pos", "term"))
 
 
-def rarest_terms(items: DataFrame, frequency: DataFrame) -> DataFrame:
-    """``(term, item, offset, prev, next)``: for every window that can occur, its rarest term."""
-    terms = items.select("item", "size", F.size("words").alias("n"), F.posexplode("folded").alias("offset", "term"))
-    known = terms.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    by_place = Window.partitionBy("item").orderBy("offset")
-    # Frames are of fixed width; a shorter item has one window, which takes the frame of the whole item.
-    longest = items.agg(F.max("size")).first()[0] or 1
-    ahead = by_place.rowsBetween(0, longest - 1)
-    picked = (
-        known.withColumn("least", F.min(F.struct("df", "offset")).over(ahead))
-        .filter((F.col("offset") <= F.col("n") - F.col("size")) & (F.col("least.df") > 0))
-        .select("item", F.col("least.offset").alias("offset")).distinct()
-    )
-    beside = terms.select(
-        "item", "offset", "term", F.lag("term").over(by_place).alias("prev"), F.lead("term").over(by_place).alias("next")
-    )
-    return picked.join(beside, ["item", "offset"]).select("term", "item", "offset", "prev", "next")
+def rarest_terms(windows: DataFrame, frequency: DataFrame, terms: int = TERMS) -> DataFrame:
+    """``(term, win, offset, bit, asked)``: the rarest terms of every window that can occur, a bit for each."""
+    every = windows.select("win", F.posexplode("folded").alias("offset", "term")).join(frequency, "term", "left")
+    ranked = every.groupBy("win").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term"))).alias("r"))
+    chosen = ranked.filter(F.col("r")[0]["df"] > 0).select("win", F.slice("r", 1, terms).alias("r"))
+    each = chosen.select("win", F.expr("shiftleft(1, size(r)) - 1").alias("asked"), F.posexplode("r").alias("n", "t"))
+    return each.select(F.col("t.term").alias("term"), "win", F.col("t.offset").alias("offset"), F.expr("shiftleft(1, n)").alias("bit"), "asked")
+
+
+def with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, text, key)``; ``key`` is a hash of id and text."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def counted_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """How often each term occurs in all documents; terms that don't are left out."""
+    return base.stored(training_tokens(docs).join(small(terms), "term").groupBy("term").agg(F.count("*").alias("df")), "frequency")
+
+
+def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The postings ``(term, key, pos)`` of the terms, stored."""
+    return base.stored(training_tokens(docs).join(small(terms), "term").select("term", "key", "pos"), "postings")
 
 
 def occurrences(
@@ -85,50 +104,25 @@ def occurrences(
     item_text_col: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """``(doc_id, key, n_words, found)`` per row of ``docs``: ``found`` lists every occurrence of a test window as
-    ``struct<item_id, start, size>``; ``key`` is a hash of id and text."""
-    base_docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    base_docs = base_docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    items = base.stored(test_items(benchmark, item_col, item_text_col, window), "items")
-    vocabulary = items.select(F.explode("folded").alias("term")).distinct()
-    frequency = training_tokens(base_docs).join(small(vocabulary), "term").groupBy("term").agg(F.count("*").alias("df"))
-    picked = base.stored(rarest_terms(items, base.stored(frequency, "frequency")), "rarest")
-    postings = training_tokens(base_docs).join(small(picked), "term")
-    places = postings.groupBy("key").agg(
-        F.collect_set(F.struct("item", (F.col("pos") - F.col("offset")).alias("start"), "pos", "prev", "next")).alias("places")
-    )
-    word = lambda i: F.get(F.col("folded"), i)
-    beside = lambda p: (
-        (p["prev"].isNull() & p["next"].isNull())
-        | F.coalesce(word(p["pos"] - 1) == p["prev"], F.lit(False))
-        | F.coalesce(word(p["pos"] + 1) == p["next"], F.lit(False))
-    )
-    met = base_docs.join(places, "key", "left").withColumn("folded", folded_words(F.col("text")))
-    alive = F.array_distinct(F.transform(F.filter("places", beside), lambda p: F.struct(p["item"].alias("item"), p["start"].alias("start"))))
-    met = met.select(
-        "doc_id", "key", F.size("folded").alias("n_words"), F.when(F.col("places").isNotNull(), alive).alias("alive"), "text"
-    ).withColumn("n_alive", F.greatest(F.size(F.coalesce("alive", F.array())), F.lit(1)))
-    # The words only where something is to be compared.
-    met = met.withColumn("here", F.when(F.size("alive") > 0, exact_words(F.col("text")))).drop("text")
-    each = met.select("doc_id", "key", "n_words", "n_alive", "here", F.explode_outer("alive").alias("a"))
-    each = each.select("doc_id", "key", "n_words", "n_alive", "here", F.col("a.item").alias("item"), F.col("a.start").alias("start"))
-    paired = each.join(small(items.select("item", "item_id", "words", "size")), "item", "left")
-    starts = F.sequence(F.lit(0), F.size("words") - F.col("size"))
-    same = lambda i: (
-        (F.col("start") + i >= 0)
-        & (F.col("start") + i + F.col("size") <= F.col("n_words"))
-        & (F.slice("here", F.greatest(F.col("start") + i + 1, F.lit(1)), F.col("size")) == F.slice("words", i + 1, F.col("size")))
-    )
-    hits = F.when(
-        F.col("item_id").isNotNull(),
-        F.transform(F.filter(starts, same), lambda i: F.struct(F.col("item_id").alias("item_id"), (F.col("start") + i).alias("start"), F.col("size").alias("size"))),
-    ).otherwise(F.array())
-    # Equal rows share a key: as many as there were come back.
-    return (
-        paired.withColumn("hits", hits)
-        .groupBy("key", "doc_id").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("found"), (F.count("*") / F.first("n_alive")).cast("int").alias("times"))
-        .select("doc_id", "key", "n_words", F.array_distinct("found").alias("found"), F.explode(F.sequence(F.lit(1), F.col("times"))))
-        .drop("col")
-    )
+    ``struct<items, start, size>``; ``key`` is a hash of id and text."""
+    base_docs = with_keys(docs, id_col, text_col)
+    windows, held_by = test_windows(test_items(benchmark, item_col, item_text_col, window))
+    frequency = counted_terms(base_docs, windows.select(F.explode("folded").alias("term")).distinct())
+    picked = base.stored(rarest_terms(windows, frequency), "rarest")
+    index = positional_index(base_docs, picked.select("term").distinct())
+    shifted = index.join(small(picked), "term").select("key", "win", (F.col("pos") - F.col("offset")).alias("start"), "bit", "asked")
+    # Rows of equal id and text share a key and name their places together.
+    met = shifted.filter("start >= 0").groupBy("key", "win", "start").agg(F.bit_or("bit").alias("bits"), F.first("asked").alias("asked"))
+    places = met.filter("bits = asked").join(small(windows.select("win", "words")), "win")
+    of_document = places.groupBy("key").agg(F.collect_list(F.struct("win", "start", "words")).alias("places"))
+    met_docs = base_docs.join(of_document, "key", "left").withColumn("here", exact_words(F.col("text")))
+    same = lambda p: F.slice("here", p["start"] + 1, F.size(p["words"])) == p["words"]
+    hits = F.transform(F.filter("places", same), lambda p: F.struct(p["win"].alias("win"), p["start"].alias("start"), F.size(p["words"]).alias("size")))
+    judged = base.stored(met_docs.select("doc_id", "key", F.size("here").alias("n_words"), hits.alias("hits")), "judged")
+    each = judged.filter(F.size("hits") > 0).select("key", F.inline("hits")).distinct().join(small(held_by), "win")
+    found = each.groupBy("key").agg(F.collect_list(F.struct("items", "start", "size")).alias("found"))
+    none = F.array().cast("array<struct<items: array<string>, start: int, size: int>>")
+    return judged.join(found, "key", "left").select("doc_id", "key", "n_words", F.coalesce("found", none).alias("found"))
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -146,7 +140,7 @@ def hit_words(found: Column) -> Column:
 
 def item_list(found: Column) -> Column:
     """The items that occur, sorted as strings."""
-    return F.array_sort(F.array_distinct(F.transform(found, lambda h: h["item_id"])))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda h: h["items"]))))
 
 
 def proximity(
@@ -155,18 +149,16 @@ def proximity(
 ) -> DataFrame:
     """``(doc_id, item_id, start)``: positions from which ``within`` words hold the item's ``terms`` rarest terms, in
     any order. Items with fewer distinct terms use all they have; an item with a term that no document holds has none."""
-    base_docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    base_docs = base_docs.withColumn("key", F.xxhash64("doc_id", "text")).distinct()
+    base_docs = with_keys(docs, id_col, text_col).distinct()
     items = base.stored(test_items(benchmark, item_col, item_text_col, WINDOW), "items")
     pairs = items.select("item", "item_id", F.explode("folded").alias("term")).distinct()
-    frequency = training_tokens(base_docs).join(small(pairs.select("term").distinct()), "term").groupBy("term").agg(F.count("*").alias("df"))
-    ranked = pairs.join(base.stored(frequency, "frequency"), "term", "left").withColumn(
+    ranked = pairs.join(counted_terms(base_docs, pairs.select("term").distinct()), "term", "left").withColumn(
         "r", F.row_number().over(Window.partitionBy("item").orderBy(F.coalesce("df", F.lit(0)), "term"))
     ).filter(F.col("r") <= terms)
     asked = base.stored(
         ranked.withColumn("asked", F.count("*").over(Window.partitionBy("item"))).select("item", "item_id", "term", "asked"), "asked"
     )
-    postings = training_tokens(base_docs).join(small(asked), "term")
+    postings = positional_index(base_docs, asked.select("term").distinct()).join(small(asked), "term")
     ahead = Window.partitionBy("key", "item").orderBy("pos").rangeBetween(0, within - 1)
     near = postings.withColumn("n", F.size(F.collect_set("term").over(ahead))).filter("n = asked")
     return near.join(base_docs.select("key", "doc_id"), "key").select("doc_id", "item_id", F.col("pos").cast("long").alias("start"))

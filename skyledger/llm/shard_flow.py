@@ -1,14 +1,14 @@
 """Minimum-cost-flow resharding.
 
-Rows lie in old shards and in blocks within them, ``blocks`` a shard by a hash of their id. Old shard sizes and new
+Rows lie in old shards and in blocks within them, ``blocks`` a shard by a hash of their id and text. Old shard sizes and new
 capacities are a transport problem: staying in the shard of the same number is free, every other move costs its bytes.
 ``transfers`` solves it exactly by successive shortest paths on a graph of shards, whose size doesn't depend on the rows.
 ``assign_blocks`` sends whole blocks along the flows, largest first, so what doesn't fit exactly is small. ``place`` numbers the rows of every shard without a gap from block offsets and ranks inside blocks, and
 ``rewrite`` writes the files of shards that a transfer touches; the others stay as they are.
 
 Law ``bytes``: new capacities are equal, so sizes differ by about a block. Sizes count the UTF-8 bytes of the text (null:
-none) plus ``OVERHEAD``. A null old shard is -1, which no new shard is, so its rows move. Null ids share a block; repeated rows count each, next to one another; an empty table gives an
-empty one and no transfer.
+none) plus ``OVERHEAD``. A null old shard is -1, which no new shard is, so its rows move. Rows without an id are dealt by their texts like others; repeated rows
+count each and lie next to one another, in one block; an empty table gives an empty one and no transfer.
 """
 
 from __future__ import annotations
@@ -159,7 +159,7 @@ def place(
     id_, text = F.col("id"), F.col("text")
     named = docs.select(
         whole, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(old.cast("long"), F.lit(-1)).alias("old"),
-        F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(blocks)).cast("int").alias("block"),
     )
     kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("_old", "_shard", "_slot")]
     sizes = base.stored(

@@ -57,6 +57,21 @@ def test_windows_of_items(spark, docs):
     assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted((r[0] for r in clean), key=repr)
 
 
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_a_window_of_many_items_is_one_candidate(spark, docs, monkeypatch, most):
+    """Items that share a window are told from its one entry in the index, with the test side broadcast or joined."""
+    monkeypatch.setattr(positional_index, "BROADCAST_BYTES", most)
+    shared = "choose the single best answer out of these four options"
+    items = [(i, f"{shared} word{i}") for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    windows, held = positional_index.test_windows(positional_index.test_items(benchmark, "item_id", "text", 10))
+    assert windows.count() == 41 and sorted(len(r["items"]) for r in held.collect()) == [1] * 40 + [40]
+    rows = [(1, f"please {shared} now"), (2, "choose the best answer"), (3, f"{shared} word7"), (3, f"{shared} word7"), (4, None)]
+    found = positional_index.occurrences(docs(rows), benchmark)
+    got = found.select("doc_id", "n_words", positional_index.hit_words(F.col("found")), positional_index.item_list(F.col("found"))).collect()
+    assert sorted(((a, b, c, list(d)) for a, b, c, d in got), key=repr) == occurrences(rows, items)
+
+
 def test_no_items_or_no_documents(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [len(r.found) for r in positional_index.occurrences(docs([(1, "a b")]), none).collect()] == [0]
@@ -310,15 +325,27 @@ def test_windows_read_back(spark, monkeypatch, budget, history):
     made.unpersist()
 
 
-def test_windows_keep_their_budget(spark):
+@pytest.mark.parametrize(("budget", "history"), [(120, 40), (100, 10), (100, 60)])
+def test_windows_keep_their_budget(spark, budget, history):
+    """The whole window, system turn and history included, unless a single new turn or a long system turn leaves no room."""
+    rng = random.Random(budget + history)
     rows = [(1, 0, "system", "s s")] + [(1, t, ("user", "assistant")[t % 2], "w " * (t % 7 + 1)) for t in range(1, 400)]
+    for c, system in ((2, 30), (3, 90), (4, 0)):
+        rows += [(c, 0, "system", "s " * system)] * (system > 0)
+        rows += [(c, t, ("user", "assistant")[t % 2], "w " * rng.choice([1, 5, 30, 70, 88, 200])) for t in range(1, 200)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     words = lambda c: F.size(F.split(F.trim(c), " ")).cast("long")
     cost = lambda turns: sum(chat_windows.TURN_TOKENS + len(t.split()) for _, t in turns)
-    for w in chat_windows.windows(frame, 120, 40, tokens=words).collect():
+    repeats = Counter()
+    for w in chat_windows.windows(frame, budget, history, tokens=words).collect():
         turns = chat_windows.parse(w.text)
-        assert cost(turns) - cost(turns[:1]) <= 120
-        assert cost(turns[1 : w.repeated]) <= 40
+        past = [t for t in turns[: w.repeated] if t[0] != "system"]
+        assert cost(past) <= history
+        if cost(turns) > budget:
+            assert not past and (w.n_new == 1 or w.conv_id == 3)
+            assert w.n_new == 1 or cost(turns[w.repeated :]) <= (budget - history) // 2
+        repeats[w.conv_id] += w.repeated > 0
+    assert repeats[1] > 5 and repeats[4] > 5
 
 
 def test_no_conversations(spark):
@@ -360,3 +387,11 @@ def test_rows_are_dealt_evenly_and_without_gaps(spark, docs, tmp_path):
     assert max(size.values()) < 1.02 * min(size.values())
     assert {t.old for t in moves} <= {-1, 0, 1, 2, 3, 4} and shard_flow.affected(moves)
     assert shard_flow.place(docs([]), F.lit(0), 4)[0].count() == 0
+
+
+def test_rows_without_an_id_are_dealt_evenly(spark, docs):
+    rng = random.Random(1)
+    rows = [(None if i % 3 == 0 else i, sentence(rng, rng.randint(1, 30))) for i in range(1500)]
+    placed, _ = shard_flow.place(docs(rows), F.lit(0), 8)
+    size = placed.groupBy("_shard").agg(F.sum(shard_flow.row_size(F.col("text"))).alias("n")).collect()
+    assert len(size) == 8 and max(r.n for r in size) < 1.05 * min(r.n for r in size)
