@@ -14,7 +14,8 @@ that can't be similar by that bound are not formed. A posting list is never mult
 1. every class is verified against the leader it shares most prefix tokens with; a list is led by the member whose own
    tokens are the most frequent, which in a family of near copies is the text nearest to their common source,
 2. pairs of short lists are counted as they are; of a long list, pairs of classes that step 1 left in different
-   components, where one of the two is outside the list's largest component,
+   components, where one of the two is outside the list's largest component; tokens of FREQUENT documents or more never
+   meet in one task: their postings are plain rows, led by a partially aggregated maximum and joined under salts,
 3. pairs with enough shared tokens and different components are verified, so no link between components is missed.
 
 Component ids are the smallest document id reachable. Null ids stand alone with a null component; rows of one id are
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import base, blocks, hashing
@@ -40,6 +41,8 @@ MAX_LENGTH, SHORT = 4, 24
 POSTING_COST, TOKEN_COST = 4.0, 0.05
 KEY_BITS = 30
 POSTINGS_PER_BUCKET = 1 << 18
+#: Tokens of so many documents are kept out of buckets; rows of one such token that a task gets, about.
+FREQUENT, SALT_ROWS = 1 << 12, 1 << 14
 
 
 def document_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np.ndarray]:
@@ -182,23 +185,40 @@ def choose_length(size: int, need: int, rarity: np.ndarray) -> int:
     return 1 + int(np.argmin(costs))
 
 
-def _postings(percent: int, n_buckets: int):
+def prefix_end(size, percent: int):
+    """How many tokens of a set the longest prefix holds; numbers or columns."""
+    if isinstance(size, int):
+        return min(size, size - -(-percent * size // 100) + MAX_LENGTH)
+    return F.least(size, size - F.ceil(percent * size / 100) + MAX_LENGTH).cast("int")
+
+
+def frequency_step(documents: int) -> int:
+    """The least frequency class whose tokens may be in so many documents."""
+    return int(np.floor(4 * np.log2(documents) + 1e-9))
+
+
+def _prefixes(batch: pa.RecordBatch, percent: int, least: int, below: int) -> list[tuple[np.ndarray, ...]]:
+    """Per class the columns of POSTING, and the frequency classes, of prefix tokens with ``least <= class < below``."""
+    rows = []
+    for cls, token, rare in zip(*[batch.column(c).to_pylist() for c in ("cls", "tokens", "rarity")]):
+        t, r = np.frombuffer(token, np.uint64), np.frombuffer(rare, np.uint8)
+        length = choose_length(len(t), -(-percent * len(t) // 100), r)
+        told = r[: prefix_end(len(t), percent)]
+        rank = np.flatnonzero((told >= least) & (told < below))
+        same = [(cls, np.int64), (len(t), np.int32), (int((r > 0).sum()), np.int32), (r.mean(dtype=np.float64) if len(r) else 0, np.float32), (length, np.uint8)]
+        rows.append((t[rank], (rank + 1).astype(np.int32), *[np.full(len(rank), value, kind) for value, kind in same], r[rank]))
+    return rows
+
+
+def _postings(percent: int, n_buckets: int, below: int):
     """Prefix tokens of several documents, as blobs by token bucket, with what a list needs to know of its members."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for cls, token, rare in zip(batch.column("cls").to_pylist(), batch.column("tokens").to_pylist(), batch.column("rarity").to_pylist()):
-                t, r = np.frombuffer(token, np.uint64), np.frombuffer(rare, np.uint8)
-                need = -(-percent * len(t) // 100)
-                length = choose_length(len(t), need, r)
-                end = min(len(t), len(t) - need + MAX_LENGTH)
-                rank = np.flatnonzero(r[:end] > 0)
-                same = [(cls, np.int64), (len(t), np.int32), (int((r > 0).sum()), np.int32), (r.mean(dtype=np.float64) if len(r) else 0, np.float32), (length, np.uint8)]
-                rows.append((t[rank], (rank + 1).astype(np.int32), *[np.full(len(rank), value, kind) for value, kind in same]))
+            rows = _prefixes(batch, percent, 1, below)
             if not rows:
                 continue
-            every = [np.concatenate(x) for x in zip(*rows)]
+            every = [np.concatenate(x) for x in zip(*rows)][: len(POSTING)]
             token = every[0]
             bucket = (token % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -212,6 +232,48 @@ def _postings(percent: int, n_buckets: int):
     return spread
 
 
+FREQUENT_ROWS = "token long, rank int, cls long, size int, shared int, weight float, length int, salts int"
+
+
+def _frequent_postings(percent: int, least: int, salt_rows: int):
+    """The prefix tokens that many documents hold, a row each; ``salts`` says over how many parts a token's rows are dealt."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = _prefixes(batch, percent, least, 256)
+            if not rows:
+                continue
+            token, rank, cls, size, shared, weight, length, rarity = (np.concatenate(x) for x in zip(*rows))
+            salts = np.ceil(2.0 ** ((rarity.astype(np.float64) + 1) / 4) / salt_rows).astype(np.int32)
+            columns = [token.view(np.int64), rank, cls, size, shared, weight, length.astype(np.int32), salts]
+            yield pa.record_batch([pa.array(c) for c in columns], names=[c.split()[0] for c in FREQUENT_ROWS.split(", ")])
+
+    return spread
+
+
+def frequent_postings(sets: DataFrame, percent: int, least: int, salt_rows: int) -> DataFrame:
+    """FREQUENT_ROWS with a ``salt`` each, of the sets whose prefix holds a token of frequency class ``least`` or more."""
+    end = prefix_end((F.octet_length("tokens") / 8).cast("int"), percent)
+    highest = F.conv(F.hex(F.substring("rarity", end, F.lit(1))), 16, 10).cast("int")  # tokens are in order of frequency
+    rows = sets.filter(highest >= least).mapInArrow(_frequent_postings(percent, least, salt_rows), FREQUENT_ROWS)
+    return rows.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts").cast("long")).cast("int"))
+
+
+def every_salt(rows: DataFrame) -> DataFrame:
+    """The rows once for each part of their token's list."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
+def frequent_stars(rows: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, n)``: how often ``b`` leads a list of a frequent token that holds ``a``, where the two may be similar."""
+    order = F.struct("weight", F.bitwise_not("cls").alias("against"), F.col("size").alias("b_size"), F.col("shared").alias("b_shared"))
+    led = rows.groupBy("token").agg(F.max(order).alias("m"), F.max("salts").alias("salts"))
+    led = every_salt(led.select("token", "salts", F.bitwise_not("m.against").alias("b"), "m.b_size", "m.b_shared"))
+    near = may_link(F.col("size"), F.col("b_size"), F.col("shared"), F.col("b_shared"), percent)
+    met = rows.join(led, ["token", "salt"]).filter((F.col("cls") != F.col("b")) & near)
+    return met.groupBy(F.col("cls").alias("a"), "b").agg(F.count("*").alias("n"))
+
+
 PAIRS = "kind int, a long, b long, n int, token long, size int, shared int, rank int, length int"
 STAR, SHORT_PAIR, LONG_LIST = 0, 1, 2
 
@@ -332,8 +394,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def apart_rows(member: DataFrame, percent: int) -> DataFrame:
     """One row ``(a, b, length)`` per token and pair of a long list that the first links left apart, ``a`` the larger."""
     columns = ("cls", "size", "shared", "rank", "length", "home")
-    o = member.filter("home <> main").select("token", *[F.col(c).alias(f"o_{c}") for c in columns])
-    p = member.select("token", "main", *[F.col(c).alias(f"p_{c}") for c in columns])
+    o = every_salt(member.filter("home <> main").select("token", "salts", *[F.col(c).alias(f"o_{c}") for c in columns]))
+    p = member.select("token", "salt", "main", *[F.col(c).alias(f"p_{c}") for c in columns])
     larger = F.struct("o_size", "o_cls") > F.struct("p_size", "p_cls")
     asked = F.when(larger, F.col("o_length")).otherwise(F.col("p_length"))
     overlap = overlap_asked(F.col("o_size"), F.col("p_size"), percent)
@@ -341,7 +403,7 @@ def apart_rows(member: DataFrame, percent: int) -> DataFrame:
     room = may_reach(*[F.col(f"{s}_{c}") for c in ("rank", "size", "shared") for s in "op"], overlap)
     once = (F.col("p_home") == F.col("main")) | (F.col("o_cls") < F.col("p_cls"))
     return (
-        o.join(p, (o.token == p.token) & (F.col("o_home") != F.col("p_home")) & once)
+        o.join(p, (o.token == p.token) & (o.salt == p.salt) & (F.col("o_home") != F.col("p_home")) & once)
         .filter(prefixes[0] & prefixes[1] & room)
         .select(
             F.when(larger, F.col("o_cls")).otherwise(F.col("p_cls")).alias("a"),
@@ -355,11 +417,14 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Components ``(node, comp)`` of classes ``(cls, tokens, rarity)``; classes without a link are left out."""
     total = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     buckets = max(1, int(total / 8 * (100 - percent) / 100 / POSTINGS_PER_BUCKET) + 1)
+    often = frequency_step(FREQUENT)
     blobs = sets.select("cls", "tokens", "rarity").mapInArrow(
-        _postings(percent, buckets), "bucket long, " + ", ".join(f"{c} binary" for c in POSTING)
+        _postings(percent, buckets, often), "bucket long, " + ", ".join(f"{c} binary" for c in POSTING)
     )
     lists = base.stored(blobs.groupBy("bucket").applyInArrow(base.trimmed(_lists(percent)), PAIRS), "lists")
-    star = lists.filter(F.col("kind") == STAR).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    frequent = base.stored(frequent_postings(sets.select("cls", "tokens", "rarity"), percent, often, SALT_ROWS), "frequent")
+    star = lists.filter(F.col("kind") == STAR).select("a", "b", "n").unionByName(frequent_stars(frequent, percent))
+    star = star.groupBy("a", "b").agg(F.sum("n").alias("n"))
     best = star.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
     first = base.stored(verified(best, sets, percent), "star_links")
     comp = components(first)
@@ -369,11 +434,13 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         return rows.join(known, col, "left").withColumn(name, F.coalesce("_c", col)).drop("_c")
 
     short = lists.filter(F.col("kind") == SHORT_PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
-    long_lists = lists.filter(F.col("kind") == LONG_LIST).select("token", F.col("a").alias("cls"), "size", "shared", "rank", "length")
-    member = base.stored(of(long_lists, "cls", "home"), "long_lists")
-    spread = member.groupBy("token", "home").agg(F.count("*").alias("n")).groupBy("token")
-    mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main")).filter("homes > 1").drop("homes")
-    member = member.join(mixed, "token")
+    long_lists = lists.filter(F.col("kind") == LONG_LIST).select(
+        "token", F.col("a").alias("cls"), "size", "shared", "rank", "length", F.lit(1).alias("salts"), F.lit(0).alias("salt")
+    )
+    member = base.stored(of(long_lists.unionByName(frequent.drop("weight")), "cls", "home"), "long_lists")
+    spread = member.groupBy("token", "home").agg(F.count("*").alias("n"), F.max("salts").alias("salts")).groupBy("token")
+    mixed = spread.agg(F.count("*").alias("homes"), F.max_by("home", F.struct("n", "home")).alias("main"), F.max("salts").alias("salts"))
+    member = member.join(every_salt(mixed.filter("homes > 1").drop("homes")), ["token", "salt"])
     long = apart_rows(member, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("length").alias("length"))
     counted = short.select("a", "b", "n", "length").unionByName(long.select("a", "b", "n", "length"))
     enough = counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("length").alias("length")).filter("n >= length")
@@ -412,15 +479,16 @@ def near_duplicates(
     several = linked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
     twice = several.agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.collect_set("cls").alias("all")).filter("a <> z")
     of = lambda col, name: comp.select(F.col("node").alias(col), F.col("comp").alias(name))
-    home = linked.join(of("cls", "comp"), "cls", "left").withColumn("home", F.coalesce("comp", "cls")).drop("comp")
+    home = base.look_up(linked, of("cls", "comp"), "cls").withColumn("home", F.coalesce("comp", "cls")).drop("comp")
     if not twice.isEmpty():
         pairs = twice.select("a", F.explode("all").alias("b")).filter("a <> b")
         lifted = pairs.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left")
         higher = components(lifted.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
         to = higher.select(F.col("node").alias("home"), F.col("comp").alias("to"))
         home = home.join(to, "home", "left").withColumn("home", F.coalesce("to", "home")).drop("to")
+    home = base.stored(home.select("doc_id", "n_shingles", "home"), "homes")
     least = home.filter(F.col("doc_id").isNotNull()).groupBy("home").agg(F.min("doc_id").alias("component_id"))
-    named = home.join(least, "home", "left").select(
+    named = base.look_up(home, least, "home").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
     alone = found.filter(F.col("cls").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -435,14 +503,14 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     found, comp = classes(docs, id_col, text_col, shingle, percent)
     known = found.filter("cls IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "h", "cls").distinct()
-    home = known.join(comp, known.cls == comp.node, "left").select("doc_id", "h", F.coalesce("comp", "cls").alias("home"))
+    known = base.stored(known, "classes")
+    home = base.look_up(known, comp.select(F.col("node").alias("cls"), "comp"), "cls").select("doc_id", "h", F.coalesce("comp", "cls").alias("home"))
     home = base.stored(home, "homes")
     first = home.groupBy("home").agg(F.min(F.struct("doc_id", "h")).alias("first"))
-    gone = home.join(first, "home").filter(F.struct("doc_id", "h") != F.col("first")).select("doc_id", "h")
+    gone = base.look_up(home, first, "home").filter(F.struct("doc_id", "h") != F.col("first")).select("doc_id", "h")
     rows = base.packed(docs, doc_id=id_col, h=text_col).select(
         "row", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("h").cast("string")).alias("h")
     )
-    one = Window.partitionBy("doc_id", "h").orderBy(F.xxhash64("row"))
-    left = rows.filter("doc_id IS NOT NULL").join(base.stored(gone, "gone"), ["doc_id", "h"], "left_anti")
-    left = left.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row")
+    once = rows.filter("doc_id IS NOT NULL").groupBy("doc_id", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    left = once.join(base.stored(gone, "gone"), ["doc_id", "h"], "left_anti").select("row")
     return left.unionByName(rows.filter("doc_id IS NULL").select("row")).select("row.*")

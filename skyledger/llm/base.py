@@ -15,6 +15,8 @@ from skyledger.session import work_dir
 
 #: Rows and bytes of one Arrow batch sent to Python; a batch never holds much more text than this.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+#: A key with more than one in so many rows is joined by broadcast.
+SHARE = 128
 #: Text bytes that numpy works on at a time, whole documents at least.
 CHUNK_BYTES = 1 << 18
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -75,6 +77,22 @@ def packed(docs: DataFrame, **cols: str) -> DataFrame:
     return docs.select(whole, *[F.col(f"`{source}`").alias(name) for name, source in cols.items()])
 
 
+def look_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which holds a key at most once; null where it doesn't. Rows should be stored.
+
+    A key that many rows share isn't sent to one task: the fewer than SHARE keys with more than one in SHARE rows are
+    named in the plan, and what the table says of them is broadcast.
+    """
+    total = rows.count()
+    shared = rows.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") * SHARE > total))
+    often = [r[0] for r in shared.select(key).collect()]
+    if not often:
+        return rows.join(table, key, "left")
+    among = F.coalesce(F.col(key).isin(often), F.lit(False))
+    most = rows.filter(among).join(F.broadcast(table.filter(F.col(key).isin(often))), key, "left")
+    return most.unionByName(rows.filter(~among).join(table, key, "left"))
+
+
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """A string or binary column as ``(bytes, offsets)``; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

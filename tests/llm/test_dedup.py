@@ -4,9 +4,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from skyledger.llm import adaptive_prefix_join, blocks, components, phrase_automata, suffix_radix
+from skyledger.llm import adaptive_prefix_join, base, blocks, components, phrase_automata, suffix_radix
 from tests.llm.conftest import awkward, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,15 +120,46 @@ def near_family(rng, n, words=60, edits=6):
     return out
 
 
-@pytest.mark.parametrize("short", [2, 24])
-def test_jaccard_components(spark, docs, many_blocks, monkeypatch, short):
-    monkeypatch.setattr(adaptive_prefix_join, "SHORT", short)
+@pytest.mark.parametrize(("short", "frequent", "salt_rows", "share"), [(2, 4096, 16384, 128), (24, 4096, 16384, 3), (24, 8, 3, 6), (2, 2, 5, 1)])
+def test_jaccard_components(spark, docs, many_blocks, monkeypatch, short, frequent, salt_rows, share):
+    """Lists in buckets, lists under salts and both, with keys looked up by broadcast, by shuffle and both."""
+    for name, value in (("SHORT", short), ("FREQUENT", frequent), ("SALT_ROWS", salt_rows)):
+        monkeypatch.setattr(adaptive_prefix_join, name, value)
+    monkeypatch.setattr(base, "SHARE", share)
     rng = random.Random(short)
     rows = awkward(4) + [(1000 + i, t) for i, t in enumerate(near_family(rng, 70) + near_family(rng, 40, 30, 3))]
     found = adaptive_prefix_join.near_duplicates(docs(rows)).collect()
     assert sorted((tuple(r) for r in found), key=repr) == families(rows)
 
 
+def test_lists_of_frequent_tokens_stay_out_of_buckets(spark, docs, monkeypatch):
+    """A family of a third of all rows: no bucket holds more than FREQUENT postings of one token, no salt many more than its share."""
+    rng = random.Random(3)
+    rows = [(i, t) for i, t in enumerate(near_family(rng, 150))] + [(500 + i, sentence(rng, 40)) for i in range(300)]
+    found, _ = adaptive_prefix_join.classes(docs(rows), "doc_id", "text", 5, 75)
+    sets = found.filter("tokens IS NOT NULL").select("cls", "tokens", "rarity")
+    often = adaptive_prefix_join.frequency_step(16)
+    schema = "bucket long, " + ", ".join(f"{c} binary" for c in adaptive_prefix_join.POSTING)
+    blobs = sets.mapInArrow(adaptive_prefix_join._postings(75, 1, often), schema).collect()
+    rare = Counter(t for b in blobs for t in np.frombuffer(b.token, np.uint64).view(np.int64).tolist())
+    frequent = adaptive_prefix_join.frequent_postings(sets, 75, often, 20).collect()
+    lists, parts = Counter(r.token for r in frequent), Counter((r.token, r.salt) for r in frequent)
+    assert max(rare.values()) < 16 <= max(lists.values()) and not set(rare) & set(lists)
+    assert max(lists.values()) > 60 and max(parts.values()) < 40
+    everything = sets.mapInArrow(adaptive_prefix_join._postings(75, 1, 256), schema).collect()
+    assert rare + lists == Counter(t for b in everything for t in np.frombuffer(b.token, np.uint64).view(np.int64).tolist())
+
+
+def test_look_up_splits_off_shared_keys(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else 1 if i % 3 == 0 else i) for i in range(90)]
+    left = spark.createDataFrame(rows, "i long, k long")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(0, 60)], "k long, v string")
+    for share in (1, 4, 1000):
+        monkeypatch.setattr(base, "SHARE", share)
+        got = sorted((r.i, r.v) for r in base.look_up(left, right, "k").select("i", F.coalesce("v", F.lit("")).alias("v")).collect())
+        assert got == sorted((i, f"v{k}" if k is not None and k < 60 else "") for i, k in rows)
+
+
 def test_first_of_each_keeps_one_row_a_family(spark, docs):
     text = sentence(random.Random(1), 50)
     rows = [(3, text), (1, text), (1, text), (2, "other words stand here alone"), (None, text), (5, ""), (6, "")]
