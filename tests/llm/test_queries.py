@@ -140,7 +140,9 @@ def test_chat_contract(spark, duck):
         turns = sorted(by[r.conv_id])
         said = "".join(f"{role}\n{text}\n" for _, role, text in turns)
         assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256(said.encode()).hexdigest())
-        assert r.loss_sha256 == hashlib.sha256("".join(t for _, role, t in turns if role == "assistant").encode()).hexdigest()
+        learned = "".join(t for _, role, t in turns if role == "assistant")
+        assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert r.formatted_chars > sum(len(role) + len(t) for _, role, t in turns)
 
 
 def test_pipeline_stage_by_stage(spark, duck):
