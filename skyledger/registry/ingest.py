@@ -30,6 +30,10 @@ from skyledger.spec import AIR, WEATHER
 from skyledger.stations import historical_names
 
 
+# Rows of one landed file of lines, about 80 MB.
+FILE_ROWS = 500_000
+
+
 def eid() -> Column:
     return F.col("event_id")
 
@@ -620,9 +624,10 @@ def _(spark, sf):
     folder = work_dir(spark, "lines")
     whole = F.to_json(F.struct("*"))
     rows = raw_air(spark, sf).withColumn("objectid", eid()).drop("event_id")
-    # Every file begins with a line that is cut off.
+    # Every file begins with a line that is cut off; there are as many files as the rows need.
+    files = max(3, -(-rows.count() // FILE_ROWS))
     cut = F.when(F.col("objectid") % 211 == 1, F.substring(whole, 1, 25)).otherwise(whole)
-    lines = rows.select("objectid", cut.alias("value")).repartition(3, "objectid").sortWithinPartitions(F.col("objectid") % 211 != 1)
+    lines = rows.select("objectid", cut.alias("value")).repartition(files, "objectid", "value").sortWithinPartitions(F.col("objectid") % 211 != 1)
     lines.select("value").write.text(folder)
     found = S.read_json_or_ndjson(spark, folder, AIR.raw_schema, strict=False)
     return found.select(F.col("objectid").alias("event_id"), "no2", "pm25")

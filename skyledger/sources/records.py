@@ -80,9 +80,9 @@ def read_json_or_ndjson(
 
     ``lines`` is splittable and the choice for bulk data; ``document`` parses each file whole. ``auto`` decides for
     every file by itself: a file that parses as a whole is a document, any other one holds lines, so a line that is cut
-    costs that line only. Whether it parses is tried only where the first non-blank line is not a complete object, and on
-    files of up to ``DOCUMENT_BYTES``; larger ones hold lines. Strict reading fails on anything that is not an object;
-    otherwise such entries are dropped.
+    costs that line only. Whether it parses is tried only where the first non-blank line is not a complete object and the
+    ends of the lines don't rule a document out already, and on files of up to ``DOCUMENT_BYTES``; larger ones hold lines.
+    Strict reading fails on anything that is not an object; otherwise such entries are dropped.
     """
     if layout == "auto":
         whole = _document_files(spark, path)
@@ -103,15 +103,28 @@ def _whole_json(text: str) -> Column:
     return bound(F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(",0]"))), only)
 
 
+def _maybe_document(lines: DataFrame) -> DataFrame:
+    """Files of ``(file, bytes, at, value)`` lines that may be one JSON value; all others are known to hold lines.
+
+    No token of JSON spans lines. So a line of a document that ends with a value or a closing bracket is the last one, or the
+    next one goes on with a comma, a colon or a closing bracket: a file with too few such lines is none, and nothing needs to
+    read it whole.
+    """
+    text = F.btrim("value", F.lit(" \t\r"))
+    ended = F.count_if((text != "") & ~F.right(text, F.lit(1)).isin(*"[{,:")).alias("ended")
+    going_on = F.count_if(F.left(text, F.lit(1)).isin(*"]},:")).alias("going_on")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("value"), F.max("bytes").alias("bytes"), ended, going_on)
+    kind = F.coalesce(F.schema_of_variant(_whole_json("value")), F.lit(""))
+    return first.filter((F.col("ended") <= F.col("going_on") + 1) & ~kind.startswith("OBJECT") & (F.col("bytes") <= DOCUMENT_BYTES))
+
+
 def _document_files(spark: SparkSession, path: str) -> list[str]:
     """Files that are one JSON value rather than lines of objects; only their names reach the driver."""
     at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), at.alias("at")
     )
-    first = lines.filter(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("value"), F.max("bytes").alias("bytes"))
-    kind = F.coalesce(F.schema_of_variant(_whole_json("value")), F.lit(""))
-    maybe = first.filter(~kind.startswith("OBJECT") & (F.col("bytes") <= DOCUMENT_BYTES)).select("file").collect()
+    maybe = _maybe_document(lines.filter(F.trim("value") != "")).select("file").collect()
     if not maybe:
         return []
     whole = spark.read.text(sorted(r.file for r in maybe), wholetext=True)

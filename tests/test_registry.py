@@ -126,6 +126,12 @@ def test_air_columns_match_the_wire(spark):
     assert AIR.columns == [f.name for f in AIR.schema] == [f.name for f in AIR.event_schema]
 
 
+def test_landed_lines_take_more_files_with_more_rows(spark, monkeypatch):
+    monkeypatch.setattr("skyledger.registry.ingest.FILE_ROWS", 100, raising=False)
+    rows = events(spark, SF_DIR).count()
+    assert len(QUERIES["json_lines_cut"].build(spark, SF_DIR).inputFiles()) == -(-rows // 100) > 3
+
+
 @pytest.mark.parametrize("broken", [False, True])
 def test_entry_stands_alone(tmp_path, broken):
     """Without the training-text folders, or where they can't be imported, every other query is still there."""

@@ -4,6 +4,7 @@ import time
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from skyledger.operators.normalise import from_keyed_events
@@ -117,6 +118,29 @@ def test_a_cut_first_line_costs_that_line(spark, tmp_path, first):
         S.read_json_or_ndjson(spark, path, AIR.raw_schema).collect()
 
 
+@pytest.mark.parametrize(
+    "lines, tried",
+    [
+        (['{"fiwareid": "x", "no', '{"fiwareid": "b"}', ' {"fiwareid": "c"}\t', '{"fiwareid": "d"}'], False),
+        (['{"fiwareid":', '"b"', "}"], True),
+        (['[{"fiwareid": "b"}', ', {"fiwareid": "c"}', "", "\t", ',{"fiwareid"', ': "d"}', "]"], True),
+    ],
+)
+def test_files_of_lines_are_not_read_whole(spark, tmp_path, monkeypatch, lines, tried):
+    """A cut first line makes no document of a file whose other lines can't go on from one another."""
+    (tmp_path / "in.json").write_text("\n".join(lines) + "\n")
+    whole, plain = [], DataFrameReader.text
+
+    def text(reader, paths, wholetext=False, **more):
+        whole.append(wholetext)
+        return plain(reader, paths, wholetext=wholetext, **more)
+
+    monkeypatch.setattr(DataFrameReader, "text", text)
+    got = S.read_json_or_ndjson(spark, str(tmp_path / "in.json"), AIR.raw_schema, strict=False)
+    assert sorted(r.fiwareid for r in got.collect()) == ["b", "c", "d"][: 1 if len(lines) == 3 else 3]
+    assert any(whole) == tried
+
+
 def test_dataset_of_file(spark):
     names = spark.createDataFrame([("vias_full_2025.json",), ("arbol_metadata_1.json",), ("plain.json",)], "f string")
     assert [r.d for r in names.select(S.dataset_of_file("f").alias("d")).collect()] == ["vias", "arbol", "plain"]
