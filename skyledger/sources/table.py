@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from skyledger.functions.time import chunk_start
 from skyledger.operators.changes import dedup_batch
 from skyledger.operators.filters import scan_range
+from skyledger.operators.windows import last_row
 from skyledger.session import literal_table, require_utc
 from skyledger.sources.files import ages, create, exists, list_names, read_text, remove, replace_text
 from skyledger.spec import DatasetSpec
@@ -159,24 +160,26 @@ class ReadingsTable(Committed):
     # -- writing
 
     def upsert(
-        self, batch: DataFrame, batch_id: int, cols: Sequence[str] | None = None, seq: str | None = None, writer: str = "batch"
+        self, batch: DataFrame, batch_id: int, cols: Sequence[str] | None = None, seq: str | Sequence[str] | None = None, writer: str = "batch"
     ) -> bool:
         """Write one batch; false if the writer has committed this batch before.
 
         The commit that comes later wins per key, NULLs included; ``cols`` names the only columns this statement sets, the
-        others keep their value. Within the batch the last row by ``seq`` wins, without one the greatest by its values.
-        Rows without key or instant are not stored.
+        others keep their value. Within the batch the last row by ``seq`` wins, without one the greatest by its values; a
+        list of columns orders by each of them in turn. Rows without key or instant are not stored.
         """
         if self.state().has(writer, batch_id):
             return False
         spec = self.spec
         given = list(cols) if cols is not None else spec.values
         rows = batch.filter(F.col(spec.key).isNotNull() & F.col(spec.ts).isNotNull())
-        if seq:
-            rows = dedup_batch(rows.select(spec.key, spec.ts, *given, seq), [spec.key, spec.ts], seq)
+        if isinstance(seq, str):
+            rows = last_row(rows, [spec.key, spec.ts], [seq], given)
         else:
-            ordered = rows.select(spec.key, spec.ts, *given).withColumn("_order", F.struct(*given))
-            rows = dedup_batch(ordered, [spec.key, spec.ts], "_order")
+            # Where the order holds every value, the greatest order is the row: nothing else is carried.
+            order = [*(seq or []), *[c for c in given if c not in (seq or [])]]
+            greatest = rows.groupBy(spec.key, spec.ts).agg(F.max(F.struct(*order)).alias("_row"))
+            rows = greatest.select(spec.key, spec.ts, *[F.col("_row")[c].alias(c) for c in given])
         fields = {f.name: f.dataType for f in spec.schema}
         mark = F.array(*[F.lit(c) for c in given]) if cols is not None else F.lit(None)
         out = rows.select(
@@ -388,10 +391,15 @@ class ReadingsTable(Committed):
         return joined.filter(F.col("_last").isNull() | (F.col("_order") > F.col("_last"))).drop("_gone", "_last")
 
     def _merged(self, state: State, chunks: dict[str, list[list]]) -> DataFrame:
-        """Per column, the value of the last commit that set it; combinable, keyed on station and instant."""
+        """Per column, the value of the last commit that set it.
+
+        A piece is unique per key, so a key has no more rows than its chunk has pieces: they are shuffled as they are and
+        sorted once, as a partial aggregate would sort them all for nothing.
+        """
         spec = self.spec
         marked = lambda c: F.when(F.col("_set").isNull() | F.array_contains("_set", c), F.col("_order"))
-        merged = self._placed(state, chunks).groupBy(spec.key, spec.ts, "chunk_start").agg(*[F.max_by(c, marked(c)).alias(c) for c in spec.values])
+        placed = self._placed(state, chunks).repartition(spec.key, spec.ts)
+        merged = placed.groupBy(spec.key, spec.ts, "chunk_start").agg(*[F.max_by(c, marked(c)).alias(c) for c in spec.values])
         return merged.withColumn("_set", F.lit(None).cast("array<string>"))
 
 

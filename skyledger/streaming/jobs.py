@@ -139,15 +139,20 @@ def stream_upsert(
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = from_keyed_events(batch.withColumns({"_key": F.col("key"), "_value": F.col("value")}), spec)
         broken = F.col(spec.key).isNull() | F.col(spec.ts).isNull()
-        if failed is not None:
-            apart = parsed.filter(broken).select(F.col("_key").alias("key"), F.col("_value").alias("value"))
-            quarantine(apart, failed, batch_id, writer=query_id(batch.sparkSession, checkpoint))
-            rows = parsed.filter(~broken)
-        else:
+        writer = query_id(batch.sparkSession, checkpoint)
+        if failed is None:
             complaint = F.raise_error(F.concat(F.lit("event without station or instant: "), F.coalesce("_value", F.lit("null"))))
             rows = parsed.filter(F.when(~broken, True).otherwise(complaint.cast("boolean")))
-        ordered = rows.withColumn("_order", F.struct(seq, *spec.values))
-        table.upsert(ordered, batch_id, seq="_order", writer=query_id(batch.sparkSession, checkpoint))
+            table.upsert(rows, batch_id, seq=[seq, *spec.values], writer=writer)
+        else:
+            # Parsed once for both writes; only broken events keep their text.
+            parsed = parsed.withColumns({c: F.when(broken, F.col(c)) for c in ("_key", "_value")}).persist()
+            try:
+                apart = parsed.filter(broken).select(F.col("_key").alias("key"), F.col("_value").alias("value"))
+                quarantine(apart, failed, batch_id, writer=writer)
+                table.upsert(parsed.filter(~broken), batch_id, seq=[seq, *spec.values], writer=writer)
+            finally:
+                parsed.unpersist()
         for width, path in (rollups or {}).items():
             refresh_touched(table, path, width)
 

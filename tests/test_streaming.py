@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.functions.fingerprint import value_fingerprint
+from skyledger.operators.quality import requeue
 from skyledger.operators.windows import station_advances
 from skyledger.sources.records import read_event_stream
 from skyledger.sources.table import ReadingsTable
@@ -189,6 +190,37 @@ def test_broken_events_are_kept_apart_or_stop_the_query(spark, rows, tmp_path):
     assert strict.read().count() == 0
 
 
+def test_a_batch_is_parsed_once_for_both_writes(spark, rows, tmp_path):
+    """Equal arrival numbers fall back to the values; broken events are kept whole."""
+    table, read = ReadingsTable(spark, str(tmp_path / "t"), AIR), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    events = [("a", "2024-01-01T00:00:00Z", 1.0), ("a", "2024-01-01T00:00:00Z", 3.0), ("a", "2024-01-01T00:00:00Z", 2.0), ("b", "soon", 1.0)]
+    land(tmp_path / "in", "1.json", *events)
+    stream = read_event_stream(spark, "json", {"path": str(tmp_path / "in")}).withColumns({"value": counted("value"), "_seq": F.lit(1)})
+    X.stream_upsert(stream, table, str(tmp_path / "ckpt"), failed=str(tmp_path / "failed")).awaitTermination()
+    assert read.value == len(events)
+    assert rows(table.read(), "fiwareid", "no2") == [("a", 3.0)]
+    waiting, _ = requeue(spark, str(tmp_path / "failed"))
+    assert [(r.key[:1], json.loads(r.value)["ts"]) for r in waiting.collect()] == [("b", "soon")]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_pieces_are_shuffled_before_they_are_merged(spark, tmp_path):
+    """Pieces are unique per key, so there is nothing to combine before the shuffle."""
+    table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
+    for n in range(2):
+        land(tmp_path / "in", f"{n}.json", ("a", "2024-01-01T00:00:00Z", float(n)))
+        run_upsert(spark, tmp_path, table)
+    text = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.rindex("SortAggregate(") < text.index("Exchange hashpartitioning")
+
+
 def test_a_new_checkpoint_adds_to_the_table(spark, rows, tmp_path):
     table = ReadingsTable(spark, str(tmp_path / "t"), AIR)
     for n in range(2):
